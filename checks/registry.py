@@ -629,29 +629,36 @@ def o4_benchmark_nll(spark, folder):
     return _nll_columns(evaluate.token_nll(_title_features(items, model), model.bigrams, TOP_N + 3))
 
 
+def _greedy_and_drawn(articles: DataFrame, model: titling.TitleModel) -> DataFrame:
+    """(id, greedy, drawn): the ROUGE-L F of both titles of each article."""
+    made = [materialize(titling.titles(model, articles, mode, max_len=STEPS), "made-titles") for mode in ("greedy", "sample")]
+    scored = evaluate.title_rewards(*made, articles)
+    return materialize(scored.withColumn("id", F.col("id").cast("bigint")), "rewards")
+
+
 @query
 def o5_batch_rewards(spark, folder):
     articles, model = _title_model(spark, folder)
-    made = {mode: titling.titles(model, articles, mode, max_len=STEPS) for mode in ("greedy", "sample")}
-    rewards = evaluate.batch_rewards(*[made[m].withColumn("id", F.col("id").cast("bigint")) for m in made],
-                                     articles.withColumn("id", F.col("id").cast("bigint")))
+    rewards = evaluate.batch_rewards(_greedy_and_drawn(articles, model))
     return rewards.select("batch", _r("greedy_f"), _r("drawn_f"), _r("reward"))
 
 
 @query
 def o5_mixed_objective(spark, folder):
-    """Per source of the documents, as the epochs of a run: the objective with its reward on in epoch 1."""
+    """The documents in three parts, as the epochs of a run: the objective, with its reward on in epoch 1."""
     articles, model = _title_model(spark, folder)
     cleaned = articles.select("id", cleaning.clean_article(F.col("maintext")).alias("maintext"))
     seeds = titles.seed_articles(cleaned, "maintext", model.vocab)
-    paths = materialize(titles.drawn_paths(seeds, cand.candidates(model.bigrams, "prev", "next", "sample"), STEPS, 11), "drawn")
+    paths = titles.drawn_paths(seeds, cand.candidates(model.bigrams, "prev", "next", "sample"), STEPS, 11)
     features = materialize(_title_features(articles, model), "features")
     nll = evaluate.token_nll(features, model.bigrams, TOP_N + 3).select("id", "nll")
     drawn = evaluate.drawn_loss(features, paths, model.bigrams, TOP_N + 3)
-    epoch = (F.col("id").cast("bigint") % 3).cast("int")
-    means = nll.join(drawn, "id").groupBy(epoch.alias("epoch")).agg(F.avg("nll").alias("loss"), F.avg("drawn_loss").alias("drawn_loss"))
-    objective = evaluate.mixed_objective(F.col("loss"), F.lit(0.25), F.col("drawn_loss"), 0.3, F.col("epoch"), 1)
-    return means.select("epoch", _r("loss"), _r("drawn_loss"), _r(objective, "objective"))
+    rows = nll.join(drawn, "id").withColumn("id", F.col("id").cast("bigint")).join(_greedy_and_drawn(articles, model), "id")
+    means = rows.groupBy((F.col("id") % 3).cast("int").alias("epoch")).agg(
+        F.avg("nll").alias("loss"), F.avg("drawn_loss").alias("drawn_loss"), (F.avg("greedy") - F.avg("drawn")).alias("reward")
+    )
+    objective = evaluate.mixed_objective(F.col("loss"), F.col("reward"), F.col("drawn_loss"), 0.3, F.col("epoch"), 1)
+    return means.select("epoch", _r("loss"), _r("drawn_loss"), _r("reward"), _r(objective, "objective"))
 
 
 @query

@@ -61,7 +61,7 @@ def fuse(scores: DataFrame, on: str = "score", keys: tuple[str, ...] = ("Id",))
     """The mean of the two views per class, of scores or of their softmax probabilities."""
     if on == "probability":
         positive = 1 / (1 + F.exp(F.col("s0") - F.col("s1")))
-        scores = scores.withColumn("s0", 1 - positive).withColumn("s1", positive)
+        scores = scores.withColumns({"s0": 1 - positive, "s1": positive})
     return scores.groupBy(*keys).agg(F.avg("s0").alias("s0"), F.avg("s1").alias("s1"))
 
 

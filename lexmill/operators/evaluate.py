@@ -131,19 +131,16 @@ def drawn_loss(features: DataFrame, paths: DataFrame, bigrams: DataFrame, vocab_
     return _step_probability(steps, bigrams, vocab_size).groupBy("id").agg(F.avg(-F.col("p")).alias("drawn_loss"))
 
 
-def batch_rewards(greedy: DataFrame, drawn: DataFrame, reference: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
-    """Per batch, the ROUGE-L F of greedy titles, of drawn titles, and the first minus the second.
-
-    Inputs are (id, title). Pairs of both kinds are scored in one pass.
-    """
+def title_rewards(greedy: DataFrame, drawn: DataFrame, reference: DataFrame) -> DataFrame:
+    """(id, greedy, drawn): the ROUGE-L F of the greedy and of the drawn title, both (id, title), in one pass."""
     both = greedy.select("id", F.col("title").alias("greedy")).join(drawn.select("id", F.col("title").alias("drawn")), "id")
-    both = both.join(reference.select("id", F.col("title").alias("ref")), "id")
+    both = both.join(reference.select("id", F.coalesce("title", F.lit("")).alias("ref")), "id")
     lcs, n_ref = _lcs_udf("word"), F.size(_units("ref", "word"))
+    return both.select("id", *[f1(lcs(side, "ref"), F.size(_units(side, "word")), n_ref).alias(side) for side in ("greedy", "drawn")])
 
-    def score(side: str) -> Column:
-        return f1(lcs(side, F.coalesce("ref", F.lit(""))), F.size(_units(side, "word")), n_ref).alias(side)
 
-    scored = both.select("id", score("greedy"), score("drawn"))
+def batch_rewards(scored: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
+    """Per batch of :func:`title_rewards`, the mean F of both kinds and the first minus the second."""
     batches = assign_batches(scored, size, "id").groupBy("batch").agg(F.avg("greedy").alias("greedy_f"), F.avg("drawn").alias("drawn_f"))
     return batches.withColumn("reward", F.col("greedy_f") - F.col("drawn_f"))
 
