@@ -379,7 +379,7 @@ FINAL: dict[str, str] = {
             WHERE split <> 'test' GROUP BY epoch)) WHERE accuracy > best""",
     "c8_linear_predict": "SELECT Id, pred FROM pred JOIN reviews USING (Id) WHERE split = 'test'",
     "c9_misclassified": "SELECT Id, text, Category, pred FROM pred JOIN reviews USING (Id) WHERE Category IS NOT NULL AND pred <> Category",
-    "e0_corpus_vocab": "SELECT word, id, freq FROM news_vocab UNION ALL SELECT word, id, freq FROM specials",
+    "e0_corpus_vocab": "SELECT word, id AS token, freq FROM news_vocab UNION ALL SELECT word, id, freq FROM specials",
     "e1_encode": f"SELECT id, {_ints('a.ids')} AS input_ids, {_ints(_mask('a.ids'))} AS attention_mask, {_ints('b.ids')} AS title_ids FROM text_ids a JOIN title_ids b USING (id)",
     "e2_decoder_start": f"SELECT id, {_ints('y')} AS ids FROM forced",
     "e3_teacher_forcing": f"""SELECT id, {_ints('y[1:63]')} AS decoder_input_ids, {_ints(_mask('ids[1:63]'))} AS decoder_attention_mask,

@@ -46,12 +46,11 @@ def _train(df: DataFrame) -> DataFrame:
 
 
 def _vocab(reviews: DataFrame) -> DataFrame:
-    return materialize(vocab.build_vocab(_train(reviews)), "vocab")
+    return vocab.build_vocab(_train(reviews))
 
 
 def _clean_news(spark: SparkSession, folder: str) -> DataFrame:
-    news = views.news_like(spark, folder)
-    return news.select("id", cleaning.clean_article(F.col("maintext")).alias("maintext"), "title")
+    return cleaning.clean_articles(views.news_like(spark, folder))
 
 
 def _news_vocab(news: DataFrame) -> DataFrame:
@@ -193,7 +192,7 @@ def p4_eval_columns(spark, folder):
 
 @query
 def p5_null_text(spark, folder):
-    documents = views.table(spark, folder, "documents")
+    documents = views.documents(spark, folder, "text", "n_chars")
     text = F.when(F.col("n_chars") >= 200, F.col("text"))
     words = cleaning.split_words(cleaning.text_or_token(text))
     nans = F.size(F.filter(words, lambda w: w == "nan"))
@@ -463,7 +462,7 @@ def e6_mapped_features(spark, folder):
             ["doc_id", "n_words", "n_lines"]
         ]
 
-    documents = views.table(spark, folder, "documents").select("doc_id", "text")
+    documents = views.documents(spark, folder, "text")
     return encode.map_features(documents, lengths, "doc_id bigint, n_words bigint, n_lines bigint")
 
 
@@ -595,7 +594,7 @@ def o1l_rouge_l_dialog(spark, folder):
 @query
 def o2_placeholder(spark, folder):
     rest = F.trim(F.regexp_replace("text", "(?s)^[^.]*[.]", ""))
-    return views.table(spark, folder, "documents").select("doc_id", evaluate.or_placeholder(rest).alias("title"))
+    return views.documents(spark, folder, "text").select("doc_id", evaluate.or_placeholder(rest).alias("title"))
 
 
 @query
@@ -647,7 +646,7 @@ def o5_batch_rewards(spark, folder):
 def o5_mixed_objective(spark, folder):
     """The documents in three parts, as the epochs of a run: the objective, with its reward on in epoch 1."""
     articles, model = _title_model(spark, folder)
-    cleaned = articles.select("id", cleaning.clean_article(F.col("maintext")).alias("maintext"))
+    cleaned = cleaning.clean_articles(articles.select("id", "maintext"))
     seeds = titles.seed_articles(cleaned, "maintext", model.vocab)
     paths = titles.drawn_paths(seeds, cand.candidates(model.bigrams, "prev", "next", "sample"), STEPS, 11)
     features = materialize(_title_features(articles, model), "features")

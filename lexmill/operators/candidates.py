@@ -33,12 +33,9 @@ def bigram_table(texts: DataFrame, text: str, vocab: DataFrame) -> DataFrame:
     none = F.array(F.lit(None).cast("string"))
     pairs = F.arrays_zip(F.concat(none, words).alias("prev"), F.concat(words, none).alias("next"))
     counts = texts.select(F.explode(pairs).alias("p")).groupBy("p.prev", "p.next").agg(F.count(F.lit(1)).alias("cnt"))
-    counts = materialize(counts.toDF("prev_word", "next_word", "cnt"), "word-pairs")
     for side, outer in (("prev", PAD), ("next", END)):
-        ids = vocab.where(F.col("freq") > 0).select(F.col("word").alias(f"{side}_word"), F.col("id").alias(side))
-        counts = lookup_join(counts, ids, [f"{side}_word"], "left").withColumn(
-            side, F.when(F.col(f"{side}_word").isNull(), outer).otherwise(F.col(side))
-        )
+        known = lookup_join(counts.withColumnRenamed(side, "word"), vocab, ["word"], "left")
+        counts = known.withColumn(side, F.when(F.col("word").isNull(), outer).otherwise(F.col("token"))).drop("word", "token", "freq")
     counts = counts.where(F.col("prev").isNotNull() & F.col("next").isNotNull()).select("prev", "next", "cnt")
     total = F.sum("cnt").over(Window.partitionBy("prev"))
     counts = counts.withColumn("prev_cnt", total)

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from lexmill.operators.prep import class_of
 from lexmill.operators.scale import lookup_join, with_running_totals
-from lexmill.runtime import materialize
 
 VIEWS = ("neg", "pos")
 
 
 def word_weights(freqs: DataFrame, vocab: DataFrame, alpha: Column | float = 1.0) -> DataFrame:
-    """Weights for C2 out of class word counts: (cls, word, idx, w0, w1).
+    """Weights for C2 out of class word counts: (cls, idx, w0, w1).
 
     ``w0`` and ``w1`` are the smoothed log shares of the word among the vocabulary words of the view
     ``cls`` in negative and in positive texts.
@@ -21,14 +20,15 @@ def word_weights(freqs: DataFrame, vocab: DataFrame, alpha: Column | float = 1.0
     counts = freqs.groupBy("word").agg(
         *[F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("freq"))), F.lit(0)).alias(f"f{i}") for i, c in enumerate(VIEWS)]
     )
-    known = materialize(vocab.select("cls", "word", "idx").join(counts, "word"), "word-weights")
+    known = vocab.select("cls", "word", "idx").join(counts, "word")
     sizes = known.groupBy("cls").agg(F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count(F.lit(1)).alias("v"))
     alpha = F.lit(alpha) if not isinstance(alpha, Column) else alpha
 
     def weight(i: int) -> Column:
         return F.log((F.col(f"f{i}") + alpha) / (F.col(f"t{i}") + alpha * F.col("v"))).alias(f"w{i}")
 
-    return known.join(F.broadcast(sizes), "cls").select("cls", "word", "idx", weight(0), weight(1))
+    # One row per class.
+    return known.join(F.broadcast(sizes), "cls").select("cls", "idx", weight(0), weight(1))
 
 
 def class_priors(reviews: DataFrame) -> DataFrame:
@@ -45,7 +45,6 @@ def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias
     A document without any vocabulary word scores its bias. It enters as a zero row of the sum, so the
     one shuffle by document does the work of a left join too.
     """
-    weights = weights.select("cls", "idx", "w0", "w1")
     terms = lookup_join(bag, weights, ["cls", "idx"]).select(
         "Id", F.col("cls").alias("view"), (F.col("cnt") * F.col("w0")).alias("w0"), (F.col("cnt") * F.col("w1")).alias("w1")
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.cleaning import clean_article, split_words
+from lexmill.functions.cleaning import clean_articles, split_words
 from lexmill.operators.prep import mode_columns, numeric_id
 from lexmill.operators.scale import lookup_join
 from lexmill.operators.vocab import END, PAD, UNKNOWN
@@ -52,7 +52,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, columns: dict[str, tuple[s
         ]
     )
     words = df.select(key, F.explode(fields).alias("f")).select(key, "f.field", F.posexplode("f.words").alias("pos", "word"))
-    known = lookup_join(words, vocab.select("word", F.col("id").alias("token")), ["word"], "left")
+    known = lookup_join(words, vocab, ["word"], "left")
     known = known.withColumn("token", F.coalesce("token", F.lit(UNKNOWN)))
 
     def ids(out: str, length: int) -> Column:
@@ -90,7 +90,7 @@ def decode(df: DataFrame, vocab: DataFrame, key: str, ids: str, out: str = "titl
     """Ids back to text without the reserved ids; nothing left gives an empty string."""
     real = F.filter(F.col(ids), lambda i: i > UNKNOWN)
     placed = df.select(key, F.posexplode_outer(real).alias("pos", "token"))
-    words = lookup_join(placed, vocab.select(F.col("id").alias("token"), "word"), ["token"], "left")
+    words = lookup_join(placed, vocab, ["token"], "left")
     ordered = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "word"))))
     return words.groupBy(key).agg(F.array_join(ordered.getField("word"), " ").alias(out))
 
@@ -104,7 +104,7 @@ def build_features(
     keep_id: bool = False,
 ) -> DataFrame:
     """E5: cleaned articles to the columns of a mode: ``train``, ``validation`` or ``eval``."""
-    cleaned = articles.withColumn("maintext", clean_article(F.col("maintext")))
+    cleaned = clean_articles(articles)
     columns = {"input_ids": ("maintext", text_length)}
     if mode != "eval":
         columns["title_ids"] = ("title", title_length)

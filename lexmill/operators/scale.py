@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lexmill.runtime import materialize, shuffle_partitions
+from lexmill.runtime import materialize, measure, shuffle_partitions
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 << 20
@@ -17,17 +16,9 @@ HOT_KEYS = 1_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df``: true if both its row count and its width in bytes are within the bounds."""
-    fixed = 0
-    varying = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            varying = varying + F.coalesce(F.octet_length(field.name), F.lit(0))
-        elif isinstance(field.dataType, T.ArrayType):
-            varying = varying + F.greatest(F.size(field.name), F.lit(0)) * 48
-        fixed += 16
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(varying).alias("b")).first()
-    return row.n <= max_rows and row.n * fixed + (row.b or 0) <= max_bytes
+    """True if the measured rows and bytes of ``df`` are both within the bounds."""
+    size = measure(df)
+    return size.rows <= max_rows and size.bytes <= max_bytes
 
 
 def lookup_join(
@@ -40,7 +31,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join a big ``left`` to a table of look-ups.
 
-    ``right`` is measured, so pass a materialised table. Within the bounds it is broadcast and ``left``
+    ``right`` is measured: pass a materialised table, and the same object again in a loop. Within the bounds it is broadcast and ``left``
     does not move. Beyond them both sides are shuffled, with the hottest keys of ``left`` spread over
     ``HOT_KEY_SALTS`` tasks and their ``right`` rows repeated once per salt. The hot keys come from a
     sample, which decides where rows travel and never which rows match.

@@ -29,9 +29,8 @@ STEPS_PER_WRITE = 4
 def seed_articles(articles: DataFrame, text: str, vocab: DataFrame) -> DataFrame:
     """(id, seed): the id of each article's first word, or the start id if the vocabulary lacks it."""
     word = F.get(split_words(F.coalesce(F.col(text), F.lit(""))), 0)
-    ids = vocab.where(F.col("freq") > 0).select("word", F.col("id").alias("seed"))
-    seeded = lookup_join(articles.select("id", word.alias("word")), ids, ["word"], "left")
-    return seeded.select("id", F.coalesce("seed", F.lit(PAD)).alias("seed"))
+    seeded = lookup_join(articles.select("id", word.alias("word")), vocab, ["word"], "left")
+    return seeded.select("id", F.coalesce("token", F.lit(PAD)).alias("seed"))
 
 
 def _titles_of_seeds(docs: DataFrame, paths: DataFrame, vocab: DataFrame) -> DataFrame:

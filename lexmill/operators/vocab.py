@@ -32,7 +32,7 @@ def vocab_index(frequent: DataFrame) -> DataFrame:
 
 def build_vocab(reviews: DataFrame, threshold: int = 10) -> DataFrame:
     """A1 to A3 over the training reviews."""
-    return vocab_index(frequent_words(class_word_freq(reviews), threshold))
+    return materialize(vocab_index(frequent_words(class_word_freq(reviews), threshold)), "vocab")
 
 
 def bag_of_words(reviews: DataFrame, vocab: DataFrame, clean: bool = False) -> DataFrame:
@@ -43,7 +43,7 @@ def bag_of_words(reviews: DataFrame, vocab: DataFrame, clean: bool = False) -> D
     """
     text = text_or_token(F.col("text"))
     words = reviews.select("Id", F.explode(review_words(text) if clean else split_words(text)).alias("word"))
-    hits = lookup_join(words, vocab.select("cls", "word", "idx"), ["word"])
+    hits = lookup_join(words, vocab, ["word"])
     return hits.groupBy("Id", "cls", "idx").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -60,14 +60,18 @@ def vocab_sizes(vocab: DataFrame) -> DataFrame:
 
 
 def corpus_vocab(texts: DataFrame, text: str | Column, top_n: int) -> DataFrame:
-    """(word, id, freq): reserved ids first, then words by falling frequency, ties by word."""
+    """(word, token, freq): reserved ids first, then words by falling frequency, ties by word.
+
+    A word spelled like a reserved one takes the reserved id, so no word occurs twice.
+    """
     column = F.col(text) if isinstance(text, str) else text
     counts = (
         texts.select(F.explode(split_words(F.coalesce(column, F.lit("")))).alias("word"))
+        .where(~F.col("word").isin(SPECIAL_WORDS))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("freq"))
     )
     ranked = with_order_index(counts, "rank", [F.desc("freq"), F.col("word")]).where(F.col("rank") < top_n)
-    words = ranked.select("word", (F.col("rank") + len(SPECIAL_WORDS)).cast("int").alias("id"), "freq")
+    words = ranked.select("word", (F.col("rank") + len(SPECIAL_WORDS)).cast("int").alias("token"), "freq")
     specials = texts.sparkSession.createDataFrame([(w, i, 0) for i, w in enumerate(SPECIAL_WORDS)], words.schema)
     return materialize(specials.unionByName(words), "corpus-vocab")

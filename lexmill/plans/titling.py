@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.cleaning import clean_article
+from lexmill.functions.cleaning import clean_articles
 from lexmill.operators.candidates import bigram_table
 from lexmill.operators.encode import TITLE_LENGTH
 from lexmill.operators.evaluate import batch_mean, rouge_l, rouge_n
@@ -31,7 +31,7 @@ def train(articles: DataFrame, top_n: int = 32_000) -> TitleModel:
 
 def titles(model: TitleModel, articles: DataFrame, mode: str = "greedy", max_len: int = TITLE_LENGTH, **choice) -> DataFrame:
     """(id, title) for cleaned articles in one of the five modes, or ``sample``."""
-    cleaned = articles.select("id", clean_article(F.col("maintext")).alias("maintext"))
+    cleaned = clean_articles(articles.select("id", "maintext"))
     if mode == "greedy":
         return greedy_titles(cleaned, model.bigrams, model.vocab, max_len=max_len)
     if mode == "beam":

@@ -6,12 +6,24 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import weakref
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
+class Size(NamedTuple):
+    rows: int
+    bytes: int
+
+
+_SIZES: weakref.WeakKeyDictionary[DataFrame, Size] = weakref.WeakKeyDictionary()
+
+
 def local_session(name: str = "lexmill", cores: str = "*", **conf: str) -> SparkSession:
     """A session for tests and benches; on a cluster the submitter's session is used as it is."""
     builder = (
@@ -52,6 +64,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _measures(df: DataFrame) -> list[Column]:
+    """Aggregates of the rows and of about the bytes they take in memory."""
+    fixed, varying = 0, F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            varying = varying + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType):
+            varying = varying + F.greatest(F.size(field.name), F.lit(0)) * 48
+        fixed += 16
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(varying + fixed), F.lit(0)).alias("bytes")]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -62,5 +86,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measure(df: DataFrame) -> Size:
+    """The size of ``df``: counted by a job, once per DataFrame object."""
+    if df not in _SIZES:
+        _SIZES[df] = Size(*df.agg(*_measures(df)).first())
+    return _SIZES[df]
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows out by ``key`` if the input has fewer splits than the session has cores.
+
+    A large corpus comes in many splits and stays where it is; a few unsplittable files would leave
+    most cores idle through all the work on their texts.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.hashing import unit_hash
+from lexmill.runtime import spread
 
 # Put into a review, so that every literal of T1 occurs.
 REVIEW_MARK = " 好，>:<還是^^ 應我該"
@@ -37,12 +38,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The given columns of the documents, on all cores."""
+    return spread(table(spark, folder, "documents").select("doc_id", *columns), "doc_id")
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """(Id, Category, text, split): unlabelled documents are the test split."""
-    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("Id"), "text")
+    texts = documents(spark, folder, "text").withColumnRenamed("doc_id", "Id")
     labels = table(spark, folder, "labels").select(F.col("doc_id").alias("Id"), F.col("quality").alias("Category"))
     split = F.when(F.col("Category").isNull(), "test").when(unit_hash(42, "Id") < 0.8, "train").otherwise("dev")
-    return documents.join(labels, "Id", "left").select("Id", "Category", "text", split.alias("split"))
+    return texts.join(labels, "Id", "left").select("Id", "Category", "text", split.alias("split"))
 
 
 def reviews_marked(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,8 +59,8 @@ def reviews_marked(spark: SparkSession, folder: str) -> DataFrame:
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
     """(id, maintext, title): the first line of a document is its title."""
-    documents = table(spark, folder, "documents").select("doc_id", "text", F.instr("text", "\n").alias("cut")).where(F.col("cut") > 1)
-    return documents.select(
+    cut = documents(spark, folder, "text").withColumn("cut", F.instr("text", "\n")).where(F.col("cut") > 1)
+    return cut.select(
         F.col("doc_id").cast("string").alias("id"),
         F.expr("substring(text, cut + 1)").alias("maintext"),
         F.expr("substring(text, 1, cut - 1)").alias("title"),
@@ -70,7 +76,7 @@ def news_like(spark: SparkSession, folder: str) -> DataFrame:
 
 def dialog_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """(conv_id, turn, source_text, target_text): a user turn and the assistant's answer to it."""
-    turns = table(spark, folder, "conversations")
+    turns = spread(table(spark, folder, "conversations"), "conv_id")
     asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("source_text"))
     answered = turns.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("target_text"))
     return asked.join(answered, ["conv_id", "turn"])
