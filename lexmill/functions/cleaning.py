@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -33,9 +34,14 @@ ARTICLE_RULES = [
     r"地址：.+",
 ]
 
-# Java flags that give '.' and '\S' the meaning the rules were written for: only '\n' ends a line,
-# and white space is any Unicode white space.
-_FLAGS = "(?dU)"
+# Java's classes for white space as the rules mean it: any Unicode white space, and the four separators
+# U+001C to U+001F, which Java counts as control characters.
+_SPACES = {"s": r"[\s\x1c-\x1f]", "S": r"[^\s\x1c-\x1f]"}
+
+
+def java_pattern(rule: str) -> str:
+    """A rule for ``regexp_replace``: only ``\\n`` ends a line, and white space is Unicode white space."""
+    return "(?dU)" + re.sub(r"\\(.)", lambda m: _SPACES.get(m[1], m[0]), rule, flags=re.DOTALL)
 
 
 def text_or_token(text: Column, null_token: str = "nan") -> Column:
@@ -55,7 +61,7 @@ def strip_review_marks(text: Column, literals: Sequence[str] = REVIEW_LITERALS)
 
 def collapse_spaces(text: Column) -> Column:
     """Every run of white space becomes one space; none at the ends."""
-    return F.trim(F.regexp_replace(text, _FLAGS + r"\s+", " "))
+    return F.trim(F.regexp_replace(text, java_pattern(r"\s+"), " "))
 
 
 def split_words(text: Column) -> Column:
@@ -96,7 +102,7 @@ def clean_article(text: Column, rules: Sequence[str] = ARTICLE_RULES) -> Column:
     """
 
     def delete(rule: str, current: Column) -> Column:
-        deleted = F.regexp_replace(current, _FLAGS + rule, "")
+        deleted = F.regexp_replace(current, java_pattern(rule), "")
         prefix = literal_prefix(rule)
         return F.when(current.contains(prefix), deleted).otherwise(current) if prefix else deleted
 
