@@ -366,6 +366,7 @@ FINAL: dict[str, str] = {
     "a5_vocab_sizes": """SELECT cls, count(word) AS n_words, coalesce(sum(freq), 0)::BIGINT AS n_tokens
         FROM (VALUES ('neg'), ('pos')) t(cls) LEFT JOIN vocab USING (cls) GROUP BY cls""",
     "c2_linear_scores": f"SELECT Id, view, {_r('s0')} AS s0, {_r('s1')} AS s1 FROM scores",
+    "c2_linear_scores_of_bag": f"SELECT Id, view, {_r('s0')} AS s0, {_r('s1')} AS s1 FROM scores",
     "c3_fused_scores": f"SELECT Id, {_r('s0')} AS s0, {_r('s1')} AS s1 FROM fused",
     "c3_fused_probabilities": f"SELECT Id, {_r('avg(1 / (1 + exp(s1 - s0)))')} AS s0, {_r('avg(1 / (1 + exp(s0 - s1)))')} AS s1 FROM scores GROUP BY Id",
     "c4_argmax_label": "SELECT Id, pred FROM pred",

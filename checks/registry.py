@@ -62,8 +62,8 @@ def _scored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     reviews = views.reviews(spark, folder)
     freqs = materialize(vocab.class_word_freq(_train(reviews)), "class-word-freq")
     words = materialize(vocab.vocab_index(vocab.frequent_words(freqs)), "vocab")
-    weights = materialize(classify.word_weights(freqs, words), "weights")
-    return reviews, classify.linear_scores(vocab.bag_of_words(reviews, words), reviews, weights, classify.class_priors(_train(reviews)))
+    weights = classify.word_weights(classify.class_counts(freqs, words))
+    return reviews, classify.text_scores(reviews, weights, classify.class_priors(_train(reviews)))
 
 
 def _title_model(spark: SparkSession, folder: str) -> tuple[DataFrame, titling.TitleModel]:
@@ -330,6 +330,16 @@ def c2_linear_scores(spark, folder):
     return scores.select("Id", "view", _r("s0"), _r("s1"))
 
 
+@query
+def c2_linear_scores_of_bag(spark, folder):
+    reviews = views.reviews(spark, folder)
+    freqs = materialize(vocab.class_word_freq(_train(reviews)), "class-word-freq")
+    words = materialize(vocab.vocab_index(vocab.frequent_words(freqs)), "vocab")
+    weights = classify.word_weights(classify.class_counts(freqs, words))
+    scores = classify.linear_scores(vocab.bag_of_words(reviews, words), reviews, weights, classify.class_priors(_train(reviews)))
+    return scores.select("Id", "view", _r("s0"), _r("s1"))
+
+
 @query
 def c3_fused_scores(spark, folder):
     _, scores = _scored(spark, folder)
@@ -375,13 +385,14 @@ def c7_best_epochs(spark, folder):
     reviews = views.reviews(spark, folder)
     freqs = materialize(vocab.class_word_freq(_train(reviews)), "class-word-freq")
     words = materialize(vocab.vocab_index(vocab.frequent_words(freqs)), "vocab")
-    labelled = reviews.where(F.col("split") != "test")
-    bag = materialize(vocab.bag_of_words(labelled, words), "bag")
-    priors = classify.class_priors(_train(reviews))
+    counts = classify.class_counts(freqs, words)
+    labelled = materialize(reviews.where(F.col("split") != "test").drop("text"), "labelled")
+    bag = materialize(vocab.bag_of_words(reviews.where(F.col("split") != "test"), words), "bag")
+    priors = materialize(classify.class_priors(_train(reviews)), "priors")
     epochs = None
     for number, alpha in enumerate(ALPHAS, 1):
-        weights = materialize(classify.word_weights(freqs, words, alpha), "weights")
-        pred = classify.predict_labels(classify.fuse(classify.linear_scores(bag, labelled, weights, priors)))
+        scores = classify.linear_scores(bag, labelled, classify.word_weights(counts, alpha), priors)
+        pred = classify.predict_labels(classify.fuse(scores))
         row = classify.accuracy(pred, labelled, by=()).select(F.lit(number).alias("epoch"), "accuracy")
         epochs = row if epochs is None else epochs.unionByName(row)
     return classify.improving_epochs(epochs).select("epoch", _r("accuracy"), _r("best_before"))

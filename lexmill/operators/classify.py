@@ -5,30 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions.cleaning import split_words, text_or_token
 from lexmill.operators.prep import class_of
 from lexmill.operators.scale import lookup_join, with_running_totals
+from lexmill.runtime import materialize
 
 VIEWS = ("neg", "pos")
 
 
-def word_weights(freqs: DataFrame, vocab: DataFrame, alpha: Column | float = 1.0) -> DataFrame:
-    """Weights for C2 out of class word counts: (cls, idx, w0, w1).
+def class_counts(freqs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(cls, word, idx, f0, f1, t0, t1, v): what the weights of a view are made of.
 
-    ``w0`` and ``w1`` are the smoothed log shares of the word among the vocabulary words of the view
-    ``cls`` in negative and in positive texts.
+    For each vocabulary word of the view ``cls``, its count in negative and in positive texts, and the
+    totals of both and the number of words in the view.
     """
     counts = freqs.groupBy("word").agg(
         *[F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("freq"))), F.lit(0)).alias(f"f{i}") for i, c in enumerate(VIEWS)]
     )
     known = vocab.select("cls", "word", "idx").join(counts, "word")
     sizes = known.groupBy("cls").agg(F.sum("f0").alias("t0"), F.sum("f1").alias("t1"), F.count(F.lit(1)).alias("v"))
-    alpha = F.lit(alpha) if not isinstance(alpha, Column) else alpha
+    # One row per class.
+    return materialize(known.join(F.broadcast(sizes), "cls"), "class-counts")
 
-    def weight(i: int) -> Column:
-        return F.log((F.col(f"f{i}") + alpha) / (F.col(f"t{i}") + alpha * F.col("v"))).alias(f"w{i}")
 
-    # One row per class.
-    return known.join(F.broadcast(sizes), "cls").select("cls", "idx", weight(0), weight(1))
+def word_weights(counts: DataFrame, alpha: float = 1.0) -> DataFrame:
+    """Weights for C2 out of class counts: (cls, word, idx, w0, w1).
+
+    ``w0`` and ``w1`` are the log shares, smoothed by ``alpha``, of the word among the vocabulary words of
+    the view ``cls`` in negative and in positive texts.
+    """
+    shares = [(F.col(f"f{i}") + alpha) / (F.col(f"t{i}") + alpha * F.col("v")) for i in (0, 1)]
+    return counts.select("cls", "word", "idx", *[F.log(s).alias(f"w{i}") for i, s in enumerate(shares)])
 
 
 def class_priors(reviews: DataFrame) -> DataFrame:
@@ -45,7 +52,7 @@ def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias
     A document without any vocabulary word scores its bias. It enters as a zero row of the sum, so the
     one shuffle by document does the work of a left join too.
     """
-    terms = lookup_join(bag, weights, ["cls", "idx"]).select(
+    terms = lookup_join(bag, weights.select("cls", "idx", "w0", "w1"), ["cls", "idx"]).select(
         "Id", F.col("cls").alias("view"), (F.col("cnt") * F.col("w0")).alias("w0"), (F.col("cnt") * F.col("w1")).alias("w1")
     )
     blank = documents.select("Id", F.explode(F.array(*map(F.lit, VIEWS))).alias("view"), F.lit(0.0).alias("w0"), F.lit(0.0).alias("w1"))
@@ -56,6 +63,24 @@ def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias
     )
 
 
+def text_scores(documents: DataFrame, weights: DataFrame, bias: DataFrame) -> DataFrame:
+    """C2 straight from the texts, without a bag of words in between: the same (Id, view, s0, s1).
+
+    The weights of both views are looked up at once, and the words of a document are in one task, so the
+    sums are all but finished before the one shuffle by document. An unknown word adds nothing.
+    """
+    wide = weights.groupBy("word").agg(
+        *[F.coalesce(F.sum(F.when(F.col("cls") == v, F.col(w))), F.lit(0.0)).alias(f"{v}_{w}") for v in VIEWS for w in ("w0", "w1")]
+    )
+    words = documents.select("Id", F.explode(split_words(text_or_token(F.col("text")))).alias("word"))
+    hits = lookup_join(words, materialize(wide, "word-weights"), ["word"], "left")
+    sums = hits.groupBy("Id").agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in (f"{v}_{w}" for v in VIEWS for w in ("w0", "w1"))])
+    # One row, by construction of an ungrouped aggregate.
+    sums = sums.join(F.broadcast(bias))
+    views = [F.struct(F.lit(v).alias("view"), *[(F.col(f"{v}_w{i}") + F.col(f"b{i}")).alias(f"s{i}") for i in (0, 1)]) for v in VIEWS]
+    return sums.select("Id", F.inline(F.array(*views)))
+
+
 def fuse(scores: DataFrame, on: str = "score", keys: tuple[str, ...] = ("Id",)) -> DataFrame:
     """The mean of the two views per class, of scores or of their softmax probabilities."""
     if on == "probability":

@@ -51,7 +51,9 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, columns: dict[str, tuple[s
             for out, (text, length) in columns.items()
         ]
     )
-    words = df.select(key, F.explode(fields).alias("f")).select(key, "f.field", F.posexplode("f.words").alias("pos", "word"))
+    # The array is a column of its own, so that its rows do not each carry a copy of it.
+    listed = df.select(key, F.inline(fields))
+    words = listed.select(key, "field", F.posexplode("words").alias("pos", "word"))
     known = lookup_join(words, vocab, ["word"], "left")
     known = known.withColumn("token", F.coalesce("token", F.lit(UNKNOWN)))
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.operators.classify import accuracy, class_priors, fuse, linear_scores, predict_labels, word_weights
+from lexmill.operators.classify import accuracy, class_counts, class_priors, fuse, predict_labels, text_scores, word_weights
 from lexmill.operators.models import fit_two_views, model_scores
 from lexmill.operators.prep import union_splits
-from lexmill.operators.vocab import bag_of_words, class_word_freq, frequent_words, vocab_index
+from lexmill.operators.vocab import class_word_freq, frequent_words, vocab_index
 from lexmill.runtime import materialize
 from lexmill.sources.models import load_model, save_model
 
@@ -36,8 +36,8 @@ def linear_predictions(train_reviews: DataFrame, documents: DataFrame, threshold
     """C8 with the counted weights of C2: (Id, s0, s1, pred) for every document."""
     freqs = materialize(class_word_freq(train_reviews), "class-word-freq")
     vocab = materialize(vocab_index(frequent_words(freqs, threshold)), "vocab")
-    weights = materialize(word_weights(freqs, vocab), "weights")
-    scores = linear_scores(bag_of_words(documents, vocab), documents, weights, class_priors(train_reviews))
+    weights = word_weights(class_counts(freqs, vocab))
+    scores = text_scores(documents, weights, class_priors(train_reviews))
     return predict_labels(fuse(scores, on))
 
 

@@ -44,13 +44,17 @@ def test_corpus_vocab_keeps_reserved_words_unique(spark):
     assert words == {"<pad>": 0, "</s>": 1, "<unk>": 2, "a": 3, "": 4}
 
 
-def test_linear_scores_equal_a_direct_sum(spark):
+@pytest.mark.parametrize("direct", [True, False])
+def test_linear_scores_equal_a_direct_sum(spark, direct):
     rows = [(1, 0, "x x y"), (2, 1, "y z z"), (3, 1, "z"), (4, 0, "q")]
     df = reviews(spark, rows)
     freqs = vocab.class_word_freq(df)
     words = vocab.build_vocab(df, threshold=1)
-    weights = classify.word_weights(freqs, words)
-    scores = classify.linear_scores(vocab.bag_of_words(df, words), df, weights, classify.class_priors(df))
+    weights = classify.word_weights(classify.class_counts(freqs, words))
+    if direct:
+        scores = classify.text_scores(df, weights, classify.class_priors(df))
+    else:
+        scores = classify.linear_scores(vocab.bag_of_words(df, words), df, weights, classify.class_priors(df))
     got = {(r.Id, r.view): (r.s0, r.s1) for r in scores.collect()}
     assert len(got) == 8
     # neg vocabulary: x (2 in neg, 0 in pos); pos vocabulary: z (0 in neg, 3 in pos).
