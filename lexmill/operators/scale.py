@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +36,8 @@ def lookup_join(
     ``right`` is measured: pass a materialised table, and the same object again in a loop. Within the bounds it is broadcast and ``left``
     does not move. Beyond them both sides are shuffled, with the hottest keys of ``left`` spread over
     ``HOT_KEY_SALTS`` tasks and their ``right`` rows repeated once per salt. The hot keys come from a
-    sample, which decides where rows travel and never which rows match.
+    sample, which decides where rows travel and never which rows match. Rows without a key match nothing
+    and are spread in the same way.
     """
     on = list(on)
     if fits_broadcast(right, max_rows, max_bytes):
@@ -45,7 +48,8 @@ def lookup_join(
     )
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(HOT_KEY_SALTS)).cast("int")
     salts = F.array(*[F.lit(i) for i in range(HOT_KEY_SALTS)])
-    left = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
+    no_key = reduce(or_, [F.col(c).isNull() for c in on])
+    left = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0)).drop("_hot")
     right = (
         right.join(F.broadcast(hot), on, "left")
         .withColumn("_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))))

@@ -57,6 +57,10 @@ def test_lookup_join_keeps_rows_without_a_key(spark):
     right = spark.createDataFrame([("a", 9)], "k string, w int")
     out = scale.lookup_join(left, right, ["k"], "left", max_rows=0)
     assert sorted(map(tuple, out.collect()), key=str) == [("a", 2, 9), (None, 1, None)]
+    nulls = spark.range(1_000).select("id", F.lit(None).cast("string").alias("k"))
+    spread_out = scale.lookup_join(nulls, right, ["k"], "left", max_rows=0)
+    assert spread_out.count() == 1_000
+    assert spread_out.columns == ["k", "id", "w"]
 
 
 def test_hot_keys_are_salted(spark):

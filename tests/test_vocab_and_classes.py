@@ -1,4 +1,5 @@
 import math
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,12 @@ def test_two_view_models_learn_and_survive_a_round_trip(spark, tmp_path, kind):
 def test_prediction_needs_a_complete_model(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_model(spark, str(tmp_path / "none"))
+    df = toy(spark)
+    words = vocab.build_vocab(df)
+    save_model(models.fit_two_views(df, words, max_iter=2), words, str(tmp_path / "m"))
+    shutil.rmtree(tmp_path / "m" / "neg")
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, str(tmp_path / "m"))
 
 
 def test_train_and_predict_jobs(spark, tmp_path):
