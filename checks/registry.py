@@ -562,7 +562,7 @@ def g8_beam_titles_no_repeat(spark, folder):
 
 @query
 def g9_batch_inference(spark, folder):
-    return titles.generate(views.articles(spark, folder), titles.first_sentence_model)
+    return titles.generate(views.articles(spark, folder), titles.first_sentence_loader())
 
 
 # -- evaluation ---------------------------------------------------------------------------------------

@@ -227,9 +227,16 @@ def generate(articles: DataFrame, load_model: Callable, mode: str = "greedy", te
     return made.select(or_placeholder(F.col("title")).alias("title"), "id")
 
 
-def first_sentence_model(mode: str) -> Callable:
-    """A model for :func:`generate` that needs no weights: the text up to its first sentence mark."""
-    import re
+def first_sentence_loader() -> Callable:
+    """A loader for :func:`generate` that needs no weights: titles are the texts up to their first sentence mark.
 
-    mark = re.compile(r"[.!?。！？]")
-    return lambda texts: [mark.split(t.strip(), maxsplit=1)[0].strip() for t in texts]
+    The loader is a local function, which travels to the workers by value: they need not have this package.
+    """
+
+    def load(mode: str) -> Callable:
+        import re
+
+        mark = re.compile(r"[.!?。！？]")
+        return lambda texts: [mark.split(t.strip(), maxsplit=1)[0].strip() for t in texts]
+
+    return load

@@ -138,5 +138,5 @@ def test_drawn_paths_equal_a_direct_draw(spark, counts):
 
 def test_generate_loads_the_model_in_the_task(spark):
     df = spark.createDataFrame([("1", "One. Two."), ("2", "。x"), ("3", None)], "id string, maintext string")
-    got = {r.id: r.title for r in titles.generate(df, titles.first_sentence_model).collect()}
+    got = {r.id: r.title for r in titles.generate(df, titles.first_sentence_loader()).collect()}
     assert got == {1: "One", 2: "無", 3: "無"}
