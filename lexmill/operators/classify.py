@@ -38,15 +38,15 @@ def word_weights(counts: DataFrame, alpha: float = 1.0) -> DataFrame:
     return counts.select("cls", "word", "idx", *[F.log(s).alias(f"w{i}") for i, s in enumerate(shares)])
 
 
-def class_priors(reviews: DataFrame) -> DataFrame:
-    """One row (b0, b1): the smoothed log share of each class among the training reviews."""
+def class_priors(reviews: DataFrame) -> tuple[float, float]:
+    """The smoothed log share of each class among the training reviews: two numbers, so they become literals."""
     positive = (class_of(F.col("Category")) == "pos").cast("int")
     counts = reviews.agg(F.sum(positive).alias("n1"), F.count(F.lit(1)).alias("n"))
     share = (F.coalesce(F.col("n1"), F.lit(0)) + 1) / (F.col("n") + 2)
-    return counts.select(F.log(1 - share).alias("b0"), F.log(share).alias("b1"))
+    return tuple(counts.select(F.log(1 - share), F.log(share)).first())
 
 
-def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias: DataFrame) -> DataFrame:
+def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias: tuple[float, float]) -> DataFrame:
     """(Id, view, s0, s1) with s = bias + sum(cnt * weight), for every document and both views.
 
     A document without any vocabulary word scores its bias. It enters as a zero row of the sum, so the
@@ -57,13 +57,10 @@ def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias
     )
     blank = documents.select("Id", F.explode(F.array(*map(F.lit, VIEWS))).alias("view"), F.lit(0.0).alias("w0"), F.lit(0.0).alias("w1"))
     sums = terms.unionByName(blank).groupBy("Id", "view").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1"))
-    # One row, by construction of an ungrouped aggregate.
-    return sums.join(F.broadcast(bias)).select(
-        "Id", "view", (F.col("w0") + F.col("b0")).alias("s0"), (F.col("w1") + F.col("b1")).alias("s1")
-    )
+    return sums.select("Id", "view", *[(F.col(f"w{i}") + bias[i]).alias(f"s{i}") for i in (0, 1)])
 
 
-def text_scores(documents: DataFrame, weights: DataFrame, bias: DataFrame) -> DataFrame:
+def text_scores(documents: DataFrame, weights: DataFrame, bias: tuple[float, float]) -> DataFrame:
     """C2 straight from the texts, without a bag of words in between: the same (Id, view, s0, s1).
 
     The weights of both views are looked up at once, and the words of a document are in one task, so the
@@ -75,9 +72,7 @@ def text_scores(documents: DataFrame, weights: DataFrame, bias: DataFrame) -> Da
     words = documents.select("Id", F.explode(split_words(text_or_token(F.col("text")))).alias("word"))
     hits = lookup_join(words, materialize(wide, "word-weights"), ["word"], "left")
     sums = hits.groupBy("Id").agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in (f"{v}_{w}" for v in VIEWS for w in ("w0", "w1"))])
-    # One row, by construction of an ungrouped aggregate.
-    sums = sums.join(F.broadcast(bias))
-    views = [F.struct(F.lit(v).alias("view"), *[(F.col(f"{v}_w{i}") + F.col(f"b{i}")).alias(f"s{i}") for i in (0, 1)]) for v in VIEWS]
+    views = [F.struct(F.lit(v).alias("view"), *[(F.col(f"{v}_w{i}") + bias[i]).alias(f"s{i}") for i in (0, 1)]) for v in VIEWS]
     return sums.select("Id", F.inline(F.array(*views)))
 
 
