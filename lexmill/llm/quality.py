@@ -162,3 +162,10 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_probability(total))], schema.names)
 
     return docs.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with its columns, that score ``threshold`` or more."""
+    named = docs.withColumnsRenamed({c: f"{c}_" for c in docs.columns if c.rstrip("_") in ("score", "predicted")})
+    good = score(named, model, threshold).where(F.col("predicted") == 1).drop("score", "predicted")
+    return good.toDF(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import bpe, mixing, quality
+from lexmill.llm import ann, bpe, embed_dedup, langid, licenses, mixing, quality, quotes, simhash, substring
 from lexmill.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,47 @@ def held_out(mod: int, rest: int):
     return F.coalesce(crc_mod("doc_id", mod) == rest, F.lit(False)).alias("held_out")
 
 
+@query
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint of every document and the group that it belongs to."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicates of every vector."""
+    return embed_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(crc_mod("doc_id", 3) != 1))
+    return langid.predict(docs, model).select("doc_id", held_out(3, 1), "lang_pred", "score")
+
+
+@query
+def op4_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth."""
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op5_substring(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the passages that stand earlier."""
+    left = substring.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message without quotes, with what it replies to and its place."""
+    return quotes.link_quotes(table(spark, folder, "conversations"))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and their round trip."""
@@ -34,6 +75,15 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence of every document, as a file of its language's folder in its source's folder."""
+    docs = table(spark, folder, "documents")
+    paths = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    found = licenses.scan(docs.where(F.col("doc_id").isNotNull()).select(paths.alias("path"), "text"))
+    return found.select(F.substring_index("path", "/", -1).cast("bigint").alias("doc_id"), "path", "licence", "how", "cosine", "folder")
+
+
 @query
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality score of every text."""
