@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import write_once
+from lexmill.llm.common import gathered, write_once
 from lexmill.llm.vectors import matrix, of_one_width, sample
 from lexmill.runtime import shuffle_partitions
 
@@ -127,7 +127,7 @@ def fit(x: np.ndarray, parts: int, k: int, recall: float = RECALL, seed: int = 4
 
 def _search(k: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), SCHEMA)
+        rows = gathered(batches, SCHEMA)
         if rows.num_rows == 0:
             return
         tile, ids, query = rows["tile"].to_numpy(), rows["id"].to_numpy(), rows["query"].to_numpy()
@@ -200,7 +200,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec
     def number(of: dict[int, int]):
         return F.get(F.array(*[F.lit(of.get(p, 0)) for p in range(len(router.bias))]), F.col("part"))
 
-    chunk, block = F.pmod(F.xxhash64("id"), number(chunks)).cast("bigint"), F.pmod(F.xxhash64(F.lit(1), "id"), number(blocks)).cast("bigint")
+    chunk, block = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), number(chunks))).cast("bigint"), F.pmod(F.xxhash64(F.lit(1), "id"), F.greatest(F.lit(1), number(blocks))).cast("bigint")
     every = lambda of: F.explode(F.when(number(of) > 0, F.sequence(F.lit(0), number(of) - 1)))
     tile = F.col("part").cast("bigint") * (1 << 40) + F.col("chunk") * (1 << 20) + F.col("block")
     rows = base.withColumn("chunk", chunk).withColumn("block", every(blocks)).select(tile.alias("tile"), "id", F.lit(False).alias("query"), "v")

@@ -30,15 +30,24 @@ def crc_mod(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % n
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of ``df`` has."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def attach(docs: DataFrame, extra: DataFrame, key: str = "doc_id") -> DataFrame:
     """Left join of the written table ``extra`` (one row per key, a null key included) to whole documents.
 
-    ``extra`` is measured: within the bounds of ``fits_broadcast`` the documents do not move; beyond them both
-    sides are shuffled by the key.
+    The result has a document's columns in the struct ``doc``, whatever their names, and the columns of ``extra`` but
+    the key. ``extra`` is measured: within the bounds of ``fits_broadcast`` the documents do not move; beyond them
+    both sides are shuffled by the key.
     """
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     right = extra.withColumnRenamed(key, "_key")
     right = F.broadcast(right) if fits_broadcast(extra) else right
-    return docs.join(right, docs[key].eqNullSafe(right["_key"]), "left").drop("_key")
+    return left.join(right, F.col(f"doc.`{key}`").eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def offsets(texts: pa.Array) -> np.ndarray:
@@ -61,6 +70,12 @@ def pieces(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, int
         first = last
 
 
+def gathered(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
+    """All rows of a task; ``schema`` is for a task without any."""
+    rows = list(batches)
+    return pa.Table.from_batches(rows) if rows else schema.empty_table()
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     """A column of strings without nulls (null: empty)."""
     return batch.column(batch.schema.get_field_index(name)).fill_null("").cast(pa.string())

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import write_once
+from lexmill.llm.common import gathered, write_once
 from lexmill.llm.components import components
 from lexmill.llm.hamming import labels
 from lexmill.llm.meeting import COLUMNS, KEYS, first_table, met_rows, signed, sorted_groups
@@ -68,7 +68,7 @@ def _rerank(cosine: float, width: int, masks: list[int]):
     """Exact cosines of the rows of each group: links per visitor or resident (kind 0), and a forest (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), RERANK)
+        rows = gathered(batches, RERANK)
         if rows.num_rows == 0:
             return
         order, group = sorted_groups(rows)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexmill.llm.common import write_once
+from lexmill.llm.common import gathered, write_once
 from lexmill.llm.hamming import close
 from lexmill.llm.tiles import TILE, tiles
 from lexmill.runtime import shuffle_partitions
@@ -51,7 +51,7 @@ def met_rows(rows: DataFrame, count: int, radius: int, masks: list[int], slack:
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), MEETING)
+        table = gathered(batches, MEETING)
         order, group = sorted_groups(table)
         if len(order) == 0:
             return

@@ -77,4 +77,4 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) ->
     taken = copies(docs, text, key, **options).groupBy(key).agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
     full = attach(docs, write_once(taken, "copies"), key)
     times = F.when(F.col("_copies") > 0, F.sequence(F.lit(1), F.col("_copies")))
-    return full.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(times).alias("_nth")).drop("_nth")
+    return full.select("doc", F.explode(times)).select("doc.*")

@@ -87,12 +87,13 @@ def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def _follow(batches: Iterator[pa.RecordBatch], z: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One pass of updates over a shard; yields the state where it is not zero."""
-    z, n = z.copy(), n.copy()
-    seen = False
-    for batch in batches:
-        texts, labels = texts_of(batch), batch.column("label").to_numpy(zero_copy_only=False)
+def _following(z0: np.ndarray, n0: np.ndarray):
+    """One pass of updates over a shard, in the order of its hashes; the state where it is not zero."""
+
+    def run(shard: pa.Table) -> pa.Table:
+        z, n = z0.copy(), n0.copy()
+        shard = shard.sort_by([("place", "ascending"), ("doc_id", "ascending")]).combine_chunks()
+        texts, labels = shard["text"].fill_null("").cast(pa.string()).combine_chunks(), shard["label"].to_numpy()
         for first, last, data, starts in pieces(texts):
             slots, text, value = features(data, starts)
             order = np.argsort(text, kind="stable")
@@ -107,10 +108,10 @@ def _follow(batches: Iterator[pa.RecordBatch], z: np.ndarray, n: np.ndarray) ->
                 grown = n[idx] + g * g
                 z[idx] += g - (np.sqrt(grown) - np.sqrt(n[idx])) / ALPHA * w
                 n[idx] = grown
-                seen = True
-    if seen:
         idx = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(idx.astype(np.int32)), pa.array(z[idx]), pa.array(n[idx])], ["slot", "z", "n"])
+        return pa.table({"slot": idx.astype(np.int32), "z": z[idx], "n": n[idx]})
+
+    return run
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, held_out, max_docs: int) -> DataFrame:
@@ -126,20 +127,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_docs: in
 
     At most ``max_docs`` documents, whole texts, are learned from: a bounded sample by a hash of the id. They are dealt over shards
     of about ``SHARD_DOCS``; in each of ``ROUNDS`` rounds every shard updates from the common state and the states are averaged.
-    The state has 2^18 + 1 slots, the bound of what comes to the driver from a shard. No labelled
+    A shard's state has at most 2^18 + 1 slots, the bound of what it sends to the driver. No labelled
     document gives the zero model, which scores 0.5.
     """
     train = sample(docs, labels, label, F.coalesce(crc_mod("doc_id", mod) == left_out, F.lit(True)), max_docs)
     shards = -(-max_docs // SHARD_DOCS) if train.count() > SHARD_DOCS else 1
-    train = write_once(train.repartition(shards, F.xxhash64(F.lit(1), "doc_id")).sortWithinPartitions(F.xxhash64(F.lit(2), "doc_id"), "doc_id"), "training")
+    place = F.xxhash64(F.lit(2), "doc_id")
+    train = write_once(train.select("doc_id", "text", "label", place.alias("place"), F.pmod(place, F.lit(shards)).alias("shard")), "training")
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     for _ in range(ROUNDS):
-        states = train.select("text", "label").mapInArrow(lambda batches, z=z, n=n: _follow(batches, z, n), "slot int, z double, n double")
-        got = states.groupBy("slot").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).toArrow()
-        slot, k = got["slot"].to_numpy(), got["k"].to_numpy()
-        most = max(k, default=1)  # every shard has the bias; one without a row for a slot kept the common state
-        z[slot] = (got["z"].to_numpy() + (most - k) * z[slot]) / most
-        n[slot] = (got["n"].to_numpy() + (most - k) * n[slot]) / most
+        got = train.groupBy("shard").applyInArrow(_following(z, n), "slot int, z double, n double").toArrow()
+        slot = got["slot"].to_numpy()
+        # A shard that has no row for a slot kept the common state; every shard has the bias.
+        ran = np.bincount(slot, minlength=len(z))
+        most = max(1, ran[-1])
+        z, n = ((np.bincount(slot, got[c].to_numpy(), len(z)) + (most - ran) * old) / most for c, old in (("z", z), ("n", n)))
     w = _weights(z, n)
     return Model(w[:-1].astype(np.float32), float(w[-1]))
 

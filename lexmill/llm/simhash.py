@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import attach, texts_of, write_once
+from lexmill.llm.common import attach, gathered, texts_of, write_once
 from lexmill.llm.components import components
 from lexmill.llm.hamming import close, labels
 from lexmill.llm.meeting import COLUMNS, KEYS, first_table, met_rows, signed, sorted_groups
@@ -65,7 +65,7 @@ def _masks(radius: int, blocks: int) -> list[int]:
 
 def _forest(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), SCHEMA)
+        rows = gathered(batches, SCHEMA)
         t, bucket, node, code, tile = (c.to_numpy() for c in rows.columns)
         order = np.lexsort((node, tile, bucket, t))
         t, bucket, node, code, tile = t[order], bucket[order], node[order], code[order], tile[order]
@@ -150,7 +150,7 @@ def _verified(radius: int, masks: list[int], similarity: float):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), VERIFIED)
+        rows = gathered(batches, VERIFIED)
         order, group = sorted_groups(rows)
         if len(order) == 0:
             return
@@ -214,8 +214,8 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     same = found.groupBy(key).agg(F.min("component_id").alias("_class"), F.count(F.lit(1)).alias("_rows"))
     marks = write_once(same.where(F.col(key).isNull() | (F.col(key) == F.col("_class"))), "kept")
     full = attach(docs, marks.withColumn("_kept", F.lit(True)), key).where(F.col("_kept"))
-    again = (F.col("_rows") > 1) & F.col(key).isNotNull()
-    once = full.where(~again)
-    if not marks.where(again).isEmpty():
-        once = once.union(full.where(again).dropDuplicates([key]))
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+    again = (F.col("_rows") > 1) & F.col(f"doc.`{key}`").isNotNull()
+    once = full.where(~again).select("doc")
+    if not marks.where((F.col("_rows") > 1) & F.col(key).isNotNull()).isEmpty():
+        once = once.union(full.where(again).withColumn("_once", F.col(f"doc.`{key}`")).dropDuplicates(["_once"]).select("doc"))
+    return once.select("doc.*")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import attach, byte_codes, mixed, pieces, segment_hashes, texts_of, write_once
+from lexmill.llm.common import attach, byte_codes, fresh, gathered, mixed, pieces, segment_hashes, texts_of, write_once
 from lexmill.runtime import shuffle_partitions
 
 #: Words of a window, words of an anchor, and windows of a phrase at most.
@@ -190,7 +190,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document: its runs of windows, joined."""
-    rows = pa.Table.from_batches(list(batches), pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]))
+    rows = gathered(batches, pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]))
     doc, start, n = _joined(*(c.to_numpy() for c in rows.columns))
     head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
     ends = pa.array(np.append(head, len(doc)).astype(np.int32))
@@ -228,7 +228,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     judged = write_once(judged, "judged")
     both = parsed.where(F.col("kind") != PHRASES).select("kind", "doc", "start", "n").union(judged)
     opened = _per_document(both.where(F.col("kind") == OPEN).drop("kind"), "open")
-    single = attach(known, opened).where(F.col("starts").isNotNull()).select("doc_id", "text", "starts", "counts")
+    single = attach(known, opened).where(F.col("starts").isNotNull()).select("doc.*", "starts", "counts")
     windows = write_once(single.mapInArrow(_windows, ROWS), "windows")
     again = windows.where(F.col("kind") == PHRASES)
     again = again.withColumn("first", F.min(place).over(Window.partitionBy("hash", "check"))).where(place > F.col("first"))
@@ -262,7 +262,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     three names in ``docs`` are replaced.
     """
     docs = docs.drop("n_words", "n_removed", "kept")
-    full = attach(docs, repeats(docs).withColumnsRenamed({"starts": "_starts", "counts": "_counts"}))
+    full = attach(docs, repeats(docs)).select("doc.*", *[F.col(c).alias(fresh(docs, c)) for c in ("starts", "counts")])
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     width = len(docs.columns)
 

@@ -23,6 +23,6 @@ def tiles(rows: DataFrame, size: int = TILE) -> DataFrame:
         return rows.withColumns({"own": F.lit(0).cast("bigint"), "tile": F.lit(0).cast("bigint")})
     cut = lookup_join(rows, hot, ["t", "bucket"], "left")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("bigint")
-    other = F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    cut = cut.withColumn("own", F.coalesce(own, F.lit(0))).select("*", other.cast("bigint").alias("other"))
+    other = F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1)).cast("array<bigint>"))
+    cut = cut.withColumn("own", F.coalesce(own, F.lit(0))).select("*", other.alias("other"))
     return cut.select(*rows.columns, "own", (F.least("own", "other") * (1 << 31) + F.greatest("own", "other")).alias("tile"))

@@ -41,7 +41,7 @@ def test_settling_in_small_pieces_changes_nothing(make_docs, monkeypatch):
     rows = _texts(3)
     monkeypatch.setattr(substring, "HELD", 50)
     held = [b for b in substring._parse(iter(make_docs(rows).select("doc_id", "text").where("doc_id is not null").toArrow().to_batches(5)))]
-    assert len(held) > 20
+    assert len(held) > 10
     assert _result(substring.remove_repeats(make_docs(rows))) == brute.repeated(dict(rows))
 
 
