@@ -117,14 +117,13 @@ CTES["scores"] = f"SELECT Id, view, s0, s1 FROM all_scores WHERE epoch = {ALPHAS
 CTES["fused"] = "SELECT Id, avg(s0) AS s0, avg(s1) AS s1 FROM scores GROUP BY Id"
 CTES["pred"] = "SELECT Id, CASE WHEN s1 > s0 THEN 1 ELSE 0 END AS pred FROM fused"
 CTES["losses"] = """
-    SELECT s.Id, -ln(CASE WHEN Category = 0 THEN 1 / (1 + exp(s1 - s0)) ELSE 1 / (1 + exp(s0 - s1)) END) AS loss,
-           CASE WHEN Category = 0 THEN s1 - s0 ELSE s0 - s1 END AS gap
-    FROM scores s JOIN reviews r ON r.Id = s.Id WHERE view = 'pos' AND split = 'train'"""
+    SELECT s.Id, view, CASE WHEN Category = 0 THEN s1 - s0 ELSE s0 - s1 END AS gap
+    FROM scores s JOIN reviews r ON r.Id = s.Id WHERE split = 'train'"""
 CTES["batch_losses"] = f"""
-    SELECT epoch, batch, avg(loss) AS loss, count(*) AS n FROM (
-        SELECT epoch, greatest(gap, 0) + ln(1 + exp(-abs(gap))) AS loss,
-               ((row_number() OVER (PARTITION BY epoch ORDER BY {_u(1, "epoch || ':' || Id")}, Id) - 1) // 64) AS batch
-        FROM losses, (SELECT unnest([1, 2, 3]) AS epoch)) GROUP BY epoch, batch"""
+    SELECT epoch, view, batch, avg(loss) AS loss, count(*) AS n FROM (
+        SELECT epoch, view, greatest(gap, 0) + ln(1 + exp(-abs(gap))) AS loss,
+               ((row_number() OVER (PARTITION BY epoch, view ORDER BY {_u(1, "epoch || ':' || view || ':' || Id")}, Id) - 1) // 64) AS batch
+        FROM losses, (SELECT unnest([1, 2, 3]) AS epoch)) GROUP BY epoch, view, batch"""
 
 # -- encoded features ---------------------------------------------------------------------------------
 
@@ -157,7 +156,7 @@ def _labels(y: str, length: int) -> str:
 
 
 CTES["text_ids"] = _encoded("clean_news", "news_vocab", "maintext", 512)
-CTES["text_ids_64"] = _encoded("clean_news", "news_vocab", "maintext", 64)
+CTES["text_ids_128"] = _encoded("clean_news", "news_vocab", "maintext", 128)
 CTES["title_ids"] = _encoded("clean_news", "news_vocab", "title", 64)
 CTES["forced"] = f"SELECT id, ids, {_started('ids', 64)} AS y FROM title_ids"
 
@@ -301,18 +300,30 @@ for _name, _pairs in (("lcs_lead", "lead"), ("lcs_dialog", "dialog"), ("lcs_gree
     CTES.update(_lcs(_name, _pairs))
 
 
-def _nll(ids: str) -> str:
+def _nll(steps: str) -> str:
     return f"""
     SELECT id, count(*) AS n_tokens, avg(-ln((coalesce(b.cnt, 0) + 1) / (coalesce(c.prev_cnt, 0) + {V})::DOUBLE)) AS nll
-    FROM (SELECT id, unnest(y[1:63]) AS prev, unnest(l) AS next FROM (SELECT id, y, {_labels('y', 64)} AS l FROM (SELECT id, {_started('ids', 64)} AS y FROM {ids}))) s
+    FROM {steps} s
     LEFT JOIN bigrams b ON b.prev = s.prev AND b.next = s.next
     LEFT JOIN (SELECT DISTINCT prev, prev_cnt FROM bigrams) c ON c.prev = s.prev WHERE s.next <> -100 GROUP BY id"""
 
 
 CTES["model_ids"] = _encoded("articles", "title_vocab", "title", 64)
-CTES["bench_ids"] = _encoded("(SELECT item_id AS id, text AS title FROM benchmark)", "title_vocab", "title", 64)
-CTES["nll"] = _nll("model_ids")
-CTES["bench_nll"] = _nll("bench_ids")
+CTES["bench_words"] = f"SELECT item_id AS id, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM (SELECT item_id, {_words('text')} AS w FROM benchmark)"
+CTES["bench_steps"] = """
+    SELECT id, lag(token, 1, 0) OVER (PARTITION BY id ORDER BY pos) AS prev, token AS next FROM (
+        SELECT w.id, pos, coalesce(v.id, 2) AS token FROM bench_words w LEFT JOIN title_vocab v ON v.word = w.word
+        UNION ALL SELECT id, max(pos) + 1, 1 FROM bench_words GROUP BY id)"""
+CTES["model_steps"] = f"SELECT id, unnest(y[1:63]) AS prev, unnest(l) AS next FROM (SELECT id, y, {_labels('y', 64)} AS l FROM (SELECT id, {_started('ids', 64)} AS y FROM model_ids))"
+CTES["nll"] = _nll("model_steps")
+CTES["bench_nll"] = _nll("bench_steps")
+CTES["sampled"] = f"""
+    SELECT id, a.f AS rouge_1, b.f AS rouge_2, l.f AS rouge_l, (row_number() OVER (ORDER BY id::BIGINT) - 1) // 4 AS batch
+    FROM rouge_1 a JOIN rouge_2 b USING (id) JOIN lcs_lead_f l USING (id) WHERE {_u(7, 'id')} < 0.1"""
+CTES["mean_rouge_row"] = "SELECT rouge_1, rouge_2, rouge_l FROM sampled"
+CTES["mean_rouge_batch"] = "SELECT avg(rouge_1) AS rouge_1, avg(rouge_2) AS rouge_2, avg(rouge_l) AS rouge_l FROM sampled GROUP BY batch"
+CTES["mean_loss_row"] = "SELECT nll AS v_loss FROM nll"
+CTES["mean_loss_batch"] = "SELECT avg(nll) AS v_loss FROM (SELECT nll, (row_number() OVER (ORDER BY id::BIGINT) - 1) // 4 AS batch FROM nll) GROUP BY batch"
 CTES["drawn_loss"] = f"""
     SELECT id, avg(-(coalesce(b.cnt, 0) + 1) / (coalesce(c.prev_cnt, 0) + {V})::DOUBLE) AS drawn_loss
     FROM (SELECT m.id, unnest(list_slice({_started('m.ids', 64)}, 1, len(w.path))) AS prev, unnest(w.path) AS next
@@ -330,20 +341,27 @@ CTES["checkpoints"] = """
 # -- the queries --------------------------------------------------------------------------------------
 
 FINAL: dict[str, str] = {
-    "s1_csv_round_trip": "SELECT Id, Category, text FROM reviews WHERE split <> 'test'",
+    "s1_csv_round_trip": "SELECT Id, Category, text FROM reviews",
     "s2_jsonl_round_trip": "SELECT id, maintext, title FROM articles",
     "s3_answer_csv": "SELECT Id, pred AS Category FROM pred JOIN reviews USING (Id) WHERE split = 'test'",
     "s4_title_jsonl": "SELECT pred AS title, id::BIGINT AS id FROM lead",
-    "s5_bag_store": "SELECT Id, cls, idx, cnt, split FROM bag JOIN reviews USING (Id) WHERE split <> 'train'",
-    "s6_feature_store": f"SELECT id::BIGINT AS id, list_sum({_mask('ids')})::BIGINT AS n_tokens, {_ints('ids')} AS input_ids FROM text_ids_64",
-    "s8_metric_log": """SELECT epoch, batch, metric, round(value, 6) AS value FROM (
-        SELECT epoch, batch, 'loss' AS metric, loss AS value FROM batch_losses UNION ALL SELECT epoch, batch, 'n', n FROM batch_losses) WHERE epoch < 3""",
+    "s5_bag_store": "SELECT Id, cls, idx, cnt, split FROM bag JOIN reviews USING (Id)",
+    "s6_feature_store": f"""SELECT mode, max_len, id::BIGINT AS id, list_sum({_mask('t.ids')})::BIGINT AS n_tokens, {_ints('t.ids')} AS input_ids,
+            CASE WHEN mode = 'train' THEN {_ints(_labels('y', 64))} END AS labels
+        FROM (SELECT 'train' AS mode, 512 AS max_len, * FROM text_ids UNION ALL SELECT 'train', 128, * FROM text_ids_128 UNION ALL SELECT 'eval', 512, * FROM text_ids) t
+        JOIN forced f USING (id)""",
+    "s7_model_round_trip": "SELECT Id, true AS same FROM reviews",
+    "c1_two_view_logistic": "SELECT split, count(*) AS n, count(*) AS n_finite, count(*) AS n_of_larger, true AS learned FROM reviews GROUP BY split",
+    "c1_two_view_perceptron": "SELECT split, count(*) AS n, count(*) AS n_finite, count(*) AS n_of_larger, true AS learned FROM reviews GROUP BY split",
+    "c8_model_predict": "SELECT Id, true AS same FROM reviews WHERE split = 'test'",
+    "s8_metric_log": """SELECT epoch, view, batch, metric, round(value, 6) AS value FROM (
+        SELECT epoch, view, batch, 'loss' AS metric, loss AS value FROM batch_losses UNION ALL SELECT epoch, view, batch, 'n', n FROM batch_losses) WHERE epoch < 3""",
     "p1_union_splits": "SELECT Id, Category, split FROM reviews",
     "p2_class_partition": "SELECT Id, CASE WHEN Category = 0 THEN 'neg' ELSE 'pos' END AS cls FROM reviews",
     "p3_scoring_sample": f"SELECT id, title FROM articles WHERE {_u(7, 'id')} < 0.1",
     "p4_eval_columns": f"SELECT {_ints('ids')} AS input_ids, {_ints(_mask('ids'))} AS attention_mask, id::BIGINT AS id FROM text_ids",
     "p5_null_text": f"""SELECT doc_id, len(w)::INT AS n_words, len(list_filter(w, lambda x: x = 'nan'))::INT AS n_nan
-        FROM (SELECT doc_id, {_words("coalesce(CASE WHEN n_chars >= 200 THEN text END, 'nan')")} AS w FROM documents)""",
+        FROM (SELECT doc_id, {_words(f"coalesce(CASE WHEN {_u(8, 'doc_id')} >= 0.2 THEN text END, 'nan')")} AS w FROM documents)""",
     "p6_numeric_id": "SELECT id::BIGINT AS id, title FROM articles",
     "p7_pair_views": """SELECT r.Id, r.Category AS label, coalesce(pos, '') AS pos, coalesce(neg, '') AS neg FROM reviews r LEFT JOIN (
         SELECT Id, string_agg(idx || ':' || cnt, ' ' ORDER BY idx) FILTER (cls = 'pos') AS pos, string_agg(idx || ':' || cnt, ' ' ORDER BY idx) FILTER (cls = 'neg') AS neg
@@ -372,12 +390,12 @@ FINAL: dict[str, str] = {
     "c4_argmax_label": "SELECT Id, pred FROM pred",
     "c5_accuracy": f"""SELECT split, count(*) AS n, count(*) FILTER (pred = Category) AS n_right, {_r('avg((pred = Category)::INT)')} AS accuracy
         FROM pred JOIN reviews USING (Id) WHERE Category IS NOT NULL GROUP BY split""",
-    "c6_running_loss": f"SELECT epoch, batch, {_r('avg(loss) OVER (PARTITION BY epoch ORDER BY batch ROWS UNBOUNDED PRECEDING)')} AS running_loss FROM batch_losses",
+    "c6_running_loss": f"SELECT epoch, view, batch, {_r('avg(loss) OVER (PARTITION BY epoch, view ORDER BY batch ROWS UNBOUNDED PRECEDING)')} AS running_loss FROM batch_losses",
     "c7_best_epochs": f"""SELECT epoch, {_r('accuracy')} AS accuracy, {_r('best')} AS best_before FROM (
         SELECT epoch, accuracy, coalesce(max(accuracy) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS best FROM (
             SELECT epoch, avg((CASE WHEN s1 > s0 THEN 1 ELSE 0 END = Category)::INT) AS accuracy
             FROM (SELECT epoch, Id, avg(s0) AS s0, avg(s1) AS s1 FROM all_scores GROUP BY epoch, Id) JOIN reviews USING (Id)
-            WHERE split <> 'test' GROUP BY epoch)) WHERE accuracy > best""",
+            WHERE split = 'dev' GROUP BY epoch)) WHERE accuracy > best""",
     "c8_linear_predict": "SELECT Id, pred FROM pred JOIN reviews USING (Id) WHERE split = 'test'",
     "c9_misclassified": "SELECT Id, text, Category, pred FROM pred JOIN reviews USING (Id) WHERE Category IS NOT NULL AND pred <> Category",
     "e0_corpus_vocab": "SELECT word, id AS token, freq FROM news_vocab UNION ALL SELECT word, id, freq FROM specials",
@@ -413,9 +431,10 @@ FINAL: dict[str, str] = {
     "o1l_rouge_l_dialog": f"SELECT id, lcs, n_pred, n_ref, {_r('f')} AS f FROM lcs_dialog_f",
     "o2_placeholder": r"""SELECT doc_id, CASE WHEN length(t) > 0 THEN t ELSE '無' END AS title FROM (
         SELECT doc_id, trim(regexp_replace(text, '(?s)^[^.]*[.]', '')) AS t FROM documents)""",
-    "o3_batch_means": f"""SELECT 'batch' AS weighting, {_r('avg(f)')} AS rouge_1 FROM (
-            SELECT avg(f) AS f FROM (SELECT f, (row_number() OVER (ORDER BY id::BIGINT) - 1) // 4 AS batch FROM rouge_1 WHERE {_u(7, 'id')} < 0.1) GROUP BY batch)
-        UNION ALL SELECT 'row', {_r('avg(f)')} FROM rouge_1 WHERE {_u(7, 'id')} < 0.1""",
+    "o3_batch_means": " UNION ALL ".join(
+        f"""SELECT '{w}' AS weighting, {", ".join(f"(SELECT {_r(f'avg({c})')} FROM {t}_{w}) AS {c}" for c, t in (("v_loss", "mean_loss"), ("rouge_1", "mean_rouge"), ("rouge_2", "mean_rouge"), ("rouge_l", "mean_rouge")))}"""
+        for w in ("batch", "row")
+    ),
     "o4_token_nll": f"SELECT id, n_tokens, {_r('nll')} AS nll, {_r('nll')} AS log_perplexity FROM nll",
     "o4_benchmark_nll": f"SELECT id, n_tokens, {_r('nll')} AS nll, {_r('nll')} AS log_perplexity FROM bench_nll",
     "o5_batch_rewards": f"SELECT batch, {_r('greedy_f')} AS greedy_f, {_r('drawn_f')} AS drawn_f, {_r('greedy_f - drawn_f')} AS reward FROM rewards",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill import views
 from lexmill.functions import cleaning
+from lexmill.functions.hashing import unit_hash
 from lexmill.operators import candidates as cand
 from lexmill.operators import classify, encode, evaluate, models, prep, titles, vocab
 from lexmill.plans import classification, titling
@@ -16,8 +17,8 @@ from lexmill.runtime import materialize, scratch_path
 from lexmill.sources import files, stores
 from lexmill.sources.models import load_model, save_model
 
-TOP_N = 2_000
-STEPS = 8
+TOP_N = 32_000
+STEPS = 64
 TITLE_MODES = ("greedy", "beam", "sample", "topk", "topp", "synthesis")
 ALPHAS = [4096.0, 256.0, 64.0, 16.0, 1.0, 0.25]
 
@@ -88,7 +89,7 @@ def _dialog(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def s1_csv_round_trip(spark, folder):
     path = scratch_path(spark, "reviews-csv")
-    files.write_reviews(views.reviews(spark, folder).where(F.col("split") != "test"), path)
+    files.write_reviews(views.reviews(spark, folder), path)
     return files.read_reviews(spark, path)
 
 
@@ -125,8 +126,8 @@ def s5_bag_store(spark, folder):
         return vocab.bag_of_words(reviews, words).join(reviews.select("Id", "split"), "Id")
 
     for _ in range(2):
-        bag = stores.bag_store(spark, root, words, build)
-    return bag.where(F.col("split") != "train").select("Id", "cls", F.col("idx"), "cnt", F.col("split").cast("string").alias("split"))
+        bag = stores.bag_store(spark, root, words, reviews, build)
+    return bag.select("Id", "cls", "idx", "cnt", "split")
 
 
 @query
@@ -134,12 +135,20 @@ def s6_feature_store(spark, folder):
     root = scratch_path(spark, "feature-store")
     news = views.news_like(spark, folder)
     words = _news_vocab(_clean_news(spark, folder))
-    for mode, length in (("train", 64), ("train", 128), ("eval", 64)):
-        part = stores.feature_store(
-            spark, root, mode, "words", length, lambda m=mode, n=length: encode.build_features(news, words, m, n, 16)
-        )
+    made_from = f"{stores.rows_key(news, 'id', 'maintext', 'title')}/{stores.vocab_key(words)}/{encode.TITLE_LENGTH}"
     ones = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, m: a + m)
-    return part.select("id", ones.alias("n_tokens"), _text("input_ids"))
+    parts = []
+    for mode, length in (("train", encode.TEXT_LENGTH), ("train", 128), ("eval", encode.TEXT_LENGTH)):
+
+        def build(mode=mode, length=length):
+            return encode.build_features(news, words, mode, length, encode.TITLE_LENGTH, keep_id=True)
+
+        for _ in range(2):
+            part = stores.feature_store(spark, root, mode, "words 1.0", length, build, made_from)
+        labels = _text("labels") if mode == "train" else F.lit(None).cast("string").alias("labels")
+        key = [F.lit(mode).alias("mode"), F.lit(length).alias("max_len"), F.col("id").cast("bigint").alias("id")]
+        parts.append(part.select(*key, ones.alias("n_tokens"), _text("input_ids"), labels))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query
@@ -147,18 +156,20 @@ def s7_model_round_trip(spark, folder):
     root = scratch_path(spark, "model")
     reviews = views.reviews(spark, folder)
     words = _vocab(reviews)
-    save_model(models.fit_two_views(_train(reviews), words, max_iter=5), words, root)
+    fitted = models.fit_two_views(_train(reviews), words)
+    save_model(fitted, words, root)
     model, _ = load_model(spark, root)
-    return models.model_scores(model, reviews.select("Id", "text")).select("Id", "pred")
+    before, after = (models.model_scores(m, reviews.select("Id", "text")).select("Id", F.col("scores").alias(n), F.col("pred").alias(f"p{n}")) for m, n in ((fitted, "a"), (model, "b")))
+    return before.join(after, "Id").select("Id", ((F.col("a") == F.col("b")) & (F.col("pa") == F.col("pb"))).alias("same"))
 
 
 @query
 def s8_metric_log(spark, folder):
     root = scratch_path(spark, "metric-log")
     losses = _batch_losses(spark, folder, epochs=2)
-    stores.append_metrics(losses.where(F.col("epoch") == 1), root, ["epoch", "batch"], ["loss", "n"])
-    stores.append_metrics(losses.where(F.col("epoch") == 2), root, ["epoch", "batch"], ["loss", "n"])
-    return stores.read_metrics(spark, root).select("epoch", "batch", "metric", _r("value"))
+    for epoch in (1, 2):
+        stores.append_metrics(losses.where(F.col("epoch") == epoch), root, ["epoch", "view", "batch"], ["loss", "n"])
+    return stores.read_metrics(spark, root).select("epoch", "view", "batch", "metric", _r("value"))
 
 
 # -- splits, samples, projections, alignment ----------------------------------------------------------
@@ -192,8 +203,8 @@ def p4_eval_columns(spark, folder):
 
 @query
 def p5_null_text(spark, folder):
-    documents = views.documents(spark, folder, "text", "n_chars")
-    text = F.when(F.col("n_chars") >= 200, F.col("text"))
+    documents = views.documents(spark, folder, "text")
+    text = F.when(unit_hash(8, "doc_id") >= 0.2, F.col("text"))
     words = cleaning.split_words(cleaning.text_or_token(text))
     nans = F.size(F.filter(words, lambda w: w == "nan"))
     return documents.select("doc_id", F.size(words).alias("n_words"), nans.alias("n_nan"))
@@ -310,18 +321,26 @@ def a5_vocab_sizes(spark, folder):
 # -- classification -----------------------------------------------------------------------------------
 
 
+def _fit_per_split(model: models.TwoViewModel, reviews: DataFrame) -> DataFrame:
+    """What must hold for any fit: scores are finite, the label is that of the larger one, most training labels are right."""
+    a, b = F.get("scores", 0), F.get("scores", 1)
+    finite = ~F.isnan(a) & ~F.isnan(b) & (F.abs(a) < float("inf")) & (F.abs(b) < float("inf"))
+    right = F.avg((F.col("pred") == F.col("Category")).cast("int")) > 0.5
+    return models.model_scores(model, reviews).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(finite).alias("n_finite"), F.count_if(F.col("pred") == (b > a).cast("int")).alias("n_of_larger"), F.coalesce(right, F.lit(True)).alias("learned")
+    )
+
+
 @query
 def c1_two_view_logistic(spark, folder):
     reviews = views.reviews(spark, folder)
-    model = models.fit_two_views(_train(reviews), _vocab(reviews), "logistic")
-    return models.model_scores(model, reviews).select("Id", "split", "Category", "pred")
+    return _fit_per_split(models.fit_two_views(_train(reviews), _vocab(reviews), "logistic"), reviews)
 
 
 @query
 def c1_two_view_perceptron(spark, folder):
     reviews = views.reviews(spark, folder)
-    model = models.fit_two_views(_train(reviews), _vocab(reviews), "perceptron", hidden=(8,), max_iter=10)
-    return models.model_scores(model, reviews).select("Id", "split", "Category", "pred")
+    return _fit_per_split(models.fit_two_views(_train(reviews), _vocab(reviews), "perceptron"), reviews)
 
 
 @query
@@ -366,18 +385,18 @@ def c5_accuracy(spark, folder):
 
 
 def _batch_losses(spark: SparkSession, folder: str, epochs: int) -> DataFrame:
-    """(epoch, batch, loss, n): the training texts shuffled anew in each epoch, in batches of 64."""
+    """(epoch, view, batch, loss, n): the training texts shuffled anew in each epoch and view, in batches of 64."""
     reviews, scores = _scored(spark, folder)
-    losses = materialize(classify.cross_entropy(scores, _train(reviews)).where(F.col("view") == "pos"), "losses")
-    repeated = losses.select(F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "Id", "loss")
-    batches = prep.assign_batches(repeated, 64, "Id", ("epoch",), shuffle_seed=1)
-    return batches.groupBy("epoch", "batch").agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).alias("n"))
+    losses = materialize(classify.cross_entropy(scores, _train(reviews)), "losses")
+    repeated = losses.select(F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "view", "Id", "loss")
+    batches = prep.assign_batches(repeated, 64, "Id", ("epoch", "view"), shuffle_seed=1)
+    return batches.groupBy("epoch", "view", "batch").agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).alias("n"))
 
 
 @query
 def c6_running_loss(spark, folder):
-    running = classify.running_mean_loss(_batch_losses(spark, folder, epochs=3))
-    return running.select("epoch", "batch", _r("running_loss"))
+    running = classify.running_mean_loss(_batch_losses(spark, folder, epochs=3), ("epoch", "view"))
+    return running.select("epoch", "view", "batch", _r("running_loss"))
 
 
 @query
@@ -386,15 +405,10 @@ def c7_best_epochs(spark, folder):
     freqs = materialize(vocab.class_word_freq(_train(reviews)), "class-word-freq")
     words = materialize(vocab.vocab_index(vocab.frequent_words(freqs)), "vocab")
     counts = classify.class_counts(freqs, words)
-    labelled = materialize(reviews.where(F.col("split") != "test").drop("text"), "labelled")
-    bag = materialize(vocab.bag_of_words(reviews.where(F.col("split") != "test"), words), "bag")
-    priors = classify.class_priors(_train(reviews))
-    epochs = None
-    for number, alpha in enumerate(ALPHAS, 1):
-        scores = classify.linear_scores(bag, labelled, classify.word_weights(counts, alpha), priors)
-        pred = classify.predict_labels(classify.fuse(scores))
-        row = classify.accuracy(pred, labelled, by=()).select(F.lit(number).alias("epoch"), "accuracy")
-        epochs = row if epochs is None else epochs.unionByName(row)
+    dev = reviews.where(F.col("split") == "dev")
+    scores = classify.scores_by_alpha(vocab.bag_of_words(dev, words), dev, counts, dict(enumerate(ALPHAS, 1)), classify.class_priors(_train(reviews)))
+    pred = classify.predict_labels(classify.fuse(scores, keys=("epoch", "Id")))
+    epochs = classify.accuracy(pred, dev, by=("epoch",)).select("epoch", "accuracy")
     return classify.improving_epochs(epochs).select("epoch", _r("accuracy"), _r("best_before"))
 
 
@@ -409,9 +423,11 @@ def c8_linear_predict(spark, folder):
 def c8_model_predict(spark, folder):
     root = scratch_path(spark, "model")
     reviews = views.reviews(spark, folder)
-    dev = reviews.where(F.col("split") == "dev")
-    classification.train(spark, _train(reviews).drop("split"), dev.drop("split"), root, max_iter=5)
-    return classification.predict(spark, root, reviews.where(F.col("split") == "test"))
+    dev, test = (reviews.where(F.col("split") == s) for s in ("dev", "test"))
+    classification.train(spark, _train(reviews).drop("split"), dev.drop("split"), root)
+    stored = classification.predict(spark, root, test)
+    fitted = models.model_scores(load_model(spark, root)[0], test.select("Id", "text")).select("Id", F.col("pred").alias("fitted"))
+    return stored.join(fitted, "Id").select("Id", (F.col("pred") == F.col("fitted")).alias("same"))
 
 
 @query
@@ -610,11 +626,19 @@ def o2_placeholder(spark, folder):
 
 @query
 def o3_batch_means(spark, folder):
-    sample = prep.hash_sample(_lead_pairs(spark, folder), "id")
-    scored = evaluate.rouge_n(sample, 1).select(F.col("id").cast("bigint").alias("id"), F.col("f").alias("rouge_1"))
-    batch = evaluate.batch_mean(scored, ["rouge_1"]).select(F.lit("batch").alias("weighting"), _r("rouge_1"))
-    row = evaluate.batch_mean(scored, ["rouge_1"], weighting="row").select(F.lit("row").alias("weighting"), _r("rouge_1"))
-    return batch.unionByName(row)
+    articles, model = _title_model(spark, folder)
+    nll = evaluate.token_nll(_title_features(articles, model), model.bigrams, TOP_N + 3)
+    losses = materialize(nll.select(F.col("id").cast("bigint").alias("id"), F.col("nll").alias("v_loss")), "losses")
+    sample = materialize(prep.hash_sample(_lead_pairs(spark, folder), "id"), "sample")
+    scores = [evaluate.rouge_n(sample, 1), evaluate.rouge_n(sample, 2), evaluate.rouge_l(sample)]
+    names = ["rouge_1", "rouge_2", "rouge_l"]
+    one, two, three = (s.select("id", F.col("f").alias(n)) for s, n in zip(scores, names, strict=True))
+    scored = materialize(one.join(two, "id").join(three, "id").withColumn("id", F.col("id").cast("bigint")), "scored")
+    rows = [
+        evaluate.batch_mean(losses, ["v_loss"], weighting=w).crossJoin(F.broadcast(evaluate.batch_mean(scored, names, weighting=w))).select(F.lit(w).alias("weighting"), *[_r(c) for c in ("v_loss", *names)])
+        for w in ("batch", "row")
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 def _title_features(articles: DataFrame, model: titling.TitleModel) -> DataFrame:
@@ -635,8 +659,8 @@ def o4_token_nll(spark, folder):
 @query
 def o4_benchmark_nll(spark, folder):
     _, model = _title_model(spark, folder)
-    items = views.table(spark, folder, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("title"))
-    return _nll_columns(evaluate.token_nll(_title_features(items, model), model.bigrams, TOP_N + 3))
+    items = views.table(spark, folder, "benchmark").select(F.col("item_id").alias("id"), "text")
+    return _nll_columns(evaluate.text_nll(items, "text", model.vocab, model.bigrams, TOP_N + 3))
 
 
 def _greedy_and_drawn(articles: DataFrame, model: titling.TitleModel) -> DataFrame:

@@ -60,18 +60,33 @@ def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias
     return sums.select("Id", "view", *[(F.col(f"w{i}") + bias[i]).alias(f"s{i}") for i in (0, 1)])
 
 
+def scores_by_alpha(bag: DataFrame, documents: DataFrame, counts: DataFrame, alphas: dict[int, float], bias: tuple[float, float]) -> DataFrame:
+    """C2 for several smoothings at once: (epoch, Id, view, s0, s1), with one look-up and one regrouping of the bag."""
+    weights = [F.struct(F.lit(e).alias("epoch"), *[F.log((F.col(f"f{i}") + a) / (F.col(f"t{i}") + a * F.col("v"))).alias(f"w{i}") for i in (0, 1)]) for e, a in alphas.items()]
+    wide = materialize(counts.select("cls", "idx", F.array(*weights).alias("weights")), "weights")
+    terms = lookup_join(bag, wide, ["cls", "idx"]).select("Id", F.col("cls").alias("view"), "cnt", F.inline("weights"))
+    terms = terms.select("epoch", "Id", "view", *[(F.col("cnt") * F.col(f"w{i}")).alias(f"w{i}") for i in (0, 1)])
+    blank = documents.select("Id", F.explode(F.array(*map(F.lit, VIEWS))).alias("view"), F.lit(0.0).alias("w0"), F.lit(0.0).alias("w1"))
+    blank = blank.select(F.explode(F.array(*map(F.lit, alphas))).alias("epoch"), "*")
+    sums = terms.unionByName(blank).groupBy("epoch", "Id", "view").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1"))
+    return sums.select("epoch", "Id", "view", *[(F.col(f"w{i}") + bias[i]).alias(f"s{i}") for i in (0, 1)])
+
+
 def text_scores(documents: DataFrame, weights: DataFrame, bias: tuple[float, float]) -> DataFrame:
     """C2 straight from the texts, without a bag of words in between: the same (Id, view, s0, s1).
 
     The weights of both views are looked up at once, and the words of a document are in one task, so the
-    sums are all but finished before the one shuffle by document. An unknown word adds nothing.
+    sums are all but finished before the one shuffle by document. An unknown word adds nothing. Ids must differ:
+    an id that has two first words raises.
     """
     wide = weights.groupBy("word").agg(
         *[F.coalesce(F.sum(F.when(F.col("cls") == v, F.col(w))), F.lit(0.0)).alias(f"{v}_{w}") for v in VIEWS for w in ("w0", "w1")]
     )
-    words = documents.select("Id", F.explode(split_words(text_or_token(F.col("text")))).alias("word"))
+    words = documents.select("Id", F.posexplode(split_words(text_or_token(F.col("text")))).alias("pos", "word"))
     hits = lookup_join(words, materialize(wide, "word-weights"), ["word"], "left")
-    sums = hits.groupBy("Id").agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in (f"{v}_{w}" for v in VIEWS for w in ("w0", "w1"))])
+    starts = F.sum((F.col("pos") == 0).cast("int")).alias("_starts")
+    sums = hits.groupBy("Id").agg(starts, *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in (f"{v}_{w}" for v in VIEWS for w in ("w0", "w1"))])
+    sums = sums.withColumn("Id", F.when(F.col("_starts") == 1, F.col("Id")).otherwise(F.raise_error(F.lit("two documents have one Id")).cast("bigint")))
     views = [F.struct(F.lit(v).alias("view"), *[(F.col(f"{v}_w{i}") + bias[i]).alias(f"s{i}") for i in (0, 1)]) for v in VIEWS]
     return sums.select("Id", F.inline(F.array(*views)))
 

@@ -12,6 +12,7 @@ from lexmill.functions.cleaning import clean_articles, split_words
 from lexmill.operators.prep import mode_columns, numeric_id
 from lexmill.operators.scale import lookup_join
 from lexmill.operators.vocab import END, PAD, UNKNOWN
+from lexmill.runtime import ROW, materialize, numbered
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,8 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, columns: dict[str, tuple[s
     """Ids of the words of several text columns, ``{out: (text column, length)}``.
 
     Only the words that fit the fixed length leave a row: ``length - 1``, since the end id needs a place.
-    All columns share one look-up and one regrouping by ``key``.
+    All columns share one look-up and one regrouping. Rows are told apart by a number that is written with
+    their words, so rows of one ``key`` stay rows.
     """
     fields = F.array(
         *[
@@ -52,8 +54,8 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, columns: dict[str, tuple[s
         ]
     )
     # The array is a column of its own, so that its rows do not each carry a copy of it.
-    listed = df.select(key, F.inline(fields))
-    words = listed.select(key, "field", F.posexplode("words").alias("pos", "word"))
+    listed = materialize(numbered(df.select(key, fields.alias("fields"))), "cut-words").select(ROW, key, F.inline("fields"))
+    words = listed.select(ROW, key, "field", F.posexplode("words").alias("pos", "word"))
     known = lookup_join(words, vocab, ["word"], "left")
     known = known.withColumn("token", F.coalesce("token", F.lit(UNKNOWN)))
 
@@ -61,7 +63,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, columns: dict[str, tuple[s
         placed = F.array_sort(F.collect_list(F.when(F.col("field") == out, F.struct("pos", "token"))))
         return close_and_pad(placed.getField("token"), length).alias(out)
 
-    return known.groupBy(key).agg(*[ids(out, length) for out, (_, length) in columns.items()])
+    return known.groupBy(ROW, key).agg(*[ids(out, length) for out, (_, length) in columns.items()]).drop(ROW)
 
 
 def decoder_start(ids: Column, length: int, special: SpecialIds = SPECIAL) -> Column:
@@ -89,12 +91,13 @@ def teacher_forcing(df: DataFrame, title_ids: str, length: int, special: Special
 
 
 def decode(df: DataFrame, vocab: DataFrame, key: str, ids: str, out: str = "title") -> DataFrame:
-    """Ids back to text without the reserved ids; nothing left gives an empty string."""
+    """Ids back to text without the reserved ids; nothing left gives an empty string. Rows of one key stay rows."""
     real = F.filter(F.col(ids), lambda i: i > UNKNOWN)
-    placed = df.select(key, F.posexplode_outer(real).alias("pos", "token"))
+    listed = materialize(numbered(df.select(key, real.alias("ids"))), "real-ids")
+    placed = listed.select(ROW, key, F.posexplode_outer("ids").alias("pos", "token"))
     words = lookup_join(placed, vocab, ["token"], "left")
     ordered = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "word"))))
-    return words.groupBy(key).agg(F.array_join(ordered.getField("word"), " ").alias(out))
+    return words.groupBy(ROW, key).agg(F.array_join(ordered.getField("word"), " ").alias(out)).drop(ROW)
 
 
 def build_features(

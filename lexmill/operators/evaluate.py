@@ -12,7 +12,8 @@ from lexmill.functions.cleaning import split_words
 from lexmill.operators.encode import SPECIAL
 from lexmill.operators.prep import assign_batches
 from lexmill.operators.scale import lookup_join
-from lexmill.runtime import materialize
+from lexmill.operators.vocab import END, UNKNOWN
+from lexmill.runtime import ROW, materialize, numbered
 
 # Fixed value: stands in for an empty title.
 PLACEHOLDER = "無"
@@ -44,17 +45,18 @@ def f1(hits: Column, n_pred: Column, n_ref: Column) -> Column:
 def rouge_n(pairs: DataFrame, n: int, unit: str = "word") -> DataFrame:
     """O1: (id, overlap, n_pred, n_ref, f) of clipped n-gram overlap for pairs (id, pred, ref).
 
-    The pairs are moved by id before their n-grams are spread out, and both groupings then work in place.
+    The pairs are numbered and written, so pairs of one id stay pairs; they are moved by number before their
+    n-grams are spread out, and both groupings then work in place.
     """
-    units = pairs.select("id", _units("pred", unit).alias("p"), _units("ref", unit).alias("r")).repartition("id")
+    units = materialize(numbered(pairs.select("id", _units("pred", unit).alias("p"), _units("ref", unit).alias("r"))), "units").repartition(ROW)
 
     def tagged(side: str, in_pred: int) -> Column:
         return F.transform(_grams(F.col(side), n), lambda g: F.struct(g.alias("gram"), F.lit(in_pred).alias("a"), F.lit(1 - in_pred).alias("b")))
 
-    grams = units.select("id", F.explode_outer(F.concat(tagged("p", 1), tagged("r", 0))).alias("g"))
-    counts = grams.groupBy("id", "g.gram").agg(F.coalesce(F.sum("g.a"), F.lit(0)).alias("a"), F.coalesce(F.sum("g.b"), F.lit(0)).alias("b"))
-    totals = counts.groupBy("id").agg(F.sum(F.least("a", "b")).alias("overlap"), F.sum("a").alias("n_pred"), F.sum("b").alias("n_ref"))
-    return totals.withColumn("f", f1(F.col("overlap"), F.col("n_pred"), F.col("n_ref")))
+    grams = units.select(ROW, "id", F.explode_outer(F.concat(tagged("p", 1), tagged("r", 0))).alias("g"))
+    counts = grams.groupBy(ROW, "id", "g.gram").agg(F.coalesce(F.sum("g.a"), F.lit(0)).alias("a"), F.coalesce(F.sum("g.b"), F.lit(0)).alias("b"))
+    totals = counts.groupBy(ROW, "id").agg(F.sum(F.least("a", "b")).alias("overlap"), F.sum("a").alias("n_pred"), F.sum("b").alias("n_ref"))
+    return totals.drop(ROW).withColumn("f", f1(F.col("overlap"), F.col("n_pred"), F.col("n_ref")))
 
 
 def _lcs_udf(unit: str):
@@ -114,6 +116,19 @@ def token_nll(features: DataFrame, bigrams: DataFrame, vocab_size: int, key: str
     """(key, n_tokens, nll, perplexity): the mean -log p of the labels that count, each after its decoder input."""
     steps = features.select(key, F.explode(F.arrays_zip(F.col("decoder_input_ids").alias("prev"), F.col("labels").alias("next"))).alias("s"))
     steps = steps.select(key, "s.prev", "s.next").where(F.col("next") != SPECIAL.ignored_label)
+    return _mean_nll(steps, bigrams, vocab_size, key)
+
+
+def text_nll(texts: DataFrame, text: str, vocab: DataFrame, bigrams: DataFrame, vocab_size: int, key: str = "id") -> DataFrame:
+    """O4 over whole texts of any length: every word after the one before it, between the start and the end."""
+    words = texts.select(key, F.posexplode(split_words(F.coalesce(F.col(text), F.lit("")))).alias("pos", "word"))
+    known = lookup_join(words, vocab, ["word"], "left").select(key, "pos", F.coalesce("token", F.lit(UNKNOWN)).alias("token"))
+    listed = known.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).getField("token").alias("ids"))
+    pairs = F.arrays_zip(F.concat(F.array(F.lit(SPECIAL.pad)), "ids").alias("prev"), F.concat("ids", F.array(F.lit(END))).alias("next"))
+    return _mean_nll(listed.select(key, F.inline(pairs)), bigrams, vocab_size, key)
+
+
+def _mean_nll(steps: DataFrame, bigrams: DataFrame, vocab_size: int, key: str) -> DataFrame:
     scored = _step_probability(steps, bigrams, vocab_size)
     nll = scored.groupBy(key).agg(F.count(F.lit(1)).alias("n_tokens"), F.avg(-F.log("p")).alias("nll"))
     return nll.withColumn("perplexity", F.exp("nll"))

@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The column of :func:`numbered`.
+ROW = "_row_number"
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -86,6 +89,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a number for each row. Write it before rows move, so that a row keeps its number."""
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def measure(df: DataFrame) -> Size:
     """The size of ``df``: counted by a job, once per DataFrame object."""
     if df not in _SIZES:

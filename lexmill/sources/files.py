@@ -11,14 +11,14 @@ ARTICLE_SCHEMA = "id string, maintext string, title string"
 
 
 def _csv(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
-    return spark.read.csv(path, schema=schema, header=True, multiLine=multi_line, quote='"', escape='"')
+    return spark.read.csv(path, schema=schema, header=True, multiLine=multi_line, quote='"', escape='"', mode="FAILFAST")
 
 
 def read_reviews(spark: SparkSession, path: str, labelled: bool = True, multi_line: bool = True) -> DataFrame:
     """(Id, Category, text). Quoted fields may hold commas, doubled quotes and newlines.
 
     The label is found by its header name, so a file may order its columns as it likes; an unlabelled
-    table has a null ``Category``. A multi-line file is read by one task: deliver a large corpus as
+    table has a null ``Category``. A cell that is not of its type raises. A multi-line file is read by one task: deliver a large corpus as
     many files, or without newlines in its fields and with ``multi_line=False``.
     """
     names = _csv(spark, path, None, multi_line).columns
@@ -34,8 +34,8 @@ def write_reviews(df: DataFrame, path: str) -> None:
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """(id, maintext, title) from JSON Lines; the title is null where a record has none."""
-    return spark.read.schema(ARTICLE_SCHEMA).json(path)
+    """(id, maintext, title) from JSON Lines; the title is null where a record has none. A broken line raises."""
+    return spark.read.schema(ARTICLE_SCHEMA).json(path, mode="FAILFAST")
 
 
 def write_articles(df: DataFrame, path: str) -> None:
@@ -48,7 +48,7 @@ def write_answers(df: DataFrame, path: str, label: str = "pred") -> None:
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, schema="Id bigint, Category int", header=True)
+    return spark.read.csv(path, schema="Id bigint, Category int", header=True, mode="FAILFAST")
 
 
 def write_titles(df: DataFrame, path: str) -> None:
@@ -57,4 +57,4 @@ def write_titles(df: DataFrame, path: str) -> None:
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("title string, id bigint").json(path)
+    return spark.read.schema("title string, id bigint").json(path, mode="FAILFAST")

@@ -3,67 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def _stored(spark: SparkSession, path: str) -> bool:
+    """True if a job has finished writing ``path``: a folder that a lost job left behind does not count."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def rows_key(df: DataFrame, *columns: str | Column) -> str:
+    """A key that changes with the values of any row, whatever the order of the rows."""
+    h = F.xxhash64(*columns)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 20)).alias("s")).first()
+    return f"{row.n}-{(row.x or 0) & 0xFFFFFFFFFFFFFFFF:016x}-{(row.s or 0) & 0xFFFFFFFFFFFFFFFF:x}"
 
 
 def vocab_key(vocab: DataFrame) -> str:
     """A key that changes with any word, class or position of a vocabulary, whatever the row order."""
-    row = vocab.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("cls", "word", "idx")).alias("h")).first()
-    return f"{row.n}-{(row.h or 0) & 0xFFFFFFFFFFFFFFFF:016x}"
+    return rows_key(vocab, *[c for c in ("cls", "word", "idx", "token") if c in vocab.columns])
 
 
-def bag_store(spark: SparkSession, root: str, vocab: DataFrame, build: Callable[[], DataFrame], rebuild: bool = False) -> DataFrame:
-    """The bag of words of all splits, built once per vocabulary and read back after that.
+def bag_store(spark: SparkSession, root: str, vocab: DataFrame, reviews: DataFrame, build: Callable[[], DataFrame], rebuild: bool = False) -> DataFrame:
+    """The bag of words of all splits, built once per vocabulary and documents and read back after that.
 
-    ``build()`` returns a bag with a ``split`` column, which partitions the table. A changed vocabulary
-    has another key, so stale counts are never read.
+    ``build()`` returns a bag of the ``reviews`` (Id, text, split) with a ``split`` column, which partitions the table. Another
+    vocabulary, text, id or split gives another key, so stale counts are never read.
     """
-    path = f"{root}/bag/vocab={vocab_key(vocab)}"
-    stored = None if rebuild else _read(spark, path)
-    if stored is None:
-        build().write.mode("overwrite").partitionBy("split").parquet(path)
-        stored = _read(spark, path)
-    return stored
+    path = f"{root}/bag/vocab={vocab_key(vocab)}/reviews={rows_key(reviews, 'Id', 'text', 'split')}"
+    if rebuild or not _stored(spark, path):
+        bag = build()
+        bag.write.mode("overwrite").partitionBy("split").parquet(path)
+    return spark.read.option("basePath", path).parquet(path).withColumn("split", F.col("split").cast("string"))
 
 
-def write_features(features: DataFrame, root: str, mode: str, tokenizer: str, max_len: int) -> None:
-    """Store encoded features under (mode, tokenizer, max_len), replacing only that partition."""
-    keyed = features.withColumns({"mode": F.lit(mode), "tokenizer": F.lit(tokenizer), "max_len": F.lit(max_len)})
-    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("mode", "tokenizer", "max_len").parquet(f"{root}/features")
+def features_path(root: str, mode: str, tokenizer: str, max_len: int, made_from: str = "") -> str:
+    """The folder of one key; names are quoted, so a tokenizer may be called anything."""
+    return f"{root}/features/{quote(mode, safe='')}/{quote(tokenizer, safe='')}/{max_len}/{quote(made_from, safe='') or 'any'}"
 
 
-def read_features(spark: SparkSession, root: str, mode: str, tokenizer: str, max_len: int) -> DataFrame | None:
-    """The stored features of the key, or None; only the key's folder is scanned."""
-    stored = _read(spark, f"{root}/features")
-    if stored is None:
-        return None
-    key = (F.col("mode") == mode) & (F.col("tokenizer") == tokenizer) & (F.col("max_len") == max_len)
-    hits = stored.where(key).drop("mode", "tokenizer", "max_len")
-    return None if hits.isEmpty() else hits
+def write_features(features: DataFrame, root: str, mode: str, tokenizer: str, max_len: int, made_from: str = "") -> None:
+    """Store encoded features under (mode, tokenizer, max_len, made_from), replacing only that key."""
+    features.write.mode("overwrite").parquet(features_path(root, mode, tokenizer, max_len, made_from))
+
+
+def read_features(spark: SparkSession, root: str, mode: str, tokenizer: str, max_len: int, made_from: str = "") -> DataFrame | None:
+    """The stored features of the key, or None; only the key's folder is read."""
+    path = features_path(root, mode, tokenizer, max_len, made_from)
+    return spark.read.parquet(path) if _stored(spark, path) else None
 
 
 def feature_store(
-    spark: SparkSession, root: str, mode: str, tokenizer: str, max_len: int, build: Callable[[], DataFrame]
+    spark: SparkSession, root: str, mode: str, tokenizer: str, max_len: int, build: Callable[[], DataFrame], made_from: str = ""
 ) -> DataFrame:
-    """Read the features of a key, building and storing them first where there are none."""
-    stored = read_features(spark, root, mode, tokenizer, max_len)
+    """Read the features of a key, building and storing them first where there are none.
+
+    ``made_from`` tells what else the features depend on: the keys of the articles and of the vocabulary
+    (:func:`rows_key`, :func:`vocab_key`) and the length of the titles.
+    """
+    stored = read_features(spark, root, mode, tokenizer, max_len, made_from)
     if stored is None:
-        write_features(build(), root, mode, tokenizer, max_len)
-        stored = read_features(spark, root, mode, tokenizer, max_len)
-        if stored is None:
-            raise ValueError(f"no features for {mode}/{tokenizer}/{max_len}: the input is empty")
+        write_features(build(), root, mode, tokenizer, max_len, made_from)
+        stored = read_features(spark, root, mode, tokenizer, max_len, made_from)
     return stored
 
 

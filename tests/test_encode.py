@@ -75,3 +75,13 @@ def test_mapped_features(spark):
 
     out = encode.map_features(spark.range(100).repartition(3), double, "id bigint, twice bigint")
     assert sum(r.twice for r in out.collect()) == 9900
+
+
+def test_rows_of_one_key_stay_rows(spark):
+    from lexmill.operators.encode import decode, encode
+
+    words = spark.createDataFrame([("a", 3, 2), ("b", 4, 2)], "word string, token int, freq bigint")
+    twice = spark.createDataFrame([(1, "a a"), (1, "b b")], "id bigint, text string")
+    encoded = encode(twice, words, "id", {"ids": ("text", 4)})
+    assert sorted((r.id, r.ids) for r in encoded.collect()) == [(1, [3, 3, 1, 0]), (1, [4, 4, 1, 0])]
+    assert sorted((r.id, r.title) for r in decode(encoded, words, "id", "ids").collect()) == [(1, "a a"), (1, "b b")]

@@ -107,3 +107,8 @@ def test_best_checkpoints(spark):
     rows = evaluate.best_checkpoints(df).collect()
     assert [r.step for r in rows] == [2, 5, 4]
     assert rows[0].name == "step=00002-v_loss=1.00-rouge_1=0.10-rouge_2=0.20-rouge_l=0.30"
+
+
+def test_pairs_of_one_id_stay_pairs(spark):
+    pairs = spark.createDataFrame([(1, "a b", "a b"), (1, "c", "d")], "id bigint, pred string, ref string")
+    assert sorted((r.id, r.overlap, r.n_pred) for r in evaluate.rouge_n(pairs, 1).collect()) == [(1, 0, 1), (1, 2, 2)]

@@ -1,3 +1,6 @@
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from lexmill.operators import vocab
@@ -52,13 +55,16 @@ def test_bag_store_is_built_once_per_vocabulary(spark, tmp_path):
         return spark.createDataFrame([(1, "neg", 0, 2, "train"), (2, "pos", 1, 1, "test")], "Id bigint, cls string, idx bigint, cnt bigint, split string")
 
     words = spark.createDataFrame([("neg", "a", 0, 11), ("pos", "b", 1, 12)], "cls string, word string, idx bigint, freq bigint")
+    reviews = spark.createDataFrame([(1, "a a", "train"), (2, "b", "test")], "Id bigint, text string, split string")
     for _ in range(2):
-        bag = stores.bag_store(spark, str(tmp_path), words.repartition(3), build)
+        bag = stores.bag_store(spark, str(tmp_path), words.repartition(3), reviews, build)
     assert len(calls) == 1 and bag.where("split = 'test'").count() == 1
     changed = words.withColumn("word", F.concat("word", F.lit("x")))
-    stores.bag_store(spark, str(tmp_path), changed, build)
-    stores.bag_store(spark, str(tmp_path), words, build, rebuild=True)
+    stores.bag_store(spark, str(tmp_path), changed, reviews, build)
+    stores.bag_store(spark, str(tmp_path), words, reviews, build, rebuild=True)
     assert len(calls) == 3
+    stores.bag_store(spark, str(tmp_path), words, reviews.withColumn("text", F.concat("text", F.lit(" a"))), build)
+    assert len(calls) == 4
     assert stores.vocab_key(words) == stores.vocab_key(words.orderBy(F.desc("word"))) != stores.vocab_key(changed)
 
 
@@ -69,10 +75,28 @@ def test_feature_store_replaces_only_its_key(spark, tmp_path):
     stores.write_features(spark.range(5), root, "train", "w", 8)
     stores.write_features(spark.range(2), root, "train", "w", 4)
     assert stores.read_features(spark, root, "train", "w", 4).count() == 2
-    eight = stores.read_features(spark, root, "train", "w", 8)
-    assert eight.count() == 5
-    assert "PartitionFilters: [isnotnull(mode" in eight._jdf.queryExecution().executedPlan().toString()
+    assert stores.read_features(spark, root, "train", "w", 8).count() == 5
     assert stores.read_features(spark, root, "eval", "w", 4) is None
+    assert stores.read_features(spark, root, "train", "w", 4, "other articles") is None
+
+
+def test_a_store_that_was_not_finished_does_not_count(spark, tmp_path):
+    stores.write_features(spark.range(3), str(tmp_path), "train", "1.0/x", 4)
+    path = stores.features_path(str(tmp_path), "train", "1.0/x", 4)
+    assert stores.read_features(spark, str(tmp_path), "train", "1.0/x", 4).count() == 3
+    (Path(path) / "_SUCCESS").unlink()
+    assert stores.read_features(spark, str(tmp_path), "train", "1.0/x", 4) is None
+
+
+@pytest.mark.parametrize(("name", "text", "read"), [
+    ("a.csv", "Id,Category,text\n1,0,x\nx2,oops,bad\n", files.read_reviews),
+    ("a.jsonl", '{"id": "1", "maintext": "x"}\n{broken\n', files.read_articles),
+    ("b.csv", "Id,Category\n1,0\nx,y\n", files.read_answers),
+])
+def test_broken_input_raises(spark, tmp_path, name, text, read):
+    (tmp_path / name).write_text(text)
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        read(spark, str(tmp_path / name)).collect()
 
 
 def test_metric_log_appends_long_rows(spark, tmp_path):
