@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lexmill.llm import licenses
+
 SQL: dict[str, str] = {}
 
 SQL["op10_mixing"] = r"""
@@ -31,3 +33,125 @@ WITH RECURSIVE sizes AS (
 )
 SELECT doc_id, size, source_size, target, ((total >> 24) - ((total - units) >> 24)) * size AS taken FROM upto
 """
+
+SQL["op5_substring"] = r"""
+WITH words AS (
+  SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+), windows AS (
+  SELECT doc_id, p, string_agg(word, ' ') OVER ahead AS run, count(*) OVER ahead AS n
+  FROM words WINDOW ahead AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS k FROM windows WHERE n = 20) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM later
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(w.n, 0)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id) w USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
+LEFT JOIN kept USING (doc_id)
+"""
+
+SQL["op6_quotes"] = r"""
+WITH RECURSIVE messages AS (
+  SELECT conv_id, coalesce('=' || conv_id::VARCHAR, 'null') AS conv, turn, role, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS text
+  FROM conversations
+), lines AS (
+  SELECT conv, turn, role, text, pos, regexp_replace(raw, '^[ \t]*((?:>[ \t]*)+)', '') AS line,
+    length(regexp_replace(regexp_extract(raw, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level
+  FROM (SELECT *, unnest(l) AS raw, generate_subscripts(l, 1) AS pos
+    FROM (SELECT DISTINCT conv, turn, role, text, string_split(text, chr(10)) AS l FROM messages))
+), runs AS (
+  SELECT *, sum((level IS DISTINCT FROM before)::INT) OVER (PARTITION BY conv, turn, role, text ORDER BY pos) AS run
+  FROM (SELECT *, lag(level) OVER (PARTITION BY conv, turn, role, text ORDER BY pos) AS before FROM lines)
+), passages AS (
+  SELECT conv, turn, role, text, level, trim(regexp_replace(lower(string_agg(line, ' ' ORDER BY pos)), '\s+', ' ', 'g')) AS passage
+  FROM runs GROUP BY conv, turn, role, text, run, level HAVING level > 0 AND passage <> ''
+), own AS (
+  SELECT m.*, CASE WHEN coalesce(l.quoted, false) THEN trim(coalesce(l.plain, '')) ELSE m.text END AS content
+  FROM messages m LEFT JOIN (
+    SELECT conv, turn, role, text, bool_or(level > 0) AS quoted, string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0) AS plain
+    FROM lines GROUP BY ALL) l
+  ON m.conv = l.conv AND m.turn IS NOT DISTINCT FROM l.turn AND m.role IS NOT DISTINCT FROM l.role AND m.text = l.text
+), originals AS (
+  SELECT conv, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS passage, min(turn) AS original
+  FROM (SELECT conv, turn, unnest([content] || regexp_split_to_array(content, '\n[ \t]*\n') || string_split(content, chr(10))) AS part FROM own WHERE turn IS NOT NULL)
+  GROUP BY 1, 2
+), found AS (
+  SELECT p.*, CASE WHEN original < turn THEN original END AS origin
+  FROM passages p LEFT JOIN originals USING (conv, passage) WHERE turn IS NOT NULL
+), replies AS (
+  SELECT conv, turn, role, text, count(*) AS n_quotes, count(origin) AS n_linked,
+    arg_min(origin, (level, -origin)) FILTER (origin IS NOT NULL) AS reply_to
+  FROM found GROUP BY ALL
+), parents AS (
+  SELECT conv, turn, max(reply_to) AS reply_to FROM replies WHERE reply_to IS NOT NULL GROUP BY conv, turn
+), chain(conv, turn, thread, depth) AS (
+  SELECT conv, turn, reply_to, 1::BIGINT FROM parents
+  UNION ALL
+  SELECT c.conv, c.turn, p.reply_to, depth + 1 FROM chain c JOIN parents p ON p.conv = c.conv AND p.turn = c.thread
+), roots AS (
+  SELECT conv, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM chain GROUP BY conv, turn
+), placed AS (
+  SELECT o.conv_id, o.conv, o.turn, o.role, o.content, coalesce(r.n_quotes, 0) AS n_quotes, coalesce(r.n_linked, 0) AS n_linked,
+    r.reply_to, coalesce(t.thread, o.turn) AS thread, coalesce(t.depth, 0) AS depth
+  FROM own o
+  LEFT JOIN replies r ON o.conv = r.conv AND o.turn = r.turn AND o.role IS NOT DISTINCT FROM r.role AND o.text = r.text
+  LEFT JOIN roots t ON o.conv = t.conv AND o.turn = t.turn
+)
+SELECT conv_id, turn, role, content, n_quotes, n_linked, reply_to, thread, depth,
+  row_number() OVER (PARTITION BY conv ORDER BY thread NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, content) - 1 AS position
+FROM placed
+"""
+
+
+def _licences() -> str:
+    vectors, idf, other = licenses._weights()
+    idfs = ", ".join(f"('{t}', {x!r}::DOUBLE)" for t, x in sorted(idf.items()))
+    held = ", ".join(f"('{t}', '{n}', {x!r}::DOUBLE)" for n, v in sorted(vectors.items()) for t, x in sorted(v.items()))
+    least, term = licenses.COSINE, licenses.TERM
+    return rf"""
+WITH files AS (
+  SELECT doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, text FROM documents WHERE doc_id IS NOT NULL
+), idfs(term, idf) AS (VALUES {idfs}), held(term, licence, weight) AS (VALUES {held}),
+units AS (
+  SELECT path, unit, min(pos) AS pos FROM (
+    SELECT path, unnest(l) AS unit, generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '\r\n?|\n') AS l FROM files)
+    UNION ALL
+    SELECT path, unnest(l) AS unit, 1000000000 + generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '(?:\r\n?|\n)[ \t]*(?:\r\n?|\n)') AS l FROM files)
+  ) GROUP BY path, unit
+), terms AS (
+  SELECT path, pos, term, count(*) AS tf FROM (SELECT path, pos, unnest(regexp_extract_all(lower(unit), '{term}')) AS term FROM units) GROUP BY ALL
+), weighed AS (
+  SELECT path, pos, term, tf, tf * coalesce(idf, {other!r}::DOUBLE) AS x FROM terms LEFT JOIN idfs USING (term)
+), norms AS (
+  SELECT path, pos, sqrt(sum(x * x)) AS norm, sum(tf) AS n FROM weighed GROUP BY path, pos
+), close AS (
+  SELECT path, pos, licence, n, round(dot / norm, 6) AS cosine
+  FROM (SELECT path, pos, licence, sum(x * weight) AS dot FROM weighed JOIN held USING (term) GROUP BY ALL) JOIN norms USING (path, pos)
+  WHERE round(dot / norm, 6) >= {least!r}
+), unit AS (
+  SELECT path, pos, any_value(n) AS n, arg_min(licence, (-cosine, licence)) AS licence, max(cosine) AS cosine FROM close GROUP BY path, pos
+), own AS (
+  SELECT u.path, arg_min(licence, (-cosine, pos)) AS licence, max(cosine) AS cosine, round(least(1.0::DOUBLE, sum(n)::DOUBLE / any_value(s.size)), 6) AS share
+  FROM unit u JOIN (SELECT path, len(regexp_extract_all(lower(text), '{term}')) AS size FROM files) s USING (path) GROUP BY u.path
+), direct AS (
+  SELECT path, licence, CASE WHEN share >= {licenses.MOSTLY!r} OR regexp_matches(path, '{licenses.FILE_NAMES}') THEN 'file' ELSE 'header' END AS how, cosine FROM own
+), folders AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS folder, arg_min(licence, (-cosine, path)) AS licence FROM direct WHERE how = 'file' GROUP BY 1
+), above AS (
+  SELECT path, n, array_to_string(string_split(path, '/')[1:n], '/') AS folder
+  FROM (SELECT path, unnest(range(0, len(string_split(path, '/')))) AS n FROM files WHERE path NOT IN (SELECT path FROM own))
+), heirs AS (
+  SELECT path, arg_max(licence, n) AS licence, arg_max(folder, n) AS folder FROM above JOIN folders USING (folder) GROUP BY path
+)
+SELECT f.doc_id, f.path, coalesce(d.licence, h.licence) AS licence,
+  CASE WHEN d.path IS NOT NULL THEN d.how WHEN h.path IS NOT NULL THEN 'inherited' END AS how, d.cosine, h.folder
+FROM files f LEFT JOIN direct d USING (path) LEFT JOIN heirs h USING (path)
+"""
+
+
+SQL["op8_licenses"] = _licences()
