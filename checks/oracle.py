@@ -294,8 +294,12 @@ CTES["rouge_1"] = _rouge("lead", 1)
 CTES["rouge_2"] = _rouge("lead", 2)
 CTES["rouge_2_chars"] = _rouge("lead", 2, "char")
 CTES["rouge_1_dialog"] = _rouge("dialog", 1)
-CTES["greedy_pairs"] = "SELECT t.id, t.title AS pred, a.title AS ref FROM titles_greedy t JOIN articles a ON a.id = t.id"
-CTES["drawn_pairs"] = "SELECT t.id, t.title AS pred, a.title AS ref FROM titles_sample t JOIN articles a ON a.id = t.id"
+CTES["label_titles"] = f"""
+    SELECT m.id, coalesce(string_agg(word, ' ' ORDER BY pos), '') AS title FROM model_ids m LEFT JOIN (
+        SELECT id, word, pos FROM (SELECT id, unnest(y[1:63]) AS tok, generate_subscripts(y[1:63], 1) AS pos FROM (SELECT id, {_started('ids', 64)} AS y FROM model_ids)) s
+        JOIN (SELECT word, id AS tok FROM title_vocab) v USING (tok)) d ON d.id = m.id GROUP BY m.id"""
+CTES["greedy_pairs"] = "SELECT t.id, t.title AS pred, a.title AS ref FROM titles_greedy t JOIN label_titles a ON a.id = t.id"
+CTES["drawn_pairs"] = "SELECT t.id, t.title AS pred, a.title AS ref FROM titles_sample t JOIN label_titles a ON a.id = t.id"
 for _name, _pairs in (("lcs_lead", "lead"), ("lcs_dialog", "dialog"), ("lcs_greedy", "greedy_pairs"), ("lcs_drawn", "drawn_pairs")):
     CTES.update(_lcs(_name, _pairs))
 

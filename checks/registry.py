@@ -663,10 +663,17 @@ def o4_benchmark_nll(spark, folder):
     return _nll_columns(evaluate.text_nll(items, "text", model.vocab, model.bigrams, TOP_N + 3))
 
 
+def _decoded_labels(articles: DataFrame, model: titling.TitleModel) -> DataFrame:
+    """(id, title): what a title is scored against, its decoder input as text, 63 ids at most."""
+    forced = _title_features(articles, model).select("id", "decoder_input_ids")
+    return encode.decode(forced, model.vocab, "id", "decoder_input_ids")
+
+
 def _greedy_and_drawn(articles: DataFrame, model: titling.TitleModel) -> DataFrame:
     """(id, greedy, drawn): the ROUGE-L F of both titles of each article."""
-    made = [materialize(titling.titles(model, articles, mode, max_len=STEPS), "made-titles") for mode in ("greedy", "sample")]
-    scored = evaluate.title_rewards(*made, articles)
+    docs = titling.seeds(model, articles)
+    made = [materialize(titling.seeded_titles(model, docs, mode, max_len=STEPS), "made-titles") for mode in ("greedy", "sample")]
+    scored = evaluate.title_rewards(*made, _decoded_labels(articles, model))
     return materialize(scored.withColumn("id", F.col("id").cast("bigint")), "rewards")
 
 
@@ -681,9 +688,7 @@ def o5_batch_rewards(spark, folder):
 def o5_mixed_objective(spark, folder):
     """The documents in three parts, as the epochs of a run: the objective, with its reward on in epoch 1."""
     articles, model = _title_model(spark, folder)
-    cleaned = cleaning.clean_articles(articles.select("id", "maintext"))
-    seeds = titles.seed_articles(cleaned, "maintext", model.vocab)
-    paths = titles.drawn_paths(seeds, cand.candidates(model.bigrams, "prev", "next", "sample"), STEPS, 11)
+    paths = titles.drawn_paths(titling.seeds(model, articles), cand.candidates(model.bigrams, "prev", "next", "sample"), STEPS, 11)
     features = materialize(_title_features(articles, model), "features")
     nll = evaluate.token_nll(features, model.bigrams, TOP_N + 3).select("id", "nll")
     drawn = evaluate.drawn_loss(features, paths, model.bigrams, TOP_N + 3)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.cleaning import split_words, text_or_token
 from lexmill.operators.prep import class_of
 from lexmill.operators.scale import lookup_join, with_running_totals
-from lexmill.runtime import materialize
+from lexmill.runtime import materialize, sized
 
 VIEWS = ("neg", "pos")
 
@@ -35,7 +35,7 @@ def word_weights(counts: DataFrame, alpha: float = 1.0) -> DataFrame:
     the view ``cls`` in negative and in positive texts.
     """
     shares = [(F.col(f"f{i}") + alpha) / (F.col(f"t{i}") + alpha * F.col("v")) for i in (0, 1)]
-    return counts.select("cls", "word", "idx", *[F.log(s).alias(f"w{i}") for i, s in enumerate(shares)])
+    return sized(counts.select("cls", "word", "idx", *[F.log(s).alias(f"w{i}") for i, s in enumerate(shares)]), counts)
 
 
 def class_priors(reviews: DataFrame) -> tuple[float, float]:
@@ -52,7 +52,7 @@ def linear_scores(bag: DataFrame, documents: DataFrame, weights: DataFrame, bias
     A document without any vocabulary word scores its bias. It enters as a zero row of the sum, so the
     one shuffle by document does the work of a left join too.
     """
-    terms = lookup_join(bag, weights.select("cls", "idx", "w0", "w1"), ["cls", "idx"]).select(
+    terms = lookup_join(bag, sized(weights.select("cls", "idx", "w0", "w1"), weights), ["cls", "idx"]).select(
         "Id", F.col("cls").alias("view"), (F.col("cnt") * F.col("w0")).alias("w0"), (F.col("cnt") * F.col("w1")).alias("w1")
     )
     blank = documents.select("Id", F.explode(F.array(*map(F.lit, VIEWS))).alias("view"), F.lit(0.0).alias("w0"), F.lit(0.0).alias("w1"))

@@ -13,7 +13,7 @@ from lexmill.operators.encode import SPECIAL
 from lexmill.operators.prep import assign_batches
 from lexmill.operators.scale import lookup_join
 from lexmill.operators.vocab import END, UNKNOWN
-from lexmill.runtime import ROW, materialize, numbered
+from lexmill.runtime import ROW, materialize, numbered, sized
 
 # Fixed value: stands in for an empty title.
 PLACEHOLDER = "無"
@@ -108,7 +108,7 @@ def batch_mean(rows: DataFrame, values: Sequence[str], size: int = BATCH_SIZE, i
 def _step_probability(steps: DataFrame, bigrams: DataFrame, vocab_size: int) -> DataFrame:
     """Add ``p``, the add-one smoothed share of ``next`` among the words seen after ``prev``."""
     context = materialize(bigrams.groupBy("prev").agg(F.max("prev_cnt").alias("prev_cnt")), "contexts")
-    seen = lookup_join(lookup_join(steps, bigrams.select("prev", "next", "cnt"), ["prev", "next"], "left"), context, ["prev"], "left")
+    seen = lookup_join(lookup_join(steps, sized(bigrams.select("prev", "next", "cnt"), bigrams), ["prev", "next"], "left"), context, ["prev"], "left")
     return seen.withColumn("p", (F.coalesce("cnt", F.lit(0)) + 1) / (F.coalesce("prev_cnt", F.lit(0)) + vocab_size))
 
 

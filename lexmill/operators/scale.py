@@ -75,7 +75,7 @@ def _join_slices(slices: DataFrame, starts: DataFrame, within: Sequence[str]) ->
     # Without groups there is one row per slice, which bounds the broadcast by the number of partitions.
     if not within:
         return slices.join(F.broadcast(starts), "_slice")
-    return lookup_join(slices, starts, ["_slice", *within])
+    return lookup_join(slices, materialize(starts, "starts"), ["_slice", *within])
 
 
 def _before(within: Sequence[str]):

@@ -27,10 +27,13 @@ STEPS_PER_WRITE = 4
 
 
 def seed_articles(articles: DataFrame, text: str, vocab: DataFrame) -> DataFrame:
-    """(id, seed): the id of each article's first word, or the start id if the vocabulary lacks it."""
+    """(id, seed): the id of each article's first word, or the start id if the vocabulary lacks it.
+
+    Written, since searches read it more than once and the text above it may be costly to clean.
+    """
     word = F.get(split_words(F.coalesce(F.col(text), F.lit(""))), 0)
     seeded = lookup_join(articles.select("id", word.alias("word")), vocab, ["word"], "left")
-    return seeded.select("id", F.coalesce("token", F.lit(PAD)).alias("seed"))
+    return materialize(seeded.select("id", F.coalesce("token", F.lit(PAD)).alias("seed")), "seeded")
 
 
 def _titles_of_seeds(docs: DataFrame, paths: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -60,9 +63,8 @@ def greedy_paths(bigrams: DataFrame, max_len: int) -> DataFrame:
     return runs.select("seed", F.slice(F.concat(F.array("seed"), F.col("path")), 1, max_len).alias("path"))
 
 
-def greedy_titles(articles: DataFrame, bigrams: DataFrame, vocab: DataFrame, text: str = "maintext", max_len: int = TITLE_LENGTH) -> DataFrame:
-    """(id, title) by the best next word at every step."""
-    docs = seed_articles(articles, text, vocab)
+def greedy_titles(docs: DataFrame, bigrams: DataFrame, vocab: DataFrame, max_len: int = TITLE_LENGTH) -> DataFrame:
+    """(id, title) of seeded articles by the best next word at every step."""
     # A seed with no successor is a title of one word.
     paths = docs.select("seed").distinct().join(greedy_paths(bigrams, max_len), "seed", "left")
     paths = paths.select("seed", F.coalesce("path", F.array("seed")).alias("path"))
@@ -84,7 +86,8 @@ def beam_paths(
     order = Window.partitionBy("prev").orderBy(F.desc("step"), F.col("next"))
     ranked = bigrams.select("prev", "next", score.alias("step")).withColumn("_r", F.row_number().over(order))
     nexts = ranked.where(F.col("_r") <= beams + max_len).groupBy(F.col("prev").alias("last"))
-    nexts = materialize(nexts.agg(F.collect_list(F.struct("next", "step")).alias("options")), "beam-nexts")
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("step")).alias("back"), "next", "step")))
+    nexts = materialize(nexts.agg(F.transform(listed, lambda o: F.struct(o["next"].alias("next"), o["step"].alias("step"))).alias("options")), "beam-nexts")
 
     none = F.array().cast("array<struct<next:int,step:bigint>>")
     carried = F.array(F.struct(F.lit(None).cast("int").alias("next"), F.lit(0).cast("bigint").alias("step")))
@@ -105,7 +108,8 @@ def beam_paths(
         allowed = F.coalesce("options", none)
         if no_repeat:
             allowed = F.filter(allowed, lambda o: ~F.array_contains(F.col("pairs"), pair(o.next)))
-        grown = grown.withColumn("allowed", allowed).withColumn("open", F.size("allowed") > 0)
+        # The options are in order of score, then id: no more of one partial title can be in the next beam.
+        grown = grown.withColumn("allowed", F.slice(allowed, 1, beams)).withColumn("open", F.size("allowed") > 0)
         grown = grown.withColumn("o", F.explode(F.when(F.col("open"), F.col("allowed")).otherwise(carried)))
 
         def extended(column: str, item: Column) -> Column:
@@ -132,16 +136,9 @@ def beam_paths(
 
 
 def beam_titles(
-    articles: DataFrame,
-    bigrams: DataFrame,
-    vocab: DataFrame,
-    text: str = "maintext",
-    beams: int = BEAMS,
-    max_len: int = TITLE_LENGTH,
-    no_repeat: bool = True,
+    docs: DataFrame, bigrams: DataFrame, vocab: DataFrame, beams: int = BEAMS, max_len: int = TITLE_LENGTH, no_repeat: bool = True
 ) -> DataFrame:
-    """G7 with G8: (id, title) by beam search."""
-    docs = seed_articles(articles, text, vocab)
+    """G7 with G8: (id, title) of seeded articles by beam search."""
     seeds = materialize(docs.select("seed").distinct(), "seeds")
     return _titles_of_seeds(docs, beam_paths(bigrams, seeds, beams, max_len, no_repeat), vocab)
 
@@ -198,18 +195,10 @@ def drawn_paths(docs: DataFrame, scored: DataFrame, max_len: int, seed: int) ->
 
 
 def drawn_titles(
-    articles: DataFrame,
-    bigrams: DataFrame,
-    vocab: DataFrame,
-    mode: str,
-    seed: int = 11,
-    text: str = "maintext",
-    max_len: int = TITLE_LENGTH,
-    **choice,
+    docs: DataFrame, bigrams: DataFrame, vocab: DataFrame, mode: str, seed: int = 11, max_len: int = TITLE_LENGTH, **choice
 ) -> DataFrame:
-    """G5 over a document: (id, title) in mode ``sample``, ``topk``, ``topp`` or ``synthesis``."""
-    seeded = seed_articles(articles, text, vocab)
-    paths = drawn_paths(seeded, candidates(bigrams, "prev", "next", mode, **choice), max_len, seed)
+    """G5 over seeded articles: (id, title) in mode ``sample``, ``topk``, ``topp`` or ``synthesis``."""
+    paths = drawn_paths(docs, candidates(bigrams, "prev", "next", mode, **choice), max_len, seed)
     # The paths feed one shuffle by document; write them once rather than draw again if a task is lost.
     return decode(materialize(paths, "drawn"), vocab, "id", "path").select("id", or_placeholder(F.col("title")).alias("title"))
 

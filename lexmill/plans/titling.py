@@ -11,8 +11,9 @@ from lexmill.functions.cleaning import clean_articles
 from lexmill.operators.candidates import bigram_table
 from lexmill.operators.encode import TITLE_LENGTH
 from lexmill.operators.evaluate import batch_mean, rouge_l, rouge_n
-from lexmill.operators.titles import beam_titles, drawn_titles, greedy_titles
+from lexmill.operators.titles import beam_titles, drawn_titles, greedy_titles, seed_articles
 from lexmill.operators.vocab import corpus_vocab
+from lexmill.runtime import materialize
 
 
 @dataclass(frozen=True)
@@ -29,19 +30,28 @@ def train(articles: DataFrame, top_n: int = 32_000) -> TitleModel:
     return TitleModel(vocab, bigram_table(articles, "title", vocab))
 
 
+def seeds(model: TitleModel, articles: DataFrame) -> DataFrame:
+    """(id, seed) of the cleaned articles, written: all that a search needs of them, for any number of modes."""
+    return seed_articles(clean_articles(articles.select("id", "maintext")), "maintext", model.vocab)
+
+
 def titles(model: TitleModel, articles: DataFrame, mode: str = "greedy", max_len: int = TITLE_LENGTH, **choice) -> DataFrame:
-    """(id, title) for cleaned articles in one of the five modes, or ``sample``."""
-    cleaned = clean_articles(articles.select("id", "maintext"))
+    """(id, title) for articles in one of the five modes, or ``sample``."""
+    return seeded_titles(model, seeds(model, articles), mode, max_len, **choice)
+
+
+def seeded_titles(model: TitleModel, docs: DataFrame, mode: str = "greedy", max_len: int = TITLE_LENGTH, **choice) -> DataFrame:
+    """:func:`titles` for the (id, seed) of :func:`seeds`."""
     if mode == "greedy":
-        return greedy_titles(cleaned, model.bigrams, model.vocab, max_len=max_len)
+        return greedy_titles(docs, model.bigrams, model.vocab, max_len=max_len)
     if mode == "beam":
-        return beam_titles(cleaned, model.bigrams, model.vocab, max_len=max_len, **choice)
-    return drawn_titles(cleaned, model.bigrams, model.vocab, mode, max_len=max_len, **choice)
+        return beam_titles(docs, model.bigrams, model.vocab, max_len=max_len, **choice)
+    return drawn_titles(docs, model.bigrams, model.vocab, mode, max_len=max_len, **choice)
 
 
 def rouge_scores(made: DataFrame, articles: DataFrame, size: int = 4, unit: str = "word") -> DataFrame:
     """One row (rouge_1, rouge_2, rouge_l): means of batch means of F against the true titles."""
-    pairs = made.select("id", F.col("title").alias("pred")).join(articles.select("id", F.col("title").alias("ref")), "id")
+    pairs = materialize(made.select("id", F.col("title").alias("pred")).join(articles.select("id", F.col("title").alias("ref")), "id"), "pairs")
     one, two, lcs = rouge_n(pairs, 1, unit), rouge_n(pairs, 2, unit), rouge_l(pairs, unit)
     scored = (
         one.select("id", F.col("f").alias("rouge_1"))

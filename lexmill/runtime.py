@@ -9,7 +9,7 @@ import uuid
 import weakref
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,9 +72,9 @@ def _measures(df: DataFrame) -> list[Column]:
     fixed, varying = 0, F.lit(0).cast("bigint")
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
-            varying = varying + F.coalesce(F.octet_length(field.name), F.lit(0))
+            varying = varying + F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0))
         elif isinstance(field.dataType, T.ArrayType):
-            varying = varying + F.greatest(F.size(field.name), F.lit(0)) * 48
+            varying = varying + F.greatest(F.size(f"`{field.name}`"), F.lit(0)) * 48
         fixed += 16
     return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(varying + fixed), F.lit(0)).alias("bytes")]
 
@@ -82,11 +82,21 @@ def _measures(df: DataFrame) -> list[Column]:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    This cuts the lineage, survives lost executors, and gives Catalyst real file sizes to plan with.
+    This cuts the lineage, survives lost executors, and gives Catalyst real file sizes to plan with. Its
+    rows and bytes are counted as they are written, so :func:`measure` needs no job of its own.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path, size = scratch_path(df.sparkSession, name), Observation()
+    df.observe(size, *_measures(df)).write.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    if {"rows", "bytes"} <= (seen := size.get).keys():
+        _SIZES[written] = Size(seen["rows"], seen["bytes"])
+    return written
+
+
+def sized(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df``, a projection or a part of the measured ``like``, with the size of that as a bound of its own."""
+    _SIZES[df] = measure(like)
+    return df
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -95,7 +105,7 @@ def numbered(df: DataFrame) -> DataFrame:
 
 
 def measure(df: DataFrame) -> Size:
-    """The size of ``df``: counted by a job, once per DataFrame object."""
+    """The size of ``df``: as counted when it was written, else by a job, once per DataFrame object."""
     if df not in _SIZES:
         _SIZES[df] = Size(*df.agg(*_measures(df)).first())
     return _SIZES[df]
