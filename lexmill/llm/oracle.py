@@ -71,7 +71,7 @@ WITH RECURSIVE messages AS (
   SELECT conv, turn, role, text, level, trim(regexp_replace(lower(string_agg(line, ' ' ORDER BY pos)), '\s+', ' ', 'g')) AS passage
   FROM runs GROUP BY conv, turn, role, text, run, level HAVING level > 0 AND passage <> ''
 ), own AS (
-  SELECT m.*, CASE WHEN coalesce(l.quoted, false) THEN trim(coalesce(l.plain, '')) ELSE m.text END AS content
+  SELECT m.*, CASE WHEN coalesce(l.quoted, false) THEN regexp_replace(coalesce(l.plain, ''), '^\s+|\s+$', '', 'g') ELSE m.text END AS content
   FROM messages m LEFT JOIN (
     SELECT conv, turn, role, text, bool_or(level > 0) AS quoted, string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0) AS plain
     FROM lines GROUP BY ALL) l

@@ -74,7 +74,7 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, role, content, n_quotes, n_linked, reply_to, thread, depth, position) for each message.
 
     ``conversations`` has conv_id, turn, role and text. Lines that start with ``>`` are quoted, as deep as they have such
-    marks; content is the text without them. Neighbouring lines of one level are a passage; it is linked to the first
+    marks; content is the text without them, and without white space at its ends. Neighbouring lines of one level are a passage; it is linked to the first
     message of the conversation whose own text, paragraph or line is the same but for case and white space, if that is an
     earlier turn. A message replies to the original of its shallowest linked passage, the latest of several. thread is the turn
     that the replies lead back to, depth the number of replies, position the message's place (from 0) in its conversation by
@@ -89,7 +89,7 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", conv.alias("conv"), F.col("turn").cast("bigint").alias("turn"), "role", text.alias("text"))
     kept = F.filter(F.split("text", "\n"), lambda line: _level(line) == 0)
     has = F.col("text").rlike(r"(?m)" + MARKS)
-    content = F.when(has, F.trim(F.array_join(kept, "\n"))).otherwise(F.col("text"))
+    content = F.when(has, F.regexp_replace(F.array_join(kept, "\n"), r"^\s+|\s+$", "")).otherwise(F.col("text"))
     key = F.xxhash64("conv", "turn", "role", "text")
     rows = write_once(rows.withColumns({"quotes": has, "content": content, "message": key}), "messages")
     asking = rows.where(F.col("quotes") & F.col("turn").isNotNull()).select("message", "conv", "turn", "text").distinct()

@@ -67,13 +67,25 @@ class Windows:
             self.text = self.place = np.zeros(0, np.int64)
             self.hash = self.check = self.anchor = np.zeros(0, np.uint64)
             return
+        anchors = mixed(_rolled(h, ANCHOR, 0x9FB21C651E98DF25))
+        least = _least(anchors, WINDOW - ANCHOR + 1)[:n]
         first = np.cumsum(self.words) - self.words
         inside = np.flatnonzero(text[:n] == text[WINDOW - 1 :])
         self.text = text[inside]
         self.place = inside - first[self.text]
         self.hash = mixed(_rolled(h, WINDOW, 0x9E3779B97F4A7C15))[inside]
         self.check = mixed(_rolled(h, WINDOW, 0xC2B2AE3D27D4EB4F))[inside]
-        self.anchor = _least(mixed(_rolled(h, ANCHOR, 0x9FB21C651E98DF25)), WINDOW - ANCHOR + 1)[:n][inside]
+        self.anchor = least[inside]
+        self._anchors, self._least, self._inside = anchors, least, inside
+
+    def anchor_places(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often its anchor stands in each window, and the sum of the places."""
+        times, places = np.zeros(len(self._least), np.int64), np.zeros(len(self._least), np.int64)
+        for k in range(WINDOW - ANCHOR + 1):
+            here = self._anchors[k : k + len(self._least)] == self._least
+            times += here
+            places += here * np.arange(k, k + len(self._least))
+        return times[self._inside], places[self._inside]
 
 
 def _rows(kind: int, doc, start, n, anchor=None, hash=None, check=None) -> pa.RecordBatch:
@@ -109,20 +121,21 @@ def _settle(held: list[tuple[np.ndarray, ...]], phrases: bool) -> Iterator[pa.Re
     """Settle among the rows of one task what can be, so that a common passage gives few rows to the shuffle.
 
     Of equal rows the first place stays, any later one is KNOWN. Of an anchor with several phrases two are sent on, and
-    all of them are OPEN: their windows have to be looked at one by one.
+    all of them are OPEN: their windows have to be looked at one by one. So is a phrase in which its anchor
+    stands more than once (``again``), since one of its windows may equal another.
     """
-    anchor, hash, check, doc, start, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    anchor, hash, check, doc, start, n, again = (np.concatenate(x) for x in zip(*held, strict=True))
     order = np.lexsort((start, doc, check, hash, anchor))
-    anchor, hash, check, doc, start, n = anchor[order], hash[order], check[order], doc[order], start[order], n[order]
+    anchor, hash, check, doc, start, n, again = (x[order] for x in (anchor, hash, check, doc, start, n, again))
     new = np.append(True, (anchor[1:] != anchor[:-1]) | (hash[1:] != hash[:-1]) | (check[1:] != check[:-1]))
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     later = (doc != doc[first]) | (start != start[first])
     yield _rows(KNOWN, *_joined(doc[later], start[later], n[later]))
-    anchor, hash, check, doc, start, n = anchor[new], hash[new], check[new], doc[new], start[new], n[new]
+    anchor, hash, check, doc, start, n, again = (x[new] for x in (anchor, hash, check, doc, start, n, again))
     if phrases:
         head = np.append(True, anchor[1:] != anchor[:-1])
         of = np.cumsum(head) - 1
-        several = np.bincount(of)[of] > 1
+        several = (np.bincount(of)[of] > 1) | again
         yield _rows(OPEN, doc[several], start[several], n[several])
         sent = np.arange(len(anchor)) - np.flatnonzero(head)[of] < 2
         anchor, hash, check, doc, start, n = anchor[sent], hash[sent], check[sent], doc[sent], start[sent], n[sent]
@@ -150,9 +163,11 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = np.flatnonzero(new)
             tail = np.append(head[1:], len(new)) - 1
             n = tail - head + 1
+            times, places = w.anchor_places()
+            again = (np.maximum.reduceat(times, head) > 1) | (np.maximum.reduceat(places, head) > np.minimum.reduceat(places, head))
             hash = mixed(w.hash[head] * np.uint64(3) + w.hash[tail] * np.uint64(5) + n.astype(np.uint64))
             check = mixed(w.check[head] * np.uint64(7) + w.check[tail] + n.astype(np.uint64))
-            held.append((w.anchor[head], hash, check, ids[first:last][w.text[head]], w.place[head], n))
+            held.append((w.anchor[head], hash, check, ids[first:last][w.text[head]], w.place[head], n, again))
             size += len(head)
             if size >= HELD:
                 yield from _settle(held, True)
@@ -179,7 +194,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(asked, own[i] + np.minimum(at + n, room), -1)
             at = np.flatnonzero(np.cumsum(asked)[:-1] > 0)
             none = np.zeros(len(at), np.uint64)
-            held.append((none, w.hash[at], w.check[at], ids[first:last][w.text[at]], w.place[at], np.ones(len(at), np.int64)))
+            held.append((none, w.hash[at], w.check[at], ids[first:last][w.text[at]], w.place[at], np.ones(len(at), np.int64), np.zeros(len(at), bool)))
             size += len(at)
             if size >= HELD:
                 yield from _settle(held, False)

@@ -60,7 +60,7 @@ def test_headers_files_and_folders(spark):
         ("a/x.py", "code only"),
         ("a/b/c/y.py", "more code"),
         ("a/b/COPYING.txt", "licensed under the GNU general public license, version 3\n" + "terms " * 90),
-        ("a/b/z.py", "# Licensed under the Apache License, Version 2.0\nimport os"),
+        ("a/b/z.py", "# Licensed under the Apache License, Version 2.0\nimport os, sys, re, json, math, time, uuid"),
         ("n/only.txt", "Licensed under CC BY-NC 4.0.\nshort"),
         ("n/other.txt", "text"),
         ("q/none.txt", "this is in the general form of code that is free"),

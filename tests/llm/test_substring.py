@@ -21,7 +21,7 @@ def _texts(seed=1, n=80):
             else:
                 w += rng.choices(vocabulary, k=rng.randrange(1, 15))
         rows.append((i, rng.choice([" ", "\n", " \t "]).join(w)))
-    return [*rows, (90, "x " * 100), (91, "x " * 30), (92, None), (93, ""), (94, " \n"), (95, " ".join(base * 30)), (96, rows[0][1].upper())]
+    return [*rows, (90, "x " * 100), (91, "x " * 30), (92, None), (93, ""), (94, " \n"), (95, " ".join(base * 30)), (96, rows[0][1].upper()), (97, "p q r s t " * 5), (98, " ".join(f"o{i % 17}" for i in range(45))), (99, "u v " * 11)]
 
 
 def _result(df):
