@@ -20,9 +20,9 @@ from lexmill.runtime import shuffle_partitions
 
 WORDS, RADIUS, SEED = 3, 3, 42
 BLOCKS = 5
-TASK_ROWS, SKETCH_ROWS = 1 << 20, 1 << 17
+TASK_ROWS, SET_ROWS = 1 << 20, 1 << 13
 CHUNK = 1 << 16
-SKETCH, PAIRS = 256, 1 << 13
+SET_TILE, PAIRS = 1024, 1 << 12
 
 
 def _fingerprint(text: str, n: int) -> int:
@@ -113,34 +113,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return fps.join(write_once(classes, "classes"), "fp").select(key, "fp", "component_id")
 
 
-def _sketch(text: str, n: int) -> tuple[int, bytes]:
-    """The fingerprint of a text, and the ``SKETCH`` smallest different hashes of its n-word shingles, 4 bytes each."""
+def _shingles(text: str, n: int) -> bytes:
+    """The different hashes of a text's n-word shingles, sorted, 4 bytes each; exact but for one pair in 2^32."""
     words = text.encode().lower().split()
     if not words:
-        return 0, b""
-    starts = range(max(1, len(words) - n + 1))
-    ones, least = np.zeros(64, np.int64), np.zeros(0, np.uint64)
-    for first in range(0, len(starts), CHUNK):
-        own = starts[first : first + CHUNK]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), SEED) for i in own), np.uint64, len(own))
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        least = np.unique(np.concatenate([least, hashes >> np.uint64(32)]))[:SKETCH]
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view(np.int64)[0]), least.astype(np.uint32).tobytes()
+        return b""
+    hashes = (xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), SEED) >> 32 for i in range(max(1, len(words) - n + 1)))
+    return np.unique(np.fromiter(hashes, np.uint32)).tobytes()
 
 
-def _alike(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Whether pairs of sketches tell a Jaccard similarity of at least ``similarity``: of the smallest of both, those in both."""
-    out = np.zeros(len(a), bool)
-    for k, (x, y) in enumerate(zip(a, b, strict=True)):
-        both = np.sort(np.concatenate([x, y]))
-        new = np.append(True, both[1:] != both[:-1])
-        size = min(int(new.sum()), SKETCH) if max(len(x), len(y)) >= SKETCH else int(new.sum())
-        if size == 0:
-            out[k] = True
-            continue
-        last = both[new][size - 1]
-        out[k] = np.count_nonzero(~new & (both <= last)) >= similarity * size
-    return out
+def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is at least ``similarity``."""
+    small, large = sorted((len(x), len(y)))
+    if small < similarity * large:
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common >= similarity * (small + large - common)
 
 
 def _verified(radius: int, masks: list[int], similarity: float):
@@ -155,7 +144,7 @@ def _verified(radius: int, masks: list[int], similarity: float):
         if len(order) == 0:
             return
         code, t, node = (rows[c].to_numpy()[order] for c in ("code", "t", "node"))
-        sketches = [np.frombuffer(x, np.uint32) for x in rows["sketch"].take(pa.array(order)).to_pylist()]
+        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in rows["shingles"].combine_chunks().take(pa.array(order))]
         label = np.arange(len(order))
         for i, j in close(code.view(np.uint64), group, radius):
             good = (node[i] != node[j]) & (first_table(code[i], code[j], masks, 0) == t[i])
@@ -164,7 +153,7 @@ def _verified(radius: int, masks: list[int], similarity: float):
                 apart = label[i] != label[j]
                 i, j = i[apart], j[apart]
                 a, b = i[:PAIRS], j[:PAIRS]
-                same = _alike([sketches[x] for x in a], [sketches[x] for x in b], similarity)
+                same = np.array([_alike(sets[x], sets[y], similarity) for x, y in zip(a, b, strict=True)], bool)
                 joined = labels(len(order), iter([(label[a[same]], label[b[same]])]))
                 label, i, j = joined[label], i[PAIRS:], j[PAIRS:]
         moved = np.flatnonzero(label != np.arange(len(order)))
@@ -173,36 +162,39 @@ def _verified(radius: int, masks: list[int], similarity: float):
     return run
 
 
-VERIFIED = pa.schema([*KEYS, ("sketch", pa.binary())])
+VERIFIED = pa.schema([*KEYS, ("shingles", pa.binary())])
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 12, blocks: int = 8, kept: int = 2) -> DataFrame:
     """(key, component_id) for each row: groups of texts whose word shingles have a Jaccard similarity of ``similarity`` or more.
 
     Fingerprints within ``radius`` bits that agree on ``kept`` of ``blocks`` blocks are candidates, compared by bit planes; links are those
-    whose sketches (the 256 smallest shingle hashes; exact for texts with fewer) are alike. Equal fingerprints are one node. The radius and the
-    tables find nearly all pairs from 0.85 on and most at 0.8. Nulls, empty texts and keys as in :func:`near_duplicates`.
+    whose sets of shingles are alike. Only texts that have a candidate are read again for their sets. Equal fingerprints are one
+    node. The radius and the tables find nearly all pairs from 0.85 on and most at 0.8. Nulls, empty texts and keys as in
+    :func:`near_duplicates`.
     """
     kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps, sketches = zip(*(_sketch(t.as_py(), words) for t in texts_of(batch, "_text")), strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(sketches, pa.binary())], [key, "fp", "sketch"])
-
-    rows = write_once(docs.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, fp bigint, sketch binary"), "sketches")
-    nodes = rows.groupBy("fp").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("node"), "sketch")).alias("x"))
-    nodes = write_once(nodes.select("fp", "x.node", "x.sketch"), "codes")
+    rows = write_once(fingerprints(docs, key, text, words), "fingerprints")
+    nodes = write_once(rows.groupBy("fp").agg(F.min(key).alias("node")), "codes")
     masks = _masks(blocks - kept, blocks)
     places = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bucket")) for t, m in enumerate(masks)])
     meeting = nodes.where(F.col("node").isNotNull()).select("node", F.col("fp").alias("code"), F.explode(places).alias("x"))
     meeting = meeting.select("x.t", "x.bucket", F.lit(True).alias("home"), "node", "code")
-    met = met_rows(meeting, nodes.count() * len(masks), radius, masks, 0)
-    tasks = max(shuffle_partitions(docs.sparkSession), -(-met.count() // SKETCH_ROWS))
-    full = met.join(nodes.select("node", "sketch"), "node").select(*COLUMNS, "sketch").repartition(tasks, "t", "bucket", "tile")
+    met = met_rows(meeting, nodes.count() * len(masks), radius, masks, 0, SET_TILE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_shingles(t.as_py(), words) for t in texts_of(batch, "_text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    wanted = write_once(met.select(F.col("node").alias(key), F.lit(True).alias("_met")).distinct(), "met-nodes")
+    texts = attach(docs.select(key, F.col(text).alias("_text")), wanted, key).where(F.col("_met")).select("doc.*")
+    sets = write_once(texts.mapInArrow(run, f"node {kind}, shingles binary"), "shingles").dropDuplicates(["node"])
+    tasks = max(shuffle_partitions(docs.sparkSession), -(-met.count() // SET_ROWS))
+    full = met.join(sets, "node").select(*COLUMNS, "shingles").repartition(tasks, "t", "bucket", "tile")
     found = components(full.mapInArrow(_verified(radius, masks, similarity), "u bigint, v bigint"))
     classes = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return rows.select(key, "fp").join(write_once(classes, "classes"), "fp").select(key, "component_id")
+    return rows.join(write_once(classes, "classes"), "fp").select(key, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
