@@ -125,6 +125,13 @@ CTES["batch_losses"] = f"""
                ((row_number() OVER (PARTITION BY epoch, view ORDER BY {_u(1, "epoch || ':' || view || ':' || Id")}, Id) - 1) // 64) AS batch
         FROM losses, (SELECT unnest([1, 2, 3]) AS epoch)) GROUP BY epoch, view, batch"""
 
+CTES["kept_epochs"] = """
+    SELECT epoch, accuracy, best FROM (
+        SELECT epoch, accuracy, coalesce(max(accuracy) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS best FROM (
+            SELECT epoch, avg((CASE WHEN s1 > s0 THEN 1 ELSE 0 END = Category)::INT) AS accuracy
+            FROM (SELECT epoch, Id, avg(s0) AS s0, avg(s1) AS s1 FROM all_scores GROUP BY epoch, Id) JOIN reviews USING (Id)
+            WHERE split = 'dev' GROUP BY epoch)) WHERE accuracy > best"""
+
 # -- encoded features ---------------------------------------------------------------------------------
 
 CTES["news_words"] = f"""
@@ -334,6 +341,13 @@ CTES["drawn_loss"] = f"""
           FROM model_ids m JOIN (SELECT id, arg_max(path, n) AS path FROM walk_sample GROUP BY id) w ON w.id = m.id) s
     LEFT JOIN bigrams b ON b.prev = s.prev AND b.next = s.next
     LEFT JOIN (SELECT DISTINCT prev, prev_cnt FROM bigrams) c ON c.prev = s.prev WHERE s.next <> 0 GROUP BY id"""
+CTES["greedy_sample"] = f"SELECT id, pred, ref FROM greedy_pairs WHERE {_u(7, 'id')} < 0.1"
+CTES["greedy_one"], CTES["greedy_two"] = _rouge("greedy_sample", 1), _rouge("greedy_sample", 2)
+CTES["validated"] = """
+    SELECT avg(a) AS rouge_1, avg(b) AS rouge_2, avg(l) AS rouge_l FROM (
+        SELECT avg(a.f) AS a, avg(b.f) AS b, avg(l.f) AS l FROM (
+            SELECT id, (row_number() OVER (ORDER BY id::BIGINT) - 1) // 4 AS batch FROM greedy_sample)
+        JOIN greedy_one a USING (id) JOIN greedy_two b USING (id) JOIN lcs_greedy_f l USING (id) GROUP BY batch)"""
 CTES["rewards"] = """
     SELECT batch, avg(g) AS greedy_f, avg(d) AS drawn_f FROM (
         SELECT g.f AS g, d.f AS d, (row_number() OVER (ORDER BY g.id::BIGINT) - 1) // 4 AS batch
@@ -395,11 +409,10 @@ FINAL: dict[str, str] = {
     "c5_accuracy": f"""SELECT split, count(*) AS n, count(*) FILTER (pred = Category) AS n_right, {_r('avg((pred = Category)::INT)')} AS accuracy
         FROM pred JOIN reviews USING (Id) WHERE Category IS NOT NULL GROUP BY split""",
     "c6_running_loss": f"SELECT epoch, view, batch, {_r('avg(loss) OVER (PARTITION BY epoch, view ORDER BY batch ROWS UNBOUNDED PRECEDING)')} AS running_loss FROM batch_losses",
-    "c7_best_epochs": f"""SELECT epoch, {_r('accuracy')} AS accuracy, {_r('best')} AS best_before FROM (
-        SELECT epoch, accuracy, coalesce(max(accuracy) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS best FROM (
-            SELECT epoch, avg((CASE WHEN s1 > s0 THEN 1 ELSE 0 END = Category)::INT) AS accuracy
-            FROM (SELECT epoch, Id, avg(s0) AS s0, avg(s1) AS s1 FROM all_scores GROUP BY epoch, Id) JOIN reviews USING (Id)
-            WHERE split = 'dev' GROUP BY epoch)) WHERE accuracy > best""",
+    "c7_best_epochs": f"SELECT epoch, {_r('accuracy')} AS accuracy, {_r('best')} AS best_before FROM kept_epochs",
+    "c7_best_epoch_answers": """SELECT Id, CASE WHEN s1 > s0 THEN 1 ELSE 0 END AS pred FROM (
+        SELECT Id, avg(s0) AS s0, avg(s1) AS s1 FROM all_scores WHERE epoch = (SELECT coalesce(max(epoch), 1) FROM kept_epochs) GROUP BY Id)
+        JOIN reviews USING (Id) WHERE split = 'test'""",
     "c8_linear_predict": "SELECT Id, pred FROM pred JOIN reviews USING (Id) WHERE split = 'test'",
     "c9_misclassified": "SELECT Id, text, Category, pred FROM pred JOIN reviews USING (Id) WHERE Category IS NOT NULL AND pred <> Category",
     "e0_corpus_vocab": "SELECT word, id AS token, freq FROM news_vocab UNION ALL SELECT word, id, freq FROM specials",
@@ -446,6 +459,8 @@ FINAL: dict[str, str] = {
             {_r('CASE WHEN epoch = 1 THEN 0.7 * loss + 0.3 * reward * drawn_loss ELSE loss END')} AS objective FROM (
         SELECT (id::BIGINT % 3)::INT AS epoch, avg(nll) AS loss, avg(drawn_loss) AS drawn_loss, avg(g.f) - avg(d.f) AS reward
         FROM nll JOIN drawn_loss USING (id) JOIN lcs_greedy_f g USING (id) JOIN lcs_drawn_f d USING (id) GROUP BY ALL)""",
+    "o6_validation_job": f"""SELECT 1::BIGINT AS step, (SELECT {_r('avg(v_loss)')} FROM mean_loss_batch) AS v_loss,
+        {", ".join(f"{_r(c)} AS {c}" for c in ("rouge_1", "rouge_2", "rouge_l"))} FROM validated""",
     "o6_best_checkpoints": f"""SELECT step, printf('step=%05d-v_loss=%.2f-rouge_1=%.2f-rouge_2=%.2f-rouge_l=%.2f', step, v_loss, r1, r2, rl) AS name, {_r('v_loss')} AS v_loss
         FROM checkpoints ORDER BY checkpoints.v_loss, step LIMIT 3""",
 }

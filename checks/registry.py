@@ -402,14 +402,15 @@ def c6_running_loss(spark, folder):
 @query
 def c7_best_epochs(spark, folder):
     reviews = views.reviews(spark, folder)
-    freqs = materialize(vocab.class_word_freq(_train(reviews)), "class-word-freq")
-    words = materialize(vocab.vocab_index(vocab.frequent_words(freqs)), "vocab")
-    counts = classify.class_counts(freqs, words)
-    dev = reviews.where(F.col("split") == "dev")
-    scores = classify.scores_by_alpha(vocab.bag_of_words(dev, words), dev, counts, dict(enumerate(ALPHAS, 1)), classify.class_priors(_train(reviews)))
-    pred = classify.predict_labels(classify.fuse(scores, keys=("epoch", "Id")))
-    epochs = classify.accuracy(pred, dev, by=("epoch",)).select("epoch", "accuracy")
-    return classify.improving_epochs(epochs).select("epoch", _r("accuracy"), _r("best_before"))
+    _, kept, _ = classification.choose_epoch(_train(reviews), reviews.where(F.col("split") == "dev"), ALPHAS)
+    return kept.select("epoch", _r("accuracy"), _r("best_before"))
+
+
+@query
+def c7_best_epoch_answers(spark, folder):
+    reviews = views.reviews(spark, folder)
+    dev, test = (reviews.where(F.col("split") == s) for s in ("dev", "test"))
+    return classification.best_predictions(_train(reviews), dev, test, ALPHAS).select("Id", "pred")
 
 
 @query
@@ -627,7 +628,7 @@ def o2_placeholder(spark, folder):
 @query
 def o3_batch_means(spark, folder):
     articles, model = _title_model(spark, folder)
-    nll = evaluate.token_nll(_title_features(articles, model), model.bigrams, TOP_N + 3)
+    nll = evaluate.token_nll(titling.features(model, articles), model.bigrams, TOP_N + 3)
     losses = materialize(nll.select(F.col("id").cast("bigint").alias("id"), F.col("nll").alias("v_loss")), "losses")
     sample = materialize(prep.hash_sample(_lead_pairs(spark, folder), "id"), "sample")
     scores = [evaluate.rouge_n(sample, 1), evaluate.rouge_n(sample, 2), evaluate.rouge_l(sample)]
@@ -641,11 +642,6 @@ def o3_batch_means(spark, folder):
     return rows[0].unionByName(rows[1])
 
 
-def _title_features(articles: DataFrame, model: titling.TitleModel) -> DataFrame:
-    encoded = encode.encode(articles, model.vocab, "id", {"title_ids": ("title", encode.TITLE_LENGTH)})
-    return encode.teacher_forcing(encoded, "title_ids", encode.TITLE_LENGTH)
-
-
 def _nll_columns(scored: DataFrame, key: str = "id") -> DataFrame:
     return scored.select(key, "n_tokens", _r("nll"), _r(F.log("perplexity"), "log_perplexity"))
 
@@ -653,7 +649,7 @@ def _nll_columns(scored: DataFrame, key: str = "id") -> DataFrame:
 @query
 def o4_token_nll(spark, folder):
     articles, model = _title_model(spark, folder)
-    return _nll_columns(evaluate.token_nll(_title_features(articles, model), model.bigrams, TOP_N + 3))
+    return _nll_columns(evaluate.token_nll(titling.features(model, articles), model.bigrams, TOP_N + 3))
 
 
 @query
@@ -663,17 +659,11 @@ def o4_benchmark_nll(spark, folder):
     return _nll_columns(evaluate.text_nll(items, "text", model.vocab, model.bigrams, TOP_N + 3))
 
 
-def _decoded_labels(articles: DataFrame, model: titling.TitleModel) -> DataFrame:
-    """(id, title): what a title is scored against, its decoder input as text, 63 ids at most."""
-    forced = _title_features(articles, model).select("id", "decoder_input_ids")
-    return encode.decode(forced, model.vocab, "id", "decoder_input_ids")
-
-
 def _greedy_and_drawn(articles: DataFrame, model: titling.TitleModel) -> DataFrame:
     """(id, greedy, drawn): the ROUGE-L F of both titles of each article."""
     docs = titling.seeds(model, articles)
     made = [materialize(titling.seeded_titles(model, docs, mode, max_len=STEPS), "made-titles") for mode in ("greedy", "sample")]
-    scored = evaluate.title_rewards(*made, _decoded_labels(articles, model))
+    scored = evaluate.title_rewards(*made, titling.decoded_labels(model, titling.features(model, articles)))
     return materialize(scored.withColumn("id", F.col("id").cast("bigint")), "rewards")
 
 
@@ -689,7 +679,7 @@ def o5_mixed_objective(spark, folder):
     """The documents in three parts, as the epochs of a run: the objective, with its reward on in epoch 1."""
     articles, model = _title_model(spark, folder)
     paths = titles.drawn_paths(titling.seeds(model, articles), cand.candidates(model.bigrams, "prev", "next", "sample"), STEPS, 11)
-    features = materialize(_title_features(articles, model), "features")
+    features = titling.features(model, articles)
     nll = evaluate.token_nll(features, model.bigrams, TOP_N + 3).select("id", "nll")
     drawn = evaluate.drawn_loss(features, paths, model.bigrams, TOP_N + 3)
     rows = nll.join(drawn, "id").withColumn("id", F.col("id").cast("bigint")).join(_greedy_and_drawn(articles, model), "id")
@@ -703,7 +693,7 @@ def o5_mixed_objective(spark, folder):
 @query
 def o6_best_checkpoints(spark, folder):
     articles, model = _title_model(spark, folder)
-    nll = evaluate.token_nll(_title_features(articles, model), model.bigrams, TOP_N + 3).select("id", F.col("nll").alias("v_loss"))
+    nll = evaluate.token_nll(titling.features(model, articles), model.bigrams, TOP_N + 3).select("id", F.col("nll").alias("v_loss"))
     pairs = _lead_pairs(spark, folder)
     scores = [
         evaluate.rouge_n(pairs, 1).select("id", F.col("f").alias("rouge_1")),
@@ -715,3 +705,11 @@ def o6_best_checkpoints(spark, folder):
     step = (F.col("id").cast("bigint") % 10).cast("bigint")
     metrics = nll.groupBy(step.alias("step")).agg(*[F.round(F.avg(c), 9).alias(c) for c in ("v_loss", "rouge_1", "rouge_2", "rouge_l")])
     return evaluate.best_checkpoints(metrics).select("step", "name", _r("v_loss"))
+
+
+@query
+def o6_validation_job(spark, folder):
+    log = scratch_path(spark, "metric-log")
+    articles, model = _title_model(spark, folder)
+    titling.validate(model, articles, log, 1, TOP_N + 3)
+    return titling.best_validated(spark, log).select("step", *[_r(c) for c in ("v_loss", "rouge_1", "rouge_2", "rouge_l")])
