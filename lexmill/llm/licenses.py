@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +72,23 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
+def _adder(squares: Column):
+    return lambda total, term: total + F.element_at(squares, term)
+
+
+def _enough(terms: Column, least: float) -> Column:
+    """Whether a unit with these terms can reach ``least``: what it has of some template's unit vector is that long.
+
+    A cosine is at most the length of the template's part in the unit's terms (Cauchy-Schwarz), so no unit is lost.
+    """
+    tests = []
+    for vector in _weights()[0].values():
+        squares = F.create_map(*[F.lit(v) for t, x in sorted(vector.items()) for v in (t, x * x)])
+        found = F.array_intersect(terms, F.array(*map(F.lit, sorted(vector))))
+        tests.append(F.aggregate(found, F.lit(0.0), _adder(squares)) >= least * least - 1e-9)
+    return reduce(or_, tests)
+
+
 def matches(files: DataFrame, path: str = "path", text: str = "text", least: float = COSINE) -> DataFrame:
     """(path, licence, cosine, share): the best template of each file of which a line reaches ``least``.
 
@@ -81,7 +100,9 @@ def matches(files: DataFrame, path: str = "path", text: str = "text", least: flo
     body = F.col(text).cast("string")
     docs = files.select(F.col(path).alias("path"), body.alias("text")).where(F.col("text").rlike(likely))
     lines, paragraphs = F.split("text", r"\r\n?|\n"), F.split("text", r"(?:\r\n?|\n)[ \t]*(?:\r\n?|\n)")
-    units = F.filter(F.array_distinct(F.concat(lines, paragraphs)), lambda u: u.rlike(likely))
+    # The one-element array binds the terms to a variable, so that they are found once.
+    possible = lambda u: u.rlike(likely) & F.exists(F.array(F.array_distinct(_terms(u))), lambda terms: _enough(terms, least))
+    units = F.filter(F.array_distinct(F.concat(lines, paragraphs)), possible)
     rows = docs.select("path", F.size(_terms(F.col("text"))).alias("size"), F.posexplode(units).alias("at", "unit"))
     rows = rows.select("path", "size", "at", F.posexplode(_terms(F.col("unit"))).alias("k", "term"))
     rows = rows.groupBy("path", "at", "term").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("tf"))
