@@ -191,6 +191,8 @@ def drawn_paths(docs: DataFrame, scored: DataFrame, max_len: int, seed: int) ->
         )
         if step % (2 * STEPS_PER_WRITE) == 0:
             state = materialize(state, "drawn")
+            if state.where(F.col("last").isNotNull()).isEmpty():
+                break
     return state.select("id", "path")
 
 
