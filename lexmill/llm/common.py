@@ -14,7 +14,7 @@ from lexmill.runtime import materialize
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -12,12 +12,12 @@ ALL = ~np.uint64(0)
 
 def _planes(codes: np.ndarray, lanes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Plane b, word w, bit i: bit b of the code in lane 64 w + i; and which lanes hold a code."""
-    spread = np.zeros((words * 64, BITS), np.uint8)
-    spread[lanes] = np.unpackbits(codes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    taken = np.zeros(words * 64, np.uint8)
-    taken[lanes] = 1
-    packed = np.packbits(spread.T.copy(), axis=1, bitorder="little").view(np.uint64)
-    return np.ascontiguousarray(packed), np.packbits(taken, bitorder="little").view(np.uint64)
+    planes, lane = np.empty((BITS, words), np.uint64), np.zeros(words * 64, np.uint8)
+    for b in range(BITS):
+        lane[lanes] = (codes >> np.uint64(b)).astype(np.uint8) & 1
+        planes[b] = np.packbits(lane, bitorder="little").view(np.uint64)
+    lane[lanes] = 1
+    return planes, np.packbits(lane, bitorder="little").view(np.uint64)
 
 
 def _add(counter: list[np.ndarray], bit: np.ndarray, place: int, over: np.ndarray) -> None:
