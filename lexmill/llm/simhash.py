@@ -16,11 +16,12 @@ from lexmill.llm.components import components
 from lexmill.llm.hamming import close, labels
 from lexmill.llm.meeting import COLUMNS, KEYS, first_table, met_rows, signed, sorted_groups
 from lexmill.llm.tiles import TILE, tiles
+from lexmill.operators.scale import lookup_join
 from lexmill.runtime import shuffle_partitions
 
 WORDS, RADIUS, SEED = 3, 3, 42
 BLOCKS = 5
-TASK_ROWS, SET_ROWS = 1 << 20, 1 << 13
+TASK_ROWS, SET_ROWS = 1 << 20, 1 << 12
 CHUNK = 1 << 16
 SET_TILE, PAIRS = 1024, 1 << 12
 
@@ -113,13 +114,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return fps.join(write_once(classes, "classes"), "fp").select(key, "fp", "component_id")
 
 
-def _shingles(text: str, n: int) -> bytes:
-    """The different hashes of a text's n-word shingles, sorted, 4 bytes each; exact but for one pair in 2^32."""
+def _sketch(text: str, n: int) -> tuple[int, np.ndarray]:
+    """The fingerprint of a text, and the different hashes of its n-word shingles, sorted."""
     words = text.encode().lower().split()
     if not words:
-        return b""
-    hashes = (xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), SEED) >> 32 for i in range(max(1, len(words) - n + 1)))
-    return np.unique(np.fromiter(hashes, np.uint32)).tobytes()
+        return 0, np.zeros(0, np.uint64)
+    total = max(1, len(words) - n + 1)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), SEED) for i in range(total)), np.uint64, total)
+    ones = np.zeros(64, np.int64)
+    for start in range(0, total, CHUNK):
+        ones += np.unpackbits(hashes[start : start + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0]), np.unique(hashes)
+
+
+def _node(shingles: np.ndarray) -> int:
+    """The number of a set of shingles; equal sets only have the same, but for one pair in 2^64."""
+    return signed(xxhash.xxh64_intdigest(shingles.tobytes(), SEED))
 
 
 def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
@@ -144,7 +154,7 @@ def _verified(radius: int, masks: list[int], similarity: float):
         if len(order) == 0:
             return
         code, t, node = (rows[c].to_numpy()[order] for c in ("code", "t", "node"))
-        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in rows["shingles"].combine_chunks().take(pa.array(order))]
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"].combine_chunks().take(pa.array(order))]
         label = np.arange(len(order))
         for i, j in close(code.view(np.uint64), group, radius):
             good = (node[i] != node[j]) & (first_table(code[i], code[j], masks, 0) == t[i])
@@ -165,36 +175,56 @@ def _verified(radius: int, masks: list[int], similarity: float):
 VERIFIED = pa.schema([*KEYS, ("shingles", pa.binary())])
 
 
+def _sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(node, shingles) of the ``nodes`` (node, first): texts are read again by the key ``first``; written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_sketch(t.as_py(), words)[1] for t in texts_of(batch, "_text")]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "shingles"])
+
+    wanted = write_once(nodes.select(F.col("first").alias(key), F.lit(True).alias("_met")).distinct(), "met-keys")
+    texts = attach(docs.select(key, F.col(text).alias("_text")), wanted, key).where(F.col("_met")).select("doc._text")
+    return write_once(texts.mapInArrow(run, "node bigint, shingles binary"), "shingles").dropDuplicates(["node"])
+
+
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 12, blocks: int = 8, kept: int = 2) -> DataFrame:
     """(key, component_id) for each row: groups of texts whose word shingles have a Jaccard similarity of ``similarity`` or more.
 
-    Fingerprints within ``radius`` bits that agree on ``kept`` of ``blocks`` blocks are candidates, compared by bit planes; links are those
-    whose sets of shingles are alike. Only texts that have a candidate are read again for their sets. Equal fingerprints are one
-    node. The radius and the tables find nearly all pairs from 0.85 on and most at 0.8. Nulls, empty texts and keys as in
+    Texts of one set of shingles are one node; rows of one key are linked. Fingerprints within ``radius`` bits that agree on ``kept`` of
+    ``blocks`` blocks are candidates, compared by bit planes; links are those whose sets of shingles are alike. Only texts that have a
+    candidate are read again for their sets. The radius and the tables find most pairs only. Nulls, empty texts and keys as in
     :func:`near_duplicates`.
     """
     kind = docs.schema[key].dataType.simpleString()
-    rows = write_once(fingerprints(docs, key, text, words), "fingerprints")
-    nodes = write_once(rows.groupBy("fp").agg(F.min(key).alias("node")), "codes")
-    masks = _masks(blocks - kept, blocks)
-    places = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bucket")) for t, m in enumerate(masks)])
-    meeting = nodes.where(F.col("node").isNotNull()).select("node", F.col("fp").alias("code"), F.explode(places).alias("x"))
-    meeting = meeting.select("x.t", "x.bucket", F.lit(True).alias("home"), "node", "code")
-    met = met_rows(meeting, nodes.count() * len(masks), radius, masks, 0, SET_TILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_shingles(t.as_py(), words) for t in texts_of(batch, "_text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+            found = [_sketch(t.as_py(), words) for t in texts_of(batch, "_text")]
+            fps, sets = pa.array([fp for fp, _ in found], pa.int64()), pa.array([_node(x) for _, x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), fps, sets], [key, "fp", "node"])
 
-    wanted = write_once(met.select(F.col("node").alias(key), F.lit(True).alias("_met")).distinct(), "met-nodes")
-    texts = attach(docs.select(key, F.col(text).alias("_text")), wanted, key).where(F.col("_met")).select("doc.*")
-    sets = write_once(texts.mapInArrow(run, f"node {kind}, shingles binary"), "shingles").dropDuplicates(["node"])
+    rows = write_once(docs.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, fp bigint, node bigint"), "fingerprints")
+    nodes = write_once(rows.groupBy("node").agg(F.min(key).alias("first"), F.min("fp").alias("code")), "codes")
+    named = nodes.where(F.col("first").isNotNull())
+    masks = _masks(blocks - kept, blocks)
+    places = F.array(*[F.struct(F.lit(t).alias("t"), F.col("code").bitwiseAND(F.lit(signed(m))).alias("bucket")) for t, m in enumerate(masks)])
+    meeting = named.select("node", "code", F.explode(places).alias("x"))
+    meeting = meeting.select("x.t", "x.bucket", F.lit(True).alias("home"), "node", "code")
+    met = met_rows(meeting, nodes.count() * len(masks), radius, masks, 0, SET_TILE)
+    sets = _sets(docs, named.join(met.select("node").distinct(), "node"), key, text, words)
     tasks = max(shuffle_partitions(docs.sparkSession), -(-met.count() // SET_ROWS))
     full = met.join(sets, "node").select(*COLUMNS, "shingles").repartition(tasks, "t", "bucket", "tile")
-    found = components(full.mapInArrow(_verified(radius, masks, similarity), "u bigint, v bigint"))
-    classes = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return rows.join(write_once(classes, "classes"), "fp").select(key, "component_id")
+    near = full.mapInArrow(_verified(radius, masks, similarity), "u bigint, v bigint")
+    keyed = rows.where(F.col(key).isNotNull())
+    several = keyed.groupBy(key).agg(F.min("node").alias("u"), F.max("node").alias("v")).where(F.col("u") != F.col("v"))
+    found = components(near.union(keyed.join(several.drop("v"), key).select("u", F.col("node").alias("v"))))
+    groups = write_once(nodes.join(found, "node", "left").select("node", "first", "component"), "groups")
+    linked = groups.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    linked = write_once(linked.where(F.col("n") > 1).drop("n"), "linked")
+    classes = lookup_join(groups.withColumn("component", F.coalesce("component", "node")), linked, ["component"], "left")
+    classes = classes.select("node", F.coalesce("component_id", "first").alias("component_id"))
+    return rows.join(write_once(classes, "classes"), "node").select(key, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -88,3 +88,15 @@ def test_stage_keeps_one_of_each_group_and_all_columns(make_docs):
     assert kept.columns == docs.columns
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert ids == sorted([*range(30), *range(200, 210), 400])
+
+
+def test_equal_fingerprints_of_different_sets_stay_apart(make_docs):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(2000)]
+    line = " ".join(rng.choices(vocabulary, k=13))
+    own = [rng.choices(vocabulary, k=40) for _ in range(2)]
+    texts = ["\n".join([line] * 60 + [" ".join(w)]) for w in own]
+    near = "\n".join([line] * 60 + [" ".join([*own[1][:-1], "changed"])])
+    assert simhash._fingerprint(texts[0], 5) == simhash._fingerprint(texts[1], 5)
+    found = dict(simhash.similar(make_docs([(1, texts[0]), (2, texts[1]), (3, near)])).collect())
+    assert found == {1: 1, 2: 2, 3: 2}
