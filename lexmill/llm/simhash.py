@@ -24,6 +24,8 @@ BLOCKS = 5
 TASK_ROWS, SET_ROWS = 1 << 20, 1 << 12
 CHUNK = 1 << 16
 SET_TILE, PAIRS = 1024, 1 << 12
+#: Texts whose shingles are counted, the number of texts that makes a shingle frequent, and how many such are held at most.
+SAMPLE, OFTEN, FREQUENT = 10_000, 3, 50_000
 
 
 def _fingerprint(text: str, n: int) -> int:
@@ -188,23 +190,122 @@ def _sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int) ->
     return write_once(texts.mapInArrow(run, "node bigint, shingles binary"), "shingles").dropDuplicates(["node"])
 
 
+def _frequent(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur in several texts of a sample, sorted, and in how many: they come last in prefixes, none is left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in texts_of(batch, "_text"):
+                yield pa.RecordBatch.from_arrays([pa.array(_sketch(t.as_py(), words)[1].view(np.int64))], ["token"])
+
+    part = docs.select(F.col(text).alias("_text")).sample(min(1.0, SAMPLE / max(1, docs.count())), SEED)
+    counts = part.mapInArrow(run, "token bigint").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= OFTEN)
+    found = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
+    tokens, n = np.array([r.token for r in found], np.int64).view(np.uint64), np.array([r.n for r in found], np.int64)
+    order = np.argsort(tokens)
+    return tokens[order], n[order]
+
+
+def _prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a set, rare ones first: two sets that are alike have one of them in common."""
+    tokens, n = frequent
+    rank = np.zeros(len(shingles), np.int64)
+    if len(tokens):
+        at = np.minimum(np.searchsorted(tokens, shingles), len(tokens) - 1)
+        rank = np.where(tokens[at] == shingles, n[at], 0)
+    size = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-9)) + 1
+    return shingles[np.argsort(rank, kind="stable")[:size]]
+
+
+def _candidates(similarity: float):
+    """Pairs (u, v) of a bucket's nodes, of different components, that their sizes and places in the prefixes allow to be alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = gathered(batches, PREFIXES)
+        bucket, tile, own, node, component, size, place = (c.to_numpy() for c in rows.columns)
+        order = np.lexsort((size, tile, bucket))
+        bucket, tile, own, node, component, size, place = (c[order] for c in (bucket, tile, own, node, component, size, place))
+        split = tile >> 31 != tile & ((1 << 31) - 1)
+        left = size - place
+        i = np.arange(len(order))
+        for step in range(1, len(order)):
+            i = i[i + step < len(order)]
+            j = i + step
+            inside = (bucket[i] == bucket[j]) & (tile[i] == tile[j]) & (size[i] >= similarity * size[j] - 1e-9)
+            i, j = i[inside], j[inside]
+            if len(i) == 0:
+                break
+            # Right for the first shingle that two prefixes share; at later ones a pair may be left out, having been found there.
+            common = np.minimum(left[i], left[j]) * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-6
+            good = common & (component[i] != component[j]) & ~(split[i] & (own[i] == own[j]))
+            if good.any():
+                u, v = node[i[good]], node[j[good]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    return run
+
+
+PREFIXES = pa.schema([(c, pa.int64()) for c in ("bucket", "tile", "own", "node", "component", "size", "place")])
+
+
+def _missed(docs: DataFrame, prefixes: DataFrame, named: DataFrame, near: DataFrame, key: str, text: str, words: int, similarity: float) -> DataFrame:
+    """Edges between all nodes whose sets are alike and that the edges ``near`` do not connect: a prefix-filter join, exact.
+
+    Sets that are alike share a shingle of their prefixes. Shingles all of whose nodes are connected already go first, by a
+    minimum and a maximum, so a large group of near copies is no pair at all.
+    """
+    known = components(near)
+    named = write_once(named.join(known, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component")), "named")
+    parts = prefixes.join(named.drop("first"), "node").select("node", "component", "size", F.posexplode("prefix").alias("place", "bucket"))
+    open_ = parts.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where(F.col("a") != F.col("b")).select("bucket")
+    open_ = write_once(open_, "open-shingles")
+    rows = lookup_join(parts, open_, ["bucket"]).select(F.lit(0).alias("t"), "bucket", "node", "component", "size", F.col("place").cast("bigint").alias("place"))
+    rows = write_once(rows.distinct(), "open-rows")
+    tasks = max(shuffle_partitions(docs.sparkSession), -(-rows.count() // TASK_ROWS))
+    cut = tiles(rows, SET_TILE).select(*PREFIXES.names).repartition(tasks, "bucket", "tile")
+    pairs = write_once(cut.mapInArrow(_candidates(similarity), "u bigint, v bigint").distinct(), "candidates")
+    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    sets = _sets(docs, named.join(ends, "node"), key, text, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = ([np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column(c)] for c in (2, 3))
+            good = pa.array([_alike(a, b, similarity) for a, b in zip(x, y, strict=True)], pa.bool_())
+            yield batch.select(["u", "v"]).filter(good)
+
+    full = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("y")), "v")
+    return full.select("u", "v", "x", "y").mapInArrow(run, "u bigint, v bigint")
+
+
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 12, blocks: int = 8, kept: int = 2) -> DataFrame:
     """(key, component_id) for each row: groups of texts whose word shingles have a Jaccard similarity of ``similarity`` or more.
 
     Texts of one set of shingles are one node; rows of one key are linked. Fingerprints within ``radius`` bits that agree on ``kept`` of
     ``blocks`` blocks are candidates, compared by bit planes; links are those whose sets of shingles are alike. Only texts that have a
-    candidate are read again for their sets. The radius and the tables find most pairs only. Nulls, empty texts and keys as in
+    candidate are read again for their sets. What the tables miss is found by a prefix-filter join on shingles, so the
+    groups are those of all pairs that are alike. Nulls, empty texts and keys as in
     :func:`near_duplicates`.
     """
     kind = docs.schema[key].dataType.simpleString()
+    frequent = _frequent(docs, text, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            found = [_sketch(t.as_py(), words) for t in texts_of(batch, "_text")]
-            fps, sets = pa.array([fp for fp, _ in found], pa.int64()), pa.array([_node(x) for _, x in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps, sets], [key, "fp", "node"])
-
-    rows = write_once(docs.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, fp bigint, node bigint"), "fingerprints")
+            fps, sets, sizes, prefixes = [], [], [], []
+            for t in texts_of(batch, "_text"):
+                fp, shingles = _sketch(t.as_py(), words)
+                fps.append(fp)
+                sets.append(_node(shingles))
+                sizes.append(len(shingles))
+                prefixes.append(None if sets[-1] in seen else _prefix(shingles, frequent, similarity).view(np.int64))
+                seen.add(sets[-1])
+            columns = [pa.array(fps, pa.int64()), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "fp", "node", "size", "prefix"])
+
+    sketches = docs.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, fp bigint, node bigint, size bigint, prefix array<bigint>")
+    sketches = write_once(sketches, "fingerprints")
+    rows, prefixes = sketches.select(key, "fp", "node"), sketches.where(F.size("prefix") > 0).select("node", "size", "prefix")
     nodes = write_once(rows.groupBy("node").agg(F.min(key).alias("first"), F.min("fp").alias("code")), "codes")
     named = nodes.where(F.col("first").isNotNull())
     masks = _masks(blocks - kept, blocks)
@@ -215,7 +316,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     sets = _sets(docs, named.join(met.select("node").distinct(), "node"), key, text, words)
     tasks = max(shuffle_partitions(docs.sparkSession), -(-met.count() // SET_ROWS))
     full = met.join(sets, "node").select(*COLUMNS, "shingles").repartition(tasks, "t", "bucket", "tile")
-    near = full.mapInArrow(_verified(radius, masks, similarity), "u bigint, v bigint")
+    near = write_once(full.mapInArrow(_verified(radius, masks, similarity), "u bigint, v bigint"), "near")
+    near = near.union(_missed(docs, prefixes, named, near, key, text, words, similarity))
     keyed = rows.where(F.col(key).isNotNull())
     several = keyed.groupBy(key).agg(F.min("node").alias("u"), F.max("node").alias("v")).where(F.col("u") != F.col("v"))
     found = components(near.union(keyed.join(several.drop("v"), key).select("u", F.col("node").alias("v"))))

@@ -100,3 +100,26 @@ def test_equal_fingerprints_of_different_sets_stay_apart(make_docs):
     assert simhash._fingerprint(texts[0], 5) == simhash._fingerprint(texts[1], 5)
     found = dict(simhash.similar(make_docs([(1, texts[0]), (2, texts[1]), (3, near)])).collect())
     assert found == {1: 1, 2: 2, 3: 2}
+
+
+def _jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_planted_pairs_of_each_similarity_are_found(make_docs):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(2000)]
+    rows, pairs = [], []
+    while len(pairs) < 200:
+        words = rng.choices(vocabulary, k=rng.randint(60, 1000))
+        near, target = list(words), rng.uniform(0.76, 0.95)
+        while _jaccard(words, near) > target:
+            near[rng.randrange(len(near))] = "changed"
+        pairs.append((len(rows), _jaccard(words, near)))
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(near))]
+    found = dict(simhash.similar(make_docs(rows)).collect())
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 1.0)):
+        band = [i for i, j in pairs if low <= j < high]
+        assert len(band) >= 20 and all(found[i + 1] == i for i in band), (low, sum(found[i + 1] == i for i in band), len(band))
+    assert all(found[i + 1] == i + 1 for i, j in pairs if j < 0.8)
