@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import attach, word_count, write_once
+from lexmill.llm.common import attach, fresh, word_count, write_once
 from lexmill.operators.scale import lookup_join, with_order_index, with_running_totals
 
 #: Expected copies are whole multiples of 2^-24, so that their sums are exact in any order.
@@ -45,6 +45,22 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0),
     return per.withColumn("target", target.cast("double"))
 
 
+def _taken(docs: DataFrame, text: str, key: str, seed: int, same: list[str], **targets) -> DataFrame:
+    """(key, name, size, source_size, target, copies) for each row, and the columns ``same`` of ``docs``, by which equal places are ordered."""
+    sizes = docs.select(F.col(key).alias("key"), F.col("source").cast("string").alias("source"), _name().alias("name"), word_count(text).alias("size"), *same)
+    sizes = write_once(sizes, "sizes")
+    per = write_once(source_targets(sizes.select("name", "source", "size"), **targets), "targets")
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), "name")), 1, 6), 16, 10).cast("bigint")
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    per = write_once(per.withColumn("units", F.floor(rate * UNIT).cast("bigint")).withColumn("offset", offset), "rates")
+    rows = lookup_join(sizes.drop("source"), per, ["name"])
+    order = ["size", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("key").cast("string"), F.lit("")))), "key", *same]
+    summed = with_running_totals(rows, [F.col(c) if isinstance(c, str) else c for c in order], ["place"], upto="units")
+    after = F.shiftright(F.col("upto") + F.col("offset"), 24)
+    before = F.shiftright(F.col("upto") - F.col("units") + F.col("offset"), 24)
+    return summed.select("key", "name", "size", "source_size", "target", (after - before).cast("bigint").alias("copies"), *same)
+
+
 def copies(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = SEED, **targets) -> DataFrame:
     """(key, size, source_size, target, copies) for each row of ``docs`` (key, source, text).
 
@@ -55,26 +71,31 @@ def copies(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int =
     made per slice of the sorted rows plus what earlier slices carry over. Null text has size 0. A
     source with no words is expected 0 times. Repeated rows count as documents of their own. Empty input gives no rows.
     """
-    sizes = docs.select(F.col(key).alias("key"), F.col("source").cast("string").alias("source"), _name().alias("name"), word_count(text).alias("size"))
-    sizes = write_once(sizes, "sizes")
-    per = write_once(source_targets(sizes.select("name", "source", "size"), **targets), "targets")
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), "name")), 1, 6), 16, 10).cast("bigint")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    per = write_once(per.withColumn("units", F.floor(rate * UNIT).cast("bigint")).withColumn("offset", offset), "rates")
-    rows = lookup_join(sizes.drop("source"), per, ["name"])
-    order = ["size", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("key").cast("string"), F.lit("")))), "key"]
-    summed = with_running_totals(rows, [F.col(c) if isinstance(c, str) else c for c in order], ["place"], upto="units")
-    after = F.shiftright(F.col("upto") + F.col("offset"), 24)
-    before = F.shiftright(F.col("upto") - F.col("units") + F.col("offset"), 24)
-    return summed.select(F.col("key").alias(key), "size", "source_size", "target", (after - before).cast("bigint").alias("copies"))
+    return _taken(docs, text, key, seed, [], **targets).select(F.col("key").alias(key), "size", "source_size", "target", "copies")
 
 
-def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", seed: int = SEED, **targets) -> DataFrame:
     """The documents of the mix, each as often as :func:`copies` says, with the columns of ``docs``.
 
-    Rows that repeat a key each come as often as these rows are taken on average, rounded.
+    Rows that repeat a key, or have none, are told apart by a hash of all their columns; equal rows share their copies evenly, and
+    what is left over goes to the first of them, so the copies add up to those of :func:`copies`.
     """
-    taken = copies(docs, text, key, **options).groupBy(key).agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
-    full = attach(docs, write_once(taken, "copies"), key)
-    times = F.when(F.col("_copies") > 0, F.sequence(F.lit(1), F.col("_copies")))
-    return full.select("doc", F.explode(times)).select("doc.*")
+    row = fresh(docs, "_row")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = write_once(_taken(docs.withColumn(row, whole), text, key, seed, [row], **targets), "taken")
+    per = taken.groupBy("key").agg(F.count(F.lit(1)).alias("_rows"), F.sum("copies").cast("int").alias("_copies"))
+    per = write_once(per.withColumnRenamed("key", key), "copies")
+    alone = F.col(key).isNotNull() & (F.col("_rows") == 1)
+    full = attach(docs, per.withColumn("_alone", alone), key)
+    times = lambda n: F.explode(F.when(n > 0, F.sequence(F.lit(1), n)))
+    mixed = full.where("_alone").select("doc", times(F.col("_copies")))
+    if not per.where(~alone).isEmpty():
+        again = full.where(~F.col("_alone")).select("doc").withColumn("_row", F.xxhash64(*[F.col(f"doc.`{c}`") for c in docs.columns]))
+        sums = taken.groupBy(F.col(row).alias("_row")).agg(F.sum("copies").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+        again = lookup_join(again, write_once(sums, "row-copies"), ["_row"])
+        left = F.col("_sum") % F.col("_n")
+        even = again.where(left == 0).select("doc", times((F.col("_sum") / F.col("_n")).cast("int")))
+        odd = with_order_index(again.where(left > 0), "_at", [F.col("_row")], ["_row"])
+        share = F.floor(F.col("_sum") / F.col("_n")) + F.when(F.col("_at") < left, 1).otherwise(0)
+        mixed = mixed.union(even).union(odd.select("doc", times(share.cast("int"))))
+    return mixed.select("doc.*")

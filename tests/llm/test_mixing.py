@@ -50,3 +50,17 @@ def test_empty_inputs(make_docs):
     assert mixing.copies(make_docs([])).collect() == []
     found = mixing.copies(make_docs([(1, None), (2, ""), (3, " ")])).collect()
     assert sorted((r.doc_id, r["size"], r.source_size, r.target, r.copies) for r in found) == [(i, 0, 0, 0.0, 0) for i in (1, 2, 3)]
+
+
+def test_rows_without_a_key_keep_their_copies(make_docs):
+    rows = [(None if i % 3 == 0 else i, f"own{i} " + t, la, s) for i, t, la, s in _rows(300)] + [(None, "the same", "en", "b")] * 5
+    docs = make_docs(rows)
+    want, got = defaultdict(int), defaultdict(int)
+    for r in mixing.copies(docs).collect():
+        want[r.doc_id, r["size"], r.source_size] += r.copies
+    sizes = defaultdict(int)
+    for _, t, _, s in rows:
+        sizes[s] += len(t.split())
+    for r in mixing.mix(docs).collect():
+        got[r.doc_id, len(r.text.split()), sizes[r.source]] += 1
+    assert got == {k: n for k, n in want.items() if n} and any(k[0] is None for k in got)
