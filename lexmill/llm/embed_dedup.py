@@ -22,6 +22,7 @@ COSINE = 0.95
 SAMPLE, ROUNDS, MAX_BITS = 20_000, 30, 64
 TILE = 1024
 VECTOR_ROWS = 1 << 16
+MISSED = 1e-4
 
 
 class Coder(NamedTuple):
@@ -51,13 +52,28 @@ def fit(x: np.ndarray, seed: int = 2) -> Coder:
     return Coder(mean, main @ turn)
 
 
-def _cuts(bits: int, n: int) -> list[tuple[int, int]]:
-    """(first bit, mask) of the parts of a code, each about as long as it takes to tell n codes apart."""
-    parts = max(1, min(bits, round(bits / max(8.0, math.log2(n + 2)))))
+def _parts(bits: int, parts: int) -> list[tuple[int, int]]:
+    """(first bit, mask) of the parts of a code."""
     ends = [bits * i // parts for i in range(parts + 1)]
     return [(a, ((1 << (b - a)) - 1) << a) for a, b in zip(ends, ends[1:], strict=False)]
 
 
+def _cuts(bits: int, cosine: float) -> list[tuple[int, int]]:
+    """The fewest parts of a code of which two codes of this cosine differ in at most one bit of some part, but for one pair in ten thousand.
+
+    The number of vectors has no part in it: buckets grow with the table and are compared in tiles.
+    """
+    p = math.acos(cosine) / math.pi
+    for parts in range(1, bits):
+        missed = 1.0
+        for _, mask in _parts(bits, parts):
+            n = mask.bit_count()
+            missed *= 1 - (1 - p) ** n - n * p * (1 - p) ** (n - 1)
+        if missed <= MISSED:
+            return _parts(bits, parts)
+    return _parts(bits, bits)
+
+
 def _reach(bits: int, cosine: float) -> int:
     """Bits in which two codes of this cosine differ at most, but for one pair in some ten thousand."""
     p = math.acos(cosine) / math.pi
@@ -138,7 +154,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     coder = fit(sample(first, "id", "v", width, SAMPLE))
     classes = write_once(_classes(good, width, coder), "classes")
     n, bits = classes.count(), coder.turn.shape[1]
-    cuts = _cuts(bits, n)
+    cuts = _cuts(bits, cosine)
     code = F.col("code")
     places = []
     for t, (start, mask) in enumerate(cuts):

@@ -94,3 +94,24 @@ def test_few_repeated_and_no_candidates(make_vectors):
     assert found == [(0, 1, 2, 1.0), (0, 2, 2, 1.0), (0, 3, 40, 1.0), (0, 4, 1, 0.0), (40, 1, 0, 1.0), (40, 2, 2, 1.0), (40, 3, 2, 1.0), (40, 4, 1, 0.0)]
     assert ann.nearest(make_vectors([]), make_vectors([])).collect() == []
     assert ann.nearest(make_vectors([(0, v[0])]), make_vectors([(0, v[0])])).collect() == []
+
+
+def _pairs_at(x, cosine, seed):
+    """Unit vectors, and one at this cosine from each in a random direction."""
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    w = np.random.default_rng(seed).normal(size=x.shape)
+    w -= np.sum(w * x, axis=1, keepdims=True) * x
+    return x, cosine * x + math.sqrt(1 - cosine**2) * w / np.linalg.norm(w, axis=1, keepdims=True)
+
+
+def _met(a, b, masks, radius):
+    differ = (a ^ b).view(np.uint64)
+    near = np.any([np.bitwise_count(differ & np.uint64(m)) <= 1 for m in masks], axis=0)
+    return float(np.mean(near & (np.bitwise_count(differ) <= radius)))
+
+
+def test_the_parts_of_a_code_find_links_in_tables_of_any_size():
+    x, y = _pairs_at(np.random.default_rng(7).normal(size=(20_000, 64)), 0.95, 8)
+    coder = embed_dedup.fit(x)
+    masks = [m for _, m in embed_dedup._cuts(bits=64, cosine=0.95)]
+    assert _met(coder.codes(x), coder.codes(y), masks, 64) >= 0.999
