@@ -22,7 +22,9 @@ COSINE = 0.95
 SAMPLE, ROUNDS, MAX_BITS = 20_000, 30, 64
 TILE = 1024
 VECTOR_ROWS = 1 << 16
-MISSED = 1e-4
+MISSED, PAIRS = 1e-4, 40_000
+#: Comparisons in the buckets of parts, as a multiple of those of all codes, above which one bucket has them all.
+CROWDED = 8.0
 
 
 class Coder(NamedTuple):
@@ -58,26 +60,38 @@ def _parts(bits: int, parts: int) -> list[tuple[int, int]]:
     return [(a, ((1 << (b - a)) - 1) << a) for a, b in zip(ends, ends[1:], strict=False)]
 
 
-def _cuts(bits: int, cosine: float) -> list[tuple[int, int]]:
-    """The fewest parts of a code of which two codes of this cosine differ in at most one bit of some part, but for one pair in ten thousand.
+def _at_threshold(x: np.ndarray, cosine: float, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """``PAIRS`` pairs of unit vectors of this cosine, half moved in any direction, half towards another vector of the sample."""
+    rng = np.random.default_rng(seed)
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    u = x[rng.integers(0, len(x), PAIRS)]
+    w = rng.normal(size=u.shape)
+    w[::2] = x[rng.integers(0, len(x), len(w[::2]))] - u[::2] + w[::2] * 1e-6
+    w -= np.sum(w * u, axis=1, keepdims=True) * u
+    w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-300)
+    return u, cosine * u + math.sqrt(1 - cosine * cosine) * w
 
-    The number of vectors has no part in it: buckets grow with the table and are compared in tiles.
-    """
-    p = math.acos(cosine) / math.pi
-    for parts in range(1, bits):
-        missed = 1.0
-        for _, mask in _parts(bits, parts):
-            n = mask.bit_count()
-            missed *= 1 - (1 - p) ** n - n * p * (1 - p) ** (n - 1)
-        if missed <= MISSED:
-            return _parts(bits, parts)
-    return _parts(bits, bits)
 
+def _plan(x: np.ndarray, coder: Coder, cosine: float) -> tuple[int, list[tuple[int, int]]]:
+    """(radius, parts): how far apart codes of links may be, and the fewest parts of which they differ in at most one bit of some.
 
-def _reach(bits: int, cosine: float) -> int:
-    """Bits in which two codes of this cosine differ at most, but for one pair in some ten thousand."""
-    p = math.acos(cosine) / math.pi
-    return min(bits, math.ceil(bits * p + 4 * math.sqrt(bits * p * (1 - p))))
+    Both are measured on pairs at the threshold made from the sample ``x``, so a common direction of the vectors, which the
+    codes leave out, widens them; at most one pair in ten thousand is missed. The number of vectors has no part in
+    it: buckets grow with the table and are compared in tiles. Where parts would be so short that their buckets
+    hold more rows than the table, one bucket has all codes.
+    """
+    u, v = _at_threshold(x, cosine)
+    differ = (coder.codes(u) ^ coder.codes(v)).view(np.uint64)
+    apart, bits = np.bitwise_count(differ).astype(np.int64), coder.turn.shape[1]
+    radius = min(bits, max(int(apart.max()), math.ceil(apart.mean() + 4 * apart.std())))
+    for parts in range(1, bits + 1):
+        cuts, width = _parts(bits, parts), bits / parts
+        if parts * (1 + width) ** 2 / 2**width > CROWDED:
+            break
+        met = np.any([np.bitwise_count(differ & np.uint64(mask)) <= 1 for _, mask in cuts], axis=0)
+        if np.count_nonzero(~met) <= MISSED * PAIRS:
+            return radius, cuts
+    return radius, [(0, 0)]
 
 
 def _rerank(cosine: float, width: int, masks: list[int]):
@@ -137,7 +151,8 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     Equal vectors are one node of the search and count with all their rows. Each code is a resident of one bucket
     per table and visits those one bit away, so codes that differ in at most one bit of some part meet. A bucket of any size is
     compared in tiles; first the codes, which gives rows and not pairs, then the vectors of those rows only. A pair counts in
-    the first table where it meets. The rotation is learned from at most ``SAMPLE`` distinct vectors.
+    the first table where it meets. The rotation is learned from at most ``SAMPLE`` distinct vectors, which also say how far
+    apart the codes of links may be and how many parts find them.
 
     Vectors that are null, empty, zero, hold null or non-finite numbers, or are not of the most frequent length link
     with nothing, equal ones included. Rows that repeat a key are rows of their own. A row with a null key has its links; its component
@@ -151,10 +166,11 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     if width == 0:
         return rows.select(alone, F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
     first = write_once(good.groupBy("v").agg(F.min("id").alias("id")), "distinct-vectors")
-    coder = fit(sample(first, "id", "v", width, SAMPLE))
+    learned = sample(first, "id", "v", width, SAMPLE)
+    coder = fit(learned)
+    radius, cuts = _plan(learned, coder, cosine)
     classes = write_once(_classes(good, width, coder), "classes")
     n, bits = classes.count(), coder.turn.shape[1]
-    cuts = _cuts(bits, cosine)
     code = F.col("code")
     places = []
     for t, (start, mask) in enumerate(cuts):
@@ -163,7 +179,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         places += [F.struct(F.lit(t).alias("t"), at.bitwiseXOR(F.lit(signed(f))).alias("bucket"), F.lit(f == 0).alias("home")) for f in flips]
     meeting = classes.select("node", "code", F.explode(F.array(*places)).alias("x")).select("x.t", "x.bucket", "x.home", "node", "code")
     masks = [mask for _, mask in cuts]
-    met = met_rows(meeting, n * len(places), _reach(bits, cosine), masks, 1, TILE)
+    met = met_rows(meeting, n * len(places), radius, masks, 1, TILE)
     tasks = max(shuffle_partitions(spark), -(-met.count() // VECTOR_ROWS))
     full = met.join(classes.select("node", "weight", "v"), "node").select(*COLUMNS, "weight", "v").repartition(tasks, "t", "bucket", "tile")
     found = write_once(full.mapInArrow(_rerank(cosine, width, masks), "kind int, u bigint, v bigint"), "links")

@@ -110,8 +110,24 @@ def _met(a, b, masks, radius):
     return float(np.mean(near & (np.bitwise_count(differ) <= radius)))
 
 
-def test_the_parts_of_a_code_find_links_in_tables_of_any_size():
-    x, y = _pairs_at(np.random.default_rng(7).normal(size=(20_000, 64)), 0.95, 8)
+@pytest.mark.parametrize("mean", [0.0, 0.5, 2.0, 4.0])
+def test_the_parts_and_the_radius_find_links_in_tables_of_any_size(mean):
+    rng = np.random.default_rng(7)
+    common = rng.normal(size=64)
+    x, y = _pairs_at(rng.normal(size=(20_000, 64)) + mean * math.sqrt(64) * common / np.linalg.norm(common), 0.95, 8)
     coder = embed_dedup.fit(x)
-    masks = [m for _, m in embed_dedup._cuts(bits=64, cosine=0.95)]
-    assert _met(coder.codes(x), coder.codes(y), masks, 64) >= 0.999
+    radius, cuts = embed_dedup._plan(x, coder, 0.95)
+    assert _met(coder.codes(x), coder.codes(y), [m for _, m in cuts], radius) >= 0.999
+
+
+def test_links_of_vectors_with_a_common_direction(make_vectors):
+    rng = np.random.default_rng(9)
+    common = 2 * math.sqrt(32) * rng.permutation(np.r_[np.ones(1), np.zeros(31)])
+    x, y = _pairs_at(rng.normal(size=(150, 32)) + common, 0.955, 10)
+    x = np.concatenate([x, y])
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    v = np.array([r[1] for r in rows], float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    want = (v @ v.T >= 0.95).sum(axis=1) - 1
+    found = {r.vec_id: r.n_links for r in embed_dedup.near_duplicates(make_vectors(rows)).collect()}
+    assert all(found[i] <= n for i, n in enumerate(want)) and sum(found.values()) >= 0.99 * want.sum()
