@@ -28,7 +28,7 @@ def _lines(messages: DataFrame) -> DataFrame:
 
 
 def _quoted(lines: DataFrame) -> DataFrame:
-    """(message, conv, turn, level, hash) of each quoted passage: neighbouring lines of one level.
+    """(message, conv, turn, k, level, hash, lines) of each quoted passage: neighbouring lines of one level.
 
     A line's passage starts at the last line before it of another level; levels of a message are compared within
     its own lines, which the message bounds.
@@ -39,9 +39,17 @@ def _quoted(lines: DataFrame) -> DataFrame:
     per = per.withColumn("starts", starts).select("*", F.posexplode("starts").alias("k", "start"))
     end = F.coalesce(F.get("starts", F.col("k") + 1), F.size("rows"))
     own = F.slice("rows", F.col("start") + 1, end - F.col("start"))
-    text = _normal(F.array_join(F.transform(own, lambda r: r["line"]), " "))
-    runs = per.select("message", "conv", "turn", F.get("rows", "start")["level"].alias("level"), text.alias("passage"))
-    return runs.where((F.col("level") > 0) & (F.col("passage") != "")).select("message", "conv", "turn", "level", F.md5("passage").alias("hash"))
+    own = F.transform(own, lambda r: r["line"])
+    runs = per.select("message", "conv", "turn", "k", F.get("rows", "start")["level"].alias("level"), _normal(F.array_join(own, " ")).alias("passage"), F.array_join(own, "\n").alias("lines"))
+    return runs.where((F.col("level") > 0) & (F.col("passage") != "")).select("message", "conv", "turn", "k", "level", F.md5("passage").alias("hash"), "lines")
+
+
+def _parts(messages: DataFrame) -> DataFrame:
+    """(conv, hash, turn) of each message's own text, paragraphs and lines."""
+    own = F.col("content")
+    parts = F.array_distinct(F.flatten(F.array(F.array(own), F.split(own, r"\n[ \t]*\n"), F.split(own, "\n"))))
+    rows = messages.select("conv", "turn", F.explode(parts).alias("part")).select("conv", "turn", _normal(F.col("part")).alias("part"))
+    return rows.where(F.col("part") != "").select("conv", F.md5("part").alias("hash"), "turn")
 
 
 def _originals(messages: DataFrame) -> DataFrame:
@@ -50,10 +58,25 @@ def _originals(messages: DataFrame) -> DataFrame:
     A passage is a message's own text, a paragraph or a line of it. The minimum is combined before the shuffle, so a
     line that many messages share costs one row per task.
     """
-    own = F.col("content")
-    parts = F.array_distinct(F.flatten(F.array(F.array(own), F.split(own, r"\n[ \t]*\n"), F.split(own, "\n"))))
-    rows = messages.select("conv", "turn", F.explode(parts).alias("part")).select("conv", "turn", _normal(F.col("part")).alias("part"))
-    return rows.where(F.col("part") != "").groupBy("conv", F.md5("part").alias("hash")).agg(F.min("turn").alias("original"))
+    return _parts(messages).groupBy("conv", "hash").agg(F.min("turn").alias("original"))
+
+
+def _partly(passages: DataFrame, messages: DataFrame) -> DataFrame:
+    """(message, k, partly): for passages without an original, the earlier turn that holds most of their lines, by length.
+
+    A turn holds a line if the line, or its paragraph of the passage, is the turn's own text, a paragraph or a line of it. It must hold
+    more than half; of several the one that holds most, then the first.
+    """
+    paragraphs = passages.select("message", "conv", "turn", "k", F.posexplode(F.split("lines", r"\n[ \t]*\n")).alias("p", "paragraph"))
+    lines = paragraphs.select("message", "conv", "turn", "k", "p", F.md5(_normal(F.col("paragraph"))).alias("whole"), F.posexplode(F.split("paragraph", "\n")).alias("at", "line"))
+    lines = lines.withColumn("line", _normal(F.col("line"))).where(F.col("line") != "")
+    lines = write_once(lines.select("message", "conv", "turn", "k", "p", "at", "whole", F.md5("line").alias("hash"), F.length("line").alias("size")), "quoted-lines")
+    sizes = lines.groupBy("message", "k").agg(F.sum("size").alias("total"))
+    asked = lines.select("message", "conv", "turn", "k", "p", "at", "size", F.explode(F.array_distinct(F.array("hash", "whole"))).alias("hash"))
+    held = asked.join(_parts(messages).withColumnRenamed("turn", "original").distinct(), ["conv", "hash"]).where(F.col("original") < F.col("turn"))
+    held = held.select("message", "k", "p", "at", "size", "original").distinct().groupBy("message", "k", "original").agg(F.sum("size").alias("held"))
+    most = held.join(sizes, ["message", "k"]).where(2 * F.col("held") > F.col("total"))
+    return most.groupBy("message", "k").agg(F.min(F.struct((-F.col("held")).alias("h"), "original")).alias("b")).select("message", "k", F.col("b.original").alias("partly"))
 
 
 def _roots(parents: DataFrame) -> DataFrame:
@@ -76,7 +99,8 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     ``conversations`` has conv_id, turn, role and text. Lines that start with ``>`` are quoted, as deep as they have such
     marks; content is the text without them, and without white space at its ends. Neighbouring lines of one level are a passage; it is linked to the first
     message of the conversation whose own text, paragraph or line is the same but for case and white space, if that is an
-    earlier turn. A message replies to the original of its shallowest linked passage, the latest of several. thread is the turn
+    earlier turn. A passage without such an original is linked to the earlier turn that holds most of its lines, singly or as
+    paragraphs, if these are more than half of it. A message replies to the original of its shallowest linked passage, the latest of several. thread is the turn
     that the replies lead back to, depth the number of replies, position the message's place (from 0) in its conversation by
     thread, then turn, so an original comes before its replies.
 
@@ -93,10 +117,13 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     key = F.xxhash64("conv", "turn", "role", "text")
     rows = write_once(rows.withColumns({"quotes": has, "content": content, "message": key}), "messages")
     asking = rows.where(F.col("quotes") & F.col("turn").isNotNull()).select("message", "conv", "turn", "text").distinct()
-    passages = _quoted(_lines(asking))
-    found = passages.join(_originals(rows.where(F.col("turn").isNotNull())), ["conv", "hash"], "left")
+    passages, told = write_once(_quoted(_lines(asking)), "passages"), rows.where(F.col("turn").isNotNull())
+    found = passages.join(_originals(told), ["conv", "hash"], "left")
     linked = F.when(F.col("original") < F.col("turn"), F.col("original"))
-    found = found.withColumn("original", linked)
+    found = write_once(found.withColumn("original", linked), "found")
+    rest = found.where(F.col("original").isNull())
+    if not rest.isEmpty():
+        found = found.join(_partly(rest, told), ["message", "k"], "left").withColumn("original", F.coalesce("original", "partly"))
     best = F.min(F.when(F.col("original").isNotNull(), F.struct("level", (-F.col("original")).alias("back"), "original")))
     counts = found.groupBy("message").agg(F.count(F.lit(1)).alias("n_quotes"), F.count("original").alias("n_linked"), best["original"].alias("reply_to"))
     counts = write_once(counts, "replies")

@@ -49,6 +49,20 @@ def test_odd_messages(spark):
     assert quotes.link_quotes(_chat(spark, [])).collect() == []
 
 
+def test_parts_of_messages_are_quotes_too(spark):
+    rows = [
+        (1, 0, "user", "A first paragraph\n\nthe second one\nover two lines\n\nand a third"),
+        (1, 1, "assistant", "one line\nanother line\nmore of it\nthe last of them"),
+        (1, 2, "user", "the second one\nis not the same"),
+        (1, 3, "user", "> a first paragraph\n>\n> the second one over\n> two lines\nyes"),
+        (1, 4, "user", "> another line\n> more of it\nindeed"),
+        (1, 5, "user", "> one line\n> another line\n> more of\nwell"),
+        (1, 6, "user", "> the second one\n> is something else altogether\nno"),
+    ]
+    found = _by(quotes.link_quotes(_chat(spark, rows)))
+    assert [(found[1, t].n_linked, found[1, t].reply_to) for t in range(3, 7)] == [(1, 0), (1, 1), (1, 1), (0, None)]
+
+
 FILES = "path string, text string, licence string, term string, folder int"
 
 
