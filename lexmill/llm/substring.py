@@ -1,4 +1,4 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against a reference that is spread over blocks."""
+"""Substring deduplication by phrases cut at minimisers, in place of relative Lempel-Ziv parsing against indexed blocks."""
 
 from __future__ import annotations
 
@@ -221,7 +221,7 @@ def _per_document(runs: DataFrame, name: str) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, starts, counts): the runs of windows of each document whose words also start earlier; written.
 
-    ``docs`` has doc_id and text. Every document is parsed against every block of the reference, which is the first place of
+    ``docs`` has doc_id and text. Every document is held, by hashes of phrases, against the reference, which is the first place of
     each phrase of the corpus, spread by anchor over the tasks. A phrase found at an earlier place is a factor, and
     neighbouring factors join. Where factors end, phrases of one anchor differ: their windows are checked one by one in the same
     way. Each task first settles what repeats within it, so a passage that a third of all documents share comes to the
