@@ -55,6 +55,21 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_
 LEFT JOIN kept USING (doc_id)
 """
 
+SQL["op12_lines"] = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+  SELECT rid, doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT rid, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM rows)
+), common AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT rid, doc_id, line, pos, coalesce(doc_id < last, false) AS gone FROM lines LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY rid, doc_id
+"""
+
 SQL["op6_quotes"] = r"""
 WITH RECURSIVE messages AS (
   SELECT conv_id, coalesce('=' || conv_id::VARCHAR, 'null') AS conv, turn, role, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS text

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import ann, bpe, embed_dedup, langid, licenses, mixing, quality, quotes, simhash, substring
-from lexmill.llm.common import crc_mod, table
+from lexmill.llm import alignment, ann, bpe, embed_dedup, langid, licenses, lines, mixing, periodic, quality, quotes, simhash, substring
+from lexmill.llm.common import WORD, crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,54 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     taken = mixing.copies(table(spark, folder, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one text in ten, by the crc32 of its key, repeats some of its words to its end, as the query's contract has it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    chosen = chosen.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    chosen = chosen.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    chosen = chosen.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))
+    repeated = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), F.transform(F.sequence("a", (F.col("n") - 1).cast("bigint")), place))
+    return chosen.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of every text, the strongest of them, and the text without what they repeat."""
+    found = periodic.find_runs(planted(table(spark, folder, "documents").select("doc_id", "text")))
+
+    def stronger(best, run):
+        ahead = run["length"] * best["period"] - best["length"] * run["period"]
+        tie = (run["start"] < best["start"]) | ((run["start"] == best["start"]) & (run["period"] < best["period"]))
+        return F.when(best["period"].isNull() | (ahead > 0) | ((ahead == 0) & tie), run).otherwise(best)
+
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), stronger)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the lines that many share."""
+    left = lines.drop_common_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the tokens of two tokenizers end together in every text."""
+    import public_tokenizers
+
+    files = alignment.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = alignment.link(table(spark, folder, "documents").select("doc_id", "text"), files)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))

@@ -24,7 +24,7 @@ def test_query_equals_its_sql(spark, small, tables, name):
 
 
 def test_each_operator_has_a_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and set(oracle.SQL) <= set(entry.oracle_sql())
 
 
