@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 from itertools import chain
@@ -15,10 +16,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import texts_of
+from lexmill.llm.common import frugal, offsets, texts_of
 
-#: Pre-tokens of at most 64 bytes that a worker remembers; beyond that it starts anew.
-CACHE = 1 << 18
+#: Pre-tokens of at most 64 bytes that a worker remembers in each of two generations: when the younger is full the older goes.
+CACHE = 1 << 17
+#: Bytes of text that a worker handles at once; one longer text is taken alone.
+PART = 1 << 20
 PER_BUCKET = 2
 
 
@@ -79,6 +82,7 @@ class Encoder(dict):
         self.tokens, self.find = vocabulary.tokens, regex.compile(vocabulary.pattern).findall
         self.seeds, self.slots = vocabulary.seeds.tolist(), vocabulary.slots.tolist()
         self.ranks = {token: i for i, token in enumerate(vocabulary.tokens)}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def lookup(self, piece: bytes) -> int:
         """The id of a whole token, or -1."""
@@ -87,42 +91,68 @@ class Encoder(dict):
         return at if self.tokens[at] == piece else -1
 
     def merge(self, piece: bytes) -> list[int]:
-        """Join the neighbours of lowest rank, leftmost first, until no joined pair is a token."""
+        """Join the neighbours of lowest rank, leftmost first, until no joined pair is a token.
+
+        ``after`` and ``before`` link the parts by their first bytes. ``rank`` has the rank of each part joined with the next; an
+        entry of the heap (rank and place in one number) counts only if it still says so.
+        """
         n, rank_of = len(piece), self.ranks.get
-        end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := rank_of(piece[i : i + 2])) is not None]
+        shift = n.bit_length()
+        none, low = 1 << 62, (1 << shift) - 1
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        rank = [rank_of(piece[i : i + 2], none) for i in range(n - 1)]
+        rank.append(none)
+        heap = [r << shift | i for i, r in enumerate(rank) if r != none]
         heapq.heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
-            j = after[i] if end[i] else n
-            if not end[i] or j >= n or end[j] != stop:
+            top = heapq.heappop(heap)
+            i = top & low
+            if rank[i] != top >> shift:
                 continue
-            end[i], end[j], after[i] = stop, 0, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (rank := rank_of(piece[i : end[after[i]]])) is not None:
-                    heapq.heappush(heap, (rank, i, end[after[i]]))
+            j = after[i]
+            stop = after[i] = after[j]
+            rank[j] = rank[i] = none
+            if stop < n:
+                before[stop] = i
+                rank[i] = r = rank_of(piece[i : after[stop]], none)
+                if r != none:
+                    heapq.heappush(heap, r << shift | i)
             h = before[i]
-            if h >= 0 and (rank := rank_of(piece[h:stop])) is not None:
-                heapq.heappush(heap, (rank, h, stop))
+            if h >= 0:
+                rank[h] = r = rank_of(piece[h:stop], none)
+                if r != none:
+                    heapq.heappush(heap, r << shift | h)
         ids, i = [], 0
         while i < n:
-            ids.append(rank_of(piece[i : end[i]]))
+            ids.append(rank_of(piece[i : after[i]]))
             i = after[i]
         return ids
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        whole = piece.encode()
-        at = self.lookup(whole)
-        ids = (at,) if at >= 0 else tuple(self.merge(whole))
+        ids = self.older.get(piece)
+        if ids is None:
+            whole = piece.encode()
+            at = self.lookup(whole)
+            ids = (at,) if at >= 0 else tuple(self.merge(whole))
+            if len(whole) > 64:
+                return ids
         if len(self) >= CACHE:
+            self.older = dict(self)
             self.clear()
-        if len(whole) <= 64:
-            self[piece] = ids
+        self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, self.find(text))), np.int32)
+    def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(self.__getitem__, self.find(text))))
+
+    def decode(self, ids: list[int]) -> bytes:
+        """The bytes of some ids."""
+        if ids and min(ids) < 0:
+            raise ValueError("an id outside the vocabulary")
+        try:
+            return b"".join(map(self.tokens.__getitem__, ids))
+        except IndexError:
+            raise ValueError("an id outside the vocabulary") from None
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -136,6 +166,19 @@ def encoder_of(vocabulary: Vocabulary) -> Encoder:
     return _ENCODERS[vocabulary.name]
 
 
+def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, last) of runs of rows of about PART bytes, or one longer row; ``sizes`` has where rows start and the last ends."""
+    first = 0
+    while first < len(sizes) - 1:
+        last = min(len(sizes) - 1, max(first + 1, int(np.searchsorted(sizes, sizes[first] + PART, "right")) - 1))
+        yield first, last
+        first = last
+
+
+def _lists(ids: list[list[int]]) -> pa.ListArray:
+    return pa.array(ids, pa.list_(pa.int32()))
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids): the token ids of each whole text, without special tokens. Null and empty text: no ids."""
 
@@ -143,32 +186,51 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
         encoder = encoder_of(vocabulary)
         for batch in batches:
             texts = texts_of(batch, "_text")
-            size = max(1, len(texts) * (4 << 20) // max(1, texts.nbytes))
-            for start in range(0, len(texts), size):
-                ids = [encoder.encode(t.as_py()) for t in texts[start : start + size]]
-                ends = np.cumsum([0, *map(len, ids)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[start : start + size], lists], [key, "ids"])
+            for first, last in _parts(offsets(texts)):
+                ids = [encoder.encode(t) for t in texts[first:last].to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], _lists(ids)], [key, "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(frugal(run), f"`{key}` {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, key: str = "doc_id") -> DataFrame:
     """(key, ids, decoded): the bytes of each list of ids. Null: no bytes; an unknown id raises."""
-    tokens = vocabulary.tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(vocabulary)
         for batch in batches:
-            lists = batch.column(1)
-            size = max(1, len(lists) * (4 << 20) // max(1, lists.nbytes))
-            for start in range(0, len(lists), size):
-                part = lists[start : start + size]
-                ids = [np.asarray(i.values) if i.is_valid else np.zeros(0, np.int32) for i in part]
-                if any(len(i) and (i.min() < 0 or i.max() >= len(tokens)) for i in ids):
-                    raise ValueError("an id outside the vocabulary")
-                whole = [b"".join(map(tokens.__getitem__, i.tolist())) for i in ids]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[start : start + size], part, pa.array(whole, pa.binary())], [key, "ids", "decoded"])
+            for first, last in _parts(offsets(batch.column(1)) * 4):
+                part = batch.column(1)[first:last]
+                whole = [encoder.decode(i or []) for i in part.to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], part, pa.array(whole, pa.binary())], [key, "ids", "decoded"])
 
     kind = encoded.schema[key].dataType.simpleString()
-    return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, ids array<int>, decoded binary")
+    return encoded.select(key, "ids").mapInArrow(frugal(run), f"`{key}` {kind}, ids array<int>, decoded binary")
+
+
+def digests(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256): what :func:`encode` gives for each text and :func:`decode` for its ids, hashed.
+
+    Both are done where the text is, in one pass, so that neither ids nor bytes leave the worker. ids_sha256 is of the decimal ids
+    joined by one space; both are lowercase hex.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(vocabulary)
+        decimal = list(map(str, range(len(vocabulary.tokens))))
+        for batch in batches:
+            texts = texts_of(batch, "_text")
+            for first, last in _parts(offsets(texts)):
+                counts, spelled, decoded = [], [], []
+                for t in texts[first:last].to_pylist():
+                    ids = encoder.encode(t)
+                    counts.append(len(ids))
+                    spelled.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
+                columns = [pa.array(counts, pa.int64()), pa.array(spelled), pa.array(decoded)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], *columns], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    shape = f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(frugal(run), shape)

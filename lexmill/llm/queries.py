@@ -70,17 +70,15 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    done = bpe.decode(bpe.encode(table(spark, folder, "documents"), vocabulary), vocabulary)
-    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.digests(table(spark, folder, "documents"), vocabulary)
 
 
 @query
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    """The licence of every document, as a file of its language's folder in its source's folder."""
+    """The licence of every document, as a file of its language's folder in its source's folder; without doc_id it has no path."""
     docs = table(spark, folder, "documents")
-    paths = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
-    found = licenses.scan(docs.where(F.col("doc_id").isNotNull()).select(paths.alias("path"), "text"))
+    paths = F.when(F.col("doc_id").isNotNull(), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+    found = licenses.scan(docs.select(paths.alias("path"), "text"))
     return found.select(F.substring_index("path", "/", -1).cast("bigint").alias("doc_id"), "path", "licence", "how", "cosine", "folder")
 
 
@@ -144,7 +142,7 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Where the tokens of two tokenizers end together in every text."""
     import public_tokenizers
 
-    files = alignment.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    files = alignment.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
     found = alignment.link(table(spark, folder, "documents").select("doc_id", "text"), files)
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import public_tokenizers
@@ -41,7 +42,7 @@ def test_a_full_memory_changes_nothing(vocabulary, other, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 3)
     encoder = bpe.Encoder(vocabulary)
     text = "Zebras quuxing zzyzx quuxing again; zebras zzyzxing."
-    assert encoder.encode(text).tolist() == other.encode_ordinary(text) and len(encoder) <= 3
+    assert encoder.encode(text) == other.encode_ordinary(text) and len(encoder) <= 3 and len(encoder.older) <= 3
 
 
 def test_bad_input(spark, vocabulary, tmp_path):
@@ -51,3 +52,28 @@ def test_bad_input(spark, vocabulary, tmp_path):
     path.write_bytes(b"YQ== 0\nYQ== 1\n")
     with pytest.raises(ValueError, match="each token once"):
         bpe.load(str(path), ".")
+
+
+def test_spaces_of_any_kind(vocabulary, other):
+    rng = random.Random(9)
+    encoder = bpe.Encoder(vocabulary)
+    alphabet = [*"ab1.'éñ漢\n\t\r\x1c\x85\xa0\u2003\u200b", " ", " ", " ", "'s", " the", "  "]
+    for _ in range(4000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(25)))
+        assert encoder.encode(text) == other.encode_ordinary(text), repr(text)
+
+
+def test_digests_are_of_ids_and_bytes(make_docs, vocabulary, other):
+    rows = [(1, "some words, and more"), (1, "some words, and more"), (2, None), (3, ""), (None, " no  key "), (4, "x" * 100_000), (5, "long text " * 200_000)]
+    found = bpe.digests(make_docs(rows), vocabulary).collect()
+    ids = {i: other.encode_ordinary(t or "") for i, t in rows}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = [(i, len(ids[i]), sha(" ".join(map(str, ids[i])).encode()), sha((t or "").encode())) for i, t in rows]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
+    assert bpe.digests(make_docs([]), vocabulary).collect() == []
+
+
+def test_ids_of_the_whole_table(spark, small, vocabulary, other):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    found = {r.doc_id: r.ids for r in bpe.encode(docs, vocabulary).collect()}
+    assert found == {r.doc_id: other.encode_ordinary(r.text or "") for r in docs.select("doc_id", "text").collect()}
