@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -118,6 +119,29 @@ def segment_hashes(codes: np.ndarray, starts: np.ndarray, total: int) -> np.ndar
     return mixed(sums + lengths.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function of a task, giving freed memory back to the system after each batch: workers live on through many stages."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                _give_back()
+
+        yield from run(fed())
+        _give_back()
+
+    return lean
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several steps read, in the shared folder, and read it back."""
     return materialize(df, name)

@@ -11,21 +11,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import attach, gathered, texts_of, write_once
+from lexmill.llm.common import frugal, gathered, texts_of, write_once
 from lexmill.llm.components import components
 from lexmill.llm.hamming import close, labels
-from lexmill.llm.meeting import COLUMNS, KEYS, first_table, met_rows, signed, sorted_groups
+from lexmill.llm.meeting import signed
 from lexmill.llm.tiles import TILE, tiles
 from lexmill.operators.scale import lookup_join
 from lexmill.runtime import shuffle_partitions
 
 WORDS, RADIUS, SEED = 3, 3, 42
 BLOCKS = 5
-TASK_ROWS, SET_ROWS = 1 << 20, 1 << 12
+TASK_ROWS = 1 << 20
 CHUNK = 1 << 16
-SET_TILE, PAIRS = 1024, 1 << 12
-#: Texts whose shingles are counted, the number of texts that makes a shingle frequent, and how many such are held at most.
-SAMPLE, OFTEN, FREQUENT = 10_000, 3, 50_000
 
 
 def _fingerprint(text: str, n: int) -> int:
@@ -56,7 +53,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
             fps = [_fingerprint(t.as_py(), words) for t in texts_of(batch, "_text")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], [key, "fp"])
 
-    return docs.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, fp bigint")
+    return docs.select(key, F.col(text).alias("_text")).mapInArrow(frugal(run), f"`{key}` {kind}, fp bigint")
 
 
 def _masks(radius: int, blocks: int) -> list[int]:
@@ -108,238 +105,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     are linked like any other. Rows that repeat a key are rows of the result. Rows with a null key keep it, and count as a
     copy of the others: their component is the smallest other key, or null if there is none. Empty input gives no rows.
     """
-    fps = write_once(fingerprints(docs, key, text, words), "fingerprints")
+    return _grouped(write_once(fingerprints(docs, key, text, words), "fingerprints"), key, radius)
+
+
+def _grouped(fps: DataFrame, key: str, radius: int) -> DataFrame:
+    """The written rows ``fps`` (key, fp and more) with the component_id of each."""
     nodes = write_once(fps.groupBy("fp").agg(F.min(key).alias("node")), "codes")
     edges = links(nodes.where(F.col("node").isNotNull()).select("node", F.col("fp").alias("code")), radius)
     found = components(edges)
     classes = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(write_once(classes, "classes"), "fp").select(key, "fp", "component_id")
-
-
-def _sketch(text: str, n: int) -> tuple[int, np.ndarray]:
-    """The fingerprint of a text, and the different hashes of its n-word shingles, sorted."""
-    words = text.encode().lower().split()
-    if not words:
-        return 0, np.zeros(0, np.uint64)
-    total = max(1, len(words) - n + 1)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), SEED) for i in range(total)), np.uint64, total)
-    ones = np.zeros(64, np.int64)
-    for start in range(0, total, CHUNK):
-        ones += np.unpackbits(hashes[start : start + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0]), np.unique(hashes)
-
-
-def _node(shingles: np.ndarray) -> int:
-    """The number of a set of shingles; equal sets only have the same, but for one pair in 2^64."""
-    return signed(xxhash.xxh64_intdigest(shingles.tobytes(), SEED))
-
-
-def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
-    """Whether the Jaccard similarity of two sorted sets is at least ``similarity``."""
-    small, large = sorted((len(x), len(y)))
-    if small < similarity * large:
-        return False
-    both = np.sort(np.concatenate([x, y]))
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return common >= similarity * (small + large - common)
-
-
-def _verified(radius: int, masks: list[int], similarity: float):
-    """Edges between rows of a bucket that meet here for the first time and are alike; one per row at most.
-
-    Pairs that are connected already are not looked at, so a large group of copies costs little more than one look per row.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = gathered(batches, VERIFIED)
-        order, group = sorted_groups(rows)
-        if len(order) == 0:
-            return
-        code, t, node = (rows[c].to_numpy()[order] for c in ("code", "t", "node"))
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"].combine_chunks().take(pa.array(order))]
-        label = np.arange(len(order))
-        for i, j in close(code.view(np.uint64), group, radius):
-            good = (node[i] != node[j]) & (first_table(code[i], code[j], masks, 0) == t[i])
-            i, j = i[good], j[good]
-            while len(i):
-                apart = label[i] != label[j]
-                i, j = i[apart], j[apart]
-                a, b = i[:PAIRS], j[:PAIRS]
-                same = np.array([_alike(sets[x], sets[y], similarity) for x, y in zip(a, b, strict=True)], bool)
-                joined = labels(len(order), iter([(label[a[same]], label[b[same]])]))
-                label, i, j = joined[label], i[PAIRS:], j[PAIRS:]
-        moved = np.flatnonzero(label != np.arange(len(order)))
-        yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[label[moved]])], ["u", "v"])
-
-    return run
-
-
-VERIFIED = pa.schema([*KEYS, ("shingles", pa.binary())])
-
-
-def _sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(node, shingles) of the ``nodes`` (node, first): texts are read again by the key ``first``; written."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [_sketch(t.as_py(), words)[1] for t in texts_of(batch, "_text")]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "shingles"])
-
-    wanted = write_once(nodes.select(F.col("first").alias(key), F.lit(True).alias("_met")).distinct(), "met-keys")
-    texts = attach(docs.select(key, F.col(text).alias("_text")), wanted, key).where(F.col("_met")).select("doc._text")
-    return write_once(texts.mapInArrow(run, "node bigint, shingles binary"), "shingles").dropDuplicates(["node"])
-
-
-def _frequent(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that occur in several texts of a sample, sorted, and in how many: they come last in prefixes, none is left out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in texts_of(batch, "_text"):
-                yield pa.RecordBatch.from_arrays([pa.array(_sketch(t.as_py(), words)[1].view(np.int64))], ["token"])
-
-    part = docs.select(F.col(text).alias("_text")).sample(min(1.0, SAMPLE / max(1, docs.count())), SEED)
-    counts = part.mapInArrow(run, "token bigint").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= OFTEN)
-    found = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
-    tokens, n = np.array([r.token for r in found], np.int64).view(np.uint64), np.array([r.n for r in found], np.int64)
-    order = np.argsort(tokens)
-    return tokens[order], n[order]
-
-
-def _prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
-    """The first shingles of a set, rare ones first: two sets that are alike have one of them in common."""
-    tokens, n = frequent
-    rank = np.zeros(len(shingles), np.int64)
-    if len(tokens):
-        at = np.minimum(np.searchsorted(tokens, shingles), len(tokens) - 1)
-        rank = np.where(tokens[at] == shingles, n[at], 0)
-    size = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-9)) + 1
-    return shingles[np.argsort(rank, kind="stable")[:size]]
-
-
-def _candidates(similarity: float):
-    """Pairs (u, v) of a bucket's nodes, of different components, that their sizes and places in the prefixes allow to be alike."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = gathered(batches, PREFIXES)
-        bucket, tile, own, node, component, size, place = (c.to_numpy() for c in rows.columns)
-        order = np.lexsort((size, tile, bucket))
-        bucket, tile, own, node, component, size, place = (c[order] for c in (bucket, tile, own, node, component, size, place))
-        split = tile >> 31 != tile & ((1 << 31) - 1)
-        left = size - place
-        i = np.arange(len(order))
-        for step in range(1, len(order)):
-            i = i[i + step < len(order)]
-            j = i + step
-            inside = (bucket[i] == bucket[j]) & (tile[i] == tile[j]) & (size[i] >= similarity * size[j] - 1e-9)
-            i, j = i[inside], j[inside]
-            if len(i) == 0:
-                break
-            # Right for the first shingle that two prefixes share; at later ones a pair may be left out, having been found there.
-            common = np.minimum(left[i], left[j]) * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-6
-            good = common & (component[i] != component[j]) & ~(split[i] & (own[i] == own[j]))
-            if good.any():
-                u, v = node[i[good]], node[j[good]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
-
-    return run
-
-
-PREFIXES = pa.schema([(c, pa.int64()) for c in ("bucket", "tile", "own", "node", "component", "size", "place")])
-
-
-def _missed(docs: DataFrame, prefixes: DataFrame, named: DataFrame, near: DataFrame, key: str, text: str, words: int, similarity: float) -> DataFrame:
-    """Edges between all nodes whose sets are alike and that the edges ``near`` do not connect: a prefix-filter join, exact.
-
-    Sets that are alike share a shingle of their prefixes. Shingles all of whose nodes are connected already go first, by a
-    minimum and a maximum, so a large group of near copies is no pair at all.
-    """
-    known = components(near)
-    named = write_once(named.join(known, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component")), "named")
-    parts = prefixes.join(named.drop("first"), "node").select("node", "component", "size", F.posexplode("prefix").alias("place", "bucket"))
-    open_ = parts.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where(F.col("a") != F.col("b")).select("bucket")
-    open_ = write_once(open_, "open-shingles")
-    rows = lookup_join(parts, open_, ["bucket"]).select(F.lit(0).alias("t"), "bucket", "node", "component", "size", F.col("place").cast("bigint").alias("place"))
-    rows = write_once(rows.distinct(), "open-rows")
-    tasks = max(shuffle_partitions(docs.sparkSession), -(-rows.count() // TASK_ROWS))
-    cut = tiles(rows, SET_TILE).select(*PREFIXES.names).repartition(tasks, "bucket", "tile")
-    pairs = write_once(cut.mapInArrow(_candidates(similarity), "u bigint, v bigint").distinct(), "candidates")
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = _sets(docs, named.join(ends, "node"), key, text, words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = ([np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column(c)] for c in (2, 3))
-            good = pa.array([_alike(a, b, similarity) for a, b in zip(x, y, strict=True)], pa.bool_())
-            yield batch.select(["u", "v"]).filter(good)
-
-    full = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("y")), "v")
-    return full.select("u", "v", "x", "y").mapInArrow(run, "u bigint, v bigint")
-
-
-def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 12, blocks: int = 8, kept: int = 2) -> DataFrame:
-    """(key, component_id) for each row: groups of texts whose word shingles have a Jaccard similarity of ``similarity`` or more.
-
-    Texts of one set of shingles are one node; rows of one key are linked. Fingerprints within ``radius`` bits that agree on ``kept`` of
-    ``blocks`` blocks are candidates, compared by bit planes; links are those whose sets of shingles are alike. Only texts that have a
-    candidate are read again for their sets. What the tables miss is found by a prefix-filter join on shingles, so the
-    groups are those of all pairs that are alike. Nulls, empty texts and keys as in
-    :func:`near_duplicates`.
-    """
-    kind = docs.schema[key].dataType.simpleString()
-    frequent = _frequent(docs, text, words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for batch in batches:
-            fps, sets, sizes, prefixes = [], [], [], []
-            for t in texts_of(batch, "_text"):
-                fp, shingles = _sketch(t.as_py(), words)
-                fps.append(fp)
-                sets.append(_node(shingles))
-                sizes.append(len(shingles))
-                prefixes.append(None if sets[-1] in seen else _prefix(shingles, frequent, similarity).view(np.int64))
-                seen.add(sets[-1])
-            columns = [pa.array(fps, pa.int64()), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "fp", "node", "size", "prefix"])
-
-    sketches = docs.select(key, F.col(text).alias("_text")).mapInArrow(run, f"`{key}` {kind}, fp bigint, node bigint, size bigint, prefix array<bigint>")
-    sketches = write_once(sketches, "fingerprints")
-    rows, prefixes = sketches.select(key, "fp", "node"), sketches.where(F.size("prefix") > 0).select("node", "size", "prefix")
-    nodes = write_once(rows.groupBy("node").agg(F.min(key).alias("first"), F.min("fp").alias("code")), "codes")
-    named = nodes.where(F.col("first").isNotNull())
-    masks = _masks(blocks - kept, blocks)
-    places = F.array(*[F.struct(F.lit(t).alias("t"), F.col("code").bitwiseAND(F.lit(signed(m))).alias("bucket")) for t, m in enumerate(masks)])
-    meeting = named.select("node", "code", F.explode(places).alias("x"))
-    meeting = meeting.select("x.t", "x.bucket", F.lit(True).alias("home"), "node", "code")
-    met = met_rows(meeting, nodes.count() * len(masks), radius, masks, 0, SET_TILE)
-    sets = _sets(docs, named.join(met.select("node").distinct(), "node"), key, text, words)
-    tasks = max(shuffle_partitions(docs.sparkSession), -(-met.count() // SET_ROWS))
-    full = met.join(sets, "node").select(*COLUMNS, "shingles").repartition(tasks, "t", "bucket", "tile")
-    near = write_once(full.mapInArrow(_verified(radius, masks, similarity), "u bigint, v bigint"), "near")
-    near = near.union(_missed(docs, prefixes, named, near, key, text, words, similarity))
-    keyed = rows.where(F.col(key).isNotNull())
-    several = keyed.groupBy(key).agg(F.min("node").alias("u"), F.max("node").alias("v")).where(F.col("u") != F.col("v"))
-    found = components(near.union(keyed.join(several.drop("v"), key).select("u", F.col("node").alias("v"))))
-    groups = write_once(nodes.join(found, "node", "left").select("node", "first", "component"), "groups")
-    linked = groups.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
-    linked = write_once(linked.where(F.col("n") > 1).drop("n"), "linked")
-    classes = lookup_join(groups.withColumn("component", F.coalesce("component", "node")), linked, ["component"], "left")
-    classes = classes.select("node", F.coalesce("component_id", "first").alias("component_id"))
-    return rows.join(write_once(classes, "classes"), "node").select(key, "component_id")
+    return fps.join(write_once(classes, "classes"), "fp").select(*[c for c in fps.columns if c != "fp"], "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents of ``docs``, whole rows, that are the smallest key of their group of :func:`similar` texts.
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs``, whole, that are the smallest key of their group of :func:`near_duplicates`.
 
-    Of rows that repeat this key one stays; rows with a null key all stay.
+    Rows with a null key all stay. Rows of one key with different texts are judged apart; of those with equal texts one stays.
+    Only rows that go, or that repeat, are looked up, so the documents move only if there are very many of them.
     """
-    found = similar(docs, key, text, **options)
-    same = found.groupBy(key).agg(F.min("component_id").alias("_class"), F.count(F.lit(1)).alias("_rows"))
-    marks = write_once(same.where(F.col(key).isNull() | (F.col(key) == F.col("_class"))), "kept")
-    full = attach(docs, marks.withColumn("_kept", F.lit(True)), key).where(F.col("_kept"))
-    again = (F.col("_rows") > 1) & F.col(f"doc.`{key}`").isNotNull()
-    once = full.where(~again).select("doc")
-    if not marks.where((F.col("_rows") > 1) & F.col(key).isNotNull()).isEmpty():
-        once = once.union(full.where(again).withColumn("_once", F.col(f"doc.`{key}`")).dropDuplicates(["_once"]).select("doc"))
-    return once.select("doc.*")
+    row = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("row"))
+    fps = fingerprints(docs.select(row.alias("_key"), F.col(text).alias("_text")), "_key", "_text", words)
+    found = _grouped(write_once(fps.select("_key.key", "_key.row", "fp"), "fingerprints"), "key", radius).where(F.col("key").isNotNull())
+    judged = found.groupBy("key", "row").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    stays = F.col("key") == F.col("component_id")
+    marks = write_once(judged.where(~stays | (F.col("n") > 1)).select(F.col("key").alias("_key"), F.col("row").alias("_row"), stays.alias("_stays")), "marks")
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("_key"), F.xxhash64(text).alias("_row"))
+    full = lookup_join(left, marks, ["_key", "_row"], "left")
+    kept = full.where(F.col("_stays").isNull()).select("doc")
+    if not marks.where("_stays").isEmpty():
+        kept = kept.union(full.where("_stays").dropDuplicates(["_key", "_row"]).select("doc"))
+    return kept.select("doc.*")

@@ -14,7 +14,7 @@ JSON, MODEL = files_of.path("byte_bpe_50k.json"), files_of.path("piece_bpe_32k.m
 
 @pytest.fixture(scope="module")
 def files():
-    return alignment.load(JSON, MODEL)
+    return alignment.load(JSON, MODEL, files_of.PATTERN)
 
 
 @pytest.fixture(scope="module")
@@ -37,8 +37,8 @@ def test_words_apart_equal_whole_texts(files):
     pair, whole = alignment.Pair(files), alignment.Pair(files)
     assert pair.by_word
     whole.by_word = False
-    for t in [*_texts(3000), "a", " a", "a ", "a  b", "a \nb", "a\n b", "x" * 3000 + " y"]:
-        assert [x.tolist() for x in pair.encode(t)] == [x.tolist() for x in whole.encode(t)], t
+    texts = [*_texts(3000), "a", " a", "a ", "a  b", "a \nb", "a\n b", "x" * 3000 + " y"]
+    assert [x.to_pylist() for x in pair.align(texts)] == [x.to_pylist() for x in whole.align(texts)]
 
 
 def test_digest_equals_the_plain_version(make_docs, files, spell):
@@ -58,10 +58,13 @@ def test_digest_equals_the_plain_version(make_docs, files, spell):
 
 
 def test_a_full_memory_changes_nothing(files, monkeypatch):
+    pair, texts = alignment.Pair(files), [f"{t} one two three one two" for t in _texts(60)]
+    want = [x.to_pylist() for x in pair.align(texts)]
     monkeypatch.setattr(alignment, "CACHE", 2)
-    small, pair = alignment.Pair(files), alignment.Pair(files)
-    text = "one two three one two three four five"
-    assert [x.tolist() for x in small.encode(text)] == [x.tolist() for x in pair.encode(text)] and len(small.a) <= 2
+    monkeypatch.setattr(alignment, "CALL", 10)
+    small = alignment.Pair(files)
+    parts = [[x.to_pylist() for x in small.align(texts[i : i + 7])] for i in range(0, 60, 7)]
+    assert [sum((p[k] for p in parts), []) for k in range(4)] == want and small.total < 500
 
 
 def test_pairs_are_bounded_by_the_vocabularies(spark, small, files):
