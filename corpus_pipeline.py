@@ -17,7 +17,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): that of smallest doc_id."""
+    """One document of each group of near copies (three-word shingles, 3 of 64 bits): that of smallest doc_id."""
     return simhash.drop_near_duplicates(docs)
 
 
@@ -35,9 +35,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids_sha256, decoded_sha256) of each document of the mix."""
     vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     keyed = docs.select(F.struct("doc_id", "source").alias("key"), "text")
-    done = bpe.decode(bpe.encode(keyed, vocabulary, "key"), vocabulary, "key")
-    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return done.select("key.doc_id", "key.source", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.digests(keyed, vocabulary, "key").select("key.*", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [("quality classifier", good_quality), ("SimHash near-dedup", near_distinct), ("substring dedup", without_repeats), ("mixing to target weights", mixed), ("byte-level BPE", tokens)]
