@@ -4,36 +4,38 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import tokenizers
+import tiktoken
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import fresh, offsets, texts_of, write_once
+from lexmill.llm.common import fresh, frugal, offsets, texts_of, write_once
 
 #: Bytes of text, or numbers of a list, that a worker handles at once; one longer text is taken alone.
-PART = 1 << 20
-#: Chunks of at most 64 bytes that a worker remembers for each tokenizer; beyond that it starts anew.
-CACHE = 1 << 18
-NO_TOKENS = -1
+PART = 1 << 19
+#: Bytes of new words that are encoded in one call.
+CALL = 1 << 18
+#: Words of at most 64 characters, and tokens, that a worker remembers; beyond either it starts anew.
+CACHE, CACHED_TOKENS = 1 << 16, 1 << 20
 
 
 class Tokenizers(NamedTuple):
-    """The files of both tokenizers, by value, and the bytes of each token."""
+    """Both tokenizers by value: the bytes of each token, how A cuts words, and the model of B."""
 
     name: str
-    json: str
-    model: bytes
     bytes_a: list[bytes]
     bytes_b: list[bytes]
+    pattern: str
+    model: bytes
+    by_word: bool
 
 
 def _byte_letters() -> dict[str, int]:
@@ -43,83 +45,148 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def load(json_path: str, model_path: str) -> Tokenizers:
-    """Both tokenizers from files of the driver; they are sent along with the job."""
+def load(json_path: str, model_path: str, pattern: str) -> Tokenizers:
+    """Both tokenizers from files of the driver; they are sent along with the job.
+
+    A is a byte-level BPE whose ids are ranks, with ``pattern`` for its words. Merging any neighbours that spell a token, lowest
+    rank first, is then the same as merging listed pairs, if every token alone is merged to itself: what stands before a token's
+    last merge depends on its bytes only. This, and that its merges come in order of ids, is checked here.
+    """
+    # Only the driver needs this library.
+    import tokenizers
+
     with open(json_path, encoding="utf-8") as lines:
         text = lines.read()
     with open(model_path, "rb") as data:
         model = data.read()
     spec, letters = json.loads(text), _byte_letters()
-    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    vocab = spec["model"]["vocab"] | special
-    bytes_a = [b""] * (max(vocab.values()) + 1)
-    for token, i in vocab.items():
-        bytes_a[i] = token.encode() if token in special else bytes(map(letters.__getitem__, token))
+    special, vocab = {t["id"] for t in spec["added_tokens"]}, spec["model"]["vocab"]
+    own = {t: i for t, i in vocab.items() if i not in special}
+    byte_level = tokenizers.Tokenizer.from_str(text).model
+    if (
+        spec["normalizer"] is not None
+        or spec["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        or sorted(own.values()) != list(range(len(own)))
+        or any(vocab["".join(m)] != 256 + i for i, m in enumerate(spec["model"]["merges"]))
+        or any([x.id for x in byte_level.tokenize(t)] != [i] for t, i in own.items())
+    ):
+        raise ValueError(f"{json_path} is no byte-level BPE with ids in order of merges")
+    bytes_a = [b""] * len(own)
+    for token, i in own.items():
+        bytes_a[i] = bytes(map(letters.__getitem__, token))
     pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
     bytes_b = []
     for i in range(pieces.vocab_size()):
         piece = pieces.id_to_piece(i)
         bytes_b.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
-    return Tokenizers(xxhash.xxh3_128_hexdigest(text.encode() + model), text, model, bytes_a, bytes_b)
+    by_word = not any(re.search(b"[^ ] ", t) for t in bytes_b)
+    return Tokenizers(xxhash.xxh3_128_hexdigest(text.encode() + model + pattern.encode()), bytes_a, bytes_b, pattern, model, by_word)
+
 
+def common_ends(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of either side that end where one of the other ends, in order."""
+    at_a, at_b = ({end: i for i, end in enumerate(x)} for x in (ends_a, ends_b))
+    common = sorted(at_a.keys() & at_b.keys())
+    return tuple(np.fromiter(map(x.__getitem__, common), np.int64, len(common)) for x in (at_a, at_b))
 
-class Chunks(dict):
-    """Chunk to its ids by ``encode``, kept while there is room; an id of -1 marks a chunk whose tokens do not spell it."""
 
-    def __init__(self, encode: Callable[[str], list[int]], token_bytes: list[bytes]):
-        self.encode, self.bytes = encode, token_bytes
+def _taken(flat: np.ndarray, counts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The entries of some of the lists that lie behind each other in ``flat``."""
+    first, n = np.cumsum(counts) - counts, counts[numbers]
+    return flat[np.repeat(first[numbers] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
-    def of(self, piece: str) -> list[int]:
-        """The ids of space + piece."""
-        ids = self.encode(piece)
-        return ids if b"".join(map(self.bytes.__getitem__, ids)) == b" " + piece.encode() else [NO_TOKENS]
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        ids = tuple(self.of(chunk))
-        if len(self) >= CACHE:
-            self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+#: A blank beside a space; an end of the text counts as one.
+_BESIDE = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
+_NONE = np.zeros(0, np.int64)
 
 
 class Pair:
-    """The worker's two tokenizers.
+    """The worker's two tokenizers, and the words that it has aligned.
 
-    A text is the words between its spaces, each with the space before it. Neither tokenizer has a token that goes on from another
-    character into a space, and both put a cut before a single space that follows a word, so a text without two blanks
-    in a row at a space is encoded word by word, each new word once. Any other text is encoded whole.
+    Neither tokenizer has a token that goes on from another character into a space, and both put a cut before a single space
+    that follows a word. So in a text without a blank beside a space both have an end at each space, and the words between
+    spaces are aligned apart, each new word once: new words are joined by spaces, encoded in few calls, and cut
+    again at their ends. Any other text is one word here.
     """
 
     def __init__(self, files: Tokenizers):
-        byte_level = tokenizers.Tokenizer.from_str(files.json)
-        byte_level.encode_special_tokens = True
-        pieces = sentencepiece.SentencePieceProcessor(model_proto=files.model)
-        self.a = Chunks(lambda t: byte_level.encode(" " + t, add_special_tokens=False).ids, files.bytes_a)
-        self.b = Chunks(lambda t: pieces.encode(t, num_threads=1), files.bytes_b)
-        self.lengths_a, self.lengths_b = (np.array([len(t) for t in x], np.int64) for x in (files.bytes_a, files.bytes_b))
-        spec = json.loads(files.json)
-        self.by_word = (
-            spec["normalizer"] is None
-            and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-            and not any(re.search(b"[^ ] ", t) for t in files.bytes_b)
-        )
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of space + text by both, none if either does not spell it."""
-        none = np.zeros(0, np.int32)
-        if not text:
-            return none, none
-        # A blank beside a space (an end of the text counts as one) is where words are not apart.
-        if self.by_word and not _BESIDE.search(text):
-            words = text.split(" ")
-            a, b = (np.fromiter(chain.from_iterable(map(x.__getitem__, words)), np.int32) for x in (self.a, self.b))
-        else:
-            a, b = (np.array(x.of(text), np.int32) for x in (self.a, self.b))
-        return (none, none) if (a < 0).any() or (b < 0).any() else (a, b)
+        self.files, self.by_word = files, files.by_word
+        ranks = {t: i for i, t in enumerate(files.bytes_a)}
+        self.byte_level = tiktoken.Encoding("a", pat_str=files.pattern, mergeable_ranks=ranks, special_tokens={})
+        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=files.model)
+        self.lengths = [np.array([len(t) for t in x], np.int64) for x in (files.bytes_a, files.bytes_b)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.total = 0
+        #: By a word's number: is it spelled, its tokens of A and of B, its groups; then ids_a, ids_b, sizes_a, sizes_b of all words.
+        self.columns = [[np.zeros(0, t)] for t in (bool, *[np.int64] * 3, *[np.int32] * 4)]
+
+    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+        """The ids of space + text by both, or None if either does not spell it."""
+        ids = self.byte_level.encode_ordinary(" " + text), self.pieces.encode(text, num_threads=1)
+        want = b" " + text.encode()
+        spelled = all(b"".join(map(t.__getitem__, i)) == want for t, i in zip((self.files.bytes_a, self.files.bytes_b), ids, strict=True))
+        return ids if spelled else None
+
+    def learn(self, words: list[str]) -> None:
+        """Align some words that are apart, or one text."""
+        ids = self.encode(" ".join(words))
+        if ids is None and len(words) > 1:
+            half = len(words) // 2
+            self.learn(words[:half])
+            self.learn(words[half:])
+            return
+        self.numbers.update(zip(words, range(self.total, self.total + len(words)), strict=True))
+        self.total += len(words)
+        ends = [np.cumsum(n[np.array(i, np.int64)]) for n, i in zip(self.lengths, ids or ([], []), strict=True)]
+        last = common_ends(*(e.tolist() for e in ends))
+        groups = ends[0][last[0]]
+        stops = np.cumsum([len(w.encode()) + 1 for w in words]) if ids else np.zeros(len(words), np.int64)
+        per_word = [np.diff(np.searchsorted(x, stops, "right"), prepend=0) for x in (*ends, groups)]
+        lists = [np.array(x, np.int32) for x in (*(ids or ([], [])), *(np.diff(x, prepend=-1) for x in last))]
+        for column, x in zip(self.columns, (np.full(len(words), ids is not None), *per_word, *lists), strict=True):
+            column.append(x)
+
+    def align(self, texts: list[str]) -> list[pa.ListArray]:
+        """ids_a, ids_b, sizes_a and sizes_b of each text."""
+        if self.total >= CACHE or sum(map(len, self.columns[4])) >= CACHED_TOKENS:
+            self.forget()
+        whole = [t if t and not (self.by_word and not _BESIDE.search(t)) else None for t in texts]
+        words = [[t] if w is not None else t.split(" ") if t else [] for t, w in zip(texts, whole, strict=True)]
+        texts_new = {w for w in whole if w is not None and w not in self.numbers}
+        for t in texts_new:
+            self.learn([t])
+        new = [w for w in set(chain.from_iterable(words)) if w not in self.numbers]
+        apart, size = [], 0
+        for w in new:
+            apart.append(w)
+            size += len(w) + 1
+            if size >= CALL:
+                self.learn(apart)
+                apart, size = [], 0
+        if apart:
+            self.learn(apart)
+        self.columns = [[np.concatenate(c)] for c in self.columns]
+        spelled, *counts = [c for (c,) in self.columns[:4]]
+        per_text = np.array([len(w) for w in words], np.int64)
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, per_text.sum())
+        text = np.repeat(np.arange(len(texts)), per_text)
+        bad = np.zeros(len(texts), bool)
+        bad[text[~spelled[numbers]]] = True
+        numbers, text = numbers[~bad[text]], text[~bad[text]]
+        lists = []
+        for (flat,), n in zip(self.columns[4:], (*counts, counts[2]), strict=True):
+            ends = np.append(0, np.cumsum(np.bincount(text, n[numbers], len(texts)).astype(np.int64)))
+            lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_taken(flat, n, numbers), pa.int32())))
+        for w in chain(texts_new, new):
+            if len(w) > 64:
+                del self.numbers[w]
+        return lists
 
 
-_BESIDE = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
 _PAIRS: dict[str, Pair] = {}
 
 
@@ -131,18 +198,6 @@ def pair_of(files: Tokenizers) -> Pair:
     return _PAIRS[files.name]
 
 
-def common_ends(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of either side that end where one of the other ends, in order."""
-    at_a, at_b = ({end: i for i, end in enumerate(x)} for x in (ends_a, ends_b))
-    common = sorted(at_a.keys() & at_b.keys())
-    return tuple(np.fromiter(map(x.__getitem__, common), np.int64, len(common)) for x in (at_a, at_b))
-
-
-def _lists(rows: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, rows)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else [], pa.int32()))
-
-
 ALIGNED = ["ids_a", "ids_b", "sizes_a", "sizes_b"]
 
 
@@ -163,15 +218,10 @@ def align(docs: DataFrame, files: Tokenizers, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = texts_of(batch, work)
             for first, last in _parts(offsets(texts), PART):
-                found: list[tuple[np.ndarray, ...]] = []
-                for one in texts[first:last]:
-                    a, b = pair.encode(one.as_py())
-                    at_a, at_b = common_ends(np.cumsum(pair.lengths_a[a]).tolist(), np.cumsum(pair.lengths_b[b]).tolist())
-                    found.append((a, b, np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)))
-                extra = [_lists(list(x)) for x in zip(*found, strict=True)]
+                extra = pair.align(texts[first:last].to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).columns[:width], *extra], schema.names)
 
-    return docs.withColumn(work, docs[text]).mapInArrow(run, schema)
+    return docs.withColumn(work, docs[text]).mapInArrow(frugal(run), schema)
 
 
 def _parts(at: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -219,7 +269,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
         columns = [keys >> 32, keys & 0xFFFFFFFF, counts]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
 
-    return aligned.select(*ALIGNED).mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return aligned.select(*ALIGNED).mapInArrow(frugal(run), "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 class Counts(NamedTuple):
@@ -281,7 +331,7 @@ def summarise(aligned: DataFrame, counts: Counts, key: str = "doc_id") -> DataFr
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     names = [key, *numbers, "groups"]
     schema = T.StructType([aligned.schema[key], *[T.StructField(c, T.LongType()) for c in numbers], T.StructField("groups", T.StringType())])
-    return aligned.select(key, *ALIGNED).mapInArrow(run, schema)
+    return aligned.select(key, *ALIGNED).mapInArrow(frugal(run), schema)
 
 
 def link(docs: DataFrame, files: Tokenizers, key: str = "doc_id") -> DataFrame:

@@ -130,13 +130,15 @@ def _licences() -> str:
     least, term = licenses.COSINE, licenses.TERM
     return rf"""
 WITH files AS (
-  SELECT doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, text FROM documents WHERE doc_id IS NOT NULL
+  SELECT doc_id, CASE WHEN doc_id IS NOT NULL THEN concat_ws('/', source, lang, doc_id::VARCHAR) END AS path, text FROM documents
+), named AS (
+  SELECT * FROM files WHERE path IS NOT NULL
 ), idfs(term, idf) AS (VALUES {idfs}), held(term, licence, weight) AS (VALUES {held}),
 units AS (
   SELECT path, unit, min(pos) AS pos FROM (
-    SELECT path, unnest(l) AS unit, generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '\r\n?|\n') AS l FROM files)
+    SELECT path, unnest(l) AS unit, generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '\r\n?|\n') AS l FROM named)
     UNION ALL
-    SELECT path, unnest(l) AS unit, 1000000000 + generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '(?:\r\n?|\n)[ \t]*(?:\r\n?|\n)') AS l FROM files)
+    SELECT path, unnest(l) AS unit, 1000000000 + generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '(?:\r\n?|\n)[ \t]*(?:\r\n?|\n)') AS l FROM named)
   ) GROUP BY path, unit
 ), terms AS (
   SELECT path, pos, term, count(*) AS tf FROM (SELECT path, pos, unnest(regexp_extract_all(lower(unit), '{term}')) AS term FROM units) GROUP BY ALL
@@ -152,14 +154,14 @@ units AS (
   SELECT path, pos, any_value(n) AS n, arg_min(licence, (-cosine, licence)) AS licence, max(cosine) AS cosine FROM close GROUP BY path, pos
 ), own AS (
   SELECT u.path, arg_min(licence, (-cosine, pos)) AS licence, max(cosine) AS cosine, round(least(1.0::DOUBLE, sum(n)::DOUBLE / any_value(s.size)), 6) AS share
-  FROM unit u JOIN (SELECT path, len(regexp_extract_all(lower(text), '{term}')) AS size FROM files) s USING (path) GROUP BY u.path
+  FROM unit u JOIN (SELECT path, len(regexp_extract_all(lower(text), '{term}')) AS size FROM named) s USING (path) GROUP BY u.path
 ), direct AS (
   SELECT path, licence, CASE WHEN share >= {licenses.MOSTLY!r} OR regexp_matches(path, '{licenses.FILE_NAMES}') THEN 'file' ELSE 'header' END AS how, cosine FROM own
 ), folders AS (
   SELECT regexp_replace(path, '/?[^/]*$', '') AS folder, arg_min(licence, (-cosine, path)) AS licence FROM direct WHERE how = 'file' GROUP BY 1
 ), above AS (
   SELECT path, n, array_to_string(string_split(path, '/')[1:n], '/') AS folder
-  FROM (SELECT path, unnest(range(0, len(string_split(path, '/')))) AS n FROM files WHERE path NOT IN (SELECT path FROM own))
+  FROM (SELECT path, unnest(range(0, len(string_split(path, '/')))) AS n FROM named WHERE path NOT IN (SELECT path FROM own))
 ), heirs AS (
   SELECT path, arg_max(licence, n) AS licence, arg_max(folder, n) AS folder FROM above JOIN folders USING (folder) GROUP BY path
 )

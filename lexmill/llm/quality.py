@@ -125,13 +125,13 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, held_out, max_docs: i
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_docs: int = MAX_TRAIN_DOCS, mod: int = 4, left_out: int = 2) -> Model:
     """Fit on labelled documents whose crc32 of the id, modulo ``mod``, is not ``left_out``.
 
-    At most ``max_docs`` documents, whole texts, are learned from: a bounded sample by a hash of the id. They are dealt over shards
-    of about ``SHARD_DOCS``; in each of ``ROUNDS`` rounds every shard updates from the common state and the states are averaged.
+    At most ``max_docs`` documents, whole texts, are learned from: a bounded sample by a hash of the id. They are dealt over as few shards
+    as hold them at ``SHARD_DOCS`` each on average; in each of ``ROUNDS`` rounds every shard updates from the common state and the states are averaged.
     A shard's state has at most 2^18 + 1 slots, the bound of what it sends to the driver. No labelled
     document gives the zero model, which scores 0.5.
     """
     train = sample(docs, labels, label, F.coalesce(crc_mod("doc_id", mod) == left_out, F.lit(True)), max_docs)
-    shards = -(-max_docs // SHARD_DOCS) if train.count() > SHARD_DOCS else 1
+    shards = max(1, -(-train.count() // SHARD_DOCS))
     place = F.xxhash64(F.lit(2), "doc_id")
     train = write_once(train.select("doc_id", "text", "label", place.alias("place"), F.pmod(place, F.lit(shards)).alias("shard")), "training")
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)

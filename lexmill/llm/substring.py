@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import attach, byte_codes, fresh, gathered, mixed, pieces, segment_hashes, texts_of, write_once
+from lexmill.llm.common import attach, byte_codes, fresh, frugal, gathered, mixed, pieces, segment_hashes, texts_of, write_once
 from lexmill.runtime import shuffle_partitions
 
 #: Words of a window, words of an anchor, and windows of a phrase at most.
 WINDOW, ANCHOR, PHRASE = 20, 8, 16
-HELD = 1 << 20
+HELD = 1 << 18
 CODES = byte_codes()
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -215,7 +215,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _per_document(runs: DataFrame, name: str) -> DataFrame:
     parts = shuffle_partitions(runs.sparkSession)
-    return write_once(runs.repartition(parts, "doc").mapInArrow(_lists, "doc_id bigint, starts array<int>, counts array<int>"), name)
+    return write_once(runs.repartition(parts, "doc").mapInArrow(frugal(_lists), "doc_id bigint, starts array<int>, counts array<int>"), name)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    parsed = write_once(known.mapInArrow(_parse, ROWS), "phrases")
+    parsed = write_once(known.mapInArrow(frugal(_parse), ROWS), "phrases")
     place = F.struct("doc", "start")
     phrases = parsed.where(F.col("kind") == PHRASES).drop("kind").repartition(shuffle_partitions(spark), "anchor")
     same = Window.partitionBy("anchor", "hash", "check").orderBy("doc", "start")
@@ -244,7 +244,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     both = parsed.where(F.col("kind") != PHRASES).select("kind", "doc", "start", "n").union(judged)
     opened = _per_document(both.where(F.col("kind") == OPEN).drop("kind"), "open")
     single = attach(known, opened).where(F.col("starts").isNotNull()).select("doc.*", "starts", "counts")
-    windows = write_once(single.mapInArrow(_windows, ROWS), "windows")
+    windows = write_once(single.mapInArrow(frugal(_windows), ROWS), "windows")
     again = windows.where(F.col("kind") == PHRASES)
     again = again.withColumn("first", F.min(place).over(Window.partitionBy("hash", "check"))).where(place > F.col("first"))
     runs = both.where(F.col("kind") == KNOWN).select("doc", "start", "n")
@@ -292,7 +292,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 extra = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], *extra], schema.names)
 
-    return full.mapInArrow(run, schema)
+    return full.mapInArrow(frugal(run), schema)
 
 
 def cut(docs: DataFrame) -> DataFrame:
