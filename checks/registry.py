@@ -303,7 +303,7 @@ def a4_vector_totals(spark, folder):
 
     reviews = views.reviews(spark, folder)
     words = _vocab(reviews)
-    vectors = models.add_vectors(reviews, {v: models.vectorizer(words, v) for v in classify.VIEWS})
+    vectors = models.add_vectors(reviews, words)
 
     def total(view: str) -> Column:
         counts = vector_to_array(F.col(f"{view}_features"))
@@ -425,7 +425,9 @@ def c8_model_predict(spark, folder):
     root = scratch_path(spark, "model")
     reviews = views.reviews(spark, folder)
     dev, test = (reviews.where(F.col("split") == s) for s in ("dev", "test"))
-    classification.train(spark, _train(reviews).drop("split"), dev.drop("split"), root)
+    report = materialize(classification.train(spark, _train(reviews).drop("split"), dev.drop("split"), root), "report")
+    if report.count() != 2:
+        raise AssertionError("the job reports the accuracy of both splits")
     stored = classification.predict(spark, root, test)
     fitted = models.model_scores(load_model(spark, root)[0], test.select("Id", "text")).select("Id", F.col("pred").alias("fitted"))
     return stored.join(fitted, "Id").select("Id", (F.col("pred") == F.col("fitted")).alias("same"))

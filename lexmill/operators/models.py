@@ -5,73 +5,94 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions.cleaning import split_words, text_or_token
 from lexmill.operators.classify import VIEWS, argmax_label
-
-# A Spark ML model keeps its weights on the driver, one set per vocabulary word.
-MAX_MODEL_WORDS = 1 << 20
+from lexmill.operators.scale import lookup_join
+from lexmill.runtime import ROW, materialize, numbered, scratch_path, shuffle_partitions
 
 
 @dataclass
 class TwoViewModel:
-    """One vectorizer and one fitted classifier per class vocabulary."""
+    """One fitted classifier per class vocabulary, and the table of both vocabularies. Words never leave the table."""
 
-    vectorizers: dict[str, CountVectorizerModel]
+    vocab: DataFrame
     classifiers: dict[str, object]
     kind: str
 
 
-def vectorizer(vocab: DataFrame, view: str) -> CountVectorizerModel:
-    """A4, vector form: counts of the view's vocabulary words, at their A3 positions."""
-    words = vocab.where(F.col("cls") == view).orderBy("idx").select("word").limit(MAX_MODEL_WORDS + 1).collect()
-    if not words:
-        raise ValueError(f"the vocabulary of class {view!r} is empty")
-    if len(words) > MAX_MODEL_WORDS:
-        raise ValueError(f"the vocabulary of class {view!r} exceeds {MAX_MODEL_WORDS} words: raise the frequency threshold")
-    model = CountVectorizerModel.from_vocabulary([w.word for w in words], inputCol="words", outputCol=f"{view}_features")
-    return model.setMinTF(1.0)
+def view_sizes(vocab: DataFrame) -> dict[str, int]:
+    """The number of words of each view's vocabulary; raises if one is empty."""
+    sizes = vocab.agg(*[F.max(F.when(F.col("cls") == v, F.col("idx") + 1)).alias(v) for v in VIEWS]).first().asDict()
+    for view, size in sizes.items():
+        if not size:
+            raise ValueError(f"the vocabulary of class {view!r} is empty")
+    return sizes
+
+
+def add_vectors(reviews: DataFrame, vocab: DataFrame) -> DataFrame:
+    """A4, vector form: ``reviews`` with each view's sparse counts (neg_features, pos_features) of vocabulary words at their A3 positions; written.
+
+    The words look the vocabulary table up, and their positions are regrouped once, by row. Spark ML then sees numbers only, so
+    the vocabulary may have any size that a model's weights may have. Rows stay as they are, with or without hits; rows of one Id are
+    apart. The counts are written in the form in which vectors are stored, and read back as vectors.
+    """
+    spark, sizes = reviews.sparkSession, view_sizes(vocab)
+    rows = materialize(numbered(reviews), "reviews")
+    words = rows.select(ROW, F.explode(split_words(text_or_token(F.col("text")))).alias("word"))
+    hits = lookup_join(words, vocab, ["word"]).select(ROW, "cls", F.col("idx").cast("int").alias("idx"))
+    # Dealt out by row, a row's words stay together through both aggregations.
+    counts = hits.repartition(shuffle_partitions(spark), ROW).groupBy(ROW, "cls", "idx").agg(F.count(F.lit(1)).cast("double").alias("cnt"))
+    pair = F.struct("idx", "cnt")
+    found = counts.groupBy(ROW).agg(*[F.sort_array(F.collect_list(F.when(F.col("cls") == v, pair))).alias(f"_{v}") for v in VIEWS])
+    full = rows.join(found, ROW, "left")
 
+    def stored(view: str):
+        held = F.coalesce(f"_{view}", F.array().cast("array<struct<idx:int,cnt:double>>"))
+        sparse = [F.lit(0).cast("tinyint").alias("type"), F.lit(sizes[view]).cast("int").alias("size")]
+        return F.struct(*sparse, held["idx"].alias("indices"), held["cnt"].alias("values")).alias(f"{view}_features")
 
-def add_vectors(reviews: DataFrame, vectorizers: dict[str, CountVectorizerModel]) -> DataFrame:
-    """Both views' sparse count vectors of each document."""
-    df = reviews.withColumn("words", split_words(text_or_token(F.col("text"))))
-    for model in vectorizers.values():
-        df = model.transform(df)
-    return df.drop("words")
+    path = scratch_path(spark, "vectors")
+    full.select(*[F.col(f"`{c}`") for c in reviews.columns], *[stored(v) for v in VIEWS]).write.parquet(path)
+    return spark.read.schema(T.StructType([*reviews.schema.fields, *[T.StructField(f"{v}_features", VectorUDT()) for v in VIEWS]])).parquet(path)
 
 
 def fit_two_views(
     train: DataFrame, vocab: DataFrame, kind: str = "logistic", hidden: tuple[int, ...] = (16,), max_iter: int = 20, seed: int = 1
 ) -> TwoViewModel:
-    """One classifier per view, each trained on all training rows with their true labels."""
-    vectorizers = {v: vectorizer(vocab, v) for v in VIEWS}
-    data = add_vectors(train.where(F.col("Category").isNotNull()), vectorizers)
-    data = data.select(F.when(F.col("Category") == 0, 0.0).otherwise(1.0).alias("label"), *[f"{v}_features" for v in VIEWS]).persist()
+    """One classifier per view, each trained on all training rows with their true labels.
+
+    The weights, one set per word, are numbers on the driver, as Spark ML has it. The training summary is dropped: it holds the session, which
+    no task can carry once the session has counted rows at a write.
+    """
+    sizes = view_sizes(vocab)
+    labelled = train.where(F.col("Category").isNotNull()).select("text", F.when(F.col("Category") == 0, 0.0).otherwise(1.0).alias("label"))
+    data = add_vectors(labelled, vocab).drop("text").persist()
     try:
         fitted = {}
-        for view, words in vectorizers.items():
+        for view, size in sizes.items():
             columns = dict(featuresCol=f"{view}_features", rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_prob", predictionCol=f"{view}_pred")
             if kind == "logistic":
                 estimator = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", **columns)
             elif kind == "perceptron":
-                layers = [len(words.vocabulary), *hidden, 2]
-                estimator = MultilayerPerceptronClassifier(maxIter=max_iter, layers=layers, seed=seed, **columns)
+                estimator = MultilayerPerceptronClassifier(maxIter=max_iter, layers=[size, *hidden, 2], seed=seed, **columns)
             else:
                 raise ValueError(f"unknown kind {kind!r}")
             fitted[view] = estimator.fit(data)
+            fitted[view]._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
     finally:
         data.unpersist()
-    return TwoViewModel(vectorizers, fitted, kind)
+    return TwoViewModel(vocab, fitted, kind)
 
 
 def model_scores(model: TwoViewModel, reviews: DataFrame, on: str = "score") -> DataFrame:
-    """C3 and C4 with fitted models: the views' mean scores and the label, with no shuffle."""
-    df = add_vectors(reviews, model.vectorizers)
+    """C3 and C4 with fitted models: the views' mean scores and the label."""
+    df = add_vectors(reviews, model.vocab)
     for classifier in model.classifiers.values():
         df = classifier.transform(df)
     column = "raw" if on == "score" else "prob"

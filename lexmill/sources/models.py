@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassificationModel
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.operators.classify import VIEWS
@@ -14,9 +13,8 @@ _CLASSES = {"logistic": LogisticRegressionModel, "perceptron": MultilayerPercept
 
 
 def save_model(model: TwoViewModel, vocab: DataFrame, root: str) -> None:
-    """Both views' classifiers and vectorizers, and the vocabulary they were built from."""
+    """Both views' classifiers, and the vocabulary they were built from."""
     for view in VIEWS:
-        model.vectorizers[view].write().overwrite().save(f"{root}/{view}/vectorizer")
         model.classifiers[view].write().overwrite().save(f"{root}/{view}/{model.kind}")
     vocab.write.mode("overwrite").parquet(f"{root}/vocab")
     # Written last: a folder without it is not a complete model.
@@ -29,10 +27,9 @@ def load_model(spark: SparkSession, root: str) -> tuple[TwoViewModel, DataFrame]
     try:
         kind = spark.read.schema("kind string").json(f"{root}/kind").first().kind
         vocab = spark.read.parquet(f"{root}/vocab")
-        vectorizers = {v: CountVectorizerModel.load(f"{root}/{v}/vectorizer") for v in VIEWS}
         classifiers = {v: _CLASSES[kind].load(f"{root}/{v}/{kind}") for v in VIEWS}
     except Exception as error:
         if isinstance(error, AnalysisException) or "does not exist" in str(error):
             raise FileNotFoundError(f"no complete model in {root}: train one first") from error
         raise
-    return TwoViewModel(vectorizers, classifiers, kind), vocab
+    return TwoViewModel(vocab, classifiers, kind), vocab

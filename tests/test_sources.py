@@ -110,10 +110,10 @@ def test_metric_log_appends_long_rows(spark, tmp_path):
 def test_vectors_and_long_bag_agree(spark):
     from pyspark.ml.functions import vector_to_array
 
-    from lexmill.operators.models import add_vectors, vectorizer
+    from lexmill.operators.models import add_vectors
 
     df = spark.createDataFrame([(i, i % 2, "a b b " * 6 + str(i)) for i in range(6)] + [(9, None, None)], "Id bigint, Category int, text string")
     words = vocab.build_vocab(df)
-    vectors = add_vectors(df, {v: vectorizer(words, v) for v in ("neg", "pos")}).select("Id", *[vector_to_array(f"{v}_features").alias(v) for v in ("neg", "pos")])
+    vectors = add_vectors(df, words).select("Id", *[vector_to_array(f"{v}_features").alias(v) for v in ("neg", "pos")])
     dense = {(r.Id, v, i, int(c)) for r in vectors.collect() for v in ("neg", "pos") for i, c in enumerate(r[v]) if c}
     assert dense == {tuple(r) for r in vocab.bag_of_words(df, words).collect()}

@@ -2,10 +2,13 @@ import math
 import shutil
 
 import pytest
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
+from lexmill.functions.cleaning import split_words, text_or_token
 from lexmill.operators import classify, models, prep, vocab
 from lexmill.plans import classification
+from lexmill.runtime import materialize
 from lexmill.sources.models import load_model, save_model
 
 REVIEWS = "Id bigint, Category int, text string"
@@ -106,6 +109,34 @@ def test_two_view_models_learn_and_survive_a_round_trip(spark, tmp_path, kind):
     assert ours == {r.Id: (r.pred, tuple(r.scores)) for r in models.model_scores(again, df).collect()}
 
 
+def test_vectors_equal_a_vectorizer_over_the_listed_words(spark):
+    df = reviews(spark, [(1, 0, "a b a"), (1, 1, "c"), (2, 0, "z"), (3, 1, None), (4, 0, ""), (5, 1, "c a " * 500)])
+    words = spark.createDataFrame([("neg", "a", 0, 9), ("neg", "c", 1, 9), ("pos", "b", 0, 9), ("pos", "a", 1, 9), ("pos", "nan", 2, 9)], "cls string, word string, idx bigint, freq bigint")
+    split = df.withColumn("words", split_words(text_or_token(F.col("text"))))
+    for view, listed in (("neg", ["a", "c"]), ("pos", ["b", "a", "nan"])):
+        counter = CountVectorizerModel.from_vocabulary(listed, inputCol="words", outputCol="v")
+        want = sorted((r.Id, str(r.v)) for r in counter.transform(split).collect())
+        assert sorted((r.Id, str(r[f"{view}_features"])) for r in models.add_vectors(df, words).collect()) == want
+    with pytest.raises(ValueError, match="pos.*empty"):
+        models.add_vectors(df, words.where("cls = 'neg'"))
+
+
+def test_a_vocabulary_of_two_million_words(spark):
+    n = 1 << 21
+    words = spark.range(2 * n).select(F.when(F.col("id") < n, "neg").otherwise("pos").alias("cls"), F.concat(F.lit("w"), F.col("id") % n).alias("word"), (F.col("id") % n).alias("idx"), F.lit(11).alias("freq"))
+    words = materialize(words, "words")
+    df = reviews(spark, [(i, i % 2, f"w{n - 1 - i % 2} w{i} w7") for i in range(20)])
+    model = models.fit_two_views(df, words, max_iter=3)
+    assert {c.numFeatures for c in model.classifiers.values()} == {n}
+    assert models.model_scores(model, df).where("pred <> Category").isEmpty()
+
+
+def test_a_model_fitted_after_a_write_can_be_applied(spark):
+    materialize(spark.range(3), "three")
+    df = toy(spark)
+    assert models.model_scores(models.fit_two_views(df, vocab.build_vocab(df), max_iter=2), df).count() == 40
+
+
 def test_prediction_needs_a_complete_model(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_model(spark, str(tmp_path / "none"))
