@@ -13,8 +13,9 @@ from lexmill.runtime import materialize, measure, shuffle_partitions
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 << 20
-HOT_KEY_SALTS = 32
-HOT_KEYS = 1_000
+#: Part of the left rows that tells which keys are frequent, and the keys that are looked at.
+SAMPLE = 0.05
+HEAD_KEYS = 100_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -34,28 +35,48 @@ def lookup_join(
     """Join a big ``left`` to a table of look-ups.
 
     ``right`` is measured: pass a materialised table, and the same object again in a loop. Within the bounds it is broadcast and ``left``
-    does not move. Beyond them both sides are shuffled, with the hottest keys of ``left`` spread over
-    ``HOT_KEY_SALTS`` tasks and their ``right`` rows repeated once per salt. The hot keys come from a
-    sample, which decides where rows travel and never which rows match. Rows without a key match nothing
-    and are spread in the same way.
+    does not move. Beyond them the look-up has two tiers, see :func:`tiers`: rows with a frequent key meet a broadcast
+    head of ``right`` (or are known to have no match), and only the others are shuffled. Frequent keys
+    come from a sample, which decides where rows travel and never which rows match. Rows without a key match nothing.
     """
     on = list(on)
     if fits_broadcast(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
-    hot = materialize(
-        left.select(*on).dropna().sample(0.01, 17).groupBy(*on).count().orderBy(F.desc("count")).limit(HOT_KEYS).select(*on, F.lit(True).alias("_hot")),
-        "hot-keys",
-    )
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(HOT_KEY_SALTS)).cast("int")
-    salts = F.array(*[F.lit(i) for i in range(HOT_KEY_SALTS)])
+    near, head, far, tail = tiers(left, right, on, max_rows, max_bytes)
+    shuffled = far.join(tail, [*on, "_salt"], how).drop("_salt")
+    return shuffled if near is None else near.join(F.broadcast(head), on, how).unionByName(shuffled)
+
+
+def tiers(left: DataFrame, right: DataFrame, on: list[str], max_rows: int, max_bytes: int) -> tuple[DataFrame | None, DataFrame | None, DataFrame, DataFrame]:
+    """(near, head, far, tail): rows of ``left`` whose key is in the head, the rows of ``right`` for these, and the rest of both, salted.
+
+    The head takes the most frequent keys of a sample of ``left``, as long as their rows of ``right`` stay within the bounds; keys
+    that ``right`` lacks cost it nothing but their name, which counts as a row. Of the other frequent keys each is spread over as many salts as it
+    has times an even task's share of the sample, its ``right`` rows repeated once per salt.
+    """
+    parts = shuffle_partitions(left.sparkSession)
+    seen = left.select(*on).dropna().sample(SAMPLE, 17).groupBy(*on).agg(F.count(F.lit(1)).alias("_seen"))
+    seen = materialize(seen.orderBy(F.desc("_seen"), *on).limit(HEAD_KEYS), "frequent-keys")
+    total = seen.agg(F.coalesce(F.sum("_seen"), F.lit(0))).first()[0]
+    size = measure(right)
+    room = min(max_rows, max_bytes * size.rows // max(1, size.bytes))
+    held = right.join(F.broadcast(seen.select(*on)), on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum(F.greatest(F.coalesce("_n", F.lit(0)), F.lit(1))).over(Window.orderBy(F.desc("_seen"), *on))
+    keys = materialize(seen.join(held, on, "left").withColumn("_upto", upto), "head-keys")
+    chosen = keys.where(F.col("_upto") <= room).select(*on, F.lit(True).alias("_near"))
+    head = materialize(right.join(F.broadcast(chosen.drop("_near")), on, "left_semi"), "head") if room > 0 else None
+    marks = keys.where(F.col("_upto") > room) if head is not None and fits_broadcast(head, max_rows, max_bytes) else keys
+    near = None
+    if marks is not keys:
+        marked = left.join(F.broadcast(chosen), on, "left")
+        near, left = marked.where("_near").drop("_near"), marked.where(F.col("_near").isNull()).drop("_near")
+    salts = F.ceil(F.col("_seen") * parts / max(1, total)).cast("int")
+    hot = materialize(marks.select(*on, salts.alias("_salts")).where(F.col("_salts") > 1), "hot-keys")
     no_key = reduce(or_, [F.col(c).isNull() for c in on])
-    left = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0)).drop("_hot")
-    right = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.when(no_key, F.lit(parts)).otherwise(F.coalesce("_salts", F.lit(1)))).cast("int")
+    far = left.join(F.broadcast(hot), on, "left").withColumn("_salt", spread).drop("_salts")
+    tail = right.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return near, head, far, tail
 
 
 def _slices(df: DataFrame, within: Sequence[str], order_by: Sequence[Column]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.cleaning import review_words, split_words, text_or_token
@@ -62,7 +62,8 @@ def vocab_sizes(vocab: DataFrame) -> DataFrame:
 def corpus_vocab(texts: DataFrame, text: str | Column, top_n: int) -> DataFrame:
     """(word, token, freq): reserved ids first, then words by falling frequency, ties by word.
 
-    A word spelled like a reserved one takes the reserved id, so no word occurs twice.
+    A word spelled like a reserved one takes the reserved id, so no word occurs twice. Only words that are frequent enough to be among
+    the first ``top_n``, ties included, are ordered and written.
     """
     column = F.col(text) if isinstance(text, str) else text
     counts = (
@@ -70,8 +71,23 @@ def corpus_vocab(texts: DataFrame, text: str | Column, top_n: int) -> DataFrame:
         .where(~F.col("word").isin(SPECIAL_WORDS))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("freq"))
+        .persist()
     )
-    ranked = with_order_index(counts, "rank", [F.desc("freq"), F.col("word")]).where(F.col("rank") < top_n)
-    words = ranked.select("word", (F.col("rank") + len(SPECIAL_WORDS)).cast("int").alias("token"), "freq")
-    specials = texts.sparkSession.createDataFrame([(w, i, 0) for i, w in enumerate(SPECIAL_WORDS)], words.schema)
-    return materialize(specials.unionByName(words), "corpus-vocab")
+    try:
+        frequent = counts.where(F.col("freq") >= frequency_cut(counts, top_n))
+        ranked = with_order_index(frequent, "rank", [F.desc("freq"), F.col("word")]).where(F.col("rank") < top_n)
+        words = ranked.select("word", (F.col("rank") + len(SPECIAL_WORDS)).cast("int").alias("token"), "freq")
+        specials = texts.sparkSession.createDataFrame([(w, i, 0) for i, w in enumerate(SPECIAL_WORDS)], words.schema)
+        return materialize(specials.unionByName(words), "corpus-vocab")
+    finally:
+        counts.unpersist()
+
+
+def frequency_cut(counts: DataFrame, top_n: int) -> int:
+    """The lowest frequency among the ``top_n`` most frequent words; 0 if there are no more words than that.
+
+    From a histogram of frequencies: with T words of text it has at most sqrt(2 T) rows, which is what its window sees.
+    """
+    histogram = counts.groupBy("freq").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy(F.desc("freq")))
+    return histogram.withColumn("upto", upto).agg(F.max(F.when(F.col("upto") >= max(1, top_n), F.col("freq")))).first()[0] or 0

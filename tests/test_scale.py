@@ -52,6 +52,38 @@ def test_lookup_join_is_the_same_beyond_the_broadcast_bound(spark, skewed, how):
     assert small.columns == big.columns
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("max_rows", [1, 2, 3])
+def test_two_tiers_give_the_same_rows(spark, skewed, how, max_rows):
+    looked_up = spark.createDataFrame([("hot", 1), ("g1", 2), ("g1", 3), ("g7", 4), ("none", 5)], "grp string, w int")
+    small = scale.lookup_join(skewed, looked_up, ["grp"], how)
+    tiered = scale.lookup_join(skewed, materialize(looked_up, "up"), ["grp"], how, max_rows=max_rows)
+    assert small.columns == tiered.columns
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, tiered.collect()), key=str)
+
+
+def test_most_words_meet_the_head(spark, small):
+    words = spark.read.parquet(small.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
+    vocab = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("freq")).where("freq > 2").withColumn("idx", F.xxhash64("word")), "vocab")
+    near, head, far, tail = scale.tiers(words, vocab, ["word"], 1000, 1 << 20)
+    n = words.count()
+    best = words.groupBy("word").count().orderBy(F.desc("count")).limit(1000).agg(F.sum("count")).first()[0]
+    assert vocab.count() > 5_000 and head.count() <= 1000 and near.count() + far.count() == n
+    # No thousand words of this text cover more.
+    print(best / n, near.count() / n)
+    assert near.count() >= 0.93 * best
+    joined = scale.lookup_join(words, vocab, ["word"], "left", max_rows=1000)
+    assert joined.exceptAll(scale.lookup_join(words, vocab, ["word"], "left")).isEmpty() and joined.count() == n
+
+
+def test_a_hot_key_outside_the_head_gets_its_share_of_salts(spark, skewed):
+    looked_up = materialize(spark.createDataFrame([("hot", i) for i in range(5)] + [("g1", 2)], "grp string, w int"), "up")
+    near, head, far, tail = scale.tiers(skewed, looked_up, ["grp"], 3, 1 << 20)
+    assert near is not None and head.where("grp = 'hot'").isEmpty()
+    salts = {r.grp: r.n for r in tail.groupBy("grp").agg(F.countDistinct("_salt").alias("n")).collect()}
+    assert salts["hot"] == 2 and salts["g1"] == 1
+
+
 def test_lookup_join_keeps_rows_without_a_key(spark):
     left = spark.createDataFrame([(1, None), (2, "a")], "id int, k string")
     right = spark.createDataFrame([("a", 9)], "k string, w int")

@@ -42,6 +42,16 @@ def test_bag_counts_raw_words_of_every_document(spark):
     assert [(h.idx, h.cnt) for h in pairs[1][1]] == [(0, 2)] and pairs[1][2] == 0
 
 
+@pytest.mark.parametrize("top_n", [0, 1, 2, 3, 5, 99])
+def test_only_words_at_the_cut_or_above_are_ordered(spark, top_n):
+    text = "a a a b b c c d e"
+    df = spark.createDataFrame([(text,)], "t string")
+    counts = df.select(F.explode(F.split("t", " ")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    assert vocab.frequency_cut(counts, top_n) == {0: 3, 1: 3, 2: 2, 3: 2, 5: 1, 99: 0}[top_n]
+    found = vocab.corpus_vocab(df, "t", top_n).where("token > 2").orderBy("token").collect()
+    assert [(r.word, r.freq) for r in found] == [("a", 3), ("b", 2), ("c", 2), ("d", 1), ("e", 1)][:top_n]
+
+
 def test_corpus_vocab_keeps_reserved_words_unique(spark):
     df = spark.createDataFrame([("a b a </s>",), (None,)], "t string")
     words = {r.word: r.token for r in vocab.corpus_vocab(df, "t", 2).collect()}
