@@ -7,6 +7,7 @@ titles differ from document to document.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -205,17 +206,65 @@ def drawn_titles(
     return decode(materialize(paths, "drawn"), vocab, "id", "path").select("id", or_placeholder(F.col("title")).alias("title"))
 
 
-def generate(articles: DataFrame, load_model: Callable, mode: str = "greedy", text: str = "maintext") -> DataFrame:
-    """Titles by a user's model. ``load_model(mode)`` runs once per task and returns a function from a list of texts to a list of titles."""
+def generate(
+    articles: DataFrame, load_model: Callable, mode: str = "greedy", text: str = "maintext", rejects: bool = False, max_rows: int = 64, max_bytes: int = 1 << 20
+) -> DataFrame:
+    """(title, id) by a user's model. ``load_model(mode)`` returns a function from a list of texts to a list of titles.
+
+    It runs once per worker process, which keeps one model from task to task. The model gets texts of like length, at most ``max_rows`` at
+    once and, as if each were as long as the longest, at most ``max_bytes``; a longer text comes alone. If it raises, the texts
+    are tried one by one. A text that fails alone ends the job, or with ``rejects`` is a row without title that says why in the
+    column error (null for the others). Null texts count as empty; rows may repeat an id.
+    """
+    name = f"title model {uuid.uuid4().hex}"
+
+    def model_of_worker() -> Callable:
+        import sys
+        import types
+
+        # A module of no file: it lives as long as the worker, which need not have this package.
+        held = sys.modules.setdefault("_title_models", types.ModuleType("_title_models")).__dict__
+        if name not in held:
+            for other in [k for k in held if k.startswith("title model ")]:
+                del held[other]
+            held[name] = load_model(mode)
+        return held[name]
+
+    def parts(texts: list[str]) -> Iterator[list[int]]:
+        part: list[int] = []
+        for i in sorted(range(len(texts)), key=lambda i: len(texts[i])):
+            if part and (len(part) == max_rows or (len(part) + 1) * len(texts[i]) > max_bytes):
+                yield part
+                part = []
+            part.append(i)
+        if part:
+            yield part
+
+    def titles(model: Callable, texts: list[str]) -> tuple[list[str | None], list[str | None]]:
+        try:
+            made = list(model(texts))
+            if len(made) != len(texts):
+                raise ValueError(f"{len(made)} titles for {len(texts)} texts")
+            return made, [None] * len(texts)
+        except Exception as error:
+            if len(texts) > 1:
+                apart = [titles(model, [t]) for t in texts]
+                return [m[0] for m, _ in apart], [e[0] for _, e in apart]
+            if not rejects:
+                raise
+            return [None], [f"{type(error).__name__}: {error}"]
 
     def run(batches: Iterator) -> Iterator:
-        model = load_model(mode)
         for batch in batches:
-            yield pd.DataFrame({"title": model(batch[text].tolist()), "id": batch["id"]})
+            model, texts = model_of_worker(), batch[text].tolist()
+            for part in parts(texts):
+                made, errors = titles(model, [texts[i] for i in part])
+                yield pd.DataFrame({"title": made, "id": batch["id"].iloc[part].to_numpy(), "error": errors})
 
     rows = articles.select(F.col("id").cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias(text))
-    made = rows.mapInPandas(run, "title string, id bigint")
-    return made.select(or_placeholder(F.col("title")).alias("title"), "id")
+    made = rows.mapInPandas(run, "title string, id bigint, error string")
+    title = F.when(F.col("error").isNull(), or_placeholder(F.col("title"))).alias("title")
+    return made.select(title, "id", *(["error"] if rejects else []))
 
 
 def first_sentence_loader() -> Callable:

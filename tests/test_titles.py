@@ -140,3 +140,43 @@ def test_generate_loads_the_model_in_the_task(spark):
     df = spark.createDataFrame([("1", "One. Two."), ("2", "。x"), ("3", None)], "id string, maintext string")
     got = {r.id: r.title for r in titles.generate(df, titles.first_sentence_loader()).collect()}
     assert got == {1: "One", 2: "無", 3: "無"}
+
+
+def test_a_model_is_loaded_once_per_worker_and_gets_texts_of_like_length(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load(mode):
+        import os
+        import uuid
+
+        open(f"{folder}/load-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+        def model(texts):
+            assert len(texts) == 1 or len(texts) * max(map(len, texts)) <= 5_000
+            return [f"{len(t)} of {mode}" for t in texts]
+
+        return model
+
+    df = spark.range(400).select("id", F.expr("repeat('x', cast(id % 97 as int))").alias("maintext"))
+    df = df.union(spark.range(1).select(F.lit(1000).cast("bigint"), F.expr("repeat('long', 12500000)"))).repartition(20)
+    found = {r.id: r.title for r in titles.generate(df, load, "greedy", max_bytes=5_000).collect()}
+    assert found == {i: f"{i % 97} of greedy" for i in range(400)} | {1000: "50000000 of greedy"}
+    loads = [p.name.split("-")[1] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads)) < 20
+
+
+def test_texts_that_fail_are_rejected_one_by_one(spark):
+    def load(mode):
+        def model(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("cannot read this")
+            return [t.upper() for t in texts]
+
+        return model
+
+    df = spark.createDataFrame([(1, "a"), (2, "bad b"), (3, None), (4, "c"), (4, "bad d")], "id bigint, maintext string")
+    found = [(r.id, r.title, r.error) for r in titles.generate(df, load, rejects=True).collect() if r.id != 3]
+    reason = "ValueError: cannot read this"
+    assert sorted(found, key=str) == sorted([(1, "A", None), (2, None, reason), (4, "C", None), (4, None, reason)], key=str)
+    with pytest.raises(Exception, match="cannot read this"):
+        titles.generate(df, load).collect()
