@@ -15,7 +15,7 @@ from lexmill.llm.common import gathered, write_once
 from lexmill.llm.components import components
 from lexmill.llm.hamming import labels
 from lexmill.llm.meeting import COLUMNS, KEYS, first_table, met_rows, signed, sorted_groups
-from lexmill.llm.vectors import matrix, of_one_width, sample
+from lexmill.llm.vectors import matrix, sample, unit, usable
 from lexmill.runtime import shuffle_partitions
 
 COSINE = 0.95
@@ -33,7 +33,7 @@ class Coder(NamedTuple):
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         """A sign for each direction, as the bits of a number."""
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(x)
         bits = np.zeros((len(x), MAX_BITS), np.uint8)
         bits[:, : self.turn.shape[1]] = (x - self.mean) @ self.turn > 0
         return np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
@@ -41,7 +41,7 @@ class Coder(NamedTuple):
 
 def fit(x: np.ndarray, seed: int = 2) -> Coder:
     """Main directions of the unit vectors, turned so that signs lose least: alternate between signs and the rotation."""
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(x)
     mean = x.mean(axis=0)
     _, _, axes = np.linalg.svd((x - mean).T @ (x - mean))
     bits = min(MAX_BITS, x.shape[1])
@@ -63,7 +63,7 @@ def _parts(bits: int, parts: int) -> list[tuple[int, int]]:
 def _at_threshold(x: np.ndarray, cosine: float, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """``PAIRS`` pairs of unit vectors of this cosine, half moved in any direction, half towards another vector of the sample."""
     rng = np.random.default_rng(seed)
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(x)
     u = x[rng.integers(0, len(x), PAIRS)]
     w = rng.normal(size=u.shape)
     w[::2] = x[rng.integers(0, len(x), len(w[::2]))] - u[::2] + w[::2] * 1e-6
@@ -103,8 +103,7 @@ def _rerank(cosine: float, width: int, masks: list[int]):
             return
         order, group = sorted_groups(rows)
         home, code, t, node, own, tile, weight = (rows[c].to_numpy()[order] for c in ("home", "code", "t", "node", "own", "tile", "weight"))
-        x = matrix(rows["v"], width)[order]
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(matrix(rows["v"], width)[order])
         edges = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         for all_of in np.split(np.arange(len(order)), edges[1:]):
             hosts, links, pairs = all_of[home[all_of]], np.zeros(len(all_of), np.int64), []
@@ -154,19 +153,25 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     the first table where it meets. The rotation is learned from at most ``SAMPLE`` distinct vectors, which also say how far
     apart the codes of links may be and how many parts find them.
 
-    Vectors that are null, empty, zero, hold null or non-finite numbers, or are not of the most frequent length link
-    with nothing, equal ones included. Rows that repeat a key are rows of their own. A row with a null key has its links; its component
+    Vectors that are null, empty, zero, or hold null or non-finite numbers link with nothing, equal ones included. Vectors of
+    different lengths never link; each length is a search of its own, one after the other. Rows that repeat a key are rows of their own. A row with a null key has its links; its component
     is the smallest key that it reaches, or null.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.withColumn("v", F.transform("v", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
-    good, width = of_one_width(rows, "v")
-    alone = F.col("id").alias(key)
-    if width == 0:
-        return rows.select(alone, F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
+    good = usable("v")
+    widths = sorted(r[0] for r in rows.where(good).select(F.size("v")).distinct().collect())
+    found = rows.where(~good).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
+    for width in widths:
+        found = found.union(_of_width(rows.where(good & (F.size("v") == width)), width, cosine))
+    return found.withColumnRenamed("id", key)
+
+
+def _of_width(good: DataFrame, width: int, cosine: float) -> DataFrame:
+    """(id, n_links, component_id, kept) of the rows (id, v), whose vectors all have the length ``width``."""
+    spark = good.sparkSession
     first = write_once(good.groupBy("v").agg(F.min("id").alias("id")), "distinct-vectors")
-    learned = sample(first, "id", "v", width, SAMPLE)
+    learned = sample(first, "id", "v", width, SAMPLE, "double")
     coder = fit(learned)
     radius, cuts = _plan(learned, coder, cosine)
     classes = write_once(_classes(good, width, coder), "classes")
@@ -187,6 +192,6 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     reached = components(found.where(F.col("kind") == 1).select("u", "v"))
     groups = classes.select("node", "weight", "v").join(linked, "node", "left").join(reached, "node", "left")
     groups = write_once(groups.select("v", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id")), "groups")
-    done = rows.join(groups, "v", "left")
+    done = good.join(groups, "v", "left")
     component = F.coalesce("component_id", "id")
-    return done.select(alone, F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
+    return done.select("id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))

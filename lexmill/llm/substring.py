@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.llm.common import attach, byte_codes, fresh, frugal, gathered, mixed, pieces, segment_hashes, texts_of, write_once
-from lexmill.runtime import shuffle_partitions
+from lexmill.operators.scale import with_order_index
+from lexmill.runtime import ROW, numbered, shuffle_partitions
 
 #: Words of a window, words of an anchor, and windows of a phrase at most.
 WINDOW, ANCHOR, PHRASE = 20, 8, 16
@@ -218,10 +219,18 @@ def _per_document(runs: DataFrame, name: str) -> DataFrame:
     return write_once(runs.repartition(parts, "doc").mapInArrow(frugal(_lists), "doc_id bigint, starts array<int>, counts array<int>"), name)
 
 
+def _placed(docs: DataFrame, place: str) -> DataFrame:
+    """``docs`` with a number for each row, in order of doc_id; null without one. Rows of one doc_id are apart, in order of a row number written here."""
+    rows = write_once(numbered(docs), "numbered")
+    known = rows.where(F.col("doc_id").isNotNull()).select("doc_id", ROW)
+    places = write_once(with_order_index(known, place, [F.col("doc_id"), F.col(ROW)]).select(ROW, place), "places")
+    return rows.join(places, ROW, "left").select(*docs.columns, place)
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, starts, counts): the runs of windows of each document whose words also start earlier; written.
 
-    ``docs`` has doc_id and text. Every document is held, by hashes of phrases, against the reference, which is the first place of
+    ``docs`` has doc_id, each but null once, and text. Every document is held, by hashes of phrases, against the reference, which is the first place of
     each phrase of the corpus, spread by anchor over the tasks. A phrase found at an earlier place is a factor, and
     neighbouring factors join. Where factors end, phrases of one anchor differ: their windows are checked one by one in the same
     way. Each task first settles what repeats within it, so a passage that a third of all documents share comes to the
@@ -273,10 +282,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     A word goes if a window of 20 words of its document covers it whose words also start earlier, in a document of smaller
     doc_id or at an earlier word of the same; windows are judged on the input. Null, empty and blank texts have no words, kept is
     empty. A text below 20 words stays whole. A document with a null doc_id has no place in the order: it stays whole and
-    takes nothing from others. Rows that repeat a doc_id are one document: what goes in one goes in all. Columns of the
-    three names in ``docs`` are replaced.
+    takes nothing from others. Rows that repeat a doc_id are judged apart, one of them (the same one throughout a run) before the
+    other. Columns of the three names in ``docs`` are replaced.
     """
     docs = docs.drop("n_words", "n_removed", "kept")
+    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
+    if not again.isEmpty():
+        place, own = fresh(docs, "_place"), fresh(docs, "_doc")
+        apart = remove_repeats(_placed(docs, place).withColumnRenamed("doc_id", own).withColumnRenamed(place, "doc_id"))
+        return apart.drop("doc_id").withColumnRenamed(own, "doc_id").select(*docs.columns, "n_words", "n_removed", "kept")
     full = attach(docs, repeats(docs)).select("doc.*", *[F.col(c).alias(fresh(docs, c)) for c in ("starts", "counts")])
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     width = len(docs.columns)

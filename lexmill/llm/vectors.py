@@ -30,7 +30,13 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return np.asarray(column.flatten()).astype(np.float64).reshape(-1, width)
 
 
-def sample(df: DataFrame, key: str, vector: str, width: int, rows: int) -> np.ndarray:
-    """At most ``rows`` vectors on the driver, those first by a hash of the key."""
-    picked = df.select(F.col(key).alias("k"), F.col(vector).cast("array<float>").alias("v")).orderBy(F.xxhash64(F.lit(4), "k"), "k").limit(rows)
+def unit(x: np.ndarray) -> np.ndarray:
+    """The rows at length 1; scaled by their largest component first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def sample(df: DataFrame, key: str, vector: str, width: int, rows: int, kind: str = "float") -> np.ndarray:
+    """At most ``rows`` vectors on the driver, those first by a hash of the key, with components of the given kind."""
+    picked = df.select(F.col(key).alias("k"), F.col(vector).cast(f"array<{kind}>").alias("v")).orderBy(F.xxhash64(F.lit(4), "k"), "k").limit(rows)
     return matrix(write_once(picked.select("v"), "sample").toArrow()["v"], width)

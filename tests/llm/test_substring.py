@@ -48,7 +48,7 @@ def test_settling_in_small_pieces_changes_nothing(make_docs, monkeypatch):
 def test_null_and_repeated_keys_and_no_documents(make_docs):
     text = " ".join(f"a{i}" for i in range(30))
     found = substring.remove_repeats(make_docs([(1, text), (1, text), (None, text), (None, text), (2, text)])).collect()
-    assert sorted((r.doc_id or 0, r.n_removed) for r in found) == [(0, 0), (0, 0), (1, 0), (1, 0), (2, 30)]
+    assert sorted((r.doc_id or 0, r.n_removed) for r in found) == [(0, 0), (0, 0), (1, 0), (1, 30), (2, 30)]
     assert substring.remove_repeats(make_docs([])).collect() == []
 
 
@@ -60,3 +60,14 @@ def test_cut_leaves_clean_texts_as_they_are(make_docs):
     assert (found[1].text, found[2].text, found[3].text) == (text, "own words end", None)
     assert found[2].n_chars == len("own words end") and found[1].kept == 1
     assert hashlib.sha256(b"").hexdigest() == brute.repeated({1: ""})[1][2]
+
+
+def test_rows_of_one_id_are_judged_apart(make_docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (2, a), (2, b), (3, a + " " + b), (3, b), (3, None), (None, a), (4, "short"), (4, "short")]
+    found = substring.remove_repeats(make_docs(rows).repartition(3))
+    got = sorted((str(r.doc_id), r.text or "", r.n_words, r.n_removed, r.kept) for r in found.collect())
+    want = [(1, a, 60, 0, a), (2, a, 60, 60, ""), (2, b, 60, 0, b), (3, a + " " + b, 120, 120, ""), (3, b, 60, 60, ""), (3, "", 0, 0, ""), (None, a, 60, 0, a), (4, "short", 1, 0, "short"), (4, "short", 1, 0, "short")]
+    assert got == sorted((str(i), *rest) for i, *rest in want)
+    twice = substring.remove_repeats(make_docs([(7, a), (7, a)])).collect()
+    assert sorted(r.n_removed for r in twice) == [0, 60]

@@ -37,8 +37,8 @@ def test_links_and_groups_equal_brute_force(make_vectors, monkeypatch, tile):
     rows = _rows()
     found = {r.vec_id: r for r in embed_dedup.near_duplicates(make_vectors(rows)).collect()}
     assert len(found) == len(rows)
-    good = {i: v for i, v in rows if _good(v, 16)}
-    linked = {(a, b) for a in good for b in good if a != b and brute.cosine(good[a], good[b]) >= 0.95}
+    good = {i: v for i, v in rows if brute.good_vector(v)}
+    linked = {(a, b) for a in good for b in good if a != b and len(good[a]) == len(good[b]) and brute.cosine(good[a], good[b]) >= 0.95}
     roots = brute.components(good, lambda a, b: (a, b) in linked)
     want = {i: sum((i, b) in linked for b in good) for i in good}
     reached = sum(found[i].n_links for i in good)
@@ -131,3 +131,15 @@ def test_links_of_vectors_with_a_common_direction(make_vectors):
     want = (v @ v.T >= 0.95).sum(axis=1) - 1
     found = {r.vec_id: r.n_links for r in embed_dedup.near_duplicates(make_vectors(rows)).collect()}
     assert all(found[i] <= n for i, n in enumerate(want)) and sum(found.values()) >= 0.99 * want.sum()
+
+
+def test_extreme_numbers_and_rare_lengths_link_too(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(300, (x[0] * 1e200).tolist()), (301, (x[0] * 1e-200).tolist()), (302, (x[1] * 1e-290).tolist())]
+    rows += [(400, [1.0, 2.0]), (401, [2.0, 4.0]), (402, [1e300, -1e300]), (500, [3.0]), (501, [1e-320]), (502, [-3.0])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert [found[i] for i in (0, 300, 301)] == [(2, 0)] * 3 and found[1] == found[302] == (1, 1)
+    assert found[400] == found[401] == (1, 400) and found[402] == (0, 402)
+    assert found[500] == found[501] == (1, 500) and found[502] == (0, 502) and len(found) == len(rows)
