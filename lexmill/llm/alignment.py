@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -244,32 +245,81 @@ class Aligned:
         #: Each group holds one link: the tokens that end with it.
         self.links = self.a[ends_a - 1].astype(np.int64) << 32 | self.b[ends_b - 1]
 
-    def per_row(self, x: np.ndarray) -> np.ndarray:
-        """The sum of a number of each link over the links of each row."""
-        total = np.append(0, np.cumsum(x, dtype=np.int64))
-        ends = np.cumsum(self.n_groups)
-        return total[ends] - total[ends - self.n_groups]
 
+def _per_row(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of a number of each link over the links of each row."""
+    total, ends = np.append(0, np.cumsum(x, dtype=np.int64)), np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, last in _parts(offsets(batch.column(batch.schema.get_field_index("ids_b"))), PART):
-            yield batch.slice(first, last - first)
+
+def _spelled(rows: Aligned, words: list[str], n: int) -> Iterator[str]:
+    """``a1,a2|b1;a3|b2,b3`` of each row; ``words`` has each id of A with a comma, with a bar, and of B with a comma, with a semicolon."""
+    group = np.arange(len(rows.sizes_a))
+    last_a, last_b = (np.zeros(len(x), np.int64) for x in (rows.a, rows.b))
+    last_a[np.cumsum(rows.sizes_a) - 1] = last_b[np.cumsum(rows.sizes_b) - 1] = 1
+    word = np.concatenate([rows.a + last_a * n, rows.b + (2 + last_b) * n])
+    order = np.argsort(np.concatenate([2 * np.repeat(group, rows.sizes_a), 2 * np.repeat(group, rows.sizes_b) + 1]), kind="stable")
+    flat, at = word[order].tolist(), 0
+    for size in (rows.n_a + rows.n_b).tolist():
+        yield "".join(map(words.__getitem__, flat[at : at + size]))[:-1]
+        at += size
+
+
+def _keys(links: pa.Array, kind: type) -> np.ndarray:
+    """The links of some rows as numbers, the id of A above that of B."""
+    at = offsets(links)
+    if at[-1] == at[0]:
+        return np.zeros(0, np.int64)
+    pairs = np.frombuffer(links.buffers()[2], np.uint8)[at[0] : at[-1]].view(kind).reshape(-1, 2).astype(np.int64)
+    return pairs[:, 0] << 32 | pairs[:, 1]
+
+
+def linked(docs: DataFrame, files: Tokenizers, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_a, n_b, n_groups, groups_sha256, links) of each row, aligned as by :func:`align`.
+
+    groups_sha256 is of the decimal ids, ``a1,a2|b1;a3|b2,b3``, and empty for a row without tokens. links has the ids of each link
+    behind each other, in two bytes each if the vocabularies allow: lists of numbers would be many times as long on their way.
+    """
+    kind, n = _width(files), max(len(files.bytes_a), len(files.bytes_b))
+    names = [key, "n_a", "n_b", "n_groups", "groups_sha256", "links"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, words = pair_of(files), [f"{i}{end}" for end in ",|,;" for i in range(n)]
+        for batch in batches:
+            texts = texts_of(batch, "_text")
+            for first, last in _parts(offsets(texts), PART):
+                rows = Aligned(pa.RecordBatch.from_arrays(pair.align(texts[first:last].to_pylist()), ALIGNED))
+                digests = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in _spelled(rows, words, n)]
+                data = np.stack([rows.links >> 32, rows.links & 0xFFFFFFFF], axis=1).astype(kind)
+                ends = np.append(0, np.cumsum(rows.n_groups)) * data.itemsize * 2
+                links = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data.tobytes())])
+                sizes = [pa.array(c, pa.int64()) for c in (rows.n_a, rows.n_b, rows.n_groups)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], *sizes, pa.array(digests, pa.string()), links], names)
+
+    numbers = [T.StructField(c, T.LongType()) for c in names[1:4]]
+    schema = T.StructType([docs.schema[key], *numbers, T.StructField("groups_sha256", T.StringType()), T.StructField("links", T.BinaryType())])
+    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(frugal(run), schema)
+
+
+def _width(files: Tokenizers) -> type:
+    return np.uint16 if max(len(files.bytes_a), len(files.bytes_b)) <= 1 << 16 else np.uint32
 
 
-def pair_counts(aligned: DataFrame) -> DataFrame:
-    """(a, b, n): how many links of the whole table hold each pair of ids; each task sums its own before they move."""
+def pair_counts(rows: DataFrame, files: Tokenizers) -> DataFrame:
+    """(a, b, n): how many links of the whole table of :func:`linked` rows hold each pair of ids; each task sums its own before they move."""
+    kind = _width(files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in _slices(batches):
-            own, n = np.unique(Aligned(batch).links, return_counts=True)
-            keys, at = np.unique(np.concatenate([keys, own]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
+        for batch in batches:
+            for first, last in _parts(offsets(batch.column(0)), PART):
+                own, n = np.unique(_keys(batch.column(0)[first:last], kind), return_counts=True)
+                keys, at = np.unique(np.concatenate([keys, own]), return_inverse=True)
+                counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
         columns = [keys >> 32, keys & 0xFFFFFFFF, counts]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
 
-    return aligned.select(*ALIGNED).mapInArrow(frugal(run), "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return rows.select("links").mapInArrow(frugal(run), "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 class Counts(NamedTuple):
@@ -295,46 +345,23 @@ def collect_counts(counted: DataFrame) -> Counts:
     return Counts(keys[order], n[order], (n == top[b])[order])
 
 
-def _spelled(rows: Aligned, words: list[str], n: int) -> Iterator[str]:
-    """``a1,a2|b1;a3|b2,b3`` of each row; ``words`` has each id of A with a comma, with a bar, and of B with a comma, with a semicolon."""
-    group = np.arange(len(rows.sizes_a))
-    last_a, last_b = (np.zeros(len(x), np.int64) for x in (rows.a, rows.b))
-    last_a[np.cumsum(rows.sizes_a) - 1] = last_b[np.cumsum(rows.sizes_b) - 1] = 1
-    word = np.concatenate([rows.a + last_a * n, rows.b + (2 + last_b) * n])
-    order = np.argsort(np.concatenate([2 * np.repeat(group, rows.sizes_a), 2 * np.repeat(group, rows.sizes_b) + 1]), kind="stable")
-    flat, at = word[order].tolist(), 0
-    for size in (rows.n_a + rows.n_b).tolist():
-        yield "".join(map(words.__getitem__, flat[at : at + size]))[:-1]
-        at += size
-
-
-def summarise(aligned: DataFrame, counts: Counts, key: str = "doc_id") -> DataFrame:
-    """(key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of each row of an aligned table.
+def link(docs: DataFrame, files: Tokenizers, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_a, n_b, n_groups, groups_sha256, n_links, n_best, count_sum) of each row of ``docs``.
 
-    groups spells the decimal ids: ``a1,a2|b1;a3|b2,b3``. n_best counts the links whose pair is the most frequent of its id of
-    B, ties included; count_sum adds the counts of the pairs of all links. A row without tokens has zeros and an empty spelling.
+    A link is a pair of tokens that end together, one for each group. n_best counts the links whose pair is, over all rows, the most
+    frequent of its id of B, ties included; count_sum adds the counts of the pairs of all links. Zeros without tokens.
     """
+    rows = write_once(linked(docs, files, key, text), "linked")
+    counts, kind = collect_counts(pair_counts(rows, files)), _width(files)
+    told = [key, "n_a", "n_b", "n_groups", "groups_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = int(max((counts.keys >> 32).max(initial=0), (counts.keys & 0xFFFFFFFF).max(initial=0))) + 1
-        words: list[str] = []
-        for batch in _slices(batches):
-            rows = Aligned(batch)
-            most = max(n, int(rows.a.max(initial=0)) + 1, int(rows.b.max(initial=0)) + 1)
-            if len(words) != 4 * most:
-                n, words = most, [f"{i}{end}" for end in ",|,;" for i in range(most)]
-            at = np.searchsorted(counts.keys, rows.links)
-            links = rows.n_groups
-            columns = [rows.n_a, rows.n_b, rows.n_groups, links, rows.per_row(counts.best[at]), rows.per_row(counts.counts[at])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns], pa.array(list(_spelled(rows, words, n)), pa.string())], names)
-
-    numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    names = [key, *numbers, "groups"]
-    schema = T.StructType([aligned.schema[key], *[T.StructField(c, T.LongType()) for c in numbers], T.StructField("groups", T.StringType())])
-    return aligned.select(key, *ALIGNED).mapInArrow(frugal(run), schema)
-
-
-def link(docs: DataFrame, files: Tokenizers, key: str = "doc_id") -> DataFrame:
-    """What :func:`summarise` tells of each row of ``docs`` (key, text), the pairs counted over all rows."""
-    aligned = write_once(align(docs.select(F.col(key), "text"), files).drop("text"), "aligned")
-    return summarise(aligned, collect_counts(pair_counts(aligned)), key)
+        for batch in batches:
+            for first, last in _parts(offsets(batch.column(5)), PART):
+                part = batch.slice(first, last - first)
+                at, sizes = np.searchsorted(counts.keys, _keys(part.column(5), kind)), part.column(3).to_numpy()
+                sums = [sizes, _per_row(counts.best[at], sizes), _per_row(counts.counts[at], sizes)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], *[pa.array(x, pa.int64()) for x in sums]], [*told, "n_links", "n_best", "count_sum"])
+
+    schema = T.StructType([*[rows.schema[c] for c in told], *[T.StructField(c, T.LongType()) for c in ("n_links", "n_best", "count_sum")]])
+    return rows.mapInArrow(frugal(run), schema)

@@ -144,5 +144,4 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
     files = alignment.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
     found = alignment.link(table(spark, folder, "documents").select("doc_id", "text"), files)
-    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
-    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
