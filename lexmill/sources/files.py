@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators.evaluate import or_placeholder
+from lexmill.runtime import materialize
 
 ARTICLE_SCHEMA = "id string, maintext string, title string"
 
@@ -28,6 +29,32 @@ def read_reviews(spark: SparkSession, path: str, labelled: bool = True, multi_li
     return df.select("Id", category, "text")
 
 
+def _sorted_out(read: DataFrame, broken: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects (file, line)) of a permissive read; written, since the columns decide together which lines are broken."""
+    both = materialize(read.withColumn("_file", F.col("_metadata.file_path")), "read")
+    rejects = both.where(F.col(broken).isNotNull()).select(F.col("_file").alias("file"), F.col(broken).alias("line"))
+    if (n := rejects.count()) > limit:
+        raise ValueError(f"{n} broken lines, more than the limit of {limit}")
+    return both.where(F.col(broken).isNull()).drop(broken, "_file"), rejects
+
+
+def read_reviews_or_reject(spark: SparkSession, path: str, limit: int, labelled: bool = True, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 in two: (reviews as :func:`read_reviews` gives them, rejects (file, line)). More rejects than ``limit`` raise."""
+    names = _csv(spark, path, None, multi_line).columns
+    types = {"Id": "bigint", "Category": "int" if labelled else "string"}
+    schema = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in names) + ", `_broken` string"
+    options = dict(header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
+    good, rejects = _sorted_out(spark.read.csv(path, schema=schema, **options), "_broken", limit)
+    category = F.col("Category") if labelled else F.lit(None).cast("int").alias("Category")
+    return good.select("Id", category, "text"), rejects
+
+
+def read_articles_or_reject(spark: SparkSession, path: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """S2 in two: (articles as :func:`read_articles` gives them, rejects (file, line)). More rejects than ``limit`` raise."""
+    read = spark.read.schema(f"{ARTICLE_SCHEMA}, _broken string").json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
+    return _sorted_out(read, "_broken", limit)
+
+
 def write_reviews(df: DataFrame, path: str) -> None:
     """The CSV form that :func:`read_reviews` reads."""
     df.select("Id", "Category", "text").write.csv(path, header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

@@ -117,3 +117,20 @@ def test_vectors_and_long_bag_agree(spark):
     vectors = add_vectors(df, words).select("Id", *[vector_to_array(f"{v}_features").alias(v) for v in ("neg", "pos")])
     dense = {(r.Id, v, i, int(c)) for r in vectors.collect() for v in ("neg", "pos") for i, c in enumerate(r[v]) if c}
     assert dense == {tuple(r) for r in vocab.bag_of_words(df, words).collect()}
+
+
+def test_one_broken_line_in_a_thousand_is_rejected(spark, tmp_path):
+    lines = [f'{{"id": "{i}", "maintext": "text {i}", "title": "t"}}' for i in range(1000)]
+    lines[500] = '{"id": "500", "maintext": '
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
+    good, rejects = files.read_articles_or_reject(spark, str(tmp_path / "a.jsonl"), limit=1)
+    assert good.count() == 999 and good.columns == ["id", "maintext", "title"]
+    assert [(r.file.rsplit("/", 1)[-1], r.line) for r in rejects.collect()] == [("a.jsonl", lines[500])]
+    rows = [f'{i},{i % 2},"text, {i}"' for i in range(1000)]
+    rows[7] = '7,many,"text"'
+    (tmp_path / "r.csv").write_text("Id,Category,text\n" + "\n".join(rows) + "\n")
+    for multi_line in (True, False):
+        good, rejects = files.read_reviews_or_reject(spark, str(tmp_path / "r.csv"), limit=1, multi_line=multi_line)
+        assert good.count() == 999 and [r.line.strip() for r in rejects.collect()] == [rows[7]]
+    with pytest.raises(ValueError, match="more than the limit of 0"):
+        files.read_articles_or_reject(spark, str(tmp_path / "a.jsonl"), limit=0)
