@@ -13,6 +13,9 @@ from lexmill.operators.scale import with_order_index
 TRAIN_COLUMNS = ["input_ids", "attention_mask", "decoder_input_ids", "decoder_attention_mask", "labels"]
 EVAL_COLUMNS = ["input_ids", "attention_mask", "id"]
 
+#: Groups that rows without an Id are dealt over.
+NULL_GROUPS = 4096
+
 
 def union_splits(**splits: DataFrame) -> DataFrame:
     """Stack the named splits and remember where each row came from."""
@@ -44,18 +47,22 @@ def pair_views(bag: DataFrame, reviews: DataFrame) -> DataFrame:
     """Both views and the label of each document, one row per document.
 
     ``bag`` is the long bag of words. Each side of a pair is an array of (idx, cnt), empty for a document
-    without any vocabulary word; the label is null where there is none.
+    without any vocabulary word; the label is null where there is none. Rows of ``reviews`` that repeat an Id each get its
+    views, and rows without an Id get empty ones.
+
+    Hits and documents meet in one regrouping by Id, without a join; rows without an Id are dealt over many groups.
     """
+    hit = F.struct("cls", "idx", "cnt")
+    hits = bag.where(F.col("Id").isNotNull()).select("Id", F.lit(None).cast("int").alias("_spread"), hit.alias("hit"), F.lit(None).alias("doc"))
+    spread = F.when(F.col("Id").isNull(), F.monotonically_increasing_id() % NULL_GROUPS).cast("int")
+    docs = reviews.select("Id", spread.alias("_spread"), F.lit(None).alias("hit"), F.struct(F.col("Category").alias("label")).alias("doc"))
+    grouped = hits.unionByName(docs).groupBy("Id", "_spread").agg(F.collect_list("hit").alias("hits"), F.collect_list("doc").alias("docs"))
 
     def view(cls: str) -> Column:
-        hits = F.collect_list(F.when(F.col("cls") == cls, F.struct("idx", "cnt")))
-        return F.array_sort(hits).alias(cls)
-
-    hits = bag.groupBy("Id").agg(view("pos"), view("neg"))
-    empty = F.array().cast("array<struct<idx:bigint,cnt:bigint>>")
-    return reviews.select("Id", F.col("Category").alias("label")).join(hits, "Id", "left").select(
-        "Id", *[F.coalesce(F.col(c), empty).alias(c) for c in ("pos", "neg")], "label"
-    )
+        chosen = F.filter("hits", lambda h: h["cls"] == cls)
+        return F.array_sort(F.transform(chosen, lambda h: F.struct(h["idx"].alias("idx"), h["cnt"].alias("cnt")))).alias(cls)
+
+    return grouped.select("Id", view("pos"), view("neg"), F.explode("docs").alias("doc")).select("Id", "pos", "neg", "doc.label")
 
 
 def assign_batches(

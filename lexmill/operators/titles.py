@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -82,6 +83,8 @@ def beam_paths(
 
     At most ``beams`` successors of a partial title can enter the next beam, and its own pairs can bar at
     most ``max_len`` of them. So the best ``beams + max_len`` successors of a word hold every candidate.
+
+    At each write the seeds whose winner is known leave the search, see :func:`_decided`.
     """
     score = F.round(F.col("logp") * LOG_UNIT).cast("bigint")
     order = Window.partitionBy("prev").orderBy(F.desc("step"), F.col("next"))
@@ -104,6 +107,7 @@ def beam_paths(
     def pair(following: Column) -> Column:
         return F.shiftleft(F.col("last").cast("bigint"), 32) + following
 
+    settled: list[DataFrame] = []
     for step in range(1, max_len):
         grown = lookup_join(beam.withColumn("last", F.element_at("path", -1)), nexts, ["last"], "left")
         allowed = F.coalesce("options", none)
@@ -129,13 +133,34 @@ def beam_paths(
             .drop("_r")
         )
         if step % STEPS_PER_WRITE == 0:
-            beam = materialize(beam, "beam")
-            if beam.where(F.col("open") & (F.element_at("path", -1) != END)).isEmpty():
+            written = materialize(_decided(beam, max_len), "beam")
+            settled.append(written.where("decided"))
+            beam = written.where(~F.col("decided")).drop("decided")
+            if beam.isEmpty():
                 break
+    beam = reduce(DataFrame.unionByName, [b.select("seed", "path", "score") for b in [beam, *settled]])
     final = Window.partitionBy("seed").orderBy(F.desc(F.col("score") / F.size("path")), F.col("path"))
     return beam.withColumn("_r", F.row_number().over(final)).where(F.col("_r") == 1).select("seed", "path", "score")
 
 
+def _decided(beam: DataFrame, max_len: int) -> DataFrame:
+    """Add ``decided``: True for seeds whose winner at the end is a finished title they hold now.
+
+    Scores are logarithms of probabilities, so a step adds at most 0: what comes of an open partial title scores at most what that has now, over at
+    most ``max_len`` words. A finished title that scores above all open ones keeps its place in the beam. If its average is also
+    above that bound, it beats all that is still open, and the finished titles that score no more than an open one as well.
+    """
+    going = F.col("open") & (F.element_at("path", -1) != END)
+    whole = Window.partitionBy("seed")
+    reach = F.max(F.when(going, F.col("score"))).over(whole)
+    sure = ~going & (F.col("score") > F.col("_reach"))
+    best = F.max(F.when(sure, F.col("score") / F.size("path"))).over(whole)
+    bounded = beam.withColumn("_reach", reach).withColumn("_best", best)
+    # Strictly above: an equal average is settled by the path.
+    out = F.col("_reach").isNull() | F.coalesce(F.col("_best") > F.col("_reach") / max_len, F.lit(False))
+    return bounded.withColumn("decided", out).drop("_reach", "_best")
+
+
 def beam_titles(
     docs: DataFrame, bigrams: DataFrame, vocab: DataFrame, beams: int = BEAMS, max_len: int = TITLE_LENGTH, no_repeat: bool = True
 ) -> DataFrame:
@@ -178,6 +203,7 @@ def drawn_paths(docs: DataFrame, scored: DataFrame, max_len: int, seed: int) ->
     guide, widths = _guide(scored)
     state = docs.select("id", F.array("seed").alias("path"), F.col("seed").alias("last"))
     state = lookup_join(state, widths, ["last"], "left")
+    ended: list[DataFrame] = []
     for step in range(1, max_len):
         at = F.floor(unit_hash(seed, F.col("id"), F.lit(step)) * WHOLE)
         placed = state.withColumn("at", at).withColumn("cell", F.floor(F.col("at") * F.col("n") / WHOLE))
@@ -191,10 +217,13 @@ def drawn_paths(docs: DataFrame, scored: DataFrame, max_len: int, seed: int) ->
             F.col("pick.next_n").alias("n"),
         )
         if step % (2 * STEPS_PER_WRITE) == 0:
-            state = materialize(state, "drawn")
-            if state.where(F.col("last").isNotNull()).isEmpty():
+            written = materialize(state, "drawn")
+            # Ended titles stay where they are written; only the others take part in the next steps.
+            ended.append(written.where(F.col("last").isNull()))
+            state = written.where(F.col("last").isNotNull())
+            if state.isEmpty():
                 break
-    return state.select("id", "path")
+    return reduce(DataFrame.unionByName, [s.select("id", "path") for s in [state, *ended]])
 
 
 def drawn_titles(

@@ -180,3 +180,30 @@ def test_texts_that_fail_are_rejected_one_by_one(spark):
     assert sorted(found, key=str) == sorted([(1, "A", None), (2, None, reason), (4, "C", None), (4, None, reason)], key=str)
     with pytest.raises(Exception, match="cannot read this"):
         titles.generate(df, load).collect()
+
+
+@pytest.mark.parametrize("case", range(3))
+def test_seeds_that_leave_the_beam_early_keep_their_winner(spark, case):
+    rng = random.Random(case)
+    # Some words nearly always end a title and some nearly never: seeds are decided at different steps, by the bound or by their end.
+    counts = {(p, n): rng.choice([1, 1, 5, 400]) for p in range(3, 15) for n in [1, *range(3, 15)] if rng.random() < 0.5}
+    seeds = sorted({p for p, _ in counts})
+    rows = titles.beam_paths(table(spark, counts), spark.createDataFrame([(p,) for p in seeds], "seed int"), 4, 18)
+    assert {r.seed: (r.score, r.path) for r in rows.collect()} == {p: beam(counts, p, 4, 18, True) for p in seeds}
+
+
+def test_a_seed_is_decided_by_a_finished_title_above_all_open_ones(spark):
+    beams = [
+        (1, [1, 8, END], -9, True),  # above the open one, average -3
+        (1, [1, 9, 9], -40, True),  # reaches -40 / 10 at best
+        (2, [2, 8, END], -9, True),
+        (2, [2, 9, 9], -20, True),  # may reach -20 / 10
+        (3, [3, 8, END], -50, True),  # below the open one
+        (3, [3, 9, 9], -40, True),
+        (4, [4, 8, END], -50, True),  # none is open
+        (4, [4, 9, 9], -40, False),
+        (5, [5, 8, END], -12, True),  # an equal average is open to the path
+        (5, [5, 9, 9], -40, True),
+    ]
+    rows = titles._decided(spark.createDataFrame(beams, "seed int, path array<int>, score bigint, open boolean"), 10)
+    assert {r.seed: r.decided for r in rows.select("seed", "decided").distinct().collect()} == {1: True, 2: False, 3: False, 4: True, 5: False}

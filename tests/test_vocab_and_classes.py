@@ -166,3 +166,11 @@ def test_train_and_predict_jobs(spark, tmp_path):
     assert {r.Id: r.pred for r in pred.collect()} == {i: i % 2 for i in range(40)}
     linear = classification.linear_predictions(df, df)
     assert {r.Id: r.pred for r in linear.collect()} == {i: i % 2 for i in range(40)}
+
+
+def test_pair_views_keep_rows_of_one_id_and_rows_without_an_id(spark):
+    reviews = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (None, None), (2, None)], "Id bigint, Category int")
+    bag = spark.createDataFrame([(1, "pos", 3, 2), (1, "neg", 1, 1), (1, "pos", 0, 1), (None, "pos", 4, 1), (9, "pos", 1, 1)], "Id bigint, cls string, idx bigint, cnt bigint")
+    got = sorted(((r.Id, r.pos, r.neg, r.label) for r in prep.pair_views(bag, reviews).collect()), key=str)
+    held = [(0, 1), (3, 2)], [(1, 1)]
+    assert got == sorted([(1, *held, 0), (1, *held, 1), (None, [], [], 1), (None, [], [], None), (2, [], [], None)], key=str)
