@@ -122,11 +122,12 @@ def s5_bag_store(spark, folder):
     reviews = views.reviews(spark, folder)
     words = _vocab(reviews)
 
-    def build():
-        return vocab.bag_of_words(reviews, words).join(reviews.select("Id", "split"), "Id")
+    def build(rows):
+        return vocab.bag_of_words(rows, words).join(rows.select("Id", "split"), "Id")
 
-    for _ in range(2):
-        bag = stores.bag_store(spark, root, words, reviews, build)
+    before = reviews.withColumn("text", F.when(F.crc32(F.col("Id").cast("string").cast("binary")) % 97 == 0, F.lit("as it was")).otherwise(F.col("text")))
+    for state in (before, reviews):
+        bag = stores.bag_store(spark, root, words, state, build)
     return bag.select("Id", "cls", "idx", "cnt", "split")
 
 
@@ -135,16 +136,16 @@ def s6_feature_store(spark, folder):
     root = scratch_path(spark, "feature-store")
     news = views.news_like(spark, folder)
     words = _news_vocab(_clean_news(spark, folder))
-    made_from = f"{stores.rows_key(news, 'id', 'maintext', 'title')}/{stores.vocab_key(words)}/{encode.TITLE_LENGTH}"
+    made_from = f"{stores.vocab_key(words)}/{encode.TITLE_LENGTH}"
     ones = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, m: a + m)
     parts = []
     for mode, length in (("train", encode.TEXT_LENGTH), ("train", 128), ("eval", encode.TEXT_LENGTH)):
 
-        def build(mode=mode, length=length):
-            return encode.build_features(news, words, mode, length, encode.TITLE_LENGTH, keep_id=True)
+        def build(rows, mode=mode, length=length):
+            return encode.build_features(rows, words, mode, length, encode.TITLE_LENGTH, keep_id=True)
 
         for _ in range(2):
-            part = stores.feature_store(spark, root, mode, "words 1.0", length, build, made_from)
+            part = stores.article_features(root, news, mode, "words 1.0", length, build, made_from)
         labels = _text("labels") if mode == "train" else F.lit(None).cast("string").alias("labels")
         key = [F.lit(mode).alias("mode"), F.lit(length).alias("max_len"), F.col("id").cast("bigint").alias("id")]
         parts.append(part.select(*key, ones.alias("n_tokens"), _text("input_ids"), labels))

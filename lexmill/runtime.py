@@ -7,6 +7,9 @@ import shutil
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,6 +20,8 @@ from pyspark.sql import types as T
 ROW = "_row_number"
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+#: The folders of the open :func:`released` blocks, innermost last.
+_RELEASED: ContextVar[tuple[str, ...]] = ContextVar("released", default=())
 
 
 class Size(NamedTuple):
@@ -64,7 +69,31 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = scratch_dir(spark)
+    inner = [f for f in _RELEASED.get() if f.startswith(f"{folder}/")]
+    return f"{inner[-1] if inner else folder}/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """``path`` and its file system, whatever store it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside the block are deleted at its end, also if it fails.
+
+    Frames made inside read these tables, so write or collect what is to stay before the block ends. Blocks may be nested.
+    """
+    folder = scratch_path(spark, "released")
+    token = _RELEASED.set((*_RELEASED.get(), folder))
+    try:
+        yield
+    finally:
+        _RELEASED.reset(token)
+        path, fs = hadoop_path(spark, folder)
+        fs.delete(path, True)
 
 
 def _measures(df: DataFrame) -> list[Column]:

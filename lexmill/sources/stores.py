@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Sequence
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lexmill.runtime import hadoop_path
 
-def _stored(spark: SparkSession, path: str) -> bool:
-    """True if a job has finished writing ``path``: a folder that a lost job left behind does not count."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+#: Buckets of ids in a store; a changed row has its bucket rebuilt, so take more where a bucket would be large.
+BUCKETS = 64
+GENERATION, BUCKET = "store_generation", "store_bucket"
+
+
+def _row_measures(columns: Sequence[str | Column]) -> list[Column]:
+    """Aggregates that change with the values of any row, whatever the order of the rows."""
+    columns = [F.col(c) if isinstance(c, str) else c for c in columns]
+    h = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    return [F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(20,0)")).alias("s")]
+
+
+def _row_key(row) -> str:
+    return f"{row.n}-{(row.x or 0) & 0xFFFFFFFFFFFFFFFF:016x}-{int(row.s or 0) & 0xFFFFFFFFFFFFFFFFFFFFFFFF:x}"
 
 
 def rows_key(df: DataFrame, *columns: str | Column) -> str:
     """A key that changes with the values of any row, whatever the order of the rows."""
-    h = F.xxhash64(*columns)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 20)).alias("s")).first()
-    return f"{row.n}-{(row.x or 0) & 0xFFFFFFFFFFFFFFFF:016x}-{(row.s or 0) & 0xFFFFFFFFFFFFFFFF:x}"
+    return _row_key(df.agg(*_row_measures(columns)).first())
 
 
 def vocab_key(vocab: DataFrame) -> str:
@@ -27,17 +39,118 @@ def vocab_key(vocab: DataFrame) -> str:
     return rows_key(vocab, *[c for c in ("cls", "word", "idx", "token") if c in vocab.columns])
 
 
-def bag_store(spark: SparkSession, root: str, vocab: DataFrame, reviews: DataFrame, build: Callable[[], DataFrame], rebuild: bool = False) -> DataFrame:
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    path, fs = hadoop_path(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """The published versions of a store, oldest first."""
+    return [n for n in _names(spark, f"{root}/published") if n.endswith(".json")]
+
+
+def _version(spark: SparkSession, root: str, name: str) -> dict:
+    return json.loads(spark.read.text(f"{root}/published/{name}", wholetext=True).first().value)
+
+
+def _newest(spark: SparkSession, root: str) -> dict | None:
+    names = _versions(spark, root)
+    return _version(spark, root, names[-1]) if names else None
+
+
+def _publish(spark: SparkSession, root: str, version: dict) -> None:
+    """Make ``version`` the newest: its file is written aside and appears whole, by one renaming.
+
+    Of two writers at the same time the one that is last by number, then name, counts; what either names is whole.
+    """
+    number = 1 + max((int(n.split("-")[0]) for n in _versions(spark, root)), default=0)
+    name = f"{number:012d}-{uuid.uuid4().hex}.json"
+    aside, fs = hadoop_path(spark, f"{root}/aside/{name}")
+    out = fs.create(aside)
+    out.writeBytes(json.dumps(version))
+    out.close()
+    target, _ = hadoop_path(spark, f"{root}/published/{name}")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(aside, target):
+        raise OSError(f"could not publish {target}")
+
+
+def _write(rows: DataFrame, root: str, parts: Sequence[str]) -> dict[str, str]:
+    """Write ``rows`` (with their bucket) as a generation of its own; the folder of each bucket that has rows."""
+    generation = f"{GENERATION}=g{uuid.uuid4().hex}"
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET, *parts).parquet(f"{root}/data/{generation}")
+    written = _names(rows.sparkSession, f"{root}/data/{generation}")
+    return {n.split("=")[1]: f"{generation}/{n}" for n in written if n.startswith(f"{BUCKET}=")}
+
+
+def _read(spark: SparkSession, root: str, version: dict) -> DataFrame:
+    """The rows of a version: only the folders that it names are listed and read."""
+    schema = T.StructType.fromJson(version["schema"])
+    folders = [f"{root}/data/{b['folder']}" for b in version["buckets"].values() if b["folder"]]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    place = T.StructType([*schema, T.StructField(GENERATION, T.StringType()), T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(place).option("basePath", f"{root}/data").parquet(*folders).select(*schema.names)
+
+
+def bucket_store(
+    root: str, source: DataFrame, key: str, columns: Sequence[str], build: Callable[[DataFrame], DataFrame],
+    parts: Sequence[str] = (), buckets: int = BUCKETS, rebuild: bool = False,
+) -> DataFrame:
+    """What ``build`` makes of the ``source``, kept under ``root``; only buckets of keys in which a row changed are built again.
+
+    ``build(rows)`` gets the rows of the changed buckets and must judge each key by its own rows; its result keeps ``key``. A bucket changed if any
+    value in ``columns`` did, or a row came or went. Unchanged buckets are taken over as files. ``parts`` partition the files.
+
+    The new version appears by one renaming when all is written: readers see the old rows or the new, a frame read before goes on
+    reading the old ones, and a job that is lost on the way leaves what was. :func:`drop_versions` deletes what no kept version
+    names. The driver holds one key per bucket.
+    """
+    spark = source.sparkSession
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    now = {str(r[BUCKET]): f"{buckets}/{_row_key(r)}" for r in source.groupBy(bucket.alias(BUCKET)).agg(*_row_measures(columns)).collect()}
+    old = _newest(spark, root)
+    held = old["buckets"] if old and not rebuild else {}
+    changed = sorted(int(b) for b, k in now.items() if b not in held or held[b]["key"] != k)
+    if old is None or changed or held.keys() != now.keys():
+        built = build(source.where(bucket.isin(changed)))
+        folders = _write(built.withColumn(BUCKET, bucket), root, parts) if changed else {}
+        new = {b: {"key": k, "folder": folders.get(b)} if int(b) in changed else held[b] for b, k in now.items()}
+        old = {"schema": built.schema.jsonValue(), "buckets": new}
+        _publish(spark, root, old)
+    return _read(spark, root, old)
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete all but the newest ``keep`` versions of a store and the files that only these name; the number of folders deleted.
+
+    Frames read from a deleted version fail. A writer at work must not run at the same time: what it wrote is not named yet.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    names = _versions(spark, root)
+    kept = {b["folder"] for n in names[-keep:] for b in _version(spark, root, n)["buckets"].values()}
+    for name in names[:-keep]:
+        path, fs = hadoop_path(spark, f"{root}/published/{name}")
+        fs.delete(path, False)
+    folders = [f"{g}/{b}" for g in _names(spark, f"{root}/data") for b in _names(spark, f"{root}/data/{g}") if b.startswith(f"{BUCKET}=")]
+    for folder in (gone := [f for f in folders if f not in kept]):
+        path, fs = hadoop_path(spark, f"{root}/data/{folder}")
+        fs.delete(path, True)
+    return len(gone)
+
+
+def bag_store(
+    spark: SparkSession, root: str, vocab: DataFrame, reviews: DataFrame, build: Callable[[DataFrame], DataFrame],
+    rebuild: bool = False, buckets: int = BUCKETS,
+) -> DataFrame:
     """The bag of words of all splits, built once per vocabulary and documents and read back after that.
 
-    ``build()`` returns a bag of the ``reviews`` (Id, text, split) with a ``split`` column, which partitions the table. Another
-    vocabulary, text, id or split gives another key, so stale counts are never read.
+    ``build(rows)`` returns a bag of these ``reviews`` (Id, text, split) with a ``split`` column, which partitions the table. Another
+    vocabulary gives another store; a changed text, id or split has its bucket of ids built again (:func:`bucket_store`).
     """
-    path = f"{root}/bag/vocab={vocab_key(vocab)}/reviews={rows_key(reviews, 'Id', 'text', 'split')}"
-    if rebuild or not _stored(spark, path):
-        bag = build()
-        bag.write.mode("overwrite").partitionBy("split").parquet(path)
-    return spark.read.option("basePath", path).parquet(path).withColumn("split", F.col("split").cast("string"))
+    path = f"{root}/bag/vocab={vocab_key(vocab)}"
+    return bucket_store(path, reviews, "Id", ("Id", "text", "split"), build, ("split",), buckets, rebuild)
 
 
 def features_path(root: str, mode: str, tokenizer: str, max_len: int, made_from: str = "") -> str:
@@ -46,14 +159,18 @@ def features_path(root: str, mode: str, tokenizer: str, max_len: int, made_from:
 
 
 def write_features(features: DataFrame, root: str, mode: str, tokenizer: str, max_len: int, made_from: str = "") -> None:
-    """Store encoded features under (mode, tokenizer, max_len, made_from), replacing only that key."""
-    features.write.mode("overwrite").parquet(features_path(root, mode, tokenizer, max_len, made_from))
+    """Store encoded features under (mode, tokenizer, max_len, made_from), replacing only that key, for readers at one moment."""
+    path = features_path(root, mode, tokenizer, max_len, made_from)
+    folders = _write(features.withColumn(BUCKET, F.lit(0)), path, ())
+    version = {"schema": features.schema.jsonValue(), "buckets": {"0": {"key": "", "folder": folders.get("0")}}}
+    _publish(features.sparkSession, path, version)
 
 
 def read_features(spark: SparkSession, root: str, mode: str, tokenizer: str, max_len: int, made_from: str = "") -> DataFrame | None:
     """The stored features of the key, or None; only the key's folder is read."""
     path = features_path(root, mode, tokenizer, max_len, made_from)
-    return spark.read.parquet(path) if _stored(spark, path) else None
+    version = _newest(spark, path)
+    return _read(spark, path, version) if version else None
 
 
 def feature_store(
@@ -71,6 +188,19 @@ def feature_store(
     return stored
 
 
+def article_features(
+    root: str, articles: DataFrame, mode: str, tokenizer: str, max_len: int, build: Callable[[DataFrame], DataFrame],
+    made_from: str = "", buckets: int = BUCKETS,
+) -> DataFrame:
+    """As :func:`feature_store` for ``articles`` (id, maintext, title), of which only changed buckets of ids are encoded again.
+
+    ``build(rows)`` returns the features of these articles with their ``id``; ``made_from`` names the vocabulary and the length
+    of the titles, not the articles.
+    """
+    path = features_path(f"{root}/articles", mode, tokenizer, max_len, made_from)
+    return bucket_store(path, articles, "id", ("id", "maintext", "title"), build, (), buckets)
+
+
 def long_metrics(wide: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Named values as rows (keys…, metric, value); missing values leave no row."""
     doubles = wide.select(*keys, *[F.col(v).cast("double").alias(v) for v in values])

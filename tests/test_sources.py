@@ -50,7 +50,7 @@ def test_answers(spark, tmp_path):
 def test_bag_store_is_built_once_per_vocabulary(spark, tmp_path):
     calls = []
 
-    def build():
+    def build(rows):
         calls.append(1)
         return spark.createDataFrame([(1, "neg", 0, 2, "train"), (2, "pos", 1, 1, "test")], "Id bigint, cls string, idx bigint, cnt bigint, split string")
 
@@ -84,7 +84,8 @@ def test_a_store_that_was_not_finished_does_not_count(spark, tmp_path):
     stores.write_features(spark.range(3), str(tmp_path), "train", "1.0/x", 4)
     path = stores.features_path(str(tmp_path), "train", "1.0/x", 4)
     assert stores.read_features(spark, str(tmp_path), "train", "1.0/x", 4).count() == 3
-    (Path(path) / "_SUCCESS").unlink()
+    for mark in (Path(path) / "published").glob("*.json"):
+        mark.unlink()
     assert stores.read_features(spark, str(tmp_path), "train", "1.0/x", 4) is None
 
 
@@ -134,3 +135,96 @@ def test_one_broken_line_in_a_thousand_is_rejected(spark, tmp_path):
         assert good.count() == 999 and [r.line.strip() for r in rejects.collect()] == [rows[7]]
     with pytest.raises(ValueError, match="more than the limit of 0"):
         files.read_articles_or_reject(spark, str(tmp_path / "a.jsonl"), limit=0)
+
+
+def _folders(root):
+    return {str(p.relative_to(root)) for p in Path(root).rglob("store_bucket=*")}
+
+
+def test_a_changed_review_rewrites_one_bucket(spark, tmp_path):
+    rows = [(i, i % 2, f"a b{i % 7} a", "train" if i % 3 else "test") for i in range(200)] + [(900, 0, None, "test")]
+    schema = "Id bigint, Category int, text string, split string"
+    reviews = spark.createDataFrame(rows, schema)
+    words = vocab.build_vocab(reviews)
+    seen = []
+
+    def build(part):
+        seen.append(sorted(r.Id for r in part.select("Id").collect()))
+        return vocab.bag_of_words(part, words).join(part.select("Id", "split"), "Id")
+
+    def bag(df):
+        return stores.bag_store(spark, str(tmp_path), words, df, build, buckets=16)
+
+    def whole(df):
+        return sorted(map(tuple, vocab.bag_of_words(df, words).join(df.select("Id", "split"), "Id").select("Id", "cls", "idx", "cnt", "split").collect()))
+
+    def stored(df):
+        return sorted(map(tuple, df.select("Id", "cls", "idx", "cnt", "split").collect()))
+
+    first = bag(reviews)
+    folders = _folders(tmp_path)
+    assert stored(first) == whole(reviews) and stored(bag(reviews)) == whole(reviews) and len(seen) == 1
+    changed = spark.createDataFrame([(i, c, "b1 b2" if i == 5 else t, s) for i, c, t, s in rows], schema)
+    second = bag(changed)
+    assert len(seen) == 2 and 5 in seen[1] and len(seen[1]) < 40
+    assert len(_folders(tmp_path) - folders) == 1
+    assert stored(second) == whole(changed) and stored(first) == whole(reviews)
+    fewer = changed.where("Id <> 5")
+    assert stored(bag(fewer)) == whole(fewer) and len(seen) == 3
+    root = str(next((tmp_path / "bag").iterdir()))
+    assert stores.drop_versions(spark, root, keep=1) == 2
+    assert stored(bag(fewer)) == whole(fewer) and len(seen) == 3
+    empty = fewer.where("Id < 0")
+    assert stored(bag(empty)) == [] and stored(bag(reviews)) == whole(reviews)
+
+
+def test_readers_see_a_whole_version_while_another_is_written(spark, tmp_path):
+    root = str(tmp_path)
+    stores.write_features(spark.range(3), root, "train", "w", 4)
+    before = stores.read_features(spark, root, "train", "w", 4)
+    during = []
+
+    def look(rows):
+        during.append(stores.read_features(spark, root, "train", "w", 4).count())
+        return rows
+
+    stores.write_features(look(spark.range(5)), root, "train", "w", 4)
+    assert during == [3] and before.count() == 3 and stores.read_features(spark, root, "train", "w", 4).count() == 5
+    broken = spark.range(7).select(F.raise_error(F.lit("lost")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        stores.write_features(broken, root, "train", "w", 4)
+    assert stores.read_features(spark, root, "train", "w", 4).count() == 5
+
+
+def test_article_features_are_encoded_again_only_where_changed(spark, tmp_path):
+    rows = [(str(i), f"text {i}", None if i % 5 == 0 else f"title {i}") for i in range(60)]
+    schema, seen = "id string, maintext string, title string", []
+
+    def build(part):
+        seen.append(part.count())
+        return part.select("id", F.length("maintext").alias("n"), F.length("title").alias("m"))
+
+    def run(rows):
+        return sorted(map(repr, stores.article_features(str(tmp_path), spark.createDataFrame(rows, schema), "train", "w", 4, build, buckets=8).collect()))
+
+    first = run(rows)
+    moved = [*rows[:-1], ("59", None, "text 59")]
+    assert len(first) == 60 and run(moved) != first and len(seen) == 2 and seen[0] == 60 and 0 < seen[1] < 30
+    assert run(rows) == first
+
+
+def test_released_blocks_leave_no_table_behind(spark, tmp_path):
+    from lexmill import runtime
+
+    folder = Path(runtime.scratch_dir(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with runtime.released(spark):
+        outer = runtime.materialize(spark.range(5), "outer")
+        with runtime.released(spark):
+            runtime.materialize(spark.range(9), "inner").write.parquet(str(tmp_path / "kept"))
+        assert outer.count() == 5
+    with pytest.raises(ValueError, match="stop"), runtime.released(spark):
+        runtime.materialize(spark.range(5), "lost")
+        raise ValueError("stop")
+    assert (set(folder.iterdir()) if folder.exists() else set()) == before
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 9
