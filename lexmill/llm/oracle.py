@@ -70,10 +70,10 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(
 FROM judged GROUP BY rid, doc_id
 """
 
-SQL["op6_quotes"] = r"""
-WITH RECURSIVE messages AS (
+_QUOTES = r"""
+WITH RECURSIVE CONVERSATIONS messages AS (
   SELECT conv_id, coalesce('=' || conv_id::VARCHAR, 'null') AS conv, turn, role, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS text
-  FROM conversations
+  FROM turns
 ), lines AS (
   SELECT conv, turn, role, text, pos, regexp_replace(raw, '^[ \t]*((?:>[ \t]*)+)', '') AS line,
     length(regexp_replace(regexp_extract(raw, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level
@@ -83,7 +83,8 @@ WITH RECURSIVE messages AS (
   SELECT *, sum((level IS DISTINCT FROM before)::INT) OVER (PARTITION BY conv, turn, role, text ORDER BY pos) AS run
   FROM (SELECT *, lag(level) OVER (PARTITION BY conv, turn, role, text ORDER BY pos) AS before FROM lines)
 ), passages AS (
-  SELECT conv, turn, role, text, level, trim(regexp_replace(lower(string_agg(line, ' ' ORDER BY pos)), '\s+', ' ', 'g')) AS passage
+  SELECT conv, turn, role, text, run, level, string_agg(line, chr(10) ORDER BY pos) AS lines,
+    trim(regexp_replace(lower(string_agg(line, ' ' ORDER BY pos)), '\s+', ' ', 'g')) AS passage
   FROM runs GROUP BY conv, turn, role, text, run, level HAVING level > 0 AND passage <> ''
 ), own AS (
   SELECT m.*, CASE WHEN coalesce(l.quoted, false) THEN regexp_replace(coalesce(l.plain, ''), '^\s+|\s+$', '', 'g') ELSE m.text END AS content
@@ -91,13 +92,40 @@ WITH RECURSIVE messages AS (
     SELECT conv, turn, role, text, bool_or(level > 0) AS quoted, string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0) AS plain
     FROM lines GROUP BY ALL) l
   ON m.conv = l.conv AND m.turn IS NOT DISTINCT FROM l.turn AND m.role IS NOT DISTINCT FROM l.role AND m.text = l.text
-), originals AS (
-  SELECT conv, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS passage, min(turn) AS original
+), parts AS (
+  SELECT DISTINCT conv, turn, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS part
   FROM (SELECT conv, turn, unnest([content] || regexp_split_to_array(content, '\n[ \t]*\n') || string_split(content, chr(10))) AS part FROM own WHERE turn IS NOT NULL)
-  GROUP BY 1, 2
-), found AS (
+), originals AS (
+  SELECT conv, part AS passage, min(turn) AS original FROM parts GROUP BY 1, 2
+), whole AS (
   SELECT p.*, CASE WHEN original < turn THEN original END AS origin
   FROM passages p LEFT JOIN originals USING (conv, passage) WHERE turn IS NOT NULL
+), quoted AS (
+  SELECT * FROM (
+    SELECT conv, turn, role, text, run, p, generate_subscripts(l, 1) AS at, trim(regexp_replace(lower(paragraph), '\s+', ' ', 'g')) AS around,
+      trim(regexp_replace(lower(unnest(l)), '\s+', ' ', 'g')) AS line
+    FROM (SELECT *, string_split(paragraph, chr(10)) AS l FROM (
+      SELECT *, unnest(ps) AS paragraph, generate_subscripts(ps, 1) AS p
+      FROM (SELECT *, regexp_split_to_array(lines, '\n[ \t]*\n') AS ps FROM whole WHERE origin IS NULL)))
+  ) WHERE line <> ''
+), held AS (
+  SELECT conv, turn, role, text, run, original, sum(length(line)) AS held FROM (
+    SELECT DISTINCT q.*, h.turn AS original FROM quoted q JOIN parts h ON h.conv = q.conv AND h.turn < q.turn AND h.part IN (q.line, q.around)
+  ) GROUP BY ALL
+), partly AS (
+  SELECT conv, turn, role, text, run, arg_min(original, (-held, original)) AS partly
+  FROM held JOIN (SELECT conv, turn, role, text, run, sum(length(line)) AS total FROM quoted GROUP BY ALL) USING (conv, turn, role, text, run)
+  WHERE 2 * held > total GROUP BY ALL
+), cut AS (
+  SELECT *, regexp_replace(passage, '(?: ?(?:\.\.\.|…|\[\.\.\.\]|\[…\]))+$', '') AS passed
+  FROM whole LEFT JOIN partly USING (conv, turn, role, text, run)
+), broken AS (
+  SELECT c.conv, c.passed, min(o.turn) AS broken
+  FROM (SELECT DISTINCT conv, passed FROM cut WHERE origin IS NULL AND partly IS NULL AND len(string_split(passed, ' ')) > 3) c
+  JOIN own o ON o.conv = c.conv AND o.turn IS NOT NULL AND contains(' ' || trim(regexp_replace(lower(o.content), '\s+', ' ', 'g')), ' ' || c.passed)
+  GROUP BY ALL
+), found AS (
+  SELECT c.* EXCLUDE (origin), coalesce(origin, partly, CASE WHEN broken < turn THEN broken END) AS origin FROM cut c LEFT JOIN broken USING (conv, passed)
 ), replies AS (
   SELECT conv, turn, role, text, count(*) AS n_quotes, count(origin) AS n_linked,
     arg_min(origin, (level, -origin)) FILTER (origin IS NOT NULL) AS reply_to
@@ -123,38 +151,65 @@ FROM placed
 """
 
 
+SQL["op6_quotes"] = _QUOTES.replace("CONVERSATIONS", "turns AS (FROM conversations),")
+#: A turn in three quotes the one before: whole, or the middle of its words, which breaks off.
+SQL["op6_quotes_replies"] = _QUOTES.replace("CONVERSATIONS", """before AS (
+  SELECT *, lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS last FROM conversations
+), asked AS (
+  SELECT *, string_split(regexp_replace(trim(last), '\\s+', ' ', 'g'), ' ') AS w FROM before
+), turns AS (
+  SELECT * REPLACE (CASE WHEN last IS NULL OR text IS NULL OR turn % 3 = 0 THEN text
+    WHEN turn % 3 = 1 THEN regexp_replace('> ' || last, '\\r\\n?|\\n', chr(10) || '> ', 'g') || chr(10) || text
+    ELSE '> ' || array_to_string(w[1 + len(w) // 4 : len(w) - len(w) // 4], ' ') || ' ...' || chr(10) || text END AS text)
+  FROM asked
+),""")
+
+
 def _licences() -> str:
-    vectors, idf, other = licenses._weights()
-    idfs = ", ".join(f"('{t}', {x!r}::DOUBLE)" for t, x in sorted(idf.items()))
-    held = ", ".join(f"('{t}', '{n}', {x!r}::DOUBLE)" for n, v in sorted(vectors.items()) for t, x in sorted(v.items()))
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    rows = ", ".join(f"({k}, {quoted(t.licence)}, {str(t.body).lower()}, {quoted(t.text)})" for k, t in enumerate(licenses.templates()))
     least, term = licenses.COSINE, licenses.TERM
     return rf"""
 WITH files AS (
   SELECT doc_id, CASE WHEN doc_id IS NOT NULL THEN concat_ws('/', source, lang, doc_id::VARCHAR) END AS path, text FROM documents
 ), named AS (
-  SELECT * FROM files WHERE path IS NOT NULL
-), idfs(term, idf) AS (VALUES {idfs}), held(term, licence, weight) AS (VALUES {held}),
-units AS (
-  SELECT path, unit, min(pos) AS pos FROM (
-    SELECT path, unnest(l) AS unit, generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '\r\n?|\n') AS l FROM named)
+  SELECT path, regexp_replace(text, '\r\n?', chr(10), 'g') AS text FROM files WHERE path IS NOT NULL
+), templates(template, licence, body, words) AS (VALUES {rows}
+), counted AS (
+  SELECT template, licence, body, term, count(*) AS tf
+  FROM (SELECT template, licence, body, unnest(regexp_extract_all(lower(words), '{term}')) AS term FROM templates) GROUP BY ALL
+), idfs AS (
+  SELECT term, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM counted GROUP BY term
+), held AS (
+  SELECT template, licence, body, term, (1 + ln(tf)) * idf / sqrt(sum(((1 + ln(tf)) * idf) ** 2) OVER (PARTITION BY template)) AS weight,
+    regexp_matches(term, '{licenses.NUMBER}')::INT AS number
+  FROM counted JOIN idfs USING (term)
+), numbers AS (
+  SELECT template, sum(number) AS numbers FROM held GROUP BY template
+), units AS (
+  SELECT path, unit, false AS whole, min(pos) AS pos FROM (
+    SELECT path, unnest(l) AS unit, generate_subscripts(l, 1) AS pos FROM (SELECT path, string_split(text, chr(10)) AS l FROM named)
     UNION ALL
-    SELECT path, unnest(l) AS unit, 1000000000 + generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '(?:\r\n?|\n)[ \t]*(?:\r\n?|\n)') AS l FROM named)
+    SELECT path, unnest(l) AS unit, 1000000000 + generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '{licenses.PARAGRAPHS}') AS l FROM named)
+    UNION ALL
+    SELECT path, unnest(l) AS unit, 2000000000 + generate_subscripts(l, 1) AS pos FROM (SELECT path, regexp_split_to_array(text, '{licenses.BLOCKS}') AS l FROM named)
   ) GROUP BY path, unit
+  UNION ALL
+  SELECT path, text, true, 4000000000 FROM named WHERE text IS NOT NULL
 ), terms AS (
-  SELECT path, pos, term, count(*) AS tf FROM (SELECT path, pos, unnest(regexp_extract_all(lower(unit), '{term}')) AS term FROM units) GROUP BY ALL
+  SELECT path, pos, whole, term, count(*) AS tf FROM (SELECT path, pos, whole, unnest(regexp_extract_all(lower(unit), '{term}')) AS term FROM units) GROUP BY ALL
 ), weighed AS (
-  SELECT path, pos, term, tf, tf * coalesce(idf, {other!r}::DOUBLE) AS x FROM terms LEFT JOIN idfs USING (term)
+  SELECT path, pos, whole, term, tf, (1 + ln(tf)) * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) AS x FROM terms LEFT JOIN idfs USING (term)
 ), norms AS (
   SELECT path, pos, sqrt(sum(x * x)) AS norm, sum(tf) AS n FROM weighed GROUP BY path, pos
+), dots AS (
+  SELECT path, pos, template, licence, sum(x * weight) AS dot, sum(number) AS has FROM weighed JOIN held USING (term) WHERE body OR NOT whole GROUP BY ALL
 ), close AS (
   SELECT path, pos, licence, n, round(dot / norm, 6) AS cosine
-  FROM (SELECT path, pos, licence, sum(x * weight) AS dot FROM weighed JOIN held USING (term) GROUP BY ALL) JOIN norms USING (path, pos)
-  WHERE round(dot / norm, 6) >= {least!r}
-), unit AS (
-  SELECT path, pos, any_value(n) AS n, arg_min(licence, (-cosine, licence)) AS licence, max(cosine) AS cosine FROM close GROUP BY path, pos
+  FROM dots JOIN numbers USING (template) JOIN norms USING (path, pos) WHERE has = numbers AND round(dot / norm, 6) >= {least!r}
 ), own AS (
-  SELECT u.path, arg_min(licence, (-cosine, pos)) AS licence, max(cosine) AS cosine, round(least(1.0::DOUBLE, sum(n)::DOUBLE / any_value(s.size)), 6) AS share
-  FROM unit u JOIN (SELECT path, len(regexp_extract_all(lower(text), '{term}')) AS size FROM named) s USING (path) GROUP BY u.path
+  SELECT u.path, arg_min(licence, (-cosine, pos, licence)) AS licence, max(cosine) AS cosine, round(least(1.0::DOUBLE, max(n)::DOUBLE / any_value(s.size)), 6) AS share
+  FROM close u JOIN (SELECT path, len(regexp_extract_all(lower(text), '{term}')) AS size FROM named) s USING (path) GROUP BY u.path
 ), direct AS (
   SELECT path, licence, CASE WHEN share >= {licenses.MOSTLY!r} OR regexp_matches(path, '{licenses.FILE_NAMES}') THEN 'file' ELSE 'header' END AS how, cosine FROM own
 ), folders AS (

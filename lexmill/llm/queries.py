@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm import alignment, ann, bpe, embed_dedup, langid, licenses, lines, mixing, periodic, quality, quotes, simhash, substring
@@ -64,6 +64,20 @@ def op6_quotes(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.link_quotes(table(spark, folder, "conversations"))
 
 
+@query
+def op6_quotes_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """As op6_quotes, where of three turns one quotes the whole turn before, one the middle of its words."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = table(spark, folder, "conversations").withColumn("last", F.lag("text").over(order))
+    turns = turns.withColumn("w", F.split(F.regexp_replace(F.trim("last"), r"\s+", " "), " "))
+    quarter = F.floor(F.size("w") / 4).cast("int")
+    whole = F.concat(F.regexp_replace(F.concat(F.lit("> "), F.col("last")), "\r\n?|\n", "\n> "), F.lit("\n"), F.col("text"))
+    middle = F.concat(F.lit("> "), F.array_join(F.slice("w", 1 + quarter, F.size("w") - 2 * quarter), " "), F.lit(" ...\n"), F.col("text"))
+    plain = F.col("last").isNull() | F.col("text").isNull() | (F.col("turn") % 3 == 0)
+    text = F.when(plain, F.col("text")).when(F.col("turn") % 3 == 1, whole).otherwise(middle)
+    return quotes.link_quotes(turns.withColumn("text", text).drop("last", "w"))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and their round trip."""

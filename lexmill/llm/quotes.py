@@ -10,6 +10,10 @@ from lexmill.operators.scale import with_order_index
 
 #: The marks of quotation at the start of a line.
 MARKS = r"^[ \t]*((?:>[ \t]*)+)"
+#: How a quoted passage says that it breaks off.
+ELLIPSIS = r"(?: ?(?:\.\.\.|…|\[\.\.\.\]|\[…\]))+$"
+#: Words of the sequences by which passages that break off are searched for; a passage must have one more.
+GRAM = 3
 
 
 def _level(line: Column) -> Column:
@@ -79,6 +83,43 @@ def _partly(passages: DataFrame, messages: DataFrame) -> DataFrame:
     return most.groupBy("message", "k").agg(F.min(F.struct((-F.col("held")).alias("h"), "original")).alias("b")).select("message", "k", F.col("b.original").alias("partly"))
 
 
+def _grams(words: Column, less: int = 0) -> Column:
+    """Hashes of the sequences of ``GRAM`` words in the list, but for its last ``less`` words."""
+
+    def hashes(w: Column) -> Column:
+        last = F.size(w) - less - GRAM
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(GRAM)])))
+
+    # The one-element array binds the words to a variable, so that a text is split once.
+    return F.get(F.transform(F.array(words), hashes), 0)
+
+
+def _broken_off(passages: DataFrame, messages: DataFrame) -> DataFrame:
+    """(conv, lines, broken): for passages without an original, the first turn whose own words run through them.
+
+    The passage stands within the turn's normalised words, from the start of a word on; its last word may break off, and
+    marks of omission at its end do not count. Equal passages and equal texts of a conversation are one. A passage is looked up by its rarest
+    sequence of words in its conversation, and what holds that is compared as a whole.
+    """
+    text = F.regexp_replace(_normal(F.col("lines")), ELLIPSIS, "")
+    asked = passages.select("conv", "lines", text.alias("passage")).distinct().withColumn("words", F.split("passage", " "))
+    asked = asked.where(F.size("words") > GRAM)
+    sought = asked.select("conv", "passage", F.explode(_grams(F.col("words"), 1)).alias("gram")).distinct()
+    sought = write_once(sought, "sought")
+    told = messages.select("conv", "turn", _normal(F.col("content")).alias("told")).groupBy("conv", "told").agg(F.min("turn").alias("original"))
+    told = write_once(told.withColumn("text", F.xxhash64("conv", "told")), "told")
+    held = told.select("conv", "text", F.explode(_grams(F.split("told", " "))).alias("gram"))
+    held = write_once(held.join(sought.select("conv", "gram").distinct(), ["conv", "gram"], "left_semi"), "held")
+    counts = held.groupBy("conv", "gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = sought.join(counts, ["conv", "gram"], "left").groupBy("conv", "passage").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
+    rarest = rarest.where(F.col("r.n") > 0).select("conv", "passage", F.col("r.gram").alias("gram"))
+    within = F.contains(F.concat(F.lit(" "), F.col("told")), F.concat(F.lit(" "), F.col("passage")))
+    near = rarest.join(held, ["conv", "gram"]).join(told, ["conv", "text"]).where(within)
+    first = near.groupBy("conv", "passage").agg(F.min("original").alias("broken"))
+    return asked.join(first, ["conv", "passage"]).select("conv", "lines", "broken")
+
+
 def _roots(parents: DataFrame) -> DataFrame:
     """(conv, turn, thread, depth): follow replies to a message that is none, by doubling the steps."""
     steps = write_once(parents.select("conv", "turn", F.col("reply_to").alias("thread"), F.lit(1).alias("depth")), "steps")
@@ -100,7 +141,8 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     marks; content is the text without them, and without white space at its ends. Neighbouring lines of one level are a passage; it is linked to the first
     message of the conversation whose own text, paragraph or line is the same but for case and white space, if that is an
     earlier turn. A passage without such an original is linked to the earlier turn that holds most of its lines, singly or as
-    paragraphs, if these are more than half of it. A message replies to the original of its shallowest linked passage, the latest of several. thread is the turn
+    paragraphs, if these are more than half of it, else (from four words on) to the first message whose words run through it, if that is an
+    earlier turn: so lines may be wrapped anew, and a passage may start and break off anywhere. A message replies to the original of its shallowest linked passage, the latest of several. thread is the turn
     that the replies lead back to, depth the number of replies, position the message's place (from 0) in its conversation by
     thread, then turn, so an original comes before its replies.
 
@@ -124,6 +166,10 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     rest = found.where(F.col("original").isNull())
     if not rest.isEmpty():
         found = found.join(_partly(rest, told), ["message", "k"], "left").withColumn("original", F.coalesce("original", "partly"))
+        found = write_once(found.drop("partly"), "found")
+        broken = _broken_off(found.where(F.col("original").isNull()), told)
+        earlier = F.when(F.col("broken") < F.col("turn"), F.col("broken"))
+        found = found.join(broken, ["conv", "lines"], "left").withColumn("original", F.coalesce("original", earlier))
     best = F.min(F.when(F.col("original").isNotNull(), F.struct("level", (-F.col("original")).alias("back"), "original")))
     counts = found.groupBy("message").agg(F.count(F.lit(1)).alias("n_quotes"), F.count("original").alias("n_linked"), best["original"].alias("reply_to"))
     counts = write_once(counts, "replies")
