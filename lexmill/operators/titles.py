@@ -20,12 +20,14 @@ from lexmill.functions.hashing import unit_hash
 from lexmill.operators.candidates import LOG_UNIT, WHOLE, candidates, cumulative
 from lexmill.operators.encode import TITLE_LENGTH, decode
 from lexmill.operators.evaluate import or_placeholder
-from lexmill.operators.scale import lookup_join
+from lexmill.operators.scale import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, lookup_join
 from lexmill.operators.vocab import END, PAD
-from lexmill.runtime import materialize
+from lexmill.runtime import Size, materialize, measure, sized
 
 BEAMS = 8
 STEPS_PER_WRITE = 4
+#: What a pair of words takes in the three arrays of :func:`_guide`.
+GUIDE_BYTES = 20
 
 
 def seed_articles(articles: DataFrame, text: str, vocab: DataFrame) -> DataFrame:
@@ -169,54 +171,63 @@ def beam_titles(
     return _titles_of_seeds(docs, beam_paths(bigrams, seeds, beams, max_len, no_repeat), vocab)
 
 
-def _guide(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Index each word's cumulative distribution for draws by equi-join (Chen and Asau, 1974).
+def _guide(scored: DataFrame) -> DataFrame:
+    """(last, n, lows, nexts, firsts): each word's cumulative distribution in one row, indexed for draws (Chen and Asau, 1974).
 
-    The scale of a word with n successors is cut into n equal cells; a cell lists the successors whose
-    interval meets it, fewer than two on average over the draws. A draw joins on (word, cell) and picks the one interval
-    that holds its number. Returns the cells, and the number of cells per word.
+    The scale of a word with n successors is cut into n equal cells; ``firsts`` has the place of the first interval that meets a cell.
+    A draw looks its word up and then sees the intervals of one cell only, fewer than two on average over the draws. A row is
+    bounded by the vocabulary, and a pair of words takes a few numbers of the three arrays.
     """
-    placed = cumulative(scored, "prev", "next").select("prev", "next", "lo", "hi")
-    placed = materialize(placed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("prev"))), "cumulative")
-    widths = materialize(placed.groupBy(F.col("prev").alias("last")).agg(F.max("n").alias("n")), "cell-counts")
+    placed = cumulative(scored, "prev", "next").select("prev", "next", "lo", "hi").where(F.col("lo") < F.col("hi"))
+    words = Window.partitionBy("prev")
+    placed = placed.withColumn("n", F.count(F.lit(1)).over(words)).withColumn("i", F.row_number().over(words.orderBy("lo")) - 1)
+    placed = materialize(placed, "cumulative")
 
     def cell(at: Column) -> Column:
         return F.least(F.floor(at * F.col("n") / WHOLE), F.col("n") - 1)
 
-    after = widths.select(F.col("last").alias("next"), F.col("n").alias("next_n"))
-    cells = (
-        lookup_join(placed, after, ["next"], "left")
-        .where(F.col("lo") < F.col("hi"))
-        .withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))))
-        .groupBy(F.col("prev").alias("last"), "cell")
-        .agg(F.collect_list(F.struct("lo", "hi", "next", "next_n")).alias("options"))
-    )
-    return materialize(cells, "guide"), widths
+    listed = F.array_sort(F.collect_list(F.struct("lo", "next")))
+    lists = placed.groupBy("prev", "n").agg(listed.alias("l")).select("prev", "n", F.col("l.lo").alias("lows"), F.col("l.next").alias("nexts"))
+    cells = placed.select("prev", "i", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))).alias("cell"))
+    firsts = cells.groupBy("prev", "cell").agg(F.min("i").alias("i")).groupBy("prev")
+    firsts = firsts.agg(F.array_sort(F.collect_list(F.struct("cell", "i"))).getField("i").alias("firsts"))
+    guide = materialize(lists.join(firsts, "prev").withColumnRenamed("prev", "last"), "guide")
+    return sized(guide, Size(measure(guide).rows, measure(placed).rows * GUIDE_BYTES))
+
 
+def _pick(at: Column) -> Column:
+    """The word whose interval holds ``at``, by the row of :func:`_guide` beside it; null without one."""
+    cell = F.least(F.floor(at * F.col("n") / WHOLE), F.col("n") - 1).cast("int")
+    first = F.get("firsts", cell)
+    # The interval in which the next cell begins may hold the end of this one.
+    upto = F.coalesce(F.get("firsts", cell + 1), F.size("lows") - 1)
+    met = F.filter(F.slice("lows", first + 1, upto - first + 1), lambda lo: lo <= at)
+    return F.get("nexts", first + F.size(met) - 1)
 
-def drawn_paths(docs: DataFrame, scored: DataFrame, max_len: int, seed: int) -> DataFrame:
+
+def drawn_paths(
+    docs: DataFrame, scored: DataFrame, max_len: int, seed: int, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """(id, path): follow words drawn by weight from the seed id of each document in ``docs`` (id, seed).
 
     Step ``i`` of a document draws with the hash of (seed, id, i), so the titles do not depend on the
-    partitioning. The guide is broadcast if its size allows, and then no step moves a document.
+    partitioning. The guide is broadcast if its size allows, and then no step moves a document. Beyond that a step is one join by
+    word, written at once: no step is planned or run again for the next.
     """
-    guide, widths = _guide(scored)
+    guide = _guide(scored)
+    near = fits_broadcast(guide, max_rows, max_bytes)
+    steps_per_write = 2 * STEPS_PER_WRITE if near else 1
     state = docs.select("id", F.array("seed").alias("path"), F.col("seed").alias("last"))
-    state = lookup_join(state, widths, ["last"], "left")
     ended: list[DataFrame] = []
     for step in range(1, max_len):
         at = F.floor(unit_hash(seed, F.col("id"), F.lit(step)) * WHOLE)
-        placed = state.withColumn("at", at).withColumn("cell", F.floor(F.col("at") * F.col("n") / WHOLE))
-        joined = lookup_join(placed, guide, ["last", "cell"], "left")
-        hit = F.get(F.filter("options", lambda o: (o.lo <= F.col("at")) & (F.col("at") < o.hi)), 0)
-        picked = joined.withColumn("pick", hit)
+        picked = state.join(F.broadcast(guide) if near else guide, "last", "left").select("id", "path", _pick(at).alias("pick"))
         state = picked.select(
             "id",
-            F.when(F.col("pick").isNull(), F.col("path")).otherwise(F.concat("path", F.array("pick.next"))).alias("path"),
-            F.when(F.col("pick.next") != END, F.col("pick.next")).alias("last"),
-            F.col("pick.next_n").alias("n"),
+            F.when(F.col("pick").isNull(), F.col("path")).otherwise(F.concat("path", F.array("pick"))).alias("path"),
+            F.when(F.col("pick") != END, F.col("pick")).alias("last"),
         )
-        if step % (2 * STEPS_PER_WRITE) == 0:
+        if step % steps_per_write == 0:
             written = materialize(state, "drawn")
             # Ended titles stay where they are written; only the others take part in the next steps.
             ended.append(written.where(F.col("last").isNull()))

@@ -134,6 +134,23 @@ def test_drawn_paths_equal_a_direct_draw(spark, counts):
             assert len(hits) == 1
             path.append(hits[0])
         assert got[doc.id] == path
+    far = titles.drawn_paths(docs, scored_rows, 6, 4, max_rows=0)
+    assert {r.id: r.path for r in far.collect()} == got
+
+
+def test_a_draw_looks_up_one_row_per_word_without_tiers(spark, counts, monkeypatch):
+    from lexmill.operators import scale
+
+    def tiers(*_):
+        raise AssertionError("the rows of every step would be read twice by the next")
+
+    monkeypatch.setattr(scale, "tiers", tiers)
+    monkeypatch.setattr(scale, "fits_broadcast", lambda *a: False)
+    monkeypatch.setattr(titles, "fits_broadcast", lambda *a: False)
+    scored_rows = cand.candidates(table(spark, counts), "prev", "next", "sample")
+    docs = spark.range(30).select(F.col("id").cast("string").alias("id"), F.lit(3).alias("seed"))
+    assert titles.drawn_paths(docs, scored_rows, 12, 4).count() == 30
+    assert titles._guide(scored_rows).count() == len({p for p, _ in counts})
 
 
 def test_generate_loads_the_model_in_the_task(spark):
