@@ -174,3 +174,14 @@ def test_pair_views_keep_rows_of_one_id_and_rows_without_an_id(spark):
     got = sorted(((r.Id, r.pos, r.neg, r.label) for r in prep.pair_views(bag, reviews).collect()), key=str)
     held = [(0, 1), (3, 2)], [(1, 1)]
     assert got == sorted([(1, *held, 0), (1, *held, 1), (None, [], [], 1), (None, [], [], None), (2, [], [], None)], key=str)
+
+
+def test_vector_totals_do_not_grow_with_the_vocabulary(spark, monkeypatch):
+    from checks import registry
+
+    last = (1 << 31) - 2
+    words = materialize(spark.createDataFrame([("neg", "a", 0, 11), ("neg", "b", last, 11), ("pos", "c", 4, 11)], "cls string, word string, idx bigint, freq bigint"), "words")
+    monkeypatch.setattr(registry.views, "reviews", lambda spark, folder: reviews(spark, [(1, 0, "a b a"), (2, 1, "c c"), (3, 1, None)]))
+    monkeypatch.setattr(registry, "_vocab", lambda reviews: words)
+    got = {tuple(r) for r in registry.a4_vector_totals(spark, "").collect()}
+    assert got == {(1, last + 3, 0), (2, 0, 10), (3, 0, 0)}
