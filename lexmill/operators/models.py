@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,36 +70,200 @@ def fit_two_views(
 ) -> TwoViewModel:
     """One classifier per view, each trained on all training rows with their true labels.
 
-    The weights, one set per word, are numbers on the driver, as Spark ML has it. The training summary is dropped: it holds the session, which
-    no task can carry once the session has counted rows at a write.
+    The weights, one set per word, are numbers on the driver, as Spark ML has it. A pass over the rows returns one gradient per task, as long as the
+    weights, so the rows are read in as many tasks as the session has cores, however many files hold them. The training summary is dropped: it holds
+    the session, which no task can carry once the session has counted rows at a write.
     """
-    sizes = view_sizes(vocab)
+    spark, sizes = train.sparkSession, view_sizes(vocab)
     labelled = train.where(F.col("Category").isNotNull()).select("text", F.when(F.col("Category") == 0, 0.0).otherwise(1.0).alias("label"))
-    data = add_vectors(labelled, vocab).drop("text").persist()
-    try:
-        fitted = {}
-        for view, size in sizes.items():
-            columns = dict(featuresCol=f"{view}_features", rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_prob", predictionCol=f"{view}_pred")
-            if kind == "logistic":
-                estimator = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", **columns)
-            elif kind == "perceptron":
-                estimator = MultilayerPerceptronClassifier(maxIter=max_iter, layers=[size, *hidden, 2], seed=seed, **columns)
-            else:
-                raise ValueError(f"unknown kind {kind!r}")
-            fitted[view] = estimator.fit(data)
-            fitted[view]._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
-    finally:
-        data.unpersist()
+    data = add_vectors(labelled, vocab).drop("text").coalesce(spark.sparkContext.defaultParallelism)
+    fitted = {}
+    for view, size in sizes.items():
+        columns = dict(featuresCol=f"{view}_features", rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_prob", predictionCol=f"{view}_pred")
+        if kind == "logistic":
+            fitted[view] = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", **columns).fit(data)
+        elif kind == "perceptron":
+            layers = [size, *hidden, 2]
+            weights = _trained(data.select(F.col(f"{view}_features").alias("features"), "label"), layers, max_iter, seed)
+            fitted[view] = _as_classifier(spark, weights, layers, seed, columns)
+        else:
+            raise ValueError(f"unknown kind {kind!r}")
+        fitted[view]._java_obj.setSummary(spark._jvm.scala.Option.empty())
     return TwoViewModel(vocab, fitted, kind)
 
 
+def _layers_of(weights: np.ndarray, layers: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The matrix (inputs by outputs) and the offsets of each layer, as views of the weights in the order in which Spark ML holds them."""
+    out, at = [], 0
+    for n_in, n_out in zip(layers, layers[1:]):
+        matrix = weights[at : at + n_in * n_out].reshape(n_in, n_out)
+        at += n_in * n_out + n_out
+        out.append((matrix, weights[at - n_out : at]))
+    return out
+
+
+def _parts(vectors: pa.StructArray, most: int = 200_000) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, lengths, positions, counts) of runs of sparse vectors that hold about ``most`` numbers, or one vector."""
+    indices, values = vectors.field("indices"), vectors.field("values")
+    offsets = indices.offsets.to_numpy()
+    # The lists may begin behind the start of their buffer.
+    idx, val = indices.values.to_numpy(), values.values.to_numpy(zero_copy_only=False)
+    shift = values.offsets.to_numpy()[0] - offsets[0]
+    begin = 0
+    while begin < len(vectors):
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + most, "right")) - 1)
+        lo, hi = offsets[begin], offsets[end]
+        yield slice(begin, end), np.diff(offsets[begin : end + 1]), idx[lo:hi], val[lo + shift : hi + shift]
+        begin = end
+
+
+def _forward(net: list, lengths: np.ndarray, idx: np.ndarray, val: np.ndarray) -> list[np.ndarray]:
+    """What each layer gives: sigmoids, and the scores at last. The first layer sees only the words that a text has."""
+    matrix, offset = net[0]
+    z = np.zeros((len(lengths), matrix.shape[1]))
+    held = lengths > 0
+    if held.any():
+        z[held] = np.add.reduceat(val[:, None] * matrix[idx], (np.cumsum(lengths) - lengths)[held])
+    outs = [z + offset]
+    for matrix, offset in net[1:]:
+        outs[-1] = 0.5 * (1 + np.tanh(0.5 * outs[-1]))
+        # Row by row in a fixed order: a text scores the same in any batch.
+        outs.append(np.einsum("nh,ho->no", outs[-1], matrix) + offset)
+    return outs
+
+
+def _gradients(weights, layers: list[int], slots: int):
+    """For ``mapInArrow``: the sums of the loss and of its gradient over the rows of a task, in ``slots`` pieces, and first the loss and the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = _layers_of(weights.value, layers)
+        total, loss, n = np.zeros(len(weights.value)), 0.0, 0
+        grads = _layers_of(total, layers)
+        for batch in batches:
+            labels = batch.column(1).to_numpy().astype(int)
+            for rows, lengths, idx, val in _parts(batch.column(0)):
+                outs, at = _forward(net, lengths, idx, val), np.arange(len(lengths))
+                scores = outs[-1] - outs[-1].max(axis=1, keepdims=True)
+                shares = np.exp(scores) / np.exp(scores).sum(axis=1, keepdims=True)
+                loss += float(-(scores[at, labels[rows]] - np.log(np.exp(scores).sum(axis=1))).sum())
+                n += len(at)
+                delta = shares
+                delta[at, labels[rows]] -= 1
+                for (matrix, _), (g, g0), below in zip(net[:0:-1], grads[:0:-1], outs[-2::-1]):
+                    g += below.T @ delta
+                    g0 += delta.sum(axis=0)
+                    delta = (delta @ matrix.T) * below * (1 - below)
+                grads[0][1][:] += delta.sum(axis=0)
+                if len(idx):
+                    order = np.argsort(idx, kind="stable")
+                    words = idx[order]
+                    starts = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
+                    owner = np.repeat(at, lengths)[order]
+                    grads[0][0][words[starts]] += np.add.reduceat(val[order, None] * delta[owner], starts)
+        if n:
+            pieces = [np.array([loss, n]), *np.array_split(total, slots)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())], ["slot", "part"])
+
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of the pieces of one slot."""
+    total = sum(np.frombuffer(p.as_py()) for p in table.column("part"))
+    return pa.table({"slot": table.column("slot")[:1].cast(pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
+
+
+def _trained(data: DataFrame, layers: list[int], max_iter: int, seed: int, memory: int = 5, tol: float = 1e-6) -> np.ndarray:
+    """The weights of a perceptron for (features, label): L-BFGS on the mean cross entropy, as Spark ML's own trainer, which holds all rows with a number per word.
+
+    A step is one pass over the sparse rows. Each task adds its rows up, its pieces are added by piece over the cluster, and the driver holds
+    the weights, the gradient and ``memory`` earlier steps in half precision of that.
+    """
+    spark, slots = data.sparkSession, data.sparkSession.sparkContext.defaultParallelism
+
+    def value(weights: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = spark.sparkContext.broadcast(weights)
+        try:
+            parts = data.mapInArrow(_gradients(shared, layers, slots), "slot int, part binary")
+            added = {r.slot: np.frombuffer(r.part) for r in parts.groupBy("slot").applyInArrow(_added, "slot int, part binary").collect()}
+        finally:
+            shared.destroy()
+        if not added:
+            raise ValueError("there is no labelled row to learn from")
+        loss, n = added.pop(0)
+        return loss / n, np.concatenate([added[k] for k in sorted(added)]) / n
+
+    rng = np.random.default_rng(seed)
+    start = [(rng.random(n_in * n_out + n_out) * 4.8 - 2.4) / np.sqrt(n_in) for n_in, n_out in zip(layers, layers[1:])]
+    weights, pairs = np.concatenate(start), []
+    loss, gradient = value(weights)
+    for _ in range(max_iter):
+        direction, held = gradient.copy(), []
+        for s, y, r in reversed(pairs):
+            held.append(r * float(s @ direction))
+            direction -= held[-1] * y
+        if pairs:
+            s, y, r = pairs[-1]
+            direction /= r * float(y @ y)
+        for (s, y, r), a in zip(pairs, reversed(held)):
+            direction += (a - r * float(y @ direction)) * s
+        slope, step = float(gradient @ direction), 1.0 if pairs else 1 / max(tol, float(np.linalg.norm(gradient)))
+        if not slope > 0:
+            break
+        for _ in range(10):
+            new_loss, new_gradient = value(weights - step * direction)
+            if new_loss <= loss - 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        moved, turned = (-step * direction).astype("float32"), (new_gradient - gradient).astype("float32")
+        curve = float(moved.astype("float64") @ turned)
+        if curve > 1e-12:
+            pairs = [*pairs[1 - memory :], (moved, turned, 1 / curve)]
+        gained, weights, loss, gradient = loss - new_loss, weights - step * direction, new_loss, new_gradient
+        if gained <= tol * max(abs(loss), abs(loss + gained), tol) or np.linalg.norm(gradient) <= tol:
+            break
+    return weights
+
+
+def _as_classifier(spark, weights: np.ndarray, layers: list[int], seed: int, columns: dict[str, str]):
+    """The weights as a Spark ML model, which can be saved: what no step from them gives."""
+    one = spark.createDataFrame([(Vectors.sparse(layers[0], [], []), 0.0)], T.StructType([T.StructField(columns["featuresCol"], VectorUDT()), T.StructField("label", T.DoubleType())]))
+    made = MultilayerPerceptronClassifier(maxIter=0, layers=layers, seed=seed, blockSize=1, initialWeights=Vectors.dense(weights), **columns).fit(one)
+    # Else the model would carry them twice, once as text.
+    made.clear(made.initialWeights)
+    made._java_obj.clear(made._java_obj.initialWeights())
+    return made
+
+
+def _perceptron_scores(classifier, view: str, df: DataFrame) -> DataFrame:
+    """What the model's ``transform`` gives as raw scores and probabilities, at a cost by the words of a text instead of those of the vocabulary."""
+    layers, shared = list(classifier.getLayers()), df.sparkSession.sparkContext.broadcast(classifier.weights.toArray())
+
+    @F.arrow_udf("array<double>")
+    def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        net = _layers_of(shared.value, layers)
+        for vectors in batches:
+            scores = [_forward(net, *part[1:])[-1] for part in _parts(vectors)]
+            flat = np.concatenate(scores).ravel() if scores else np.zeros(0)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2), pa.int32()), pa.array(flat))
+
+    scored = df.withColumn(f"{view}_raw", raw(f"{view}_features"))
+    a, b = F.get(f"{view}_raw", 0), F.get(f"{view}_raw", 1)
+    return scored.withColumn(f"{view}_prob", F.array(1 / (1 + F.exp(b - a)), 1 / (1 + F.exp(a - b))))
+
+
 def model_scores(model: TwoViewModel, reviews: DataFrame, on: str = "score") -> DataFrame:
     """C3 and C4 with fitted models: the views' mean scores and the label."""
     df = add_vectors(reviews, model.vocab)
-    for classifier in model.classifiers.values():
-        df = classifier.transform(df)
     column = "raw" if on == "score" else "prob"
-    pair = [vector_to_array(F.col(f"{v}_{column}")) for v in VIEWS]
+    for view, classifier in model.classifiers.items():
+        if model.kind == "perceptron":
+            df = _perceptron_scores(classifier, view, df)
+        else:
+            df = classifier.transform(df).withColumn(f"{view}_{column}", vector_to_array(F.col(f"{view}_{column}")))
+    pair = [F.col(f"{v}_{column}") for v in VIEWS]
     scores = F.zip_with(*pair, lambda a, b: (a + b) / 2)
     out = df.withColumn("scores", scores).withColumn("pred", argmax_label(F.col("scores")))
     return out.select(*reviews.columns, "scores", "pred")

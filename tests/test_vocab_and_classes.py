@@ -176,6 +176,31 @@ def test_pair_views_keep_rows_of_one_id_and_rows_without_an_id(spark):
     assert got == sorted([(1, *held, 0), (1, *held, 1), (None, [], [], 1), (None, [], [], None), (2, [], [], None)], key=str)
 
 
+def test_a_perceptron_scores_as_its_spark_model_and_never_holds_a_number_per_word(spark, monkeypatch):
+    df = toy(spark)
+    words = vocab.build_vocab(df)
+    model = models.fit_two_views(df, words, "perceptron", hidden=(5, 3), max_iter=4)
+    dense = models.add_vectors(df, words)
+    for classifier in model.classifiers.values():
+        assert not classifier._java_obj.isSet(classifier._java_obj.initialWeights())
+        dense = classifier.transform(dense)
+    want = {r.Id: [(a + b) / 2 for a, b in zip(r.neg_raw, r.pos_raw)] for r in dense.collect()}
+    for r in models.model_scores(model, df).collect():
+        assert r.scores == pytest.approx(want[r.Id], abs=1e-9)
+    for r in models.model_scores(model, df, "probability").collect():
+        assert sum(r.scores) == pytest.approx(1)
+
+
+def test_a_perceptron_of_a_large_vocabulary(spark):
+    # With a number per word and row, 3,000 rows of both views would hold 6 GB.
+    n = 1 << 17
+    words = spark.range(2 * n).select(F.when(F.col("id") < n, "neg").otherwise("pos").alias("cls"), F.concat(F.lit("w"), F.col("id") % n).alias("word"), (F.col("id") % n).alias("idx"), F.lit(11).alias("freq"))
+    words = materialize(words, "words")
+    df = reviews(spark, [(i, i % 2, f"w{n - 1 - i % 2} w{i} w7" if i != 5 else "") for i in range(3000)])
+    model = models.fit_two_views(df, words, "perceptron", hidden=(2,), max_iter=20)
+    assert models.model_scores(model, df).where("Id <> 5 and pred <> Category").isEmpty()
+
+
 def test_vector_totals_do_not_grow_with_the_vocabulary(spark, monkeypatch):
     from checks import registry
 
