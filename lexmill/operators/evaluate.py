@@ -13,11 +13,13 @@ from lexmill.operators.encode import SPECIAL
 from lexmill.operators.prep import assign_batches
 from lexmill.operators.scale import lookup_join
 from lexmill.operators.vocab import END, UNKNOWN
-from lexmill.runtime import ROW, materialize, numbered, sized
+from lexmill.runtime import ROW, materialize, measure, numbered, shuffle_partitions, sized
 
 # Fixed value: stands in for an empty title.
 PLACEHOLDER = "無"
 BATCH_SIZE = 4
+#: Of the words or characters that one task of ROUGE-N spreads out, as :func:`lexmill.runtime.measure` counts them.
+TASK_BYTES = 32 << 20
 
 
 def or_placeholder(title: Column) -> Column:
@@ -46,9 +48,10 @@ def rouge_n(pairs: DataFrame, n: int, unit: str = "word") -> DataFrame:
     """O1: (id, overlap, n_pred, n_ref, f) of clipped n-gram overlap for pairs (id, pred, ref).
 
     The pairs are numbered and written, so pairs of one id stay pairs; they are moved by number before their
-    n-grams are spread out, and both groupings then work in place.
+    n-grams are spread out, and both groupings then work in place. There are as many tasks as keep the words of one within ``TASK_BYTES``.
     """
-    units = materialize(numbered(pairs.select("id", _units("pred", unit).alias("p"), _units("ref", unit).alias("r"))), "units").repartition(ROW)
+    units = materialize(numbered(pairs.select("id", _units("pred", unit).alias("p"), _units("ref", unit).alias("r"))), "units")
+    units = units.repartition(max(shuffle_partitions(pairs.sparkSession), -(-measure(units).bytes // TASK_BYTES)), ROW)
 
     def tagged(side: str, in_pred: int) -> Column:
         return F.transform(_grams(F.col(side), n), lambda g: F.struct(g.alias("gram"), F.lit(in_pred).alias("a"), F.lit(1 - in_pred).alias("b")))

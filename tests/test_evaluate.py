@@ -112,3 +112,10 @@ def test_best_checkpoints(spark):
 def test_pairs_of_one_id_stay_pairs(spark):
     pairs = spark.createDataFrame([(1, "a b", "a b"), (1, "c", "d")], "id bigint, pred string, ref string")
     assert sorted((r.id, r.overlap, r.n_pred) for r in evaluate.rouge_n(pairs, 1).collect()) == [(1, 0, 1), (1, 2, 2)]
+
+
+def test_a_task_of_rouge_n_spreads_out_bounded_words(spark, rows, monkeypatch):
+    whole = {tuple(r) for r in evaluate.rouge_n(pairs(spark, rows), 2, "char").collect()}
+    monkeypatch.setattr(evaluate, "TASK_BYTES", 20_000)
+    parts = evaluate.rouge_n(pairs(spark, rows), 2, "char")
+    assert parts.rdd.getNumPartitions() > 8 and {tuple(r) for r in parts.collect()} == whole
