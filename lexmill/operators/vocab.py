@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.cleaning import review_words, split_words, text_or_token
 from lexmill.operators.prep import class_of
 from lexmill.operators.scale import lookup_join, with_order_index
-from lexmill.runtime import materialize
+from lexmill.runtime import materialize, shuffle_partitions
 
 PAD, END, UNKNOWN = 0, 1, 2
 SPECIAL_WORDS = ["<pad>", "</s>", "<unk>"]
@@ -42,9 +42,16 @@ def bag_of_words(reviews: DataFrame, vocab: DataFrame, clean: bool = False) -> D
     words. Both vocabularies are matched in one pass over the words.
     """
     text = text_or_token(F.col("text"))
-    words = reviews.select("Id", F.explode(review_words(text) if clean else split_words(text)).alias("word"))
-    hits = lookup_join(words, vocab, ["word"])
-    return hits.groupBy("Id", "cls", "idx").agg(F.count(F.lit(1)).alias("cnt"))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        words = rows.select("Id", F.explode(review_words(text) if clean else split_words(text)).alias("word"))
+        return lookup_join(words, vocab, ["word"]).groupBy("Id", "cls", "idx").agg(F.count(F.lit(1)).alias("cnt"))
+
+    # Texts move once by Id and their words are then counted where they are, which moves less than a row per word. Texts without an Id would all
+    # meet in one task, so their words are counted first and move by word.
+    docs = reviews.select("Id", "text")
+    held = docs.where(F.col("Id").isNotNull()).repartition(shuffle_partitions(reviews.sparkSession), "Id")
+    return counted(held).unionByName(counted(docs.where(F.col("Id").isNull())))
 
 
 def vocab_sizes(vocab: DataFrame) -> DataFrame:

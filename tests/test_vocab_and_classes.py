@@ -210,3 +210,18 @@ def test_vector_totals_do_not_grow_with_the_vocabulary(spark, monkeypatch):
     monkeypatch.setattr(registry, "_vocab", lambda reviews: words)
     got = {tuple(r) for r in registry.a4_vector_totals(spark, "").collect()}
     assert got == {(1, last + 3, 0), (2, 0, 10), (3, 0, 0)}
+
+
+def _plan(df):
+    """The plan as it ran, once ``df`` was collected."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_texts_move_once_and_their_words_are_counted_in_place(spark):
+    words = materialize(spark.createDataFrame([("neg", "a", 0, 11), ("pos", "b", 1, 12)], "cls string, word string, idx bigint, freq bigint"), "words")
+    docs = materialize(reviews(spark, [(1, 0, "a b a"), (1, 1, "a"), (None, 1, "b b"), (None, 0, "b a"), (2, 1, "z")]), "docs")
+    bag = vocab.bag_of_words(docs, words)
+    assert {tuple(r) for r in bag.collect()} == {(1, "neg", 0, 3), (1, "pos", 1, 1), (None, "pos", 1, 3), (None, "neg", 0, 1)}
+    held = vocab.bag_of_words(docs.where("Id is not null"), words)
+    assert held.count() == 2 and held.collect()
+    assert _plan(held).index("Generate") < _plan(held).index("Exchange hashpartitioning")
