@@ -13,9 +13,6 @@ from lexmill.operators.scale import with_order_index
 TRAIN_COLUMNS = ["input_ids", "attention_mask", "decoder_input_ids", "decoder_attention_mask", "labels"]
 EVAL_COLUMNS = ["input_ids", "attention_mask", "id"]
 
-#: Groups that rows without an Id are dealt over.
-NULL_GROUPS = 4096
-
 
 def union_splits(**splits: DataFrame) -> DataFrame:
     """Stack the named splits and remember where each row came from."""
@@ -50,19 +47,20 @@ def pair_views(bag: DataFrame, reviews: DataFrame) -> DataFrame:
     without any vocabulary word; the label is null where there is none. Rows of ``reviews`` that repeat an Id each get its
     views, and rows without an Id get empty ones.
 
-    Hits and documents meet in one regrouping by Id, without a join; rows without an Id are dealt over many groups.
+    The hits are listed by Id, where they are if the bag is in order of Ids, and only the ids and labels of the documents move to them; documents without an Id
+    stay where they are.
     """
-    hit = F.struct("cls", "idx", "cnt")
-    hits = bag.where(F.col("Id").isNotNull()).select("Id", F.lit(None).cast("int").alias("_spread"), hit.alias("hit"), F.lit(None).alias("doc"))
-    spread = F.when(F.col("Id").isNull(), F.monotonically_increasing_id() % NULL_GROUPS).cast("int")
-    docs = reviews.select("Id", spread.alias("_spread"), F.lit(None).alias("hit"), F.struct(F.col("Category").alias("label")).alias("doc"))
-    grouped = hits.unionByName(docs).groupBy("Id", "_spread").agg(F.collect_list("hit").alias("hits"), F.collect_list("doc").alias("docs"))
+    hits = bag.where(F.col("Id").isNotNull()).groupBy("Id").agg(F.collect_list(F.struct("cls", "idx", "cnt")).alias("hits"))
+    docs = reviews.select("Id", F.col("Category").alias("label"))
+    no_hits = F.array().cast(hits.schema["hits"].dataType)
+    met = docs.where(F.col("Id").isNotNull()).join(hits, "Id", "left").withColumn("hits", F.coalesce("hits", no_hits))
+    full = met.unionByName(docs.where(F.col("Id").isNull()).withColumn("hits", no_hits))
 
     def view(cls: str) -> Column:
         chosen = F.filter("hits", lambda h: h["cls"] == cls)
         return F.array_sort(F.transform(chosen, lambda h: F.struct(h["idx"].alias("idx"), h["cnt"].alias("cnt")))).alias(cls)
 
-    return grouped.select("Id", view("pos"), view("neg"), F.explode("docs").alias("doc")).select("Id", "pos", "neg", "doc.label")
+    return full.select("Id", view("pos"), view("neg"), "label")
 
 
 def assign_batches(

@@ -225,3 +225,13 @@ def test_texts_move_once_and_their_words_are_counted_in_place(spark):
     held = vocab.bag_of_words(docs.where("Id is not null"), words)
     assert held.count() == 2 and held.collect()
     assert _plan(held).index("Generate") < _plan(held).index("Exchange hashpartitioning")
+
+
+def test_hits_in_order_of_ids_are_paired_where_they_are(spark):
+    words = materialize(spark.createDataFrame([("neg", "a", 0, 11), ("pos", "b", 1, 12)], "cls string, word string, idx bigint, freq bigint"), "words")
+    docs = materialize(reviews(spark, [(1, 0, "a b a"), (None, 1, "b b"), (2, 1, "z")]), "docs")
+    pairs = prep.pair_views(vocab.bag_of_words(docs, words), docs)
+    assert {(r.Id, len(r.pos), len(r.neg), r.label) for r in pairs.collect()} == {(1, 1, 1, 0), (None, 0, 0, 1), (2, 0, 0, 1)}
+    plan = _plan(pairs)
+    # One of the texts and one of the labels.
+    assert plan.count("Exchange hashpartitioning") == 2
