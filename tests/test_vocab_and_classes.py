@@ -235,3 +235,17 @@ def test_hits_in_order_of_ids_are_paired_where_they_are(spark):
     plan = _plan(pairs)
     # One of the texts and one of the labels.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_fit_reads_its_rows_in_as_many_tasks_as_cores(spark, monkeypatch):
+    seen, whole, fit = [], models.add_vectors, models.LogisticRegression.fit
+
+    def noted(self, data):
+        seen.append(data.rdd.getNumPartitions())
+        return fit(self, data)
+
+    monkeypatch.setattr(models, "add_vectors", lambda *a: whole(*a).repartition(40))
+    monkeypatch.setattr(models.LogisticRegression, "fit", noted)
+    df = toy(spark)
+    models.fit_two_views(df, vocab.build_vocab(df), max_iter=1)
+    assert len(seen) == 2 and max(seen) <= spark.sparkContext.defaultParallelism
