@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from lexmill.functions.cleaning import split_words, text_or_token
 from lexmill.operators.classify import VIEWS, argmax_label
-from lexmill.operators.scale import lookup_join
+from lexmill.operators.scale import list_lookup, list_offsets, lookup_join
 from lexmill.runtime import ROW, materialize, numbered, scratch_path, shuffle_partitions
 
 
@@ -38,15 +39,59 @@ def view_sizes(vocab: DataFrame) -> dict[str, int]:
     return sizes
 
 
-def add_vectors(reviews: DataFrame, vocab: DataFrame) -> DataFrame:
-    """A4, vector form: ``reviews`` with each view's sparse counts (neg_features, pos_features) of vocabulary words at their A3 positions; written.
-
-    The words look the vocabulary table up, and their positions are regrouped once, by row. Spark ML then sees numbers only, so
+def _counted(size: int):
+    """The sparse counts of an array of positions, in the form in which vectors are stored; nulls do not count."""
+
+    @F.arrow_udf("struct<type:tinyint,size:int,indices:array<int>,values:array<double>>")
+    def counted(lists: pa.Array) -> pa.Array:
+        flat, ends = lists.flatten(), list_offsets(lists).to_numpy()
+        known = pc.is_valid(flat).to_numpy(zero_copy_only=False)
+        positions = pc.fill_null(flat, 0).to_numpy()
+        lengths, indices, values, begin = [np.zeros(0, "int64")], [np.zeros(0, "int32")], [np.zeros(0)], 0
+        while begin < len(lists):
+            # So many rows that a part holds about a million positions, or one row.
+            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + 1_000_000, "right")) - 1)
+            part = slice(ends[begin], ends[end])
+            cells = np.repeat(np.arange(end - begin), np.diff(ends[begin : end + 1])) * size + positions[part]
+            cells, counts = np.unique(cells[known[part]], return_counts=True)
+            rows, found = np.divmod(cells, size)
+            lengths.append(np.bincount(rows, minlength=end - begin))
+            indices.append(found.astype("int32"))
+            values.append(counts.astype("float64"))
+            begin = end
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(lengths))]), pa.int32())
+        n = len(lists)
+        columns = [pa.array(np.zeros(n, "int8")), pa.array(np.full(n, size, "int32")), *[pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in (indices, values)]]
+        return pa.StructArray.from_arrays(columns, ["type", "size", "indices", "values"])
+
+    return counted
+
+
+def add_vectors(reviews: DataFrame, vocab: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """A4, vector form: ``reviews``, or their columns ``keep``, with each view's sparse counts (neg_features, pos_features) of vocabulary words at their A3 positions; written.
+
+    Within the bounds of a broadcast for each view's vocabulary, a text's words are looked up and counted where they are. Beyond them, the words look
+    the vocabulary table up, and their positions are regrouped once, by row. Spark ML then sees numbers only, so
     the vocabulary may have any size that a model's weights may have. Rows stay as they are, with or without hits; rows of one Id are
     apart. The counts are written in the form in which vectors are stored, and read back as vectors.
     """
     spark, sizes = reviews.sparkSession, view_sizes(vocab)
-    rows = materialize(numbered(reviews), "reviews")
+    keep = reviews.columns if keep is None else list(keep)
+    kept, path = [F.col(f"`{c}`") for c in keep], scratch_path(spark, "vectors")
+    lookups = [list_lookup(vocab.where(F.col("cls") == v), "word", "idx") for v in VIEWS]
+    if all(lookups):
+        words = split_words(text_or_token(F.col("text")))
+        made = reviews.select(*kept, *[_counted(sizes[v])(find(words)).alias(f"{v}_features") for v, find in zip(VIEWS, lookups)])
+    else:
+        made = _joined_vectors(reviews, vocab, sizes).select(*kept, *[f"{v}_features" for v in VIEWS])
+    made.write.parquet(path)
+    vectors = [T.StructField(f"{v}_features", VectorUDT()) for v in VIEWS]
+    return spark.read.schema(T.StructType([*[reviews.schema[c] for c in keep], *vectors])).parquet(path)
+
+
+def _joined_vectors(reviews: DataFrame, vocab: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """The rows with their vectors as stored, for a vocabulary of any size: the words are joined to it as rows."""
+    spark, rows = reviews.sparkSession, materialize(numbered(reviews), "reviews")
     words = rows.select(ROW, F.explode(split_words(text_or_token(F.col("text")))).alias("word"))
     hits = lookup_join(words, vocab, ["word"]).select(ROW, "cls", F.col("idx").cast("int").alias("idx"))
     # Dealt out by row, a row's words stay together through both aggregations.
@@ -60,9 +105,7 @@ def add_vectors(reviews: DataFrame, vocab: DataFrame) -> DataFrame:
         sparse = [F.lit(0).cast("tinyint").alias("type"), F.lit(sizes[view]).cast("int").alias("size")]
         return F.struct(*sparse, held["idx"].alias("indices"), held["cnt"].alias("values")).alias(f"{view}_features")
 
-    path = scratch_path(spark, "vectors")
-    full.select(*[F.col(f"`{c}`") for c in reviews.columns], *[stored(v) for v in VIEWS]).write.parquet(path)
-    return spark.read.schema(T.StructType([*reviews.schema.fields, *[T.StructField(f"{v}_features", VectorUDT()) for v in VIEWS]])).parquet(path)
+    return full.select(*[F.col(f"`{c}`") for c in reviews.columns], *[stored(v) for v in VIEWS])
 
 
 def fit_two_views(
@@ -76,7 +119,7 @@ def fit_two_views(
     """
     spark, sizes = train.sparkSession, view_sizes(vocab)
     labelled = train.where(F.col("Category").isNotNull()).select("text", F.when(F.col("Category") == 0, 0.0).otherwise(1.0).alias("label"))
-    data = add_vectors(labelled, vocab).drop("text").coalesce(spark.sparkContext.defaultParallelism)
+    data = add_vectors(labelled, vocab, ["label"]).coalesce(spark.sparkContext.defaultParallelism)
     fitted = {}
     for view, size in sizes.items():
         columns = dict(featuresCol=f"{view}_features", rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_prob", predictionCol=f"{view}_pred")

@@ -135,3 +135,22 @@ def test_spread_leaves_inputs_with_enough_splits(spark):
     many = spark.range(0, 100, 1, 16)
     assert spread(many, "id") is many
     assert spread(many.coalesce(1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_list_lookup_is_a_join_of_whole_arrays(spark):
+    table = spark.createDataFrame([("a", 3), ("", 4), ("é", 5)], "word string, token bigint")
+    lists = [["a", "x", "", "é"], [], None, ["x"], ["a"] * 3]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(lists)], "i int, words array<string>").repartition(2)
+    found = scale.list_lookup(table, "word", "token")(F.col("words"))
+    other = scale.list_lookup(table, "word", "token", missing=2)(F.col("words"))
+    got = {r.i: (r.a, r.b) for r in df.select("i", found.alias("a"), other.alias("b")).collect()}
+    assert got == {0: ([3, None, 4, 5], [3, 2, 4, 5]), 1: ([], []), 2: ([], []), 3: ([None], [2]), 4: ([3] * 3, [3] * 3)}
+    none = scale.list_lookup(table.limit(0), "word", "token")(F.col("words"))
+    assert df.where("i = 4").select(none.alias("a")).first().a == [None] * 3
+
+
+def test_list_lookup_leaves_what_only_a_join_can_tell(spark):
+    schema = "word string, token int"
+    for rows in ([("a", 1), ("a", 2)], [("a", 1), (None, 2)], [("a", None)]):
+        assert scale.list_lookup(spark.createDataFrame(rows, schema), "word", "token") is None
+    assert scale.list_lookup(spark.createDataFrame([("a", 1)], schema), "word", "token", max_rows=0) is None

@@ -249,3 +249,25 @@ def test_a_fit_reads_its_rows_in_as_many_tasks_as_cores(spark, monkeypatch):
     df = toy(spark)
     models.fit_two_views(df, vocab.build_vocab(df), max_iter=1)
     assert len(seen) == 2 and max(seen) <= spark.sparkContext.defaultParallelism
+
+
+def test_vectors_of_a_small_vocabulary_move_no_words(spark, monkeypatch):
+    words = materialize(spark.createDataFrame([("neg", "a", 1, 11), ("neg", "", 0, 11), ("pos", "a", 2, 11), ("pos", "nan", 0, 11)], "cls string, word string, idx bigint, freq bigint"), "words")
+    df = reviews(spark, [(1, 0, "a b  a"), (1, 1, "x"), (2, 1, None), (None, 1, "a"), (4, 0, "")]).repartition(2)
+    listed = lambda: sorted(str(tuple(r)) for r in models.add_vectors(df, words).collect())
+    with monkeypatch.context() as m:
+        m.setattr(models, "list_lookup", lambda *a: None)
+        joined = listed()
+    # A join of the words, or rows written to be joined, would fail here.
+    monkeypatch.setattr(models, "lookup_join", None)
+    monkeypatch.setattr(models, "materialize", None)
+    assert listed() == joined and len(joined) == 5
+    assert models.add_vectors(df, words, ["Id"]).columns == ["Id", "neg_features", "pos_features"]
+
+
+def test_counts_of_many_positions(spark):
+    # Parts of a million positions, and a text that is longer than one.
+    df = spark.createDataFrame([(n,) for n in (3, 700_000, 0, 600_000, 1_200_000, 5)], "n int").coalesce(1)
+    lists = df.select("n", F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(1), "n"), lambda i: F.when(i % 3 > 0, i % 3))).otherwise(F.array().cast("array<int>")).alias("at"))
+    got = {r.n: (r.v.size, r.v.indices, r.v["values"]) for r in lists.select("n", models._counted(4)("at").alias("v")).collect()}
+    assert got == {n: (4, [i for i in (1, 2) if n], [float(len(range(i, n + 1, 3))) for i in (1, 2) if n]) for n in (3, 700_000, 0, 600_000, 1_200_000, 5)}
