@@ -137,7 +137,7 @@ def s6_feature_store(spark, folder):
     news = views.news_like(spark, folder)
     words = _news_vocab(_clean_news(spark, folder))
     made_from = f"{stores.vocab_key(words)}/{encode.TITLE_LENGTH}"
-    ones = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, m: a + m)
+    ones = F.array_size(F.array_remove("attention_mask", 0)).cast("bigint")
     parts = []
     for mode, length in (("train", encode.TEXT_LENGTH), ("train", 128), ("eval", encode.TEXT_LENGTH)):
 

@@ -64,9 +64,9 @@ def collapse_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, java_pattern(r"\s+"), " "))
 
 
-def split_words(text: Column) -> Column:
-    """Split at every single space; empty words are kept."""
-    return F.split(text, " ")
+def split_words(text: Column, most: int = -1) -> Column:
+    """Split at every single space; empty words are kept. With ``most``, the last of so many items is the rest of the text."""
+    return F.split(text, " ", most)
 
 
 def review_words(text: Column) -> Column:
@@ -96,14 +96,16 @@ def literal_prefix(rule: str) -> str:
 def clean_article(text: Column, rules: Sequence[str] = ARTICLE_RULES) -> Column:
     """T4: delete each rule's matches in turn.
 
-    A byte search for a rule's literal prefix keeps the regex, and its copy of the text, away from the
-    texts without a match. The one-element ``transform`` binds the text so far to a variable: written out
+    A rule that is a literal is deleted as one. A byte search for the literal prefix of another keeps the regex, and its copy of the text,
+    away from the texts without a match. The one-element ``transform`` binds the text so far to a variable: written out
     three times per rule, the expression would grow with the power of the number of rules.
     """
 
     def delete(rule: str, current: Column) -> Column:
-        deleted = F.regexp_replace(current, java_pattern(rule), "")
         prefix = literal_prefix(rule)
+        if prefix and prefix == rule.replace(r"\n", "\n"):
+            return F.replace(current, F.lit(prefix), F.lit(""))
+        deleted = F.regexp_replace(current, java_pattern(rule), "")
         return F.when(current.contains(prefix), deleted).otherwise(current) if prefix else deleted
 
     return reduce(lambda t, rule: F.get(F.transform(F.array(t), lambda x: delete(rule, x)), 0), rules, text)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.cleaning import clean_articles, split_words
 from lexmill.operators.prep import mode_columns, numeric_id
-from lexmill.operators.scale import lookup_join
+from lexmill.operators.scale import list_lookup, lookup_join
 from lexmill.operators.vocab import END, PAD, UNKNOWN
 from lexmill.runtime import ROW, materialize, numbered
 
@@ -44,9 +44,16 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, columns: dict[str, tuple[s
     """Ids of the words of several text columns, ``{out: (text column, length)}``.
 
     Only the words that fit the fixed length leave a row: ``length - 1``, since the end id needs a place.
-    All columns share one look-up and one regrouping. Rows are told apart by a number that is written with
-    their words, so rows of one ``key`` stay rows.
+    With a vocabulary within the bounds of a broadcast the words are looked up where they are, list by list. Else all
+    columns share one look-up and one regrouping, and rows are told apart by a number that is written with
+    their words. Rows of one ``key`` stay rows.
     """
+    if lookup := list_lookup(vocab, "word", "token", missing=UNKNOWN):
+
+        def ids_in_place(text: str, length: int) -> Column:
+            return close_and_pad(lookup(F.slice(split_words(F.coalesce(F.col(text), F.lit("")), length), 1, length - 1)), length)
+
+        return df.select(key, *[ids_in_place(text, length).alias(out) for out, (text, length) in columns.items()])
     fields = F.array(
         *[
             F.struct(F.lit(out).alias("field"), F.slice(split_words(F.coalesce(F.col(text), F.lit(""))), 1, length - 1).alias("words"))

@@ -120,3 +120,10 @@ def test_unit_hash_is_a_fair_share_and_depends_on_keys_only(spark):
     many = ids.repartition(7).select(F.sum(unit_hash(7, "id"))).first()[0]
     assert one == pytest.approx(many)
     assert ids.where((unit_hash(7, "id") < 0.1) & (unit_hash(7, "id") >= 0.1)).isEmpty()
+
+
+def test_a_literal_rule_takes_no_regex(spark):
+    rules = [r"\n", "文．", "a+"]
+    df = spark.createDataFrame([("a文\n．b\n\na文．",), (None,), ("",)], "t string").select(clean_article(F.col("t"), rules).alias("t"))
+    assert sorted(str(r.t) for r in df.collect()) == ["", "None", "b"]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1

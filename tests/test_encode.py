@@ -85,3 +85,15 @@ def test_rows_of_one_key_stay_rows(spark):
     encoded = encode(twice, words, "id", {"ids": ("text", 4)})
     assert sorted((r.id, r.ids) for r in encoded.collect()) == [(1, [3, 3, 1, 0]), (1, [4, 4, 1, 0])]
     assert sorted((r.id, r.title) for r in decode(encoded, words, "id", "ids").collect()) == [(1, "a a"), (1, "b b")]
+
+
+def test_words_of_a_small_vocabulary_are_encoded_in_place(spark, words, monkeypatch):
+    df = spark.createDataFrame([(1, "a b c d a", "zz a"), (1, "", None), (None, " a", "b"), (2, None, "a b")], "id int, t string, u string")
+    listed = lambda: sorted(str(tuple(r)) for r in encode.encode(df, words, "id", {"x": ("t", 4), "y": ("u", 1)}).collect())
+    with monkeypatch.context() as m:
+        m.setattr(encode, "list_lookup", lambda *a, **k: None)
+        joined = listed()
+    # Rows written to be told apart, or a join of the words, would fail here.
+    monkeypatch.setattr(encode, "lookup_join", None)
+    monkeypatch.setattr(encode, "materialize", None)
+    assert listed() == joined and len(joined) == 4
