@@ -696,10 +696,11 @@ def o6_best_checkpoints(spark, folder):
     articles, model = _title_model(spark, folder)
     nll = evaluate.token_nll(titling.features(model, articles), model.bigrams, TOP_N + 3).select("id", F.col("nll").alias("v_loss"))
     pairs = _lead_pairs(spark, folder)
+    units = evaluate.units(pairs)
     scores = [
-        evaluate.rouge_n(pairs, 1).select("id", F.col("f").alias("rouge_1")),
-        evaluate.rouge_n(pairs, 2).select("id", F.col("f").alias("rouge_2")),
-        evaluate.rouge_l(pairs).select("id", F.col("f").alias("rouge_l")),
+        evaluate.rouge_n(units, 1).select("id", F.col("f").alias("rouge_1")),
+        evaluate.rouge_n(units, 2).select("id", F.col("f").alias("rouge_2")),
+        evaluate.rouge_l(units).select("id", F.col("f").alias("rouge_l")),
     ]
     for score in scores:
         nll = nll.join(score, "id")

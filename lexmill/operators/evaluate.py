@@ -44,19 +44,24 @@ def f1(hits: Column, n_pred: Column, n_ref: Column) -> Column:
     return F.when(hits > 0, 2 * hits / (n_pred + n_ref)).otherwise(F.lit(0.0))
 
 
+def units(pairs: DataFrame, unit: str = "word") -> DataFrame:
+    """The words or characters of pairs (id, pred, ref), numbered and written: what several scores of the same pairs can share."""
+    return materialize(numbered(pairs.select("id", _units("pred", unit).alias("p"), _units("ref", unit).alias("r"))), "units")
+
+
 def rouge_n(pairs: DataFrame, n: int, unit: str = "word") -> DataFrame:
-    """O1: (id, overlap, n_pred, n_ref, f) of clipped n-gram overlap for pairs (id, pred, ref).
+    """O1: (id, overlap, n_pred, n_ref, f) of clipped n-gram overlap for pairs (id, pred, ref), or for their :func:`units`.
 
     The pairs are numbered and written, so pairs of one id stay pairs; they are moved by number before their
     n-grams are spread out, and both groupings then work in place. There are as many tasks as keep the words of one within ``TASK_BYTES``.
     """
-    units = materialize(numbered(pairs.select("id", _units("pred", unit).alias("p"), _units("ref", unit).alias("r"))), "units")
-    units = units.repartition(max(shuffle_partitions(pairs.sparkSession), -(-measure(units).bytes // TASK_BYTES)), ROW)
+    listed = pairs if ROW in pairs.columns else units(pairs, unit)
+    listed = listed.repartition(max(shuffle_partitions(pairs.sparkSession), -(-measure(listed).bytes // TASK_BYTES)), ROW)
 
     def tagged(side: str, in_pred: int) -> Column:
         return F.transform(_grams(F.col(side), n), lambda g: F.struct(g.alias("gram"), F.lit(in_pred).alias("a"), F.lit(1 - in_pred).alias("b")))
 
-    grams = units.select(ROW, "id", F.explode_outer(F.concat(tagged("p", 1), tagged("r", 0))).alias("g"))
+    grams = listed.select(ROW, "id", F.explode_outer(F.concat(tagged("p", 1), tagged("r", 0))).alias("g"))
     counts = grams.groupBy(ROW, "id", "g.gram").agg(F.coalesce(F.sum("g.a"), F.lit(0)).alias("a"), F.coalesce(F.sum("g.b"), F.lit(0)).alias("b"))
     totals = counts.groupBy(ROW, "id").agg(F.sum(F.least("a", "b")).alias("overlap"), F.sum("a").alias("n_pred"), F.sum("b").alias("n_ref"))
     return totals.drop(ROW).withColumn("f", f1(F.col("overlap"), F.col("n_pred"), F.col("n_ref")))
@@ -68,7 +73,7 @@ def _lcs_udf(unit: str):
             out = []
             for pred, ref in zip(preds, refs):
                 a, b = (
-                    [w for w in (t.split(" ") if unit == "word" else t) if w not in ("", " ")] for t in (pred, ref)
+                    t if unit == "listed" else [w for w in (t.split(" ") if unit == "word" else t) if w not in ("", " ")] for t in (pred, ref)
                 )
                 # Bit-parallel longest common subsequence: a zero bit per matched position of b.
                 places: dict[str, int] = {}
@@ -77,8 +82,10 @@ def _lcs_udf(unit: str):
                 full = (1 << len(b)) - 1
                 row = full
                 for w in a:
-                    met = row & places.get(w, 0)
-                    row = (row + met | row - met) & full
+                    # A word that stands nowhere in b changes nothing.
+                    if held := places.get(w):
+                        met = row & held
+                        row = (row + met | row - met) & full
                 out.append(len(b) - row.bit_count())
             yield pd.Series(out, dtype="int64")
 
@@ -88,11 +95,14 @@ def _lcs_udf(unit: str):
 
 
 def rouge_l(pairs: DataFrame, unit: str = "word") -> DataFrame:
-    """O1L: (id, lcs, n_pred, n_ref, f) by longest common subsequence, for texts of any length.
+    """O1L: (id, lcs, n_pred, n_ref, f) by longest common subsequence, for texts of any length or for their :func:`units`.
 
     The subsequence is a recurrence over one pair, with no shuffle; built-in array functions would copy
     a row of the table per step, so an Arrow UDF keeps it as the bits of one integer.
     """
+    if ROW in pairs.columns:
+        scored = pairs.select("id", _lcs_udf("listed")("p", "r").alias("lcs"), F.size("p").alias("n_pred"), F.size("r").alias("n_ref"))
+        return scored.withColumn("f", f1(F.col("lcs"), F.col("n_pred"), F.col("n_ref")))
     texts = pairs.select("id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("pred", "ref")])
     scored = texts.select(
         "id", _lcs_udf(unit)("pred", "ref").alias("lcs"), F.size(_units("pred", unit)).alias("n_pred"), F.size(_units("ref", unit)).alias("n_ref")

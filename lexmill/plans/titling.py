@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.cleaning import clean_articles
 from lexmill.operators.candidates import bigram_table
 from lexmill.operators.encode import TITLE_LENGTH, decode, encode, teacher_forcing
-from lexmill.operators.evaluate import batch_mean, best_checkpoints, rouge_l, rouge_n, token_nll
+from lexmill.operators.evaluate import batch_mean, best_checkpoints, rouge_l, rouge_n, token_nll, units
 from lexmill.operators.prep import hash_sample
 from lexmill.operators.titles import beam_titles, drawn_titles, greedy_titles, seed_articles
 from lexmill.operators.vocab import corpus_vocab
@@ -53,7 +53,7 @@ def seeded_titles(model: TitleModel, docs: DataFrame, mode: str = "greedy", max_
 
 def rouge_scores(made: DataFrame, articles: DataFrame, size: int = 4, unit: str = "word") -> DataFrame:
     """One row (rouge_1, rouge_2, rouge_l): means of batch means of F against the true titles."""
-    pairs = materialize(made.select("id", F.col("title").alias("pred")).join(articles.select("id", F.col("title").alias("ref")), "id"), "pairs")
+    pairs = units(made.select("id", F.col("title").alias("pred")).join(articles.select("id", F.col("title").alias("ref")), "id"), unit)
     one, two, lcs = rouge_n(pairs, 1, unit), rouge_n(pairs, 2, unit), rouge_l(pairs, unit)
     scored = (
         one.select("id", F.col("f").alias("rouge_1"))

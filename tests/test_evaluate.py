@@ -119,3 +119,14 @@ def test_a_task_of_rouge_n_spreads_out_bounded_words(spark, rows, monkeypatch):
     monkeypatch.setattr(evaluate, "TASK_BYTES", 20_000)
     parts = evaluate.rouge_n(pairs(spark, rows), 2, "char")
     assert parts.rdd.getNumPartitions() > 8 and {tuple(r) for r in parts.collect()} == whole
+
+
+def test_scores_of_the_same_units_write_them_once(spark, rows, monkeypatch):
+    scores = [lambda p, u: evaluate.rouge_n(p, 1, u), lambda p, u: evaluate.rouge_n(p, 2, u), evaluate.rouge_l]
+    texts = pairs(spark, [*rows, ("台北 市", "台市北")])
+    for unit in ("word", "char"):
+        want = [sorted(map(tuple, score(texts, unit).collect())) for score in scores]
+        listed = evaluate.units(texts, unit)
+        with monkeypatch.context() as m:
+            m.setattr(evaluate, "materialize", None)
+            assert [sorted(map(tuple, score(listed, unit).collect())) for score in scores] == want
