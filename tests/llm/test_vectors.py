@@ -143,3 +143,37 @@ def test_extreme_numbers_and_rare_lengths_link_too(spark):
     assert [found[i] for i in (0, 300, 301)] == [(2, 0)] * 3 and found[1] == found[302] == (1, 1)
     assert found[400] == found[401] == (1, 400) and found[402] == (0, 402)
     assert found[500] == found[501] == (1, 500) and found[502] == (0, 502) and len(found) == len(rows)
+
+
+def test_codes_that_meet_are_each_pair_once():
+    from lexmill.llm.meeting import near_pairs
+
+    rng = np.random.default_rng(6)
+    codes = rng.integers(0, 1 << 9, 700).astype(np.uint64) << np.uint64(55)
+    codes[:200] = codes[0]
+    mask, first = 0b1111 << 59, 0b11 << 59
+    for home in (np.ones(700, bool), codes & np.uint64(first) == codes[5] & np.uint64(first)):
+        got = [tuple(sorted(p)) for i, j in near_pairs(codes, mask, home, 3) for p in zip(i.tolist(), j.tolist())]
+        apart = codes[:, None] ^ codes
+        near = (np.bitwise_count(apart & np.uint64(mask)) <= 1) & (np.bitwise_count(apart) <= 3) & (home[:, None] | home)
+        same = near & (codes[:, None] & np.uint64(mask) == codes & np.uint64(mask)) & ~(home[:, None] & home)
+        assert len(got) == len(set(got)) and set(got) == set(zip(*np.nonzero(np.triu(near & ~same, 1))))
+
+
+def test_vectors_stay_where_they_are_unless_codes_meet(make_vectors, monkeypatch):
+    from lexmill import runtime
+    from lexmill.llm import common
+
+    sizes, written = {}, common.materialize
+
+    def noted(df, name):
+        out = written(df, name)
+        sizes[name] = sizes.get(name, 0) + runtime.measure(out).bytes
+        return out
+
+    monkeypatch.setattr(common, "materialize", noted)
+    x = np.random.default_rng(12).normal(size=(3000, 64)).astype(np.float32)
+    x[:20] = x[20:40] + 0.01
+    assert sum(r.n_links for r in embed_dedup.near_duplicates(make_vectors([(i, v.tolist()) for i, v in enumerate(x)])).collect()) == 40
+    # All tables but the bounded sample; the vectors themselves are 48 bytes a number here.
+    assert sum(n for name, n in sizes.items() if name != "sample") < x.size * 48 / 4
