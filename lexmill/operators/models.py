@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,9 @@ from lexmill.operators.classify import VIEWS, argmax_label
 from lexmill.operators.scale import list_lookup, list_offsets, lookup_join
 from lexmill.runtime import ROW, materialize, numbered, scratch_path, shuffle_partitions
 
+#: Numbers of a long vector that travel at once, and that the driver holds at once of each of several vectors.
+PIECE, READ = 1 << 19, 1 << 16
+
 
 @dataclass
 class TwoViewModel:
@@ -113,8 +118,8 @@ def fit_two_views(
 ) -> TwoViewModel:
     """One classifier per view, each trained on all training rows with their true labels.
 
-    The weights, one set per word, are numbers on the driver, as Spark ML has it. A pass over the rows returns one gradient per task, as long as the
-    weights, so the rows are read in as many tasks as the session has cores, however many files hold them. The training summary is dropped: it holds
+    The weights, one set per word, are numbers on the driver, as Spark ML has it; those of a perceptron are in files of its temporary folder. A pass over the
+    rows returns one gradient per task, as long as the weights, so the rows are read in as many tasks as the session has cores, however many files hold them. The training summary is dropped: it holds
     the session, which no task can carry once the session has counted rows at a write.
     """
     spark, sizes = train.sparkSession, view_sizes(vocab)
@@ -125,16 +130,72 @@ def fit_two_views(
         columns = dict(featuresCol=f"{view}_features", rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_prob", predictionCol=f"{view}_pred")
         if kind == "logistic":
             fitted[view] = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", **columns).fit(data)
+            fitted[view]._java_obj.setSummary(spark._jvm.scala.Option.empty())
         elif kind == "perceptron":
             layers = [size, *hidden, 2]
             weights = _trained(data.select(F.col(f"{view}_features").alias("features"), "label"), layers, max_iter, seed)
-            fitted[view] = _as_classifier(spark, weights, layers, seed, columns)
+            fitted[view] = Perceptron(spark, weights, layers, seed, columns)
         else:
             raise ValueError(f"unknown kind {kind!r}")
-        fitted[view]._java_obj.setSummary(spark._jvm.scala.Option.empty())
     return TwoViewModel(vocab, fitted, kind)
 
 
+class Stored:
+    """A long vector in a file of the driver's temporary folder, which goes with this object."""
+
+    def __init__(self, dtype: str = "float64"):
+        self.file, self.dtype, self.scale = tempfile.TemporaryFile(prefix="lexmill-"), np.dtype(dtype), 1.0
+
+    @classmethod
+    def of(cls, pieces: Iterator[np.ndarray], dtype: str = "float64") -> Stored:
+        out = cls(dtype)
+        for piece in pieces:
+            out.file.write(piece.astype(out.dtype).tobytes())
+        return out
+
+    def put(self, slot: int, piece: bytes) -> None:
+        self.file.seek(slot * PIECE * self.dtype.itemsize)
+        self.file.write(piece)
+
+    def pieces(self, most: int) -> Iterator[np.ndarray]:
+        at = 0
+        while True:
+            self.file.seek(at)
+            data = self.file.read(most * self.dtype.itemsize)
+            if not data:
+                return
+            at += len(data)
+            yield np.frombuffer(data, self.dtype) * self.scale
+
+
+def _gram(vectors: list[Stored]) -> np.ndarray:
+    """The products of all pairs of vectors."""
+    total = np.zeros((len(vectors), len(vectors)))
+    for pieces in zip(*[v.pieces(READ) for v in vectors], strict=True):
+        held = np.stack(pieces, dtype="float64")
+        total += held @ held.T
+    return total
+
+
+def _combined(factors: Sequence[float], vectors: list[Stored], dtype: str = "float64") -> Stored:
+    """The sum of the vectors, each times its factor."""
+    return Stored.of((sum(f * p for f, p in zip(factors, pieces, strict=True)) for pieces in zip(*[v.pieces(READ) for v in vectors], strict=True)), dtype)
+
+
+def _whole(shared: list) -> np.ndarray:
+    """In a task: the vector that was shared in pieces. A piece is read from its file again by the next task, or it would be held twice."""
+    out, at = np.empty(sum(n for _, n in shared)), 0
+    for held, n in shared:
+        out[at : at + n] = held.value
+        vars(held).pop("_value", None)
+        at += n
+    return out
+
+
+def _shared(spark, pieces: Iterator[np.ndarray]) -> list:
+    return [(spark.sparkContext.broadcast(p), len(p)) for p in pieces]
+
+
 def _layers_of(weights: np.ndarray, layers: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
     """The matrix (inputs by outputs) and the offsets of each layer, as views of the weights in the order in which Spark ML holds them."""
     out, at = [], 0
@@ -175,12 +236,13 @@ def _forward(net: list, lengths: np.ndarray, idx: np.ndarray, val: np.ndarray) -
     return outs
 
 
-def _gradients(weights, layers: list[int], slots: int):
-    """For ``mapInArrow``: the sums of the loss and of its gradient over the rows of a task, in ``slots`` pieces, and first the loss and the rows."""
+def _gradients(shared: list, layers: list[int], piece: int):
+    """For ``mapInArrow``: the sums of the loss and of its gradient over the rows of a task, in pieces, and first the loss and the rows (slot -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = _layers_of(weights.value, layers)
-        total, loss, n = np.zeros(len(weights.value)), 0.0, 0
+        weights = _whole(shared)
+        net = _layers_of(weights, layers)
+        total, loss, n = np.zeros(len(weights)), 0.0, 0
         grads = _layers_of(total, layers)
         for batch in batches:
             labels = batch.column(1).to_numpy().astype(int)
@@ -204,8 +266,9 @@ def _gradients(weights, layers: list[int], slots: int):
                     owner = np.repeat(at, lengths)[order]
                     grads[0][0][words[starts]] += np.add.reduceat(val[order, None] * delta[owner], starts)
         if n:
-            pieces = [np.array([loss, n]), *np.array_split(total, slots)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())], ["slot", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([np.array([loss, n]).tobytes()], pa.binary())], ["slot", "part"])
+            for k, at in enumerate(range(0, len(total), piece)):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total[at : at + piece].tobytes()], pa.binary())], ["slot", "part"])
 
     return run
 
@@ -216,60 +279,94 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"slot": table.column("slot")[:1].cast(pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
 
 
-def _trained(data: DataFrame, layers: list[int], max_iter: int, seed: int, memory: int = 5, tol: float = 1e-6) -> np.ndarray:
+def _direction(gram: np.ndarray) -> np.ndarray:
+    """The factors of the L-BFGS direction: of the moves, of the turns of the gradient (``gram`` has both, oldest first), and of the gradient, which is last."""
+    m = len(gram) // 2
+    factors, held = np.eye(2 * m + 1)[-1], np.zeros(m)
+    for i in reversed(range(m)):
+        held[i] = gram[i] @ factors / gram[i, m + i]
+        factors[m + i] -= held[i]
+    if m:
+        factors *= gram[m - 1, 2 * m - 1] / gram[2 * m - 1, 2 * m - 1]
+    for i in range(m):
+        factors[i] += held[i] - gram[m + i] @ factors / gram[i, m + i]
+    return factors
+
+
+def _start(layers: list[int], seed: int) -> Iterator[np.ndarray]:
+    rng = np.random.default_rng(seed)
+    for n_in, n_out in zip(layers, layers[1:]):
+        n = n_in * n_out + n_out
+        for at in range(0, n, PIECE):
+            yield (rng.random(min(PIECE, n - at)) * 4.8 - 2.4) / np.sqrt(n_in)
+
+
+def _trained(data: DataFrame, layers: list[int], max_iter: int, seed: int, memory: int = 5, tol: float = 1e-6) -> Stored:
     """The weights of a perceptron for (features, label): L-BFGS on the mean cross entropy, as Spark ML's own trainer, which holds all rows with a number per word.
 
-    A step is one pass over the sparse rows. Each task adds its rows up, its pieces are added by piece over the cluster, and the driver holds
-    the weights, the gradient and ``memory`` earlier steps in half precision of that.
+    A step is one pass over the sparse rows. Each task adds its rows up, its pieces are added by piece over the cluster. The weights, the gradient and ``memory``
+    earlier steps, in half precision of that, are in files; the driver holds a piece of each. A direction is a sum of these vectors, whose factors follow from their products.
     """
-    spark, slots = data.sparkSession, data.sparkSession.sparkContext.defaultParallelism
+    spark = data.sparkSession
 
-    def value(weights: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = spark.sparkContext.broadcast(weights)
+    def value(weights: Stored) -> tuple[float, Stored]:
+        shared, gradient, loss, n = _shared(spark, weights.pieces(PIECE)), Stored(), 0.0, 0
         try:
-            parts = data.mapInArrow(_gradients(shared, layers, slots), "slot int, part binary")
-            added = {r.slot: np.frombuffer(r.part) for r in parts.groupBy("slot").applyInArrow(_added, "slot int, part binary").collect()}
+            parts = data.mapInArrow(_gradients(shared, layers, PIECE), "slot int, part binary")
+            for r in parts.groupBy("slot").applyInArrow(_added, "slot int, part binary").toLocalIterator():
+                if r.slot < 0:
+                    loss, n = np.frombuffer(r.part)
+                else:
+                    gradient.put(r.slot, r.part)
         finally:
-            shared.destroy()
-        if not added:
+            for held, _ in shared:
+                held.destroy()
+        if not n:
             raise ValueError("there is no labelled row to learn from")
-        loss, n = added.pop(0)
-        return loss / n, np.concatenate([added[k] for k in sorted(added)]) / n
+        gradient.scale = 1 / n
+        return loss / n, gradient
 
-    rng = np.random.default_rng(seed)
-    start = [(rng.random(n_in * n_out + n_out) * 4.8 - 2.4) / np.sqrt(n_in) for n_in, n_out in zip(layers, layers[1:])]
-    weights, pairs = np.concatenate(start), []
+    weights, pairs = Stored.of(_start(layers, seed)), []
     loss, gradient = value(weights)
     for _ in range(max_iter):
-        direction, held = gradient.copy(), []
-        for s, y, r in reversed(pairs):
-            held.append(r * float(s @ direction))
-            direction -= held[-1] * y
-        if pairs:
-            s, y, r = pairs[-1]
-            direction /= r * float(y @ y)
-        for (s, y, r), a in zip(pairs, reversed(held)):
-            direction += (a - r * float(y @ direction)) * s
-        slope, step = float(gradient @ direction), 1.0 if pairs else 1 / max(tol, float(np.linalg.norm(gradient)))
+        basis = [*[s for s, _ in pairs], *[y for _, y in pairs], gradient]
+        gram = _gram(basis)
+        factors = _direction(gram)
+        slope, step = float(gram[-1] @ factors), 1.0 if pairs else 1 / max(tol, float(np.sqrt(gram[-1, -1])))
         if not slope > 0:
             break
         for _ in range(10):
-            new_loss, new_gradient = value(weights - step * direction)
+            new = _combined([1.0, *(-step * factors)], [weights, *basis])
+            new_loss, new_gradient = value(new)
             if new_loss <= loss - 1e-4 * step * slope:
                 break
             step /= 2
         else:
             break
-        moved, turned = (-step * direction).astype("float32"), (new_gradient - gradient).astype("float32")
-        curve = float(moved.astype("float64") @ turned)
-        if curve > 1e-12:
-            pairs = [*pairs[1 - memory :], (moved, turned, 1 / curve)]
-        gained, weights, loss, gradient = loss - new_loss, weights - step * direction, new_loss, new_gradient
-        if gained <= tol * max(abs(loss), abs(loss + gained), tol) or np.linalg.norm(gradient) <= tol:
+        moved, turned = _combined(-step * factors, basis, "float32"), _combined([1.0, -1.0], [new_gradient, gradient], "float32")
+        if _gram([moved, turned])[0, 1] > 1e-12:
+            pairs = [*pairs[1 - memory :], (moved, turned)]
+        gained, weights, loss, gradient = loss - new_loss, new, new_loss, new_gradient
+        if gained <= tol * max(abs(loss), abs(loss + gained), tol) or np.sqrt(_gram([gradient])[0, 0]) <= tol:
             break
     return weights
 
 
+class Perceptron:
+    """Trained weights, in a file of the driver. Anything else asked of it makes a Spark ML model of them, which holds them in memory."""
+
+    def __init__(self, spark, weights: Stored, layers: list[int], seed: int, columns: dict[str, str]):
+        self.trained, self.layers_of, self._made = weights, layers, (spark, layers, seed, columns)
+
+    @cached_property
+    def spark_model(self):
+        spark, layers, seed, columns = self._made
+        return _as_classifier(spark, np.concatenate([*self.trained.pieces(PIECE)]), layers, seed, columns)
+
+    def __getattr__(self, name: str):
+        return getattr(self.spark_model, name)
+
+
 def _as_classifier(spark, weights: np.ndarray, layers: list[int], seed: int, columns: dict[str, str]):
     """The weights as a Spark ML model, which can be saved: what no step from them gives."""
     one = spark.createDataFrame([(Vectors.sparse(layers[0], [], []), 0.0)], T.StructType([T.StructField(columns["featuresCol"], VectorUDT()), T.StructField("label", T.DoubleType())]))
@@ -277,16 +374,21 @@ def _as_classifier(spark, weights: np.ndarray, layers: list[int], seed: int, col
     # Else the model would carry them twice, once as text.
     made.clear(made.initialWeights)
     made._java_obj.clear(made._java_obj.initialWeights())
+    made._java_obj.setSummary(spark._jvm.scala.Option.empty())
     return made
 
 
 def _perceptron_scores(classifier, view: str, df: DataFrame) -> DataFrame:
     """What the model's ``transform`` gives as raw scores and probabilities, at a cost by the words of a text instead of those of the vocabulary."""
-    layers, shared = list(classifier.getLayers()), df.sparkSession.sparkContext.broadcast(classifier.weights.toArray())
+    if isinstance(classifier, Perceptron):
+        layers, pieces = classifier.layers_of, classifier.trained.pieces(PIECE)
+    else:
+        layers, pieces = list(classifier.getLayers()), iter([classifier.weights.toArray()])
+    shared = _shared(df.sparkSession, pieces)
 
     @F.arrow_udf("array<double>")
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        net = _layers_of(shared.value, layers)
+        net = _layers_of(_whole(shared), layers)
         for vectors in batches:
             scores = [_forward(net, *part[1:])[-1] for part in _parts(vectors)]
             flat = np.concatenate(scores).ravel() if scores else np.zeros(0)

@@ -271,3 +271,30 @@ def test_counts_of_many_positions(spark):
     lists = df.select("n", F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(1), "n"), lambda i: F.when(i % 3 > 0, i % 3))).otherwise(F.array().cast("array<int>")).alias("at"))
     got = {r.n: (r.v.size, r.v.indices, r.v["values"]) for r in lists.select("n", models._counted(4)("at").alias("v")).collect()}
     assert got == {n: (4, [i for i in (1, 2) if n], [float(len(range(i, n + 1, 3))) for i in (1, 2) if n]) for n in (3, 700_000, 0, 600_000, 1_200_000, 5)}
+
+
+def test_a_perceptron_is_trained_with_pieces_of_its_vectors_on_the_driver(spark, monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(models, "PIECE", 1 << 15, raising=False)
+    monkeypatch.setattr(models, "READ", 1 << 13, raising=False)
+    n, hidden = 1 << 16, 16
+    words = spark.range(2 * n).select(F.when(F.col("id") < n, "neg").otherwise("pos").alias("cls"), F.concat(F.lit("w"), F.col("id") % n).alias("word"), (F.col("id") % n).alias("idx"), F.lit(11).alias("freq"))
+    words = materialize(words, "words")
+    df = reviews(spark, [(i, i % 2, f"w{n - 1 - i % 2} w{i} w7") for i in range(300)])
+    whole = models._trained
+    peaks = []
+
+    def watched(*a):
+        tracemalloc.start()
+        try:
+            return whole(*a)
+        finally:
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+
+    monkeypatch.setattr(models, "_trained", watched)
+    model = models.fit_two_views(df, words, "perceptron", hidden=(hidden,), max_iter=7)
+    # Less than the weights alone.
+    assert max(peaks) < n * hidden * 8
+    assert models.model_scores(model, df).where("pred <> Category").isEmpty()
