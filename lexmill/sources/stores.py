@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.runtime import hadoop_path
+from lexmill.operators.scale import fits_broadcast
+from lexmill.runtime import hadoop_path, materialize
 
-#: Buckets of ids in a store; a changed row has its bucket rebuilt, so take more where a bucket would be large.
+#: Buckets of ids in a store; a changed row has its bucket written again, so take more where a bucket would be large.
 BUCKETS = 64
 GENERATION, BUCKET = "store_generation", "store_bucket"
+#: The bucket, and the measures of the rows, of a key.
+OF, MEASURES = "of_bucket", ("n", "x", "s")
 
 
 def _row_measures(columns: Sequence[str | Column]) -> list[Column]:
@@ -75,47 +78,80 @@ def _publish(spark: SparkSession, root: str, version: dict) -> None:
         raise OSError(f"could not publish {target}")
 
 
-def _write(rows: DataFrame, root: str, parts: Sequence[str]) -> dict[str, str]:
-    """Write ``rows`` (with their bucket) as a generation of its own; the folder of each bucket that has rows."""
+def _write(rows: DataFrame, root: str, parts: Sequence[str], also: DataFrame | None = None, bucket: str = BUCKET, under: str = "data") -> dict[str, str]:
+    """Write ``rows`` (with their bucket) as a generation of its own, and the rows of ``also``, which come in files of few buckets; the folder of each bucket that has rows."""
     generation = f"{GENERATION}=g{uuid.uuid4().hex}"
-    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET, *parts).parquet(f"{root}/data/{generation}")
-    written = _names(rows.sparkSession, f"{root}/data/{generation}")
-    return {n.split("=")[1]: f"{generation}/{n}" for n in written if n.startswith(f"{BUCKET}=")}
+    rows = rows.hint("rebalance", bucket)
+    rows = rows if also is None else also.unionByName(rows)
+    rows.write.partitionBy(bucket, *parts).parquet(f"{root}/{under}/{generation}")
+    written = _names(rows.sparkSession, f"{root}/{under}/{generation}")
+    return {n.split("=")[1]: f"{generation}/{n}" for n in written if n.startswith(f"{bucket}=")}
 
 
-def _read(spark: SparkSession, root: str, version: dict) -> DataFrame:
-    """The rows of a version: only the folders that it names are listed and read."""
+def _read(spark: SparkSession, root: str, version: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+    """The rows of a version, or of some of its buckets: only the folders that it names are listed and read."""
     schema = T.StructType.fromJson(version["schema"])
-    folders = [f"{root}/data/{b['folder']}" for b in version["buckets"].values() if b["folder"]]
+    folders = [f"{root}/data/{b['folder']}" for n, b in version["buckets"].items() if b["folder"] and (buckets is None or int(n) in buckets)]
     if not folders:
         return spark.createDataFrame([], schema)
     place = T.StructType([*schema, T.StructField(GENERATION, T.StringType()), T.StructField(BUCKET, T.IntegerType())])
     return spark.read.schema(place).option("basePath", f"{root}/data").parquet(*folders).select(*schema.names)
 
 
+def _same_columns(a: T.StructType, b: T.StructType) -> bool:
+    return [(f.name, f.dataType.simpleString()) for f in a] == [(f.name, f.dataType.simpleString()) for f in b]
+
+
+def _without(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """The ``rows`` whose key is (``left_semi``) or is not (``left_anti``) among the written ``keys``, a null one included."""
+    return rows.join(F.broadcast(keys) if fits_broadcast(keys) else keys, F.col(f"`{key}`").eqNullSafe(F.col("_key")), how)
+
+
+def _changed_keys(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(_key) of the keys with other rows ``now`` than ``before`` (both _key, n, x, s), or with rows in one of them only; written."""
+    a, b = (df.select("_key", F.struct(*MEASURES).alias(name)) for df, name in ((now, "now"), (before, "before")))
+    b = b.withColumnRenamed("_key", "_old")
+    both = a.join(b, F.col("_key").eqNullSafe(F.col("_old")), "full_outer").where(~F.col("now").eqNullSafe(F.col("before")))
+    return materialize(both.select(F.when(F.col("now").isNull(), F.col("_old")).otherwise(F.col("_key")).alias("_key")), "changed-keys")
+
+
 def bucket_store(
     root: str, source: DataFrame, key: str, columns: Sequence[str], build: Callable[[DataFrame], DataFrame],
     parts: Sequence[str] = (), buckets: int = BUCKETS, rebuild: bool = False,
 ) -> DataFrame:
-    """What ``build`` makes of the ``source``, kept under ``root``; only buckets of keys in which a row changed are built again.
+    """What ``build`` makes of the ``source``, kept under ``root``; only keys of which a row changed are built again, and only their buckets written.
 
-    ``build(rows)`` gets the rows of the changed buckets and must judge each key by its own rows; its result keeps ``key``. A bucket changed if any
-    value in ``columns`` did, or a row came or went. Unchanged buckets are taken over as files. ``parts`` partition the files.
+    ``build(rows)`` gets the rows of the changed keys and must judge each key by its own rows; its result keeps ``key``. A key changed if any
+    value in ``columns`` did, or a row came or went; measures of the rows of each key are kept beside the data. Other keys of a changed bucket are copied from the
+    version before, unless that has other columns than ``build`` gives, or no measures: then its changed buckets are built whole. Unchanged buckets are taken
+    over as files. ``parts`` partition the files.
 
     The new version appears by one renaming when all is written: readers see the old rows or the new, a frame read before goes on
     reading the old ones, and a job that is lost on the way leaves what was. :func:`drop_versions` deletes what no kept version
     names. The driver holds one key per bucket.
     """
     spark = source.sparkSession
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-    now = {str(r[BUCKET]): f"{buckets}/{_row_key(r)}" for r in source.groupBy(bucket.alias(BUCKET)).agg(*_row_measures(columns)).collect()}
+    bucket = lambda column: F.pmod(F.xxhash64(F.col(f"`{column}`").cast("string")), F.lit(buckets)).cast("int")
+    keys = materialize(source.groupBy(F.col(f"`{key}`").alias("_key")).agg(*_row_measures(columns)).withColumn(OF, bucket("_key")), "store-keys")
+    sums = keys.groupBy(OF).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.sum("s").alias("s"))
+    now = {str(r[OF]): f"{buckets}/{_row_key(r)}" for r in sums.collect()}
     old = _newest(spark, root)
     held = old["buckets"] if old and not rebuild else {}
     changed = sorted(int(b) for b, k in now.items() if b not in held or held[b]["key"] != k)
     if old is None or changed or held.keys() != now.keys():
-        built = build(source.where(bucket.isin(changed)))
-        folders = _write(built.withColumn(BUCKET, bucket), root, parts) if changed else {}
-        new = {b: {"key": k, "folder": folders.get(b)} if int(b) in changed else held[b] for b, k in now.items()}
+        whole = source.where(bucket(key).isin(changed))
+        known = [b for b in changed if held.get(str(b), {}).get("measures")]
+        built, kept = None, None
+        if known:
+            before = spark.read.schema(keys.drop(OF).schema).parquet(*[f"{root}/keys/{held[str(b)]['measures']}" for b in known])
+            others = _changed_keys(keys.where(F.col(OF).isin(changed)), before)
+            built = build(_without(whole, others, key, "left_semi"))
+            kept = _without(_read(spark, root, old, known), others, key, "left_anti").withColumn(BUCKET, bucket(key))
+        if built is None or not _same_columns(built.schema, kept.drop(BUCKET).schema):
+            built, kept = build(whole), None
+        folders = _write(built.withColumn(BUCKET, bucket(key)), root, parts, kept) if changed else {}
+        measures = _write(keys.where(F.col(OF).isin(changed)), root, (), None, OF, "keys") if changed else {}
+        new = {b: {"key": k, "folder": folders.get(b), "measures": measures.get(b)} if int(b) in changed else held[b] for b, k in now.items()}
         old = {"schema": built.schema.jsonValue(), "buckets": new}
         _publish(spark, root, old)
     return _read(spark, root, old)
@@ -129,13 +165,18 @@ def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
     if keep < 1:
         raise ValueError("keep at least one version")
     names = _versions(spark, root)
-    kept = {b["folder"] for n in names[-keep:] for b in _version(spark, root, n)["buckets"].values()}
+    kept = {b.get(at) for n in names[-keep:] for b in _version(spark, root, n)["buckets"].values() for at in ("folder", "measures")}
     for name in names[:-keep]:
         path, fs = hadoop_path(spark, f"{root}/published/{name}")
         fs.delete(path, False)
-    folders = [f"{g}/{b}" for g in _names(spark, f"{root}/data") for b in _names(spark, f"{root}/data/{g}") if b.startswith(f"{BUCKET}=")]
-    for folder in (gone := [f for f in folders if f not in kept]):
-        path, fs = hadoop_path(spark, f"{root}/data/{folder}")
+
+    def unnamed(under: str, bucket: str) -> list[str]:
+        folders = [f"{g}/{b}" for g in _names(spark, f"{root}/{under}") for b in _names(spark, f"{root}/{under}/{g}") if b.startswith(f"{bucket}=")]
+        return [f"{root}/{under}/{f}" for f in folders if f not in kept]
+
+    gone = unnamed("data", BUCKET)
+    for folder in (*gone, *unnamed("keys", OF)):
+        path, fs = hadoop_path(spark, folder)
         fs.delete(path, True)
     return len(gone)
 
@@ -147,7 +188,7 @@ def bag_store(
     """The bag of words of all splits, built once per vocabulary and documents and read back after that.
 
     ``build(rows)`` returns a bag of these ``reviews`` (Id, text, split) with a ``split`` column, which partitions the table. Another
-    vocabulary gives another store; a changed text, id or split has its bucket of ids built again (:func:`bucket_store`).
+    vocabulary gives another store; the rows of an id of which a text or split changed are built again (:func:`bucket_store`).
     """
     path = f"{root}/bag/vocab={vocab_key(vocab)}"
     return bucket_store(path, reviews, "Id", ("Id", "text", "split"), build, ("split",), buckets, rebuild)
@@ -192,7 +233,7 @@ def article_features(
     root: str, articles: DataFrame, mode: str, tokenizer: str, max_len: int, build: Callable[[DataFrame], DataFrame],
     made_from: str = "", buckets: int = BUCKETS,
 ) -> DataFrame:
-    """As :func:`feature_store` for ``articles`` (id, maintext, title), of which only changed buckets of ids are encoded again.
+    """As :func:`feature_store` for ``articles`` (id, maintext, title), of which only changed ids are encoded again.
 
     ``build(rows)`` returns the features of these articles with their ``id``; ``made_from`` names the vocabulary and the length
     of the titles, not the articles.

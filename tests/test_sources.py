@@ -228,3 +228,35 @@ def test_released_blocks_leave_no_table_behind(spark, tmp_path):
         raise ValueError("stop")
     assert (set(folder.iterdir()) if folder.exists() else set()) == before
     assert spark.read.parquet(str(tmp_path / "kept")).count() == 9
+
+
+def test_only_changed_ids_are_built_again_and_the_others_of_their_bucket_stay(spark, tmp_path):
+    rows = [(i, f"t{i}") for i in range(60)] + [(7, "again"), (None, "none"), (None, "null")]
+    seen = []
+
+    def store(rows, named="t"):
+        def build(part):
+            seen.append(sorted(((r.k, r.t) for r in part.collect()), key=str))
+            return part.select("k", F.upper("t").alias(named), F.when(F.col("k") % 2 == 0, "a").otherwise("b").alias("p"))
+
+        df = stores.bucket_store(str(tmp_path), spark.createDataFrame(rows, "k bigint, t string"), "k", ("k", "t"), build, ("p",), buckets=4)
+        return sorted(((r.k, r[named]) for r in df.collect()), key=str)
+
+    def made(rows):
+        return sorted(((k, t.upper()) for k, t in rows), key=str)
+
+    assert store(rows) == made(rows) and len(seen[-1]) == 63
+    # A changed row of a repeated id, a new id, one that went, and a changed row without an id.
+    changed = [(k, {"again": "other", "null": "nil"}.get(t, t)) for k, t in rows if k != 9] + [(100, "new")]
+    assert store(changed) == made(changed)
+    assert seen[-1] == sorted([(7, "t7"), (7, "other"), (100, "new"), (None, "none"), (None, "nil")], key=str)
+    # A build with other columns gets whole buckets, and so does a store from before measures of keys were kept.
+    renamed = [(k, "x" if k == 3 else t) for k, t in changed]
+    assert set(made(renamed)) >= {(k, t) for k, t in store(renamed, "u") if t is not None} and len(seen[-1]) > 5
+    assert store(rows) == made(rows)
+    for keys in (tmp_path / "published").glob("*.json"):
+        keys.write_text(keys.read_text().replace('"measures"', '"nothing"'))
+        (keys.parent / f".{keys.name}.crc").unlink(missing_ok=True)
+    assert store(changed) == made(changed) and len(seen[-1]) > 5
+    stores.drop_versions(spark, str(tmp_path), keep=1)
+    assert store(changed[1:]) == made(changed[1:]) and seen[-1] == []
