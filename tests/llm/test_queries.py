@@ -23,6 +23,11 @@ def test_query_equals_its_sql(spark, small, tables, name):
     assert difference(queries.QUERIES[name](spark, small).toPandas(), tables[0].execute(oracle.SQL[name]).df()) is None
 
 
+@pytest.mark.parametrize("name", oracle.VARIANTS)
+def test_a_variant_equals_its_sql(spark, small, tables, name):
+    assert difference(entry.queries()[name](spark, small).toPandas(), tables[0].execute(entry.oracle_sql()[name]).df()) is None
+
+
 def test_each_operator_has_a_query():
     assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and set(oracle.SQL) <= set(entry.oracle_sql())
